@@ -1,0 +1,104 @@
+"""Run registered queries in Spark and their oracle statements in DuckDB, compare the results.
+
+Usage: ``python tests/compare.py [sf_dir] [name ...]`` - prints one line per query.
+The comparison mirrors the driver's: row count, column names, and the multiset of rows with
+columns in name order.
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+from collections import Counter
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(v + 0.0)
+    if hasattr(v, "item"):
+        return _norm(v.item())
+    return repr(v)
+
+
+def rows_of(columns, records):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_norm(r[i]) for i in order) for r in records)
+
+
+def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, dict]:
+    import __spark_entry__ as E
+
+    qs, sqls = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    out = {}
+    for name in names or sorted(qs):
+        t0 = time.time()
+        try:
+            df = qs[name](spark, sf_dir)
+            s_cols = df.columns
+            s_rows = [tuple(r) for r in df.collect()]
+            t_spark = time.time() - t0
+        except Exception as exc:  # noqa: BLE001
+            out[name] = {"ok": False, "error": f"spark: {exc!r}"[:400]}
+            if verbose:
+                print(f"{name:30s} SPARK ERROR {exc!r}"[:600])
+            continue
+        if name not in sqls:
+            out[name] = {"ok": None, "rows": len(s_rows), "sec": round(t_spark, 2)}
+            if verbose:
+                print(f"{name:30s} rows={len(s_rows)} (no oracle) {t_spark:.1f}s")
+            continue
+        try:
+            res = con.execute(sqls[name])
+            d_cols = [d[0] for d in res.description]
+            d_rows = res.fetchall()
+        except Exception as exc:  # noqa: BLE001
+            out[name] = {"ok": False, "error": f"duckdb: {exc!r}"[:400]}
+            if verbose:
+                print(f"{name:30s} DUCKDB ERROR {exc!r}"[:600])
+            continue
+        same_cols = sorted(s_cols) == sorted(d_cols)
+        a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
+        ok = same_cols and len(s_rows) == len(d_rows) and a == b
+        out[name] = {"ok": ok, "rows": len(s_rows), "oracle_rows": len(d_rows),
+                     "sec": round(t_spark, 2)}
+        if verbose:
+            msg = "OK " if ok else "MISMATCH"
+            print(f"{name:30s} {msg} rows={len(s_rows)}/{len(d_rows)} {t_spark:.1f}s"
+                  + ("" if same_cols else f" cols {sorted(s_cols)} vs {sorted(d_cols)}"))
+            if not ok and same_cols:
+                print("   spark-only:", list((a - b).items())[:3])
+                print("   oracle-only:", list((b - a).items())[:3])
+    return out
+
+
+if __name__ == "__main__":
+    from filmgraph import session
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = session.build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
+    spark.sparkContext.setLogLevel("ERROR")
+    res = compare(spark, sf, sys.argv[2:] or None)
+    bad = [k for k, v in res.items() if v["ok"] is False]
+    print(f"{len(res) - len(bad)}/{len(res)} pass; failing: {bad}")
