@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schemas as S
 from .. import session
 from ..operators import fetch as X
 from ..operators import responses
@@ -97,10 +98,24 @@ def load_movies(spark: SparkSession, dataset_root: str, graph_root: str,
     """MOVIE, YEAR, GENRE, RELEASED_IN, CATEGORIZED_AS from ``movies.csv``."""
     report = LoadReport()
     movies = _staged_input(spark, dataset_root, "movies", graph_root, mode, report)
-    _write_tables(build.movie_tables(movies, mode), graph_root, mode, report)
+    t = build.movie_tables(movies, mode)
+    stored = G.read_graph(spark, graph_root, ["MOVIE"]).vertices.get("MOVIE")
+    if stored is not None:
+        # A reload replaces title, year and genres but keeps the properties the enrichment job
+        # owns; the merged table is staged because it is built from the table it replaces.
+        kept = ["movieId"] + [p for p, _ in S.VERTICES["MOVIE"].properties
+                              if p not in MOVIE_OWN]
+        merged = t.vertices["MOVIE"].select(*MOVIE_OWN).join(
+            stored.select(*kept), "movieId", "left")
+        t.vertices["MOVIE"] = stage(merged, staging_path(graph_root, "movie_merged"))
+    _write_tables(t, graph_root, mode, report)
     return report
 
 
+# MOVIE properties written by the movie load itself (the rest come from the enrichment job).
+MOVIE_OWN = ("movieId", "movieTitle", "movieYear", "movieGenres")
+
+
 def load_ratings(spark: SparkSession, dataset_root: str, graph_root: str,
                  mode: str = "fail") -> LoadReport:
     """USER and RATED_AS from ``ratings.csv`` (MOVIE must be loaded)."""

@@ -119,19 +119,25 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _reader(spark: SparkSession, schema):
+    # Recursive: incremental loads add batch folders below a table folder (see streaming).
+    return spark.read.schema(schema).option("recursiveFileLookup", "true")
+
+
 def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None) -> Graph:
     """Open a stored graph. Labels that were never written are skipped.
 
     Tables are read with their declared schemas, so opening a graph lists files but reads no
-    Parquet footers for schema inference.
+    Parquet footers for schema inference. Batch folders written by incremental loads below a
+    table folder are part of the table.
     """
     from ..session import path_exists
 
     g = Graph()
     for label, spec in S.VERTICES.items():
         if (labels is None or label in labels) and path_exists(spark, vertex_path(root, label)):
-            g.vertices[label] = spark.read.schema(spec.schema).parquet(vertex_path(root, label))
+            g.vertices[label] = _reader(spark, spec.schema).parquet(vertex_path(root, label))
     for label, spec in S.EDGES.items():
         if (labels is None or label in labels) and path_exists(spark, edge_path(root, label)):
-            g.edges[label] = spark.read.schema(spec.schema).parquet(edge_path(root, label))
+            g.edges[label] = _reader(spark, spec.schema).parquet(edge_path(root, label))
     return g
