@@ -35,14 +35,19 @@ def _path(key: str) -> str:
     return "$['" + key.replace("'", "\\'") + "']"
 
 
-def field_type(doc: Column, key: str) -> Column:
-    """Type name of a top-level field (``STRING``, ``BIGINT``, ``VOID`` for JSON null, ...)."""
-    return F.schema_of_variant(F.try_variant_get(doc, _path(key), "variant"))
+def json_field(doc: Column, key: str) -> Column:
+    """A top-level field as a VARIANT (SQL null when the key is absent)."""
+    return F.try_variant_get(doc, _path(key), "variant")
+
+
+def string_value(field: Column) -> Column:
+    """A VARIANT holding a JSON string -> that string; any other JSON type -> null."""
+    return F.when(F.schema_of_variant(field) == "STRING", F.try_variant_get(field, "$", "string"))
 
 
 def json_string(doc: Column, key: str) -> Column:
     """The field's value if it is a JSON string, else null."""
-    return F.when(field_type(doc, key) == "STRING", F.try_variant_get(doc, _path(key), "string"))
+    return string_value(json_field(doc, key))
 
 
 def json_list(doc: Column, key: str) -> Column:
@@ -67,20 +72,24 @@ def count(col: Column) -> Column:
     return F.when(digits.rlike(r"\A[0-9]+\z"), digits.try_cast("bigint"))
 
 
+# Record field <- (answer key, conversion of the string value).
+ANSWER_FIELDS = {
+    "rated": (RATED, lambda s: s),
+    "directors": (DIRECTOR, parse_comma_list),
+    "writers": (WRITER, parse_comma_list),
+    "actors": (ACTORS, parse_comma_list),
+    "languages": (LANGUAGE, parse_comma_list),
+    "countries": (COUNTRY, parse_comma_list),
+    "boxOffice": (BOX_OFFICE, money),
+    "metascore": (METASCORE, jvm_float),
+    "imdbScore": (IMDB_RATING, jvm_float),
+    "imdbVotes": (IMDB_VOTES, count),
+}
+
+
 def answer_fields(doc: Column) -> dict[str, Column]:
     """The parsed record's fields from one parsed answer."""
-    return {
-        "rated": json_string(doc, RATED),
-        "directors": json_list(doc, DIRECTOR),
-        "writers": json_list(doc, WRITER),
-        "actors": json_list(doc, ACTORS),
-        "languages": json_list(doc, LANGUAGE),
-        "countries": json_list(doc, COUNTRY),
-        "boxOffice": money(json_string(doc, BOX_OFFICE)),
-        "metascore": jvm_float(json_string(doc, METASCORE)),
-        "imdbScore": jvm_float(json_string(doc, IMDB_RATING)),
-        "imdbVotes": count(json_string(doc, IMDB_VOTES)),
-    }
+    return {name: convert(json_string(doc, key)) for name, (key, convert) in ANSWER_FIELDS.items()}
 
 
 def is_object(doc: Column) -> Column:

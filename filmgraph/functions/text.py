@@ -85,6 +85,19 @@ def parse_title_and_year(col: Column | str) -> tuple[Column, Column]:
     return title, year
 
 
+def name_parts(col: Column | str) -> Column:
+    """The trimmed parts of a credit: every ``)`` dropped, split on ``(``."""
+    return F.transform(split_on(F.replace(_c(col), F.lit(")"), F.lit("")), "("), jvm_trim)
+
+
+def name_from_parts(item: Column, parts: Column) -> tuple[Column, Column]:
+    """(name, notes) from a credit and its :func:`name_parts`."""
+    n = F.size(parts)
+    name = F.when((n == 1) | (n == 2), F.get(parts, 0)).otherwise(item)
+    notes = F.when(n == 2, F.get(parts, 1))
+    return name, notes
+
+
 def parse_name_with_notes(col: Column | str) -> tuple[Column, Column]:
     """``"Name (notes)"`` -> (name, notes).
 
@@ -92,12 +105,7 @@ def parse_name_with_notes(col: Column | str) -> tuple[Column, Column]:
     (name, notes), one part gives (name, null), none or more than two give the text unchanged
     and null notes.
     """
-    item = _c(col)
-    parts = F.transform(split_on(F.replace(item, F.lit(")"), F.lit("")), "("), jvm_trim)
-    n = F.size(parts)
-    name = F.when((n == 1) | (n == 2), F.get(parts, 0)).otherwise(item)
-    notes = F.when(n == 2, F.get(parts, 1))
-    return name, notes
+    return name_from_parts(_c(col), name_parts(col))
 
 
 def imdb_ref(col: Column | str) -> Column:

@@ -56,17 +56,32 @@ CREDIT_EDGES = {
 }
 
 
-def credit_edges(records: DataFrame, label: str) -> DataFrame:
+def credit_items(records: DataFrame) -> DataFrame:
+    """All credits of parsed records, one row each: ``movieId, kind, item, name, notes``.
+
+    The five lists are stacked and exploded once and every item's name/notes parsed once; the
+    ten credit labels and the entity counters are all filters and projections of this table.
+    """
+    kinds = list(CREDIT_SOURCES.values())
+    stacked = records.select("movieId", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(k).alias("items")) for k in kinds])).alias("s"))
+    items = stacked.select("movieId", F.col("s.kind").alias("kind"),
+                           F.explode("s.items").alias("item"))
+    with_parts = items.withColumn("_parts", text.name_parts("item"))
+    name, notes = text.name_from_parts(F.col("item"), F.col("_parts"))
+    return with_parts.select("movieId", "kind", "item", name.alias("name"), notes.alias("notes"))
+
+
+def credit_edges(credits: DataFrame, label: str) -> DataFrame:
     """One edge per credit item, keyed by the parsed name, carrying the notes.
 
     DIRECTED_BY, WRITTEN_BY and ACTED_BY point from the movie; SPOKEN_IN and PRODUCED_IN point
     from the language / country to the movie.
     """
     spec = S.EDGES[label]
-    name, notes = text.parse_name_with_notes(F.col("item"))
-    items = records.select("movieId", F.explode(CREDIT_SOURCES[CREDIT_EDGES[label]]).alias("item"))
+    items = credits.where(F.col("kind") == CREDIT_SOURCES[CREDIT_EDGES[label]])
     if spec.src == "MOVIE":
-        ends = (F.col("movieId").alias("src"), name.alias("dst"))
+        ends = (F.col("movieId").alias("src"), F.col("name").alias("dst"))
     else:
-        ends = (name.alias("src"), F.col("movieId").alias("dst"))
-    return conform_edges(items.select(*ends, notes.alias("notes")), label)
+        ends = (F.col("name").alias("src"), F.col("movieId").alias("dst"))
+    return conform_edges(items.select(*ends, "notes"), label)

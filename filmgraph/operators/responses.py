@@ -18,27 +18,35 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import omdb as J
-from ..functions import text
 
 STATUSES = ("ok", "failure", "malformed", "unfetched")
 
 
 def classify(responses: DataFrame) -> DataFrame:
-    """Add ``status`` and the record fields (null unless ``ok``) to landed answers."""
-    doc = F.col("_doc")
-    movie_id = F.col("movieId").try_cast("bigint")
+    """Add ``status`` and the record fields (null unless ``ok``) to landed answers.
+
+    Three projections: parse the text once; derive the status and pull each answer field out
+    once (as a small VARIANT); convert the fields. Each step's outputs are referenced several
+    times by the next, so the optimizer keeps them as separate projections instead of repeating
+    the work per use.
+    """
     parsed = responses.select(
-        movie_id.alias("movieId"), "imdbId", "response",
+        F.col("movieId").try_cast("bigint").alias("movieId"), "imdbId", "response",
         J.parse_json("response").alias("_doc"))
+    doc = F.col("_doc")
     status = (F.when(F.col("response").isNull(), F.lit("unfetched"))
               .when(doc.isNull() | ~J.is_object(doc) | ~J.has_response_key(doc)
                     | F.col("movieId").isNull(), F.lit("malformed"))
               .when(J.is_failure(doc), F.lit("failure"))
               .otherwise(F.lit("ok")))
-    fields = J.answer_fields(doc)
-    return parsed.select(
-        "movieId", "imdbId", "response", status.alias("status"),
-        *[F.when(status == "ok", value).alias(name) for name, value in fields.items()])
+    keys = sorted({key for key, _ in J.ANSWER_FIELDS.values()})
+    fields = parsed.select("movieId", "imdbId", "response", status.alias("status"),
+                           *[J.json_field(doc, k).alias(f"_f_{k}") for k in keys])
+    ok = F.col("status") == "ok"
+    return fields.select(
+        "movieId", "imdbId", "response", "status",
+        *[F.when(ok, convert(J.string_value(F.col(f"_f_{key}")))).alias(name)
+          for name, (key, convert) in J.ANSWER_FIELDS.items()])
 
 
 def records(classified: DataFrame) -> DataFrame:
@@ -81,21 +89,11 @@ def observe_counts(classified: DataFrame) -> tuple[DataFrame, Observation]:
     return observed, obs
 
 
-# Credit list column per entity kind, as reported by the distinct-entity counters.
-ENTITY_LISTS = {"directors": "directors", "writers": "writers", "actors": "actors",
-                "languages": "languages", "countries": "countries"}
-
-
-def entity_counts(recs: DataFrame) -> DataFrame:
+def entity_counts(credits: DataFrame) -> DataFrame:
     """Per credit kind, distinct raw items (notes included) and distinct parsed names.
 
-    The five lists are stacked into one ``(kind, item)`` column pair so a single aggregation
-    answers all ten counts.
+    ``credits`` is the exploded credit table (:func:`filmgraph.operators.edges.credit_items`):
+    one aggregation answers all ten counts.
     """
-    stacked = recs.select(F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.col(col).alias("items"))
-        for kind, col in ENTITY_LISTS.items()])).alias("s"))
-    items = stacked.select("s.kind", F.explode("s.items").alias("item"))
-    name, _ = text.parse_name_with_notes(F.col("item"))
-    return (items.select("kind", "item", name.alias("name")).groupBy("kind")
+    return (credits.groupBy("kind")
             .agg(F.count_distinct("item").alias("n_raw"), F.count_distinct("name").alias("n_names")))

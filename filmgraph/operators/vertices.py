@@ -72,12 +72,12 @@ CREDIT_SOURCES = {
 }
 
 
-def name_vertices(records: DataFrame, label: str) -> DataFrame:
-    """VX6-VX10 (G3, P6): one vertex per distinct *parsed* name of a credit list.
+def name_vertices(credits: DataFrame, label: str) -> DataFrame:
+    """VX6-VX10 (G3, P6): one vertex per distinct *parsed* name of a credit kind.
 
+    ``credits`` is the exploded credit table (:func:`filmgraph.operators.edges.credit_items`);
     ``"Pete Docter (original story by)"`` and ``"Pete Docter (screenplay by)"`` are one WRITER.
     """
     key = S.VERTICES[label].key
-    name, _ = text.parse_name_with_notes(F.col("item"))
-    return (records.select(F.explode(CREDIT_SOURCES[label]).alias("item"))
-            .select(name.alias(key)).distinct())
+    return (credits.where(F.col("kind") == CREDIT_SOURCES[label])
+            .select(F.col("name").alias(key)).distinct())

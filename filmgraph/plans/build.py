@@ -8,6 +8,7 @@ Integrity modes (``"fail"`` / ``"quarantine"``) are those of
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -67,10 +68,13 @@ def genome_tables(tags: DataFrame, scores: DataFrame, movies: DataFrame,
 
 
 def omdb_tables(answers: DataFrame, movies: DataFrame, links: DataFrame | None = None,
-                mode: str = "fail", classified: DataFrame | None = None) -> Tables:
+                mode: str = "fail", classified: DataFrame | None = None,
+                stage: Callable[[DataFrame, str], DataFrame] | None = None) -> Tables:
     """Enriched MOVIE plus the five credit labels and their edges (LoadOmdbProperties).
 
-    ``classified`` may be passed when the caller has already classified and staged the answers.
+    ``classified`` may be passed when the caller has already classified and staged the answers;
+    ``stage(df, name)`` (optional) materialises the exploded credit table that the ten credit
+    tables are read from.
     """
     classified = classified if classified is not None else responses.classify(answers)
     recs = responses.records(classified)
@@ -86,9 +90,13 @@ def omdb_tables(answers: DataFrame, movies: DataFrame, links: DataFrame | None =
                rejected={"omdb_malformed": responses.rejects(classified),
                          "omdb_duplicates": unique.rejected, "omdb_dangling": refs.rejected},
                extra={"records": recs, "classified": classified})
+    credits = E.credit_items(recs)
+    if stage is not None:
+        credits = stage(credits, "omdb_credits")
+    t.extra["credits"] = credits
     for edge_label, vertex_label in E.CREDIT_EDGES.items():
-        t.vertices[vertex_label] = V.name_vertices(recs, vertex_label)
-        t.edges[edge_label] = E.credit_edges(recs, edge_label)
+        t.vertices[vertex_label] = V.name_vertices(credits, vertex_label)
+        t.edges[edge_label] = E.credit_edges(credits, edge_label)
     return t
 
 

@@ -152,12 +152,13 @@ def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
     if session.path_exists(spark, links_path):
         links = _staged_input(spark, dataset_root, "links", graph_root, mode, report)
     movies = _stored(spark, graph_root, "MOVIE")
-    t = build.omdb_tables(None, movies, links, mode, classified=classified)
+    t = build.omdb_tables(None, movies, links, mode, classified=classified,
+                          stage=lambda df, name: stage(df, staging_path(graph_root, name)))
     # Credit tables first: the enriched MOVIE replaces the table those plans were built from.
     _write_tables(t, graph_root, mode, report, skip=("MOVIE",))
     enriched = stage(t.vertices["MOVIE"], staging_path(graph_root, "movie_enriched"))
     report.written["MOVIE"] = G.write_vertices(enriched, graph_root, "MOVIE")
-    for row in responses.entity_counts(t.extra["records"]).collect():   # five rows
+    for row in responses.entity_counts(t.extra["credits"]).collect():   # five rows
         report.counters[f"distinct_{row['kind']}"] = row["n_raw"]
         report.counters[f"distinct_{row['kind']}_names"] = row["n_names"]
     return report

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from .. import session
 from ..functions import search as P
+from ..operators import edges as E
 from ..operators import fetch as X
 from ..operators import integrity, responses
 from ..operators import vertices as V
@@ -227,7 +228,7 @@ def omdb_lists(spark, sf_dir):
     """P5, P7b."""
     recs = responses.records(classified(spark, sf_dir))
     return recs.select(F.col("movieId").alias("movie_id"),
-                       *[_joined(c).alias(c) for c in responses.ENTITY_LISTS.values()])
+                       *[_joined(c).alias(c) for c in V.CREDIT_SOURCES.values()])
 
 
 @register
@@ -239,7 +240,8 @@ def omdb_counters(spark, sf_dir):
 @register
 def omdb_entity_counts(spark, sf_dir):
     """A4, A6."""
-    return responses.entity_counts(responses.records(classified(spark, sf_dir)))
+    recs = responses.records(classified(spark, sf_dir))
+    return responses.entity_counts(E.credit_items(recs))
 
 
 def _name_vertices(label: str) -> Query:

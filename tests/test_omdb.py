@@ -5,6 +5,7 @@ import json
 import pytest
 
 from filmgraph.operators import responses
+from filmgraph.operators.edges import credit_items
 
 REFERENCE_ANSWER = json.dumps({
     "Title": "Toy Story", "Year": "1995", "Rated": "G", "Released": "22 Nov 1995",
@@ -144,7 +145,7 @@ def test_counters_and_entity_counts(spark):
     observed.count()
     assert obs.get == {"parse_successes": 1, "parse_failures": 1, "malformed": 1, "unfetched": 1}
     ents = {r["kind"]: (r["n_raw"], r["n_names"])
-            for r in responses.entity_counts(responses.records(c)).collect()}
+            for r in responses.entity_counts(credit_items(responses.records(c))).collect()}
     # 8 distinct raw writer credits naming 7 distinct people (one wrote story and screenplay)
     assert ents["writers"] == (8, 7)
     assert ents["directors"] == (1, 1) and ents["actors"] == (4, 4)
