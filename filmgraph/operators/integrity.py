@@ -5,7 +5,7 @@ column is aggregated map-side (a movie holding a third of all ratings becomes on
 then compared with the vertex keys. In the usual case nothing is missing and the edge table
 flows to its sink untouched - no join over the big table at all. Only when violations exist does
 a quarantine split join the edges with the (materialised, counted) violating keys: broadcast
-when their count is within ``BROADCAST_KEY_LIMIT``, a shuffled join beyond it.
+within the row limit of :mod:`filmgraph.operators.sizing`, a shuffled join beyond it.
 
 Modes: ``"fail"`` raises :class:`IntegrityError` with a bounded sample of offending keys;
 ``"quarantine"`` returns the offending rows separately with the reason in ``_error``.
@@ -18,11 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import session
 from ..sources.movielens import ERROR_COL
+from . import sizing
 
-# Largest violating-key set joined by broadcast (bigint/short string keys: tens of MB at most).
-BROADCAST_KEY_LIMIT = 2_000_000
 SAMPLE = 20
 
 
@@ -40,18 +38,10 @@ def _no_rejects(df: DataFrame) -> DataFrame:
     return df.limit(0).withColumn(ERROR_COL, F.lit(None).cast("string"))
 
 
-def _materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """Write a (small) intermediate result to the shared checkpoint folder and count it."""
-    session.checkpoint_root(df.sparkSession)
-    saved = df.checkpoint(eager=True)
-    return saved, saved.count()
-
-
-def _flag(df: DataFrame, col: str, keys: DataFrame, n: int, tag: str) -> DataFrame:
+def _flag(df: DataFrame, col: str, keys: sizing.Sized, tag: str) -> DataFrame:
     """Left-join a distinct key set (column ``col``) as a boolean flag column ``tag``."""
-    side = keys.select(F.col(col).alias(f"{tag}_key"), F.lit(True).alias(tag))
-    if n <= BROADCAST_KEY_LIMIT:
-        side = F.broadcast(side)
+    side = sizing.for_join(sizing.Sized(
+        keys.df.select(F.col(col).alias(f"{tag}_key"), F.lit(True).alias(tag)), keys.rows))
     return (df.join(side, df[col].eqNullSafe(side[f"{tag}_key"]), "left")
             .drop(f"{tag}_key"))
 
@@ -97,9 +87,9 @@ def enforce_unique(df: DataFrame, keys: list[str] | str, mode: str = "fail",
         return Checked(df, _no_rejects(df))
     flagged, reasons = df, []
     for i, key in enumerate(keys):
-        dups, n = _materialize(duplicate_keys(df, key).select(key))
-        if n:
-            flagged = _flag(flagged, key, dups, n, f"_flag{i}")
+        dups = sizing.materialize(duplicate_keys(df, key).select(key))
+        if dups.rows:
+            flagged = _flag(flagged, key, dups, f"_flag{i}")
             reasons.append(F.when(F.col(f"_flag{i}"), F.lit(f"duplicate or null {key}")))
     return _split(flagged, reasons) if reasons else Checked(df, _no_rejects(df))
 
@@ -141,8 +131,8 @@ def enforce_references(edges: DataFrame, checks: list[tuple[str, DataFrame, str]
         return Checked(edges, _no_rejects(edges))
     flagged, reasons = edges, []
     for i, (col, vertices, key) in enumerate(checks):
-        missing, n = _materialize(dangling_keys(edges, col, vertices, key))
-        if n:
-            flagged = _flag(flagged, col, missing, n, f"_flag{i}")
+        missing = sizing.materialize(dangling_keys(edges, col, vertices, key))
+        if missing.rows:
+            flagged = _flag(flagged, col, missing, f"_flag{i}")
             reasons.append(F.when(F.col(f"_flag{i}"), F.lit(f"no vertex for {col}")))
     return _split(flagged, reasons) if reasons else Checked(edges, _no_rejects(edges))

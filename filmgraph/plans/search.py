@@ -2,7 +2,8 @@
 
 Each unique or exact-match index becomes an equality filter that Catalyst pushes into the Parquet
 scan (row groups are sorted by the index columns when written); a list of keys becomes an ``IN``
-set and a DataFrame of keys a semi join (broadcast when AQE measures it small). Range and text
+set and a DataFrame of keys a join with its distinct values (broadcast when their counted size
+is small, see :mod:`filmgraph.operators.sizing`). Range and text
 search are conjunctions of the predicates in :mod:`filmgraph.functions.search`.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators import sizing
 from ..sources.graphstore import Graph
 
 
@@ -34,7 +36,9 @@ def lookup(graph: Graph, label: str, prop: str, values) -> DataFrame:
     v = graph.V(label)
     if isinstance(values, DataFrame):
         keys = values.select(F.col(values.columns[0]).cast(spec.type_of(prop)).alias(prop))
-        return v.join(keys, prop, "left_semi")
+        # distinct values, size-checked: broadcast when small, so the vertex table is streamed
+        side = sizing.for_join(sizing.Sized(keys.where(F.col(prop).isNotNull()).distinct(), None))
+        return v.join(side, prop)
     if isinstance(values, (str, bytes)) or not isinstance(values, Iterable):
         return v.where(F.col(prop) == F.lit(values).cast(spec.type_of(prop)))
     return v.where(F.col(prop).isin([v_ for v_ in values]))

@@ -8,8 +8,10 @@ joins the frontier with one edge table and re-aggregates by the far endpoint, so
   paths (no path explosion, no per-pair output);
 * the aggregation is partial on each map task - a movie reached from a third of all ratings costs
   one row per task before the shuffle;
-* the join strategy (broadcast for a small frontier, sort-merge with skew splitting for a large
-  one) is chosen by AQE from measured sizes.
+* the frontier's size is proven before each join (a list of start keys bounds it; otherwise it
+  is checkpointed and counted, see :mod:`filmgraph.operators.sizing`): a small frontier is
+  broadcast and the edge table is streamed, never shuffled; a large one falls back to a
+  sort-merge join with AQE skew splitting.
 
 Example - users who rated a movie that user 7 rated, with the number of such paths::
 
@@ -24,12 +26,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators import sizing
 from ..sources.graphstore import Graph
 
 
 class Traversal:
-    def __init__(self, graph: Graph, label: str, frontier: DataFrame):
+    def __init__(self, graph: Graph, label: str, frontier: DataFrame, bound: int | None = None):
         self.graph, self.label, self.frontier = graph, label, frontier
+        self.bound = bound          # proven upper bound on frontier rows, None if unknown
+
+    def _next(self, label: str, frontier: DataFrame, bound: int | None = None) -> "Traversal":
+        return Traversal(self.graph, label, frontier, bound)
+
+    def _sized_frontier(self) -> DataFrame:
+        """The frontier for a join with a (large) table: broadcast when provably small."""
+        sized = sizing.ensure_bound(sizing.Sized(self.frontier, self.bound))
+        self.frontier, self.bound = sized.df, sized.rows
+        return sizing.for_join(sized)
 
     # ------------------------------------------------------------ sources
 
@@ -39,14 +52,19 @@ class Traversal:
         """``V().hasLabel(label)`` optionally narrowed by a predicate and/or key values."""
         key = S.VERTICES[label].key
         v = graph.V(label)
+        bound = None
         if where is not None:
             v = v.where(where)
         if isinstance(keys, DataFrame):
-            v = v.join(keys.select(F.col(keys.columns[0]).alias(key)), key, "left_semi")
+            side = sizing.for_join(sizing.Sized(
+                keys.select(F.col(keys.columns[0]).alias(key)).distinct(), None))
+            v = v.join(side, key)            # vertex keys are unique: no row multiplication
         elif keys is not None:
-            v = v.where(F.col(key).isin(list(keys)))
+            keys = list(dict.fromkeys(keys))
+            v = v.where(F.col(key).isin(keys))
+            bound = len(keys)
         return cls(graph, label, v.select(F.col(key).alias("key"), F.lit(1).cast("bigint")
-                                          .alias("bulk")))
+                                          .alias("bulk")), bound)
 
     # ------------------------------------------------------------ filters
 
@@ -54,11 +72,12 @@ class Traversal:
         """Keep traversers whose vertex satisfies ``where`` (a predicate on its properties)."""
         key = S.VERTICES[self.label].key
         ok = self.graph.V(self.label).where(where).select(F.col(key).alias("key"))
-        return Traversal(self.graph, self.label, self.frontier.join(ok, "key", "left_semi"))
+        # inner join on the unique vertex key keeps the frontier rows whose vertex qualifies
+        return self._next(self.label, ok.join(self._sized_frontier(), "key"), self.bound)
 
     def dedup(self) -> "Traversal":
-        return Traversal(self.graph, self.label, self.frontier.withColumn("bulk", F.lit(1)
-                                                                           .cast("bigint")))
+        return self._next(self.label, self.frontier.withColumn("bulk", F.lit(1).cast("bigint")),
+                          self.bound)
 
     # ------------------------------------------------------------ hops
 
@@ -66,8 +85,8 @@ class Traversal:
         e = self.graph.E(edge_label)
         if where is not None:
             e = e.where(where)
-        joined = self.frontier.join(e.select(F.col(near).alias("key"), F.col(far).alias("_far")),
-                                    "key")
+        joined = e.select(F.col(near).alias("key"), F.col(far).alias("_far")).join(
+            self._sized_frontier(), "key")
         return joined.select(F.col("_far").alias("key"), "bulk")
 
     @staticmethod
@@ -78,15 +97,13 @@ class Traversal:
         """Follow ``edge_label`` edges forward (src -> dst)."""
         spec = S.EDGES[edge_label]
         self._expect(spec.src, edge_label, "out")
-        return Traversal(self.graph, spec.dst,
-                         self._collapse(self._hop(edge_label, "src", "dst", where)))
+        return self._next(spec.dst, self._collapse(self._hop(edge_label, "src", "dst", where)))
 
     def in_(self, edge_label: str, where: Column | None = None) -> "Traversal":
         """Follow ``edge_label`` edges backward (dst -> src)."""
         spec = S.EDGES[edge_label]
         self._expect(spec.dst, edge_label, "in")
-        return Traversal(self.graph, spec.src,
-                         self._collapse(self._hop(edge_label, "dst", "src", where)))
+        return self._next(spec.src, self._collapse(self._hop(edge_label, "dst", "src", where)))
 
     def both(self, edge_label: str, where: Column | None = None) -> "Traversal":
         """Follow ``edge_label`` in whichever direction touches the current label."""
@@ -94,7 +111,7 @@ class Traversal:
         if spec.src == self.label and spec.dst == self.label:
             union = self._hop(edge_label, "src", "dst", where).unionByName(
                 self._hop(edge_label, "dst", "src", where))
-            return Traversal(self.graph, self.label, self._collapse(union))
+            return self._next(self.label, self._collapse(union))
         if spec.src == self.label:
             return self.out(edge_label, where)
         return self.in_(edge_label, where)
@@ -104,14 +121,14 @@ class Traversal:
         spec = S.EDGES[edge_label]
         self._expect(spec.src, edge_label, "outE")
         e = self.graph.E(edge_label) if where is None else self.graph.E(edge_label).where(where)
-        return e.join(self.frontier.withColumnRenamed("key", "src"), "src")
+        return e.join(self._sized_frontier().withColumnRenamed("key", "src"), "src")
 
     def in_e(self, edge_label: str, where: Column | None = None) -> DataFrame:
         """``inE``: the edges entering the frontier, with the traverser bulk."""
         spec = S.EDGES[edge_label]
         self._expect(spec.dst, edge_label, "inE")
         e = self.graph.E(edge_label) if where is None else self.graph.E(edge_label).where(where)
-        return e.join(self.frontier.withColumnRenamed("key", "dst"), "dst")
+        return e.join(self._sized_frontier().withColumnRenamed("key", "dst"), "dst")
 
     def _expect(self, label: str, edge_label: str, step: str) -> None:
         if label != self.label:
@@ -128,8 +145,8 @@ class Traversal:
         """The current vertices' properties, with ``bulk``."""
         key = S.VERTICES[self.label].key
         v = self.graph.V(self.label).select(key, *[p for p in props if p != key])
-        return self.frontier.join(v.withColumnRenamed(key, "key"), "key").withColumnRenamed(
-            "key", key)
+        return v.withColumnRenamed(key, "key").join(self._sized_frontier(), "key") \
+            .withColumnRenamed("key", key)
 
     def count(self) -> DataFrame:
         """Number of traversers (sum of bulk) as a one-row DataFrame."""
