@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.movielens import ERROR_COL
+from ..sources.dataset import ERROR_COL
 from . import sizing
 
 SAMPLE = 20

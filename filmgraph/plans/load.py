@@ -13,7 +13,7 @@ original five batch jobs; ``load_all`` runs the four loads in order. Each job
 
 Run from the command line::
 
-    spark-submit -m filmgraph.plans.load movies <dataset_root> <graph_root>
+    python -m filmgraph.plans.load movies <dataset_root> <graph_root>
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from .. import session
 from ..operators import fetch as X
 from ..operators import responses
 from ..sources import graphstore as G
-from ..sources import movielens as io
+from ..sources import dataset as io
 from . import build
 
 

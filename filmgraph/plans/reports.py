@@ -23,7 +23,7 @@ from ..operators import integrity, responses
 from ..operators import vertices as V
 from ..sources import fixtures
 from ..sources import graphstore as G
-from ..sources import movielens as io
+from ..sources import dataset as io
 from . import build, load
 from . import search as Q
 from .traversal import Traversal, degrees

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
-from . import movielens as io
+from . import dataset as io
 
 _LOCK = threading.Lock()
 

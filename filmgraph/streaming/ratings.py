@@ -32,7 +32,7 @@ from ..operators import edges as E
 from ..operators import integrity
 from ..operators import vertices as V
 from ..sources import graphstore as G
-from ..sources import movielens as io
+from ..sources import dataset as io
 
 _RAW = T.StructType([T.StructField(f.name, T.StringType(), True) for f in S.RATINGS.fields])
 

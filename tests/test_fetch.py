@@ -84,7 +84,7 @@ def test_fetch_missing_lands_null_for_dead_ids(spark):
 
 def test_fetch_job_resumes_into_a_batch_folder(spark, tmp_root):
     from filmgraph.plans import load
-    from filmgraph.sources import movielens as io
+    from filmgraph.sources import dataset as io
     io.write_csv(links_df(spark), io.dataset_path(tmp_root, "links"))
 
     def api(ref):

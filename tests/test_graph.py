@@ -10,7 +10,7 @@ from filmgraph.plans import search as Q
 from filmgraph.plans.traversal import Traversal
 from filmgraph.sources import fixtures
 from filmgraph.sources import graphstore as G
-from filmgraph.sources import movielens as io
+from filmgraph.sources import dataset as io
 
 SF_SMALL = "/root/testdata/sf0.001"
 

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 
-from filmgraph.sources import movielens as io
+from filmgraph.sources import dataset as io
 
 
 def write_file(root, name, text):

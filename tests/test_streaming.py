@@ -54,7 +54,7 @@ def test_replayed_batch_does_not_duplicate(spark):
     batch = spark.read.options(header="true").schema(
         "userId string, movieId string, rating string, timestamp string").csv(landing)
     from filmgraph import schemas as S
-    from filmgraph.sources import movielens as io
+    from filmgraph.sources import dataset as io
     typed = io.conform(batch, S.RATINGS, io.INPUTS["ratings"].required, "quarantine")
     process_batch(typed, 0, root)
     process_batch(typed, 0, root)          # the same epoch again, as after a failure
