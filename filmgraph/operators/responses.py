@@ -4,8 +4,8 @@ Every landed row gets a status:
 
 * ``unfetched`` - no answer text (F1: dropped, counted nowhere in the original counters);
 * ``failure``   - ``"Response": "False"`` as a JSON string (F2: dropped and counted);
-* ``malformed`` - not JSON, not an object, no ``Response`` key, or a movie id that is not a
-  number (kept aside instead of stopping the job);
+* ``malformed`` - not JSON, not an object, no ``Response`` key, a movie id that is not a
+  number, or a row the reader rejected (stops a ``fail``-mode load, quarantined otherwise);
 * ``ok``        - everything else, parsed into the record fields.
 
 The JSON text is parsed once per row into a VARIANT; all fields are read from it.
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import omdb as J
+from ..sources.dataset import ERROR_COL
 
 STATUSES = ("ok", "failure", "malformed", "unfetched")
 
@@ -30,11 +31,14 @@ def classify(responses: DataFrame) -> DataFrame:
     times by the next, so the optimizer keeps them as separate projections instead of repeating
     the work per use.
     """
+    # rows a quarantine-mode read already rejected (``_error``) count as malformed
+    bad_row = F.col(ERROR_COL).isNotNull() if ERROR_COL in responses.columns else F.lit(False)
     parsed = responses.select(
         F.col("movieId").try_cast("bigint").alias("movieId"), "imdbId", "response",
-        J.parse_json("response").alias("_doc"))
+        bad_row.alias("_bad_row"), J.parse_json("response").alias("_doc"))
     doc = F.col("_doc")
-    status = (F.when(F.col("response").isNull(), F.lit("unfetched"))
+    status = (F.when(F.col("_bad_row"), F.lit("malformed"))
+              .when(F.col("response").isNull(), F.lit("unfetched"))
               .when(doc.isNull() | ~J.is_object(doc) | ~J.has_response_key(doc)
                     | F.col("movieId").isNull(), F.lit("malformed"))
               .when(J.is_failure(doc), F.lit("failure"))

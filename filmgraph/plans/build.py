@@ -42,7 +42,7 @@ def movie_tables(movies: DataFrame, mode: str = "fail") -> Tables:
                   "GENRE": V.genre_vertices(parsed)},
         edges={"RELEASED_IN": E.released_in_edges(parsed),
                "CATEGORIZED_AS": E.categorized_as_edges(parsed)},
-        rejected={"movies": checked.rejected},
+        rejected={"MOVIE": checked.rejected},
         extra={"parsed_movies": parsed})
 
 
@@ -77,19 +77,25 @@ def omdb_tables(answers: DataFrame, movies: DataFrame, links: DataFrame | None =
     tables are read from.
     """
     classified = classified if classified is not None else responses.classify(answers)
+    if mode == "fail":
+        bad = responses.rejects(classified).limit(integrity.SAMPLE).collect()
+        if bad:
+            shown = ", ".join(f"{r['movieId']!r}: {str(r['response'])[:60]!r}" for r in bad)
+            raise integrity.IntegrityError(f"malformed API answers: {shown}")
     recs = responses.records(classified)
     unique = integrity.enforce_unique(recs, "movieId", mode, "OMDB record")
     refs = integrity.enforce_references(
         unique.accepted, [("movieId", movies, "movieId")], mode, "OMDB record")
     recs = refs.accepted
     link_rows = None
+    rejected = {"omdb_malformed": responses.rejects(classified),
+                "omdb_duplicates": unique.rejected, "omdb_dangling": refs.rejected}
     if links is not None:
         link_check = integrity.enforce_unique(links, "movieId", mode, "link")
         link_rows = link_check.accepted
+        rejected["links_duplicates"] = link_check.rejected
     t = Tables(vertices={"MOVIE": enrich.enrich_movies(movies, recs, link_rows)},
-               rejected={"omdb_malformed": responses.rejects(classified),
-                         "omdb_duplicates": unique.rejected, "omdb_dangling": refs.rejected},
-               extra={"records": recs, "classified": classified})
+               rejected=rejected, extra={"records": recs, "classified": classified})
     credits = E.credit_items(recs)
     if stage is not None:
         credits = stage(credits, "omdb_credits")

@@ -142,8 +142,6 @@ def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
     """Credit labels and edges plus MOVIE enrichment from landed answers (and ``links.csv``)."""
     report = LoadReport()
     answers = io.read_omdb_responses(spark, dataset_root, _read_mode(mode))
-    if mode == "quarantine":
-        answers = io.accepted(answers)
     observed, obs = responses.observe_counts(responses.classify(answers))
     classified = stage(observed, staging_path(graph_root, "omdb_classified"))
     report.counters.update(obs.get)
