@@ -96,13 +96,30 @@ def enforce_unique(df: DataFrame, keys: list[str] | str, mode: str = "fail",
 
 # ---------------------------------------------------------------- V2 endpoints exist
 
-def dangling_keys(edges: DataFrame, col: str, vertices: DataFrame, key: str) -> DataFrame:
-    """Distinct values of ``edges[col]`` with no vertex of key ``key`` (null counts as missing)."""
-    used = edges.select(col).distinct()
-    known = vertices.select(F.col(key).alias(col)).where(F.col(col).isNotNull())
+def absent_keys(keys: DataFrame, col: str, table: DataFrame, key: str,
+                small: bool = False) -> DataFrame:
+    """Distinct ``keys[col]`` values not present as ``table[key]`` (null counts as absent).
+
+    With ``small=True`` the key set is size-checked first: a few keys against a large table (a
+    micro-batch against all vertices) stream the table against the broadcast keys and anti-join
+    only the matches, instead of shuffling the whole key column of the table.
+    """
+    used = keys.select(col).distinct()
+    known = table.select(F.col(key).alias(col)).where(F.col(col).isNotNull())
+    if small:
+        sized = sizing.materialize(used)
+        if sized.rows <= sizing.BROADCAST_ROW_LIMIT:
+            used = sized.df
+            known = known.join(F.broadcast(used), col).distinct()
     return used.join(known, col, "left_anti")
 
 
+def dangling_keys(edges: DataFrame, col: str, vertices: DataFrame, key: str,
+                  small: bool = False) -> DataFrame:
+    """Distinct values of ``edges[col]`` with no vertex of key ``key`` (null counts as missing)."""
+    return absent_keys(edges, col, vertices, key, small)
+
+
 def reference_report(edges: DataFrame, label: str, col: str, vertices: DataFrame,
                      key: str) -> DataFrame:
     """One row: ``label, endpoint, n_edges, n_dangling_edges, n_dangling_keys``."""
@@ -120,18 +137,21 @@ def reference_report(edges: DataFrame, label: str, col: str, vertices: DataFrame
 
 
 def enforce_references(edges: DataFrame, checks: list[tuple[str, DataFrame, str]],
-                       mode: str = "fail", label: str = "edge") -> Checked:
-    """V2: for each ``(column, vertex table, vertex key)`` every edge endpoint must exist."""
+                       mode: str = "fail", label: str = "edge", small: bool = False) -> Checked:
+    """V2: for each ``(column, vertex table, vertex key)`` every edge endpoint must exist.
+
+    ``small=True`` when the edges are few compared with the vertices (see :func:`absent_keys`).
+    """
     if mode == "fail":
         for col, vertices, key in checks:
-            sample = dangling_keys(edges, col, vertices, key).limit(SAMPLE).collect()
+            sample = dangling_keys(edges, col, vertices, key, small).limit(SAMPLE).collect()
             if sample:
                 shown = ", ".join(repr(r[col]) for r in sample)
                 raise IntegrityError(f"{label}.{col} refers to missing vertices: {shown}")
         return Checked(edges, _no_rejects(edges))
     flagged, reasons = edges, []
     for i, (col, vertices, key) in enumerate(checks):
-        missing = sizing.materialize(dangling_keys(edges, col, vertices, key))
+        missing = sizing.materialize(dangling_keys(edges, col, vertices, key, small))
         if missing.rows:
             flagged = _flag(flagged, col, missing, f"_flag{i}")
             reasons.append(F.when(F.col(f"_flag{i}"), F.lit(f"no vertex for {col}")))

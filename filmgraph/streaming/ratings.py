@@ -7,7 +7,8 @@ micro-batch
 1. is staged to ``<graph>/_staging/ratings_stream/epoch-<n>`` (lineage cut; a replayed batch
    overwrites its own staging copy),
 2. checks every rated movie against the stored MOVIE keys (distinct-key anti join; misses go to
-   ``<graph>/_quarantine/ratings_stream/epoch-<n>``),
+   ``<graph>/_quarantine/ratings_stream/epoch-<n>``) - the batch's few keys are broadcast and the
+   vertex table streamed, so a micro-batch never shuffles the whole key column,
 3. writes its edges to ``edges/RATED_AS/stream-epoch-<n>`` and the users not yet in the graph to
    ``vertices/USER/stream-epoch-<n>`` - both with ``overwrite``, so replaying a batch after a
    failure rewrites exactly that batch's folders and never duplicates rows.
@@ -69,12 +70,13 @@ def process_batch(batch: DataFrame, epoch_id: int, graph_root: str) -> None:
     good, bad = io.accepted(staged), io.rejected(staged)
     movies = G.read_graph(spark, graph_root, ["MOVIE"]).V("MOVIE")
     checked = integrity.enforce_references(E.rated_as_edges(good), [("dst", movies, "movieId")],
-                                           "quarantine", "RATED_AS")
+                                           "quarantine", "RATED_AS", small=True)
     (E.conform_edges(checked.accepted, "RATED_AS")
      .sortWithinPartitions(*S.EDGES["RATED_AS"].sort_by)
      .write.mode("overwrite").parquet(f"{G.edge_path(graph_root, 'RATED_AS')}/{folder}"))
-    new_users = V.user_vertices(good).join(_existing_users(spark, graph_root, epoch_id),
-                                           "userId", "left_anti")
+    new_users = integrity.absent_keys(V.user_vertices(good), "userId",
+                                      _existing_users(spark, graph_root, epoch_id), "userId",
+                                      small=True)
     new_users.write.mode("overwrite").parquet(f"{G.vertex_path(graph_root, 'USER')}/{folder}")
     rejects = bad.unionByName(
         checked.rejected.select(

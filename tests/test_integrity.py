@@ -93,3 +93,13 @@ def test_null_key_counts_as_duplicate_or_missing(spark):
     df = spark.createDataFrame([(None, "a"), (2, "b")], "tagId bigint, tag string")
     with pytest.raises(integrity.IntegrityError, match="None"):
         integrity.enforce_unique(df, "tagId")
+
+
+def test_absent_keys_small_side_matches_and_avoids_shuffling_the_table(spark):
+    table = spark.range(0, 5000).withColumnRenamed("id", "k")
+    keys = spark.createDataFrame([(3,), (4999,), (7000,), (None,), (3,)], "k bigint")
+    plain = {r["k"] for r in integrity.absent_keys(keys, "k", table, "k").collect()}
+    small_df = integrity.absent_keys(keys, "k", table, "k", small=True)
+    assert plain == {r["k"] for r in small_df.collect()} == {7000, None}
+    plan = small_df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
