@@ -100,4 +100,5 @@ def entity_counts(credits: DataFrame) -> DataFrame:
     one aggregation answers all ten counts.
     """
     return (credits.groupBy("kind")
-            .agg(F.count_distinct("item").alias("n_raw"), F.count_distinct("name").alias("n_names")))
+            .agg(F.count_distinct("item").alias("n_raw"),
+                 F.count_distinct("name").alias("n_names")))

@@ -123,7 +123,8 @@ EDGES: dict[str, EdgeLabel] = {e.name: e for e in [
     EdgeLabel("ESTIMATED_AT", "TAG", "MOVIE", (("relevance", FLOAT),),
               searchable=("relevance",), sort_by=("relevance",)),
     EdgeLabel("RATED_AS", "USER", "MOVIE", (("score", FLOAT), ("timestamp", LONG)),
-              indexed=("score",), searchable=("score", "timestamp"), sort_by=("score", "timestamp")),
+              indexed=("score",), searchable=("score", "timestamp"),
+              sort_by=("score", "timestamp")),
     EdgeLabel("DIRECTED_BY", "MOVIE", "DIRECTOR", _NOTES),
     EdgeLabel("WRITTEN_BY", "MOVIE", "WRITER", _NOTES),
     EdgeLabel("ACTED_BY", "MOVIE", "ACTOR", _NOTES),

@@ -9,7 +9,8 @@ from filmgraph.operators.integrity import IntegrityError
 from filmgraph.plans import load
 from filmgraph.sources import graphstore as G
 
-GOOD_ANSWER = ('{"Rated":"PG","Director":"Ann Lee","Writer":"Bo Kim (story by), Bo Kim (screenplay)",'
+GOOD_ANSWER = ('{"Rated":"PG","Director":"Ann Lee",'
+               '"Writer":"Bo Kim (story by), Bo Kim (screenplay)",'
                '"Actors":"Cy Day, Di Fox","Language":"English","Country":"France",'
                '"BoxOffice":"$1,000","Metascore":"70","imdbRating":"7.5","imdbVotes":"1,234",'
                '"Response":"True"}')

@@ -88,7 +88,7 @@ def test_json_sink_refuses_existing_path(spark, tmp_root):
 
 
 def test_dataset_layout_paths():
-    assert io.dataset_path("s3a://bucket/ml/", "genome_scores") == "s3a://bucket/ml/genome-scores.csv"
+    assert io.dataset_path("s3a://b/ml/", "genome_scores") == "s3a://b/ml/genome-scores.csv"
     assert io.dataset_path("/data/ml", "omdb") == "/data/ml/omdb-json"
 
 
