@@ -358,6 +358,10 @@ SQL["neighbours_in"] = with_graph(
 SQL["two_hop_from_user"] = with_graph(
     "SELECT b.src AS user_id, 2 AS hops, CAST(count(*) AS BIGINT) AS bulk FROM e_rated_as a "
     f"JOIN e_rated_as b ON b.dst = a.dst WHERE a.src = {R.START_USER} GROUP BY 1")
+SQL["top_co_raters"] = with_graph(
+    "SELECT b.src AS user_id, CAST(count(*) AS BIGINT) AS bulk FROM e_rated_as a "
+    f"JOIN e_rated_as b ON b.dst = a.dst WHERE a.src = {R.START_USER} GROUP BY 1 "
+    f"ORDER BY bulk DESC, user_id LIMIT {R.TOP_K}")
 SQL["user_degrees"] = with_graph(
     "SELECT src AS user_id, CAST(count(*) AS BIGINT) AS degree FROM e_rated_as GROUP BY 1")
 SQL["graph_roundtrip"] = with_graph(" UNION ALL ".join(

@@ -43,6 +43,7 @@ MIN_RELEVANCE = 0.9
 START_USER = 7
 START_GENRE = "PROMO"
 YEAR_RANGE = (1990, 1996)
+TOP_K = 10
 
 
 def register(fn: Query) -> Query:
@@ -431,6 +432,15 @@ def two_hop_from_user(spark, sf_dir):
     return t.to_df().select(F.col("key").alias("user_id"), F.lit(2).alias("hops"), "bulk")
 
 
+@register
+def top_co_raters(spark, sf_dir):
+    """T6 + order/limit: the users sharing the most rated movies with one user (top-k report)."""
+    g = rating_graph(spark, sf_dir)
+    g.vertices["USER"] = rating_part(spark, sf_dir).vertices["USER"]
+    t = Traversal.start(g, "USER", keys=[START_USER]).out("RATED_AS").in_("RATED_AS")
+    return t.top(TOP_K).select(F.col("key").alias("user_id"), "bulk")
+
+
 @register
 def user_degrees(spark, sf_dir):
     """T6 outE counted per vertex."""

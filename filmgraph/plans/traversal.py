@@ -148,6 +148,13 @@ class Traversal:
         return v.withColumnRenamed(key, "key").join(self._sized_frontier(), "key") \
             .withColumnRenamed("key", key)
 
+    def top(self, n: int) -> DataFrame:
+        """``order().by(bulk, desc).limit(n)``: the ``n`` most-reached vertices, ties by key.
+
+        Runs as a per-partition top-n followed by one merge of ``n`` rows per partition.
+        """
+        return self.frontier.orderBy(F.col("bulk").desc(), F.col("key").asc()).limit(n)
+
     def count(self) -> DataFrame:
         """Number of traversers (sum of bulk) as a one-row DataFrame."""
         return self.frontier.agg(F.coalesce(F.sum("bulk"), F.lit(0)).cast("bigint")

@@ -78,9 +78,20 @@ def new_scratch(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` names readable data (works for any Hadoop-compatible file system)."""
+    """True if ``path`` exists (any Hadoop-compatible file system).
+
+    Asks the file system directly - one metadata call, no listing of the files below a table
+    folder; sessions without a JVM gateway (Spark Connect) fall back to resolving a reader.
+    """
     from pyspark.errors import AnalysisException
 
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+                    .exists(hpath))
+    except Exception:  # noqa: BLE001 - no gateway: use the reader below
+        pass
     try:
         spark.read.format("text").load(path)
         return True
