@@ -36,11 +36,16 @@ class Sized:
 
 def materialize(df: DataFrame) -> Sized:
     """Checkpoint ``df`` to the shared folder and count it."""
-    session.checkpoint_root(df.sparkSession)
-    saved = df.checkpoint(eager=True)
+    saved = checkpoint(df)
     return Sized(saved, saved.count())
 
 
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from the written copy."""
+    session.checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def ensure_bound(side: Sized) -> Sized:
     return side if side.rows is not None else materialize(side.df)
 

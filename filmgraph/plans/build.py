@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from ..operators import edges as E
-from ..operators import enrich, integrity, responses
+from ..operators import enrich, integrity, responses, sizing
 from ..operators import vertices as V
 from ..sources.graphstore import Graph
 
@@ -73,10 +73,12 @@ def omdb_tables(answers: DataFrame, movies: DataFrame, links: DataFrame | None =
     """Enriched MOVIE plus the five credit labels and their edges (LoadOmdbProperties).
 
     ``classified`` may be passed when the caller has already classified and staged the answers;
-    ``stage(df, name)`` (optional) materialises the exploded credit table that the ten credit
-    tables are read from.
+    otherwise they are classified and checkpointed here, so the checks and the ten credit tables
+    read parsed rows instead of parsing the JSON again. ``stage(df, name)`` (optional)
+    materialises the exploded credit table that the ten credit tables are read from.
     """
-    classified = classified if classified is not None else responses.classify(answers)
+    if classified is None:
+        classified = sizing.checkpoint(responses.classify(answers))
     if mode == "fail":
         bad = responses.rejects(classified).limit(integrity.SAMPLE).collect()
         if bad:
