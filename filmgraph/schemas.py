@@ -60,6 +60,7 @@ class VertexLabel:
     unique: tuple[str, ...]                 # unique exact-match indexes
     indexed: tuple[str, ...] = ()           # non-unique exact-match indexes
     searchable: tuple[str, ...] = ()        # range / text search
+    bloom: tuple[str, ...] = ()             # Parquet bloom filters for point lookups
 
     @property
     def schema(self) -> T.StructType:
@@ -102,11 +103,12 @@ VERTICES: dict[str, VertexLabel] = {v.name: v for v in [
         searchable=("movieId", "movieTitle", "movieYear", "movieGenres", "movieImdbId",
                     "movieTmdbId", "movieRated", "movieBoxOffice", "movieMetascore",
                     "movieImdbScore", "movieImdbVotes"),
+        bloom=("movieImdbId", "movieTmdbId", "movieTitle"),
     ),
     VertexLabel("YEAR", "yearNumber", (("yearNumber", LONG),), unique=("yearNumber",)),
     VertexLabel("GENRE", "genreName", (("genreName", STRING),), unique=("genreName",)),
     VertexLabel("TAG", "tagId", (("tagId", LONG), ("tagName", STRING)),
-                unique=("tagId", "tagName"), searchable=("tagId", "tagName")),
+                unique=("tagId", "tagName"), searchable=("tagId", "tagName"), bloom=("tagName",)),
     VertexLabel("USER", "userId", (("userId", LONG),), unique=("userId",)),
     _named("DIRECTOR", "directorName"),
     _named("WRITER", "writerName"),

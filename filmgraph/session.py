@@ -22,6 +22,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # key lists up to this size reach Parquet as IN filters (usable by bloom filters) instead
+    # of a min..max range
+    "spark.sql.parquet.pushdown.inFilterThreshold": "100",
 }
 
 
