@@ -142,3 +142,21 @@ def test_unified_views(spark, loaded):
     assert "t_e_rated_as" in names
     n = spark.sql("SELECT count(*) FROM t_e_rated_as WHERE score >= 4").first()[0]
     assert n == g.E("RATED_AS").where("score >= 4").count()
+
+
+def test_lookup_by_unique_column_reads_one_row_group(spark, tmp_root):
+    n = 200_000
+    movies = spark.range(n).select(
+        F.col("id").alias("movieId"),
+        F.lpad((F.col("id") * 7919 % 1000003).cast("string"), 7, "0").alias("movieImdbId"),
+    ).coalesce(1)
+    spark.conf.set("parquet.block.size", str(512 * 1024))      # many row groups in one file
+    try:
+        G.write_vertices(movies, tmp_root, "MOVIE")
+    finally:
+        spark.conf.unset("parquet.block.size")
+    g = G.read_graph(spark, tmp_root, ["MOVIE"])
+    q = Q.lookup(g, "MOVIE", "movieImdbId", "0007919")
+    assert [r["movieId"] for r in q.collect()] == [1]
+    scan = q._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() < n / 2
