@@ -160,3 +160,15 @@ def test_lookup_by_unique_column_reads_one_row_group(spark, tmp_root):
     assert [r["movieId"] for r in q.collect()] == [1]
     scan = q._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
     assert scan.metrics().apply("numOutputRows").value() < n / 2
+
+
+def test_describe_graph_lists_labels_keys_and_indexes(spark):
+    cat = {(r["kind"], r["label"], r["property"]): r for r in S.describe_graph(spark).collect()}
+    assert len({lbl for k, lbl, _ in cat if k == "vertex"}) == 10
+    assert len({lbl for k, lbl, _ in cat if k == "edge"}) == 9
+    assert cat[("vertex", "MOVIE", "movieId")]["is_key"]
+    assert cat[("vertex", "MOVIE", "movieGenres")]["type"] == "array<string>"
+    assert sum(r["is_unique"] for r in cat.values()) == 13
+    rated = cat[("edge", "RATED_AS", "score")]
+    assert rated["is_indexed"] and rated["src_label"] == "USER" and rated["dst_label"] == "MOVIE"
+    assert cat[("edge", "SPOKEN_IN", "src")]["type"] == "string"
