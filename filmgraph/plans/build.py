@@ -69,17 +69,19 @@ def genome_tables(tags: DataFrame, scores: DataFrame, movies: DataFrame,
 
 def omdb_tables(answers: DataFrame, movies: DataFrame, links: DataFrame | None = None,
                 mode: str = "fail", classified: DataFrame | None = None,
-                stage: Callable[[DataFrame, str], DataFrame] | None = None) -> Tables:
+                stage: Callable[[DataFrame, str], DataFrame] | None = None,
+                malformed: int | None = None) -> Tables:
     """Enriched MOVIE plus the five credit labels and their edges (LoadOmdbProperties).
 
     ``classified`` may be passed when the caller has already classified and staged the answers;
     otherwise they are classified and checkpointed here, so the checks and the ten credit tables
     read parsed rows instead of parsing the JSON again. ``stage(df, name)`` (optional)
     materialises the exploded credit table that the ten credit tables are read from.
+    ``malformed`` is the number of malformed answers when the caller already counted them.
     """
     if classified is None:
         classified = sizing.checkpoint(responses.classify(answers))
-    if mode == "fail":
+    if mode == "fail" and malformed != 0:
         bad = responses.rejects(classified).limit(integrity.SAMPLE).collect()
         if bad:
             shown = ", ".join(f"{r['movieId']!r}: {str(r['response'])[:60]!r}" for r in bad)

@@ -151,7 +151,8 @@ def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
         links = _staged_input(spark, dataset_root, "links", graph_root, mode, report)
     movies = _stored(spark, graph_root, "MOVIE")
     t = build.omdb_tables(None, movies, links, mode, classified=classified,
-                          stage=lambda df, name: stage(df, staging_path(graph_root, name)))
+                          stage=lambda df, name: stage(df, staging_path(graph_root, name)),
+                          malformed=report.counters["malformed"])
     # Credit tables first: the enriched MOVIE replaces the table those plans were built from.
     _write_tables(t, graph_root, mode, report, skip=("MOVIE",))
     enriched = stage(t.vertices["MOVIE"], staging_path(graph_root, "movie_enriched"))

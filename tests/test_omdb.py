@@ -149,3 +149,10 @@ def test_counters_and_entity_counts(spark):
     # 8 distinct raw writer credits naming 7 distinct people (one wrote story and screenplay)
     assert ents["writers"] == (8, 7)
     assert ents["directors"] == (1, 1) and ents["actors"] == (4, 4)
+
+
+def test_approximate_entity_counts(spark):
+    c = classify(spark, REFERENCE_ANSWER)
+    approx = {r["kind"]: (r["n_raw"], r["n_names"]) for r in responses.entity_counts(
+        credit_items(responses.records(c)), approximate=True).collect()}
+    assert approx["writers"] == (8, 7) and approx["actors"] == (4, 4)
