@@ -362,6 +362,14 @@ SQL["top_co_raters"] = with_graph(
     "SELECT b.src AS user_id, CAST(count(*) AS BIGINT) AS bulk FROM e_rated_as a "
     f"JOIN e_rated_as b ON b.dst = a.dst WHERE a.src = {R.START_USER} GROUP BY 1 "
     f"ORDER BY bulk DESC, user_id LIMIT {R.TOP_K}")
+SQL["genre_movies_in_years"] = with_graph(
+    "SELECT m.movieId AS movie_id, m.title, m.year, CAST(count(*) AS BIGINT) AS bulk "
+    "FROM e_categorized_as c JOIN fx_enriched m ON c.src = m.movieId "
+    f"WHERE c.dst = '{R.START_GENRE}' AND m.year >= {R.YEAR_RANGE[0]} "
+    f"AND m.year < {R.YEAR_RANGE[1]} GROUP BY 1, 2, 3")
+SQL["high_ratings_of_user"] = with_graph(
+    f"SELECT src, dst, {dbl('score')} AS score, timestamp, CAST(1 AS BIGINT) AS bulk "
+    f"FROM e_rated_as WHERE src = {R.START_USER} AND score >= CAST(4.0 AS FLOAT)")
 SQL["user_degrees"] = with_graph(
     "SELECT src AS user_id, CAST(count(*) AS BIGINT) AS degree FROM e_rated_as GROUP BY 1")
 SQL["graph_roundtrip"] = with_graph(" UNION ALL ".join(

@@ -462,6 +462,26 @@ def top_co_raters(spark, sf_dir):
     return t.top(TOP_K).select(F.col("key").alias("user_id"), "bulk")
 
 
+@register
+def genre_movies_in_years(spark, sf_dir):
+    """T6 in + has + values: movies of one genre released in a range of years."""
+    g = stored_graph(spark, sf_dir)
+    t = (Traversal.start(g, "GENRE", keys=[START_GENRE]).in_("CATEGORIZED_AS")
+         .has(P.between("movieYear", *YEAR_RANGE)))
+    return t.values("movieTitle", "movieYear").select(
+        F.col("movieId").alias("movie_id"), F.col("movieTitle").alias("title"),
+        F.col("movieYear").alias("year"), "bulk")
+
+
+@register
+def high_ratings_of_user(spark, sf_dir):
+    """T6 outE with an edge predicate: one user's ratings of at least 4."""
+    g = stored_graph(spark, sf_dir)
+    e = Traversal.start(g, "USER", keys=[START_USER]).out_e(
+        "RATED_AS", F.col("score") >= F.lit(4.0).cast("float"))
+    return e.select("src", "dst", _dbl("score").alias("score"), "timestamp", "bulk")
+
+
 @register
 def user_degrees(spark, sf_dir):
     """T6 outE counted per vertex."""
