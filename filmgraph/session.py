@@ -34,7 +34,10 @@ def build_session(master: str | None = None, app_name: str = "filmgraph",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {"spark.ui.enabled": "false", **SESSION_CONF, **(conf or {})}
+    # checkpoints (traversal frontiers, violating-key sets) are deleted once unreferenced
+    settings = {"spark.ui.enabled": "false",
+                "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+                **SESSION_CONF, **(conf or {})}
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
