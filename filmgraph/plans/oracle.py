@@ -239,6 +239,7 @@ SQL["user_vertices"] = with_graph("SELECT userId AS user_id FROM v_user")
 SQL["rated_movies"] = with_ctes("SELECT DISTINCT movieId AS movie_id FROM fx_ratings")
 SQL["rated_as_edges"] = with_graph(
     f"SELECT src, dst, {dbl('score')} AS score, timestamp FROM e_rated_as")
+SQL["streamed_rated_as_edges"] = SQL["rated_as_edges"]
 SQL["tag_vertices"] = with_graph("SELECT tagId AS tag_id, tagName AS tag_name FROM v_tag")
 SQL["scored_movies"] = with_ctes("SELECT DISTINCT movieId AS movie_id FROM fx_scores")
 SQL["estimated_at_edges"] = with_graph(

@@ -504,6 +504,23 @@ def graph_roundtrip(spark, sf_dir):
     return G._union(parts).groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register
+def streamed_rated_as_edges(spark, sf_dir):
+    """S2, E3, V2 on a stream: the rating files loaded by the incremental (streaming) job into a
+    graph holding only movies, edges read back from storage."""
+    from ..streaming import start_ratings_stream
+    ds = dataset(spark, sf_dir)
+    root = session.new_scratch(spark, "stream-graph")
+    load.load_movies(spark, ds, root)
+    query = start_ratings_stream(spark, io.dataset_path(ds, "ratings"), root,
+                                 checkpoint=root + "/_stream_checkpoint")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"ratings stream failed: {query.exception()}")
+    e = G.read_graph(spark, root, ["RATED_AS"]).E("RATED_AS")
+    return e.select("src", "dst", _dbl("score").alias("score"), "timestamp")
+
+
 class FlakyApi:
     """Stand-in for the remote API: fails the first call for ids divisible by 3, always fails
     for ids divisible by 5, otherwise answers with a small JSON object."""

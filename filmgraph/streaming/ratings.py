@@ -54,8 +54,11 @@ def rating_stream(spark: SparkSession, landing_dir: str,
 
 def _existing_users(spark: SparkSession, graph_root: str, epoch_id: int) -> DataFrame:
     """Stored USER keys, excluding whatever an earlier attempt of this batch wrote."""
-    users = spark.read.schema(S.VERTICES["USER"].schema).option("recursiveFileLookup", "true") \
-        .parquet(G.vertex_path(graph_root, "USER"))
+    schema = S.VERTICES["USER"].schema
+    path = G.vertex_path(graph_root, "USER")
+    if not session.path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    users = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
     mine = f"/{epoch_folder(epoch_id)}/"
     return users.where(~F.col("_metadata.file_path").contains(mine)).select("userId")
 
