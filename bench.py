@@ -60,6 +60,7 @@ def run(spark, dataset: str, timings: dict[str, float]) -> None:
 
     timed("load_movies", lambda: load.load_movies(spark, dataset, root))
     timed("load_ratings", lambda: load.load_ratings(spark, dataset, root))
+    timed("adjacency_rated_as", lambda: load.build_adjacency(spark, root, "RATED_AS"))
     timed("load_genome", lambda: load.load_genome(spark, dataset, root))
     timed("load_omdb", lambda: load.load_omdb(spark, dataset, root))
     g = G.read_graph(spark, root)

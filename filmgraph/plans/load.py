@@ -74,6 +74,21 @@ def _write_rejects(df: DataFrame, graph_root: str, name: str, report: LoadReport
     report.written[f"_quarantine/{name}"] = path
 
 
+def build_adjacency(spark: SparkSession, graph_root: str, label: str,
+                    directions: tuple[str, ...] = ("out", "in")) -> list[str]:
+    """Write the clustered adjacency copies of a stored edge table (traversal access path)."""
+    edges = G.read_graph(spark, graph_root, [label]).E(label)
+    return [G.write_adjacency(edges, graph_root, label, d) for d in directions]
+
+
+def _refresh_adjacency(spark: SparkSession, graph_root: str, label: str) -> None:
+    """Rebuild the adjacency copies that exist for ``label`` after its edges were rewritten."""
+    present = tuple(d for d in G.NEAR
+                    if session.path_exists(spark, G.adjacency_path(graph_root, label, d)))
+    if present:
+        build_adjacency(spark, graph_root, label, present)
+
+
 def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadReport,
                   skip: tuple[str, ...] = ()) -> None:
     for label, df in t.vertices.items():
@@ -81,6 +96,7 @@ def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadRepor
             report.written[label] = G.write_vertices(df, graph_root, label)
     for label, df in t.edges.items():
         report.written[label] = G.write_edges(df, graph_root, label)
+        _refresh_adjacency(df.sparkSession, graph_root, label)
     if mode == "quarantine":
         for name, df in t.rejected.items():
             _write_rejects(df, graph_root, name, report)
@@ -179,8 +195,11 @@ def fetch_omdb(spark: SparkSession, dataset_root: str, fetch: Callable[[str], st
 
 
 def load_all(spark: SparkSession, dataset_root: str, graph_root: str,
-             mode: str = "fail") -> LoadReport:
-    """Every load job in dependency order; inputs that are absent are skipped."""
+             mode: str = "fail", adjacency: tuple[str, ...] = ()) -> LoadReport:
+    """Every load job in dependency order; inputs that are absent are skipped.
+
+    ``adjacency`` names edge labels that also get clustered adjacency copies (both directions).
+    """
     report = LoadReport()
     steps = [("movies", load_movies), ("ratings", load_ratings),
              ("genome_scores", load_genome), ("omdb", load_omdb)]
@@ -189,6 +208,9 @@ def load_all(spark: SparkSession, dataset_root: str, graph_root: str,
             r = job(spark, dataset_root, graph_root, mode)
             report.written.update(r.written)
             report.counters.update(r.counters)
+    for label in adjacency:
+        for path in build_adjacency(spark, graph_root, label):
+            report.written[f"adjacency/{path.rsplit('/', 2)[-2]}/{path.rsplit('/', 1)[-1]}"] = path
     return report
 
 
@@ -202,9 +224,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("dataset_root")
     parser.add_argument("graph_root")
     parser.add_argument("--mode", choices=["fail", "quarantine"], default="fail")
+    parser.add_argument("--adjacency", default="",
+                        help="comma-separated edge labels to give adjacency copies (with 'all')")
     args = parser.parse_args(argv)
     spark = session.build_session()
-    report = JOBS[args.job](spark, args.dataset_root, args.graph_root, args.mode)
+    if args.job == "all":
+        labels = tuple(x for x in args.adjacency.split(",") if x)
+        report = load_all(spark, args.dataset_root, args.graph_root, args.mode, labels)
+    else:
+        report = JOBS[args.job](spark, args.dataset_root, args.graph_root, args.mode)
     for name, path in sorted(report.written.items()):
         print(f"{name}\t{path}")
     for name, value in sorted(report.counters.items()):

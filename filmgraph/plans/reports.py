@@ -112,15 +112,16 @@ def stored_graph(spark: SparkSession, sf_dir: str) -> G.Graph:
     """The graph the load jobs write from the derived inputs, read back from storage.
 
     The query surface (lookups, search, traversal, reports) runs where users run it: on stored
-    tables, with pushdown into the Parquet scans. The graph is built once per input data and
-    library version, below the shared folder.
+    tables, with pushdown into the Parquet scans, and RATED_AS has its adjacency copies
+    (traversals from small frontiers read only the row groups of their keys). The graph is built
+    once per input data and library version, below the shared folder.
     """
     ds = dataset(spark, sf_dir)
     key = hashlib.sha1((ds + _library_fingerprint()).encode()).hexdigest()[:16]
     root = session.shared_path(spark, "graphs", key)
     with _GRAPH_LOCK:
         if not session.path_exists(spark, root + "/_ready"):
-            load.load_all(spark, ds, root)
+            load.load_all(spark, ds, root, adjacency=("RATED_AS",))
             spark.createDataFrame([(sf_dir,)], "source string").coalesce(1) \
                 .write.mode("overwrite").text(root + "/_ready")
     return G.read_graph(spark, root)

@@ -29,6 +29,10 @@ from .. import schemas as S
 from ..operators import sizing
 from ..sources.graphstore import Graph
 
+# Frontiers up to this many vertices are pushed into edge scans as IN lists (the session pushes
+# IN lists of this size to Parquet, see filmgraph.session).
+KEY_LIST_LIMIT = 100
+
 
 class Traversal:
     def __init__(self, graph: Graph, label: str, frontier: DataFrame, bound: int | None = None):
@@ -81,10 +85,25 @@ class Traversal:
 
     # ------------------------------------------------------------ hops
 
-    def _hop(self, edge_label: str, near: str, far: str, where: Column | None) -> DataFrame:
-        e = self.graph.E(edge_label)
+    def _edges_near(self, edge_label: str, near: str, where: Column | None) -> DataFrame:
+        """The edges touching the frontier on ``near``, read through the cheapest access path.
+
+        A frontier of at most ``KEY_LIST_LIMIT`` vertices is collected (a proven small bound)
+        and pushed into the scan as an ``IN`` filter; with an adjacency copy clustered on
+        ``near`` only the row groups holding those keys are read.
+        """
+        direction = "out" if near == "src" else "in"
+        e = self.graph.adjacency.get((edge_label, direction), self.graph.E(edge_label))
         if where is not None:
             e = e.where(where)
+        self._sized_frontier()
+        if self.bound is not None and self.bound <= KEY_LIST_LIMIT:
+            keys = [r["key"] for r in self.frontier.select("key").collect()]
+            e = e.where(F.col(near).isin(keys))
+        return e
+
+    def _hop(self, edge_label: str, near: str, far: str, where: Column | None) -> DataFrame:
+        e = self._edges_near(edge_label, near, where)
         joined = e.select(F.col(near).alias("key"), F.col(far).alias("_far")).join(
             self._sized_frontier(), "key")
         return joined.select(F.col("_far").alias("key"), "bulk")
@@ -120,14 +139,14 @@ class Traversal:
         """``outE``: the edges leaving the frontier, with the traverser bulk."""
         spec = S.EDGES[edge_label]
         self._expect(spec.src, edge_label, "outE")
-        e = self.graph.E(edge_label) if where is None else self.graph.E(edge_label).where(where)
+        e = self._edges_near(edge_label, "src", where)
         return e.join(self._sized_frontier().withColumnRenamed("key", "src"), "src")
 
     def in_e(self, edge_label: str, where: Column | None = None) -> DataFrame:
         """``inE``: the edges entering the frontier, with the traverser bulk."""
         spec = S.EDGES[edge_label]
         self._expect(spec.dst, edge_label, "inE")
-        e = self.graph.E(edge_label) if where is None else self.graph.E(edge_label).where(where)
+        e = self._edges_near(edge_label, "dst", where)
         return e.join(self._sized_frontier().withColumnRenamed("key", "dst"), "dst")
 
     def _expect(self, label: str, edge_label: str, step: str) -> None:

@@ -9,9 +9,10 @@ micro-batch
 2. checks every rated movie against the stored MOVIE keys (distinct-key anti join; misses go to
    ``<graph>/_quarantine/ratings_stream/epoch-<n>``) - the batch's few keys are broadcast and the
    vertex table streamed, so a micro-batch never shuffles the whole key column,
-3. writes its edges to ``edges/RATED_AS/stream-epoch-<n>`` and the users not yet in the graph to
-   ``vertices/USER/stream-epoch-<n>`` - both with ``overwrite``, so replaying a batch after a
-   failure rewrites exactly that batch's folders and never duplicates rows.
+3. writes its edges to ``edges/RATED_AS/stream-epoch-<n>`` (and to the adjacency copies, when
+   the graph has them) and the users not yet in the graph to ``vertices/USER/stream-epoch-<n>`` -
+   all with ``overwrite``, so replaying a batch after a failure rewrites exactly that batch's
+   folders and never duplicates rows.
 
 Graph readers pick the batch folders up because tables are read recursively
 (:func:`filmgraph.sources.graphstore.read_graph`). Stream files are positional CSV with a header
@@ -74,9 +75,14 @@ def process_batch(batch: DataFrame, epoch_id: int, graph_root: str) -> None:
     movies = G.read_graph(spark, graph_root, ["MOVIE"]).V("MOVIE")
     checked = integrity.enforce_references(E.rated_as_edges(good), [("dst", movies, "movieId")],
                                            "quarantine", "RATED_AS", small=True)
-    (E.conform_edges(checked.accepted, "RATED_AS")
-     .sortWithinPartitions(*S.EDGES["RATED_AS"].sort_by)
+    edges = stage(E.conform_edges(checked.accepted, "RATED_AS"),
+                  staging_path(graph_root, f"ratings_stream_edges/{folder}"))
+    (edges.sortWithinPartitions(*S.EDGES["RATED_AS"].sort_by)
      .write.mode("overwrite").parquet(f"{G.edge_path(graph_root, 'RATED_AS')}/{folder}"))
+    for direction in G.NEAR:     # keep existing adjacency copies in step with the edges
+        base = G.adjacency_path(graph_root, "RATED_AS", direction)
+        if session.path_exists(spark, base):
+            G.write_adjacency(edges, graph_root, "RATED_AS", direction, path=f"{base}/{folder}")
     new_users = integrity.absent_keys(V.user_vertices(good), "userId",
                                       _existing_users(spark, graph_root, epoch_id), "userId",
                                       small=True)
