@@ -68,3 +68,24 @@ def test_stream_schema(spark):
     df = rating_stream(spark, landing)
     assert df.isStreaming
     assert df.columns == ["userId", "movieId", "rating", "timestamp", "_error"]
+
+
+def test_stream_keeps_adjacency_copies_in_step(spark):
+    dataset = fixtures.dataset_for(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="filmgraph-adj-stream-")
+    load.load_movies(spark, dataset, root)
+    load.load_ratings(spark, dataset, root)
+    load.build_adjacency(spark, root, "RATED_AS")
+    landing = tempfile.mkdtemp(prefix="filmgraph-landing-")
+    drop(landing, "c.csv", ["7000001,1,4.0,1", "7000001,2,3.0,2", "7000002,1,5.0,3"])
+    q = start_ratings_stream(spark, landing, root,
+                             checkpoint=tempfile.mkdtemp(prefix="filmgraph-ckpt-"))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    g = G.read_graph(spark, root)
+    n = g.E("RATED_AS").count()
+    assert g.adjacency[("RATED_AS", "out")].count() == n
+    assert g.adjacency[("RATED_AS", "in")].count() == n
+    from filmgraph.plans.traversal import Traversal
+    got = Traversal.start(g, "USER", keys=[7000001]).out("RATED_AS").to_df().collect()
+    assert sorted((r["key"], r["bulk"]) for r in got) == [(1, 1), (2, 1)]
