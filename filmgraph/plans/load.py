@@ -21,6 +21,7 @@ from __future__ import annotations
 import argparse
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,17 +90,33 @@ def _refresh_adjacency(spark: SparkSession, graph_root: str, label: str) -> None
         build_adjacency(spark, graph_root, label, present)
 
 
+# Independent table writes submitted at once; Spark's scheduler interleaves their tasks, so
+# small jobs (a few partitions each) do not leave the rest of the cluster idle.
+CONCURRENT_WRITES = 4
+
+
 def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadReport,
                   skip: tuple[str, ...] = ()) -> None:
-    for label, df in t.vertices.items():
-        if label not in skip:
-            report.written[label] = G.write_vertices(df, graph_root, label)
-    for label, df in t.edges.items():
-        report.written[label] = G.write_edges(df, graph_root, label)
+    def vertex(label, df):
+        return label, G.write_vertices(df, graph_root, label)
+
+    def edge(label, df):
+        path = G.write_edges(df, graph_root, label)
         _refresh_adjacency(df.sparkSession, graph_root, label)
+        return label, path
+
+    def reject(name, df):
+        path = quarantine_path(graph_root, name)
+        df.write.mode("overwrite").parquet(path)
+        return f"_quarantine/{name}", path
+
+    tasks = [(vertex, label, df) for label, df in t.vertices.items() if label not in skip]
+    tasks += [(edge, label, df) for label, df in t.edges.items()]
     if mode == "quarantine":
-        for name, df in t.rejected.items():
-            _write_rejects(df, graph_root, name, report)
+        tasks += [(reject, name, df) for name, df in t.rejected.items()]
+    with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
+        for name, path in pool.map(lambda task: task[0](task[1], task[2]), tasks):
+            report.written[name] = path
 
 
 def _stored(spark: SparkSession, graph_root: str, label: str) -> DataFrame:
