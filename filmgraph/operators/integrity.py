@@ -13,6 +13,7 @@ Modes: ``"fail"`` raises :class:`IntegrityError` with a bounded sample of offend
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -46,6 +47,12 @@ def _flag(df: DataFrame, col: str, keys: sizing.Sized, tag: str) -> DataFrame:
             .drop(f"{tag}_key"))
 
 
+def _first_violations(checks: list[DataFrame]) -> list[list]:
+    """Up to ``SAMPLE`` offending rows of each check; the checks run as concurrent jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, len(checks))) as pool:
+        return list(pool.map(lambda df: df.limit(SAMPLE).collect(), checks))
+
+
 def _split(flagged: DataFrame, reasons: list) -> Checked:
     err = F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
     tags = [c for c in flagged.columns if c.startswith("_flag")]
@@ -79,8 +86,8 @@ def enforce_unique(df: DataFrame, keys: list[str] | str, mode: str = "fail",
     """V1: every key property identifies at most one row and is never null."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if mode == "fail":
-        for key in keys:
-            sample = duplicate_keys(df, key).limit(SAMPLE).collect()
+        found = _first_violations([duplicate_keys(df, key) for key in keys])
+        for key, sample in zip(keys, found):
             if sample:
                 shown = ", ".join(f"{r[key]!r} x{r['n']}" for r in sample)
                 raise IntegrityError(f"{label}.{key} is not unique: {shown}")
@@ -143,8 +150,9 @@ def enforce_references(edges: DataFrame, checks: list[tuple[str, DataFrame, str]
     ``small=True`` when the edges are few compared with the vertices (see :func:`absent_keys`).
     """
     if mode == "fail":
-        for col, vertices, key in checks:
-            sample = dangling_keys(edges, col, vertices, key, small).limit(SAMPLE).collect()
+        found = _first_violations([dangling_keys(edges, col, vertices, key, small)
+                                   for col, vertices, key in checks])
+        for (col, _, _), sample in zip(checks, found):
             if sample:
                 shown = ", ".join(repr(r[col]) for r in sample)
                 raise IntegrityError(f"{label}.{col} refers to missing vertices: {shown}")
