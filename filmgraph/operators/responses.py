@@ -39,8 +39,9 @@ def classify(responses: DataFrame) -> DataFrame:
     doc = F.col("_doc")
     status = (F.when(F.col("_bad_row"), F.lit("malformed"))
               .when(F.col("response").isNull(), F.lit("unfetched"))
-              .when(doc.isNull() | ~J.is_object(doc) | ~J.has_response_key(doc)
-                    | F.col("movieId").isNull(), F.lit("malformed"))
+              # no Response key also covers arrays and scalars (they have no keys at all)
+              .when(doc.isNull() | ~J.has_response_key(doc) | F.col("movieId").isNull(),
+                    F.lit("malformed"))
               .when(J.is_failure(doc), F.lit("failure"))
               .otherwise(F.lit("ok")))
     keys = sorted({key for key, _ in J.ANSWER_FIELDS.values()})
