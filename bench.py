@@ -78,10 +78,7 @@ def run(spark, dataset: str, timings: dict[str, float]) -> None:
     timed("unique_key_report", lambda: G._union([
         integrity.unique_report(g.V(label), label, prop)
         for label, spec in S.VERTICES.items() for prop in spec.unique]).collect())
-    timed("reference_report", lambda: G._union([
-        integrity.reference_report(g.E(label), label, col, g.V(vl), S.VERTICES[vl].key)
-        for label, spec in S.EDGES.items()
-        for col, vl in (("src", spec.src), ("dst", spec.dst))]).collect())
+    timed("reference_report", lambda: reports.graph_reference_report(g).collect())
 
 
 if __name__ == "__main__":

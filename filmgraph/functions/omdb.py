@@ -92,10 +92,6 @@ def answer_fields(doc: Column) -> dict[str, Column]:
     return {name: convert(json_string(doc, key)) for name, (key, convert) in ANSWER_FIELDS.items()}
 
 
-def is_object(doc: Column) -> Column:
-    return F.schema_of_variant(doc).startswith("OBJECT")
-
-
 def is_failure(doc: Column) -> Column:
     """``"Response": "False"`` as a JSON string (a boolean ``false`` does not count)."""
     return json_string(doc, RESPONSE) == "False"

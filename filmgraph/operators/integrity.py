@@ -143,6 +143,37 @@ def reference_report(edges: DataFrame, label: str, col: str, vertices: DataFrame
     ).select(F.lit(label).alias("label"), F.lit(col).alias("endpoint"), "*")
 
 
+def references_report(edges: list[tuple[str, str, DataFrame]], vertices: DataFrame,
+                       key: str) -> DataFrame:
+    """:func:`reference_report` for several edge endpoints that point at one vertex label.
+
+    ``edges`` holds ``(edge label, endpoint column, edge table)``; the vertex key set is
+    computed once for all of them. Returns one row per given endpoint.
+    """
+    spark = vertices.sparkSession
+    refs = None
+    for label, col, df in edges:
+        part = df.select(F.lit(label).alias("label"), F.lit(col).alias("endpoint"),
+                         F.col(col).alias("_k"))
+        refs = part if refs is None else refs.unionByName(part)
+    per_key = refs.groupBy("label", "endpoint", "_k").agg(F.count(F.lit(1)).alias("n"))
+    known = (vertices.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
+             .withColumn("_known", F.lit(True)))
+    missing = F.col("_known").isNull()
+    found = per_key.join(known, "_k", "left").groupBy("label", "endpoint").agg(
+        F.sum("n").cast("bigint").alias("n_edges"),
+        F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).cast("bigint")
+        .alias("n_dangling_edges"),
+        F.count_if(missing).alias("n_dangling_keys"))
+    # every endpoint gets a row, also when its edge table is empty
+    wanted = spark.createDataFrame([(lbl, col) for lbl, col, _ in edges],
+                                   "label string, endpoint string")
+    return wanted.join(found, ["label", "endpoint"], "left").select(
+        "label", "endpoint",
+        *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
+          for c in ("n_edges", "n_dangling_edges", "n_dangling_keys")])
+
+
 def enforce_references(edges: DataFrame, checks: list[tuple[str, DataFrame, str]],
                        mode: str = "fail", label: str = "edge", small: bool = False) -> Checked:
     """V2: for each ``(column, vertex table, vertex key)`` every edge endpoint must exist.

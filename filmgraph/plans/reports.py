@@ -328,13 +328,18 @@ def unique_key_report(spark, sf_dir):
 @register
 def reference_report(spark, sf_dir):
     """V2 over both endpoints of all 9 edge labels."""
-    g = stored_graph(spark, sf_dir)
-    parts = []
+    return graph_reference_report(stored_graph(spark, sf_dir))
+
+
+def graph_reference_report(g: G.Graph) -> DataFrame:
+    """V2 for a whole graph: endpoints grouped by the vertex label they point at, so each
+    vertex key set is computed once."""
+    by_target: dict[str, list] = {}
     for label, spec in S.EDGES.items():
         for col, vlabel in (("src", spec.src), ("dst", spec.dst)):
-            parts.append(integrity.reference_report(g.E(label), label, col, g.V(vlabel),
-                                                    S.VERTICES[vlabel].key))
-    return G._union(parts)
+            by_target.setdefault(vlabel, []).append((label, col, g.E(label)))
+    return G._union([integrity.references_report(refs, g.V(vlabel), S.VERTICES[vlabel].key)
+                     for vlabel, refs in by_target.items()])
 
 
 # ---------------------------------------------------------------- query surface (Q1-Q9)

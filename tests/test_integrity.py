@@ -103,3 +103,15 @@ def test_absent_keys_small_side_matches_and_avoids_shuffling_the_table(spark):
     assert plain == {r["k"] for r in small_df.collect()} == {7000, None}
     plan = small_df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_grouped_reference_report_matches_single(spark):
+    a = spark.createDataFrame([(1, 5), (1, 6), (2, 6), (3, 7)], "src bigint, dst bigint")
+    b = spark.createDataFrame([(5, 9)], "src bigint, dst bigint")
+    empty = spark.createDataFrame([], "src bigint, dst bigint")
+    vertices = spark.createDataFrame([(5,), (7,)], "id bigint")
+    grouped = {(r["label"], r["endpoint"]): r.asDict() for r in integrity.references_report(
+        [("A", "dst", a), ("B", "src", b), ("C", "dst", empty)], vertices, "id").collect()}
+    for label, col, df in (("A", "dst", a), ("B", "src", b), ("C", "dst", empty)):
+        single = integrity.reference_report(df, label, col, vertices, "id").first().asDict()
+        assert grouped[(label, col)] == single
