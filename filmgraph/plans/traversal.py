@@ -11,7 +11,11 @@ joins the frontier with one edge table and re-aggregates by the far endpoint, so
 * the frontier's size is proven before each join (a list of start keys bounds it; otherwise it
   is checkpointed and counted, see :mod:`filmgraph.operators.sizing`): a small frontier is
   broadcast and the edge table is streamed, never shuffled; a large one falls back to a
-  sort-merge join with AQE skew splitting.
+  sort-merge join with AQE skew splitting;
+* a frontier of at most ``KEY_LIST_LIMIT`` vertices also pushes its keys into the edge scan,
+  which reads the graph's adjacency copy clustered on the near endpoint when one exists
+  (:func:`filmgraph.sources.graphstore.write_adjacency`), so only the row groups holding those
+  keys are read.
 
 Example - users who rated a movie that user 7 rated, with the number of such paths::
 
