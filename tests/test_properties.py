@@ -6,6 +6,7 @@
 import re
 
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from filmgraph.functions import text
@@ -90,3 +91,58 @@ def test_titles_match_the_jvm_model(spark, values):
 def test_model_sanity():
     assert jvm_split("a||", "|") == ["a"] and jvm_split("|||", "|") == []
     assert jvm_split("", "|") == [""] and model_title(" Toy Story (1995) ") == ("Toy Story", 1995)
+
+
+# ---------------------------------------------------------------- numbers in API answers
+
+import math  # noqa: E402
+
+import numpy as np  # noqa: E402
+
+from filmgraph.functions import omdb as J  # noqa: E402
+
+NUM_UNITS = st.sampled_from(list("0123456789.,$ eE+-fd") + ["NaN", "Infinity", "nan", "inf",
+                                                               "N/A", "12", "3.5"])
+NUM_TEXTS = st.lists(st.lists(NUM_UNITS, max_size=6).map("".join), min_size=60, max_size=60)
+_JVM_DECIMAL = re.compile(r"[+-]?(?:NaN|Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)"
+                          r"(?:[eE][+-]?[0-9]+)?[fFdD]?)")
+
+
+def model_parse_float(s):
+    t = jvm_trim(s)
+    if not _JVM_DECIMAL.fullmatch(t):
+        return None
+    t = t.rstrip("fFdD") if not t.endswith(("NaN", "Infinity")) else t
+    with np.errstate(over="ignore"):
+        return float(np.float32(float(t.replace("Infinity", "inf"))))
+
+
+def model_money(s):
+    return model_parse_float(re.sub(r"[^0-9.]+", "", s))
+
+
+def model_count(s):
+    d = re.sub(r"[^0-9.]+", "", s)
+    if not re.fullmatch(r"[0-9]+", d) or int(d) > 2**63 - 1:
+        return None
+    return int(d)
+
+
+def same(a, b):
+    if a is None or b is None:
+        return a is b
+    if math.isnan(a) or math.isnan(b):
+        return math.isnan(a) and math.isnan(b)
+    return a == b
+
+
+@settings(max_examples=6, deadline=None)
+@given(NUM_TEXTS)
+def test_number_fields_match_the_jvm_model(spark, values):
+    df = frame(spark, values).select(
+        "s", J.money(F.col("s")).alias("m"), J.count(F.col("s")).alias("c"),
+        J.jvm_float(F.col("s")).alias("f"))
+    for r in df.collect():
+        assert same(r["m"], model_money(r["s"])), repr(r["s"])
+        assert r["c"] == model_count(r["s"]), repr(r["s"])
+        assert same(r["f"], model_parse_float(r["s"])), repr(r["s"])
