@@ -202,3 +202,19 @@ def test_adjacency_copies_give_the_same_traversals_and_read_less(spark, loaded):
     leaf = scan._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
     read = leaf.metrics().apply("numOutputRows").value()
     assert read < plain.E("RATED_AS").count() / 4
+
+
+def test_both_dedup_count_and_unified_edges(spark, loaded):
+    g = G.read_graph(spark, loaded[1])
+    movie = g.E("RATED_AS").first()["dst"]
+    raters = Traversal.start(g, "MOVIE", keys=[movie])
+    via_both = {r["key"]: r["bulk"] for r in raters.both("RATED_AS").to_df().collect()}
+    via_in = {r["key"]: r["bulk"] for r in raters.in_("RATED_AS").to_df().collect()}
+    assert via_both == via_in and via_in
+    n_edges = g.E("RATED_AS").where(F.col("dst") == movie).count()
+    assert raters.in_("RATED_AS").count().first()["count"] == n_edges
+    assert raters.in_("RATED_AS").dedup().count().first()["count"] == len(via_in)
+    assert raters.in_e("RATED_AS").count() == n_edges
+    unified = g.all_edges().where(F.col("label") == "RATED_AS")
+    assert unified.count() == g.E("RATED_AS").count()
+    assert unified.first()["dst_id"].startswith("MOVIE:")
