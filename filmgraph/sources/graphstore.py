@@ -198,3 +198,29 @@ def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None)
                 if path_exists(spark, path):
                     g.adjacency[(label, direction)] = _reader(spark, spec.schema).parquet(path)
     return g
+
+
+def register_tables(spark: SparkSession, root: str, database: str = "filmgraph") -> list[str]:
+    """Register a stored graph as external catalog tables ``<database>.v_<label>`` /
+    ``<database>.e_<label>`` over its folders (no data is copied or moved).
+
+    With a persistent metastore the tables outlive the session, so SQL users can query the graph
+    by name. Tables are re-created on every call, so a reload is picked up.
+    """
+    from ..session import path_exists
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = []
+    folders = [(f"v_{label.lower()}", vertex_path(root, label), spec.schema)
+               for label, spec in S.VERTICES.items()]
+    folders += [(f"e_{label.lower()}", edge_path(root, label), spec.schema)
+                for label, spec in S.EDGES.items()]
+    for table, path, schema in folders:
+        if not path_exists(spark, path):
+            continue
+        name = f"`{database}`.`{table}`"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet",
+                                  schema=schema, recursiveFileLookup="true")
+        names.append(f"{database}.{table}")
+    return names

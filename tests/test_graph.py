@@ -218,3 +218,12 @@ def test_both_dedup_count_and_unified_edges(spark, loaded):
     unified = g.all_edges().where(F.col("label") == "RATED_AS")
     assert unified.count() == g.E("RATED_AS").count()
     assert unified.first()["dst_id"].startswith("MOVIE:")
+
+
+def test_register_tables_in_the_catalog(spark, loaded):
+    names = G.register_tables(spark, loaded[1], database="fg_test")
+    assert "fg_test.e_rated_as" in names and len(names) == 19
+    n = spark.sql("SELECT count(*) FROM fg_test.e_rated_as WHERE score >= 4").first()[0]
+    g = G.read_graph(spark, loaded[1])
+    assert n == g.E("RATED_AS").where("score >= 4").count()
+    assert spark.table("fg_test.v_movie").schema == S.VERTICES["MOVIE"].schema
