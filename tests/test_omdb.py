@@ -156,3 +156,19 @@ def test_approximate_entity_counts(spark):
     approx = {r["kind"]: (r["n_raw"], r["n_names"]) for r in responses.entity_counts(
         credit_items(responses.records(c)), approximate=True).collect()}
     assert approx["writers"] == (8, 7) and approx["actors"] == (4, 4)
+
+
+def test_parsing_does_not_depend_on_ansi_mode(spark):
+    answer = json.dumps({"BoxOffice": "$1,234", "Metascore": "nan", "imdbVotes": "1.5",
+                         "imdbRating": "8.3f", "Response": "True"})
+    results = []
+    previous = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            r = responses.records(classify(spark, answer, "{bad")).first()
+            results.append((r["boxOffice"], r["metascore"], r["imdbVotes"], r["imdbScore"]))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", previous)
+    assert results[0] == results[1]
+    assert results[0][:3] == (1234.0, None, None)
