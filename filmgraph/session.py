@@ -7,8 +7,10 @@ streaming checkpoints, scratch copies for tests) lives below the folder the clus
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -49,9 +51,32 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session (idempotent)."""
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that functions which run
+    there find it even where only the driver has it on its path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="filmgraph-py-"), "filmgraph.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, top))
+    sc.addPyFile(archive)   # the driver serves it; executors keep their own copy
+    _shipped.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
