@@ -159,9 +159,9 @@ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
     WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
     ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS sh FROM w),
 n AS (SELECT w.doc_id, count(sh) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
-both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+common_sh AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
     FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
-links AS MATERIALIZED (SELECT a, b FROM both JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+links AS MATERIALIZED (SELECT a, b FROM common_sh JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
     WHERE 100 * c >= 85 * (na.n + nb.n - c)),
 both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id, doc_id AS at FROM n UNION
