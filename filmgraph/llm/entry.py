@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, line_rules, minhash, mix, pack, pfor, pu_quality, url_rules
+from . import common, line_rules, metric_join, minhash, mix, pack, pfor, pu_quality, url_rules
 
 
 def op1_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,11 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs).drop("cls")
 
 
+def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    return metric_join.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_line_rules, op2_url_rules, op3_packing, op5_pu_quality, op6_mixing, op7_token_files,
-    op8_near_duplicates)}
+    op8_near_duplicates, op10_metric_join)}

@@ -164,15 +164,35 @@ common_sh AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
 links AS MATERIALIZED (SELECT a, b FROM common_sh JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
     WHERE 100 * c >= 85 * (na.n + nb.n - c)),
 both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT doc_id, doc_id AS at FROM n UNION
-    SELECT reach.doc_id, e.b FROM reach JOIN both_ways e ON e.a = reach.at)
-SELECT n.doc_id, n.n AS n_shingles, min(at) AS component_id, n.doc_id = min(at) AS kept
+reach AS (SELECT doc_id, doc_id AS node FROM n UNION
+    SELECT reach.doc_id, e.b FROM reach JOIN both_ways e ON e.a = reach.node)
+SELECT n.doc_id, n.n AS n_shingles, min(node) AS component_id, n.doc_id = min(node) AS kept
 FROM n JOIN reach USING (doc_id) GROUP BY n.doc_id, n.n
 """
 
+VECTOR_SQL = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e
+    FROM embeddings),
+ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT x.rid AS a, y.rid AS b, x.vec_id AS a_id, y.vec_id AS b_id
+    FROM ok x JOIN ok y ON x.rid <> y.rid AND len(x.e) = len(y.e)
+    AND list_cosine_similarity(x.e, y.e) >= 0.9),
+reach AS (SELECT rid, rid AS node FROM v UNION
+    SELECT reach.rid, l.b FROM reach JOIN links l ON l.a = reach.node),
+comp AS (SELECT reach.rid, min(v.vec_id) AS component_id
+    FROM reach JOIN v ON v.rid = reach.node GROUP BY reach.rid),
+n AS (SELECT a AS rid, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id,
+    vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN comp USING (rid) LEFT JOIN n USING (rid)
+"""
+
 SQL = {
     "op1_line_rules": line_rules_sql(),
     "op2_url_rules": url_rules_sql(),
     "op6_mixing": MIX_SQL,
     "op8_near_duplicates": NEAR_SQL,
+    "op10_metric_join": VECTOR_SQL,
 }
