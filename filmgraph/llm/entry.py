@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, line_rules, metric_join, minhash, mix, pack, pfor, pu_quality, url_rules
+from . import common, line_rules, metric_join, minhash, mix, pack, pfor, pu_quality, url_rules, warc
 
 
 def op1_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(common.table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives with revisits and read back by the salvage reader."""
+    return warc.round_trip(common.table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learnt from the folds that are not held out."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,5 +70,5 @@ def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_line_rules, op2_url_rules, op3_packing, op5_pu_quality, op6_mixing, op7_token_files,
-    op8_near_duplicates, op10_metric_join)}
+    op1_line_rules, op2_url_rules, op3_packing, op4_warc, op5_pu_quality, op6_mixing,
+    op7_token_files, op8_near_duplicates, op10_metric_join)}

@@ -189,9 +189,24 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id,
 FROM v JOIN comp USING (rid) LEFT JOIN n USING (rid)
 """
 
+_BASE32 = " || ".join(
+    f"translate(to_base(('0x' || substr(hex, {i}, 10))::BIGINT, 32, 8), "
+    "'0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+    for i in (1, 11, 21, 31))
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS largest FROM d),
+r AS (SELECT *, largest IS NOT NULL AND page_id IS DISTINCT FROM largest AS again FROM g)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+    CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN again THEN largest END AS refers_to FROM r
+"""
+
 SQL = {
     "op1_line_rules": line_rules_sql(),
     "op2_url_rules": url_rules_sql(),
+    "op4_warc": WARC_SQL,
     "op6_mixing": MIX_SQL,
     "op8_near_duplicates": NEAR_SQL,
     "op10_metric_join": VECTOR_SQL,
