@@ -54,8 +54,8 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def fold(doc_id: Column) -> Column:
-    """crc32 of the id written as text, modulo 5 (the id null: null)."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5
+    """crc32 of the id written as text, modulo 5 (0 for a null id)."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(0))
 
 
 def word_count(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, line_rules, metric_join, minhash, mix, pack, pfor, pu_quality, url_rules, warc
+from . import common, line_rules, lm, metric_join, minhash, mix, pack, pfor, pu_quality, url_rules, warc
 
 
 def op1_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,13 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs).drop("cls")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and attention-model scores of all documents."""
+    docs = common.table(spark, sf_dir, "documents")
+    return lm.score(docs.select("doc_id", "text", (common.fold(F.col("doc_id")) == 1)
+                                .alias("held_out")))
+
+
 def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at cosine 0.9."""
     return metric_join.near_duplicates(common.table(spark, sf_dir, "embeddings"))
@@ -71,4 +78,5 @@ def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_line_rules, op2_url_rules, op3_packing, op4_warc, op5_pu_quality, op6_mixing,
-    op7_token_files, op8_near_duplicates, op10_metric_join)}
+    op7_token_files, op8_near_duplicates, op9_lm_scoring,
+    op10_metric_join)}

@@ -62,6 +62,12 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+def word_hash(word: bytes) -> int:
+    """The hash of a word as a signed 64-bit number."""
+    h = _hashes[word]
+    return h - (1 << 64) if h >> 63 else h
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the 5-word shingles; fewer words make one shingle."""
     # on bytes, lower() folds A-Z only and split() cuts at the six ASCII white space characters
