@@ -1,0 +1,55 @@
+from filmgraph.llm import url_rules as U
+
+
+def verdicts(llm, urls, labelled=()):
+    pages = llm.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    marks = llm.createDataFrame(list(labelled), "url string, block boolean")
+    out = U.judge(pages.withColumnRenamed("page_id", "page_id"), marks)
+    return {r["page_id"]: r for r in out.collect()}
+
+
+def test_listed_rules_hosts_and_paths(llm):
+    got = verdicts(llm, [
+        "http://A.NET/x", "https://www.example.net/en/5?q", "https://example.net/enx",
+        "http://example.com/de/1", "http://notexample.com/de/1", "http://b.org/fr/", "http://net",
+        "no-scheme.net/x", None, "", "ftp://x.org?a=://b.net/", "http://example.net/en/"])
+    assert (got[0]["host"], got[0]["path"], got[0]["rule"]) == ("a.net", "/x", "net/")
+    assert (got[1]["rule"], got[1]["verdict"]) == ("example.net/en/", "allow")
+    assert (got[2]["rule"], got[2]["verdict"]) == ("net/", "block")
+    assert got[3]["rule"] == "example.com/de/" and got[4]["rule"] is None
+    assert (got[5]["rule"], got[5]["verdict"]) == ("org/fr/", "allow")
+    assert (got[6]["host"], got[6]["path"], got[6]["rule"]) == ("net", "", None)
+    for i in (7, 8, 9):
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"], got[i]["verdict"]) == (
+            "", "", None, "allow")
+    assert got[10]["host"] == "x.org" and got[10]["path"] == ""
+    assert got[11]["rule"] == "example.net/en/"
+
+
+def test_mined_combination_blocks_only_where_all_tokens_meet(llm):
+    labelled = ([(f"http://spam.com/shop/{i}", True) for i in range(10)]
+                + [(f"http://spam.com/news/{i}", False) for i in range(10)]
+                + [(f"http://good.com/shop/{i}", False) for i in range(10)]
+                + [(None, True), ("http://spam.com/x", None)])
+    got = verdicts(llm, ["http://spam.com/shop/99", "http://spam.com/news/99",
+                         "http://good.com/shop/99", "http://spam.com/shop/99"], labelled)
+    assert [got[i]["verdict"] for i in range(4)] == ["block", "allow", "allow", "block"]
+    assert got[0]["n_mined"] > 0 and got[0]["rule"] is None
+
+
+def test_empty_tables_and_clashing_columns(llm):
+    pages = llm.createDataFrame([(1, "http://a.com/", "v", "h")],
+                                "page_id long, url string, verdict string, host string")
+    none = llm.createDataFrame([], "url string, block boolean")
+    row = U.judge(pages, none).first()
+    assert (row["verdict"], row["host"]) == ("allow", "a.com")
+    assert U.judge(pages.limit(0), none).count() == 0
+
+
+def test_labels_of_a_page_are_joined_by_id_with_nulls(llm):
+    pages = llm.createDataFrame([(1, "u1"), (2, "u2"), (3, None), (None, "u4")],
+                                "page_id long, url string")
+    labels = llm.createDataFrame([(1, 1, 0), (1, 0, None), (2, None, 0), (3, 1, 1), (None, 0, 1)],
+                                 "doc_id long, quality int, toxic int")
+    got = {r["url"]: r["block"] for r in U.labelled_urls(pages, labels).collect()}
+    assert got == {"u1": True, "u2": False, None: True}
