@@ -11,10 +11,10 @@ with probability 4e-7.
 No bucket is expanded into pairs. Documents with equal sets collapse first. Then
 (1) every class is verified against the smallest id of its buckets, and components are formed;
 (2) in buckets that still hold more than one component, members outside the bucket's main component
-meet all members of other components: members are dealt into blocks, the few others stream past each
-block, sketches are compared inside the task and only pairs whose sketches agree well enough leave
-it. Those are verified on their full shingle sets, and components are formed again. Every pair of
-a bucket is thus either connected already or compared.
+meet all members of other components: members are dealt into blocks and the others stream past each
+block. A first pass compares sketches and keeps the rows with a likely partner, a second compares
+the full shingle sets of those and hands on the links that join components. Components are then
+formed again. Every pair of a bucket is thus either connected already or compared.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ SIZE = BANDS * ROWS
 # Pairs whose sketches agree on a smaller share are not verified: at similarity 0.85 the share has a
 # standard deviation below 0.032, so 0.70 lies more than 4.6 of them away.
 MIN_SHARE = 0.70
-BLOCK = 2048                      # members of a bucket compared in one task
+BLOCK = 1024                      # members of a bucket compared in one task
 CACHE_WORDS = 500_000
 
 # Odd multipliers that tell the places of a shingle apart, and the finaliser's.
@@ -143,19 +143,24 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "sketch").mapInPandas(run, "key long, rep long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose full shingle sets are similar enough."""
+def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, items) with the full sorted shingle sets of ``ids(doc_id)``, written."""
     def sets(frames):
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "items": [
                 shingles(t if isinstance(t, str) else None).view(np.int64)
                 for t in frame["text"]]})
 
-    ids = common.written(pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct(), "candidates")
+    wanted = common.written(ids.distinct(), "candidates")
     texts = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
-             .join(common.bounded(ids), "doc_id", "left_semi"))
-    full = common.written(texts.mapInPandas(sets, "doc_id long, items array<long>"), "sets")
+             .join(common.bounded(wanted), "doc_id", "left_semi"))
+    return common.written(texts.mapInPandas(sets, "doc_id long, items array<long>"), "sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose full shingle sets are similar enough."""
+    full = _sets(pairs.select(F.col("a").alias("doc_id")).unionByName(
+        pairs.select(F.col("b").alias("doc_id"))), docs)
     side = {x: full.select(F.col("doc_id").alias(x), F.col("items").alias(f"{x}_items"))
             for x in "ab"}
     both = F.size(F.array_intersect("a_items", "b_items"))
@@ -164,10 +169,13 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                           .filter(100 * both >= PERCENT * union).select("a", "b"), "links")
 
 
-def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and whose sketches agree enough.
+def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame,
+              docs: DataFrame) -> DataFrame:
+    """Verified links ``(a, b)`` that connect all components with a link between them in a bucket.
 
-    ``members(key, rep)`` are the buckets with two classes or more.
+    ``members(key, rep)`` are the buckets with two classes or more. Two passes over blocks: the
+    first compares sketches and passes on the rows with a likely partner, the second compares the
+    full sets of those. Pairs stay inside the tasks.
     """
     labelled = common.written(
         members.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
@@ -187,45 +195,110 @@ def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame) -> DataF
     copies = F.when(F.col("comp") != F.col("main"), F.concat(copies, strangers)).otherwise(copies)
     dealt = rows.select("key", "rep", "comp", F.explode(copies).alias("x")).select(
         "key", "rep", "comp", "x.*")
-    dealt = dealt.join(classes.select("rep", "sketch"), "rep")
-    dealt = (dealt.repartition("key", "block")
-             .sortWithinPartitions("key", "block", "role"))
-    found = dealt.select("key", "block", "role", "rep", "comp", "sketch").mapInPandas(
-        _compare, "a long, b long")
-    return common.written(found.distinct(), "crossing")
-
-
-def _compare(frames):
-    """Streams rows sorted by bucket, block and role: the members of a block are held, the
-    strangers behind them are compared frame by frame."""
-    at, reps, comps, held = None, [], [], []
+    likely = common.written(
+        _by_block(dealt.join(classes.select("rep", "sketch"), "rep"), "sketch")
+        .mapInPandas(_likely, LIKELY).distinct(), "likely")
+    sets = _sets(likely.select(F.col("rep").alias("doc_id")), docs)
+    full = likely.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    return common.written(_by_block(full, "items").mapInPandas(_linked, "a long, b long")
+                          .distinct(), "crossing")
+
+
+LIKELY = "key long, block int, role int, rep long, comp long"
+
+
+def _by_block(rows: DataFrame, payload: str) -> DataFrame:
+    return (rows.select("key", "block", "role", "rep", "comp", payload)
+            .repartition("key", "block").sortWithinPartitions("key", "block", "role"))
+
+
+def _runs(frames):
+    """(block, role, rows) for each run of equal bucket, block and role in sorted frames."""
     for frame in frames:
         keys = list(zip(frame["key"], frame["block"], frame["role"], strict=True))
         cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-        rep, comp = frame["rep"].to_numpy(), frame["comp"].to_numpy()
-        out = []
         for lo, hi in zip(cuts, cuts[1:], strict=False):
-            if lo == hi:
-                continue
-            if keys[lo][:2] != at:
-                at, reps, comps, held = keys[lo][:2], [], [], []
-            rows = np.frombuffer(b"".join(frame["sketch"].iloc[lo:hi]), np.uint32).reshape(-1, SIZE)
-            if keys[lo][2] == 0:
-                reps.append(rep[lo:hi])
-                comps.append(comp[lo:hi])
-                held.append(rows)
+            if lo < hi:
+                yield keys[lo][:2], keys[lo][2], frame.iloc[lo:hi]
+
+
+def _likely(frames):
+    """Rows sorted by bucket, block and role: the members of a block are held, the strangers behind
+    them stream past. Passes on both sides of every pair of components whose sketches agree."""
+    at, parts, held, hit = None, [], None, None
+
+    def flagged():
+        return [held.loc[hit, [c.split()[0] for c in LIKELY.split(", ")]]] if held is not None \
+            and hit.any() else []
+
+    for block, role, rows in _runs(frames):
+        if block != at:
+            yield from flagged()
+            at, parts, held = block, [], None
+        if role == 0:
+            parts.append(rows)
+            continue
+        if held is None:
+            if not parts:
                 continue
-            if len(held) > 1:
-                reps, comps, held = ([np.concatenate(x)] for x in (reps, comps, held))
-            if not held:
+            held = pd.concat(parts, ignore_index=True)
+            sketches = _matrix(held["sketch"])
+            comp = held["comp"].to_numpy()
+            hit = np.zeros(len(held), dtype=bool)
+        own = _matrix(rows["sketch"])
+        near = np.zeros(len(rows), dtype=bool)
+        for i, c in enumerate(rows["comp"].to_numpy()):
+            close = ((sketches == own[i]).mean(axis=1) >= MIN_SHARE) & (comp != c)
+            hit |= close
+            near[i] = close.any()
+        if near.any():
+            yield rows.loc[near, [c.split()[0] for c in LIKELY.split(", ")]]
+    yield from flagged()
+
+
+def _matrix(sketches) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint32).reshape(-1, SIZE)
+
+
+def _linked(frames):
+    """Like ``_likely`` on full sets: links that join components of a block, a spanning forest."""
+    at, parts, held = None, [], None
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    for block, role, rows in _runs(frames):
+        if block != at:
+            at, parts, held, root = block, [], None, {}
+        if role == 0:
+            parts.append(rows)
+            continue
+        if held is None:
+            if not parts:
                 continue
-            for i in range(lo, hi):
-                share = (held[0] == rows[i - lo]).mean(axis=1)
-                near = np.flatnonzero((share >= MIN_SHARE) & (comps[0] != comp[i]))
-                out.append((np.minimum(reps[0][near], rep[i]), np.maximum(reps[0][near], rep[i])))
+            held = pd.concat(parts, ignore_index=True)
+            sizes = held["items"].map(len).to_numpy()
+            first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            known, index = np.unique(np.concatenate(list(held["items"])), return_inverse=True)
+            rep, comp = held["rep"].to_numpy(), held["comp"].to_numpy()
+        out = []
+        for r, c, items in zip(rows["rep"], rows["comp"], rows["items"], strict=True):
+            mark = np.zeros(len(known), dtype=np.int32)
+            place = np.searchsorted(known, items)
+            place[place == len(known)] = 0
+            mark[place[known[place] == items]] = 1
+            both = np.add.reduceat(mark[index], first)
+            links = 100 * both >= PERCENT * (sizes + len(items) - both)
+            for j in np.flatnonzero(links & (comp != c)):
+                x, y = find(int(comp[j])), find(int(c))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((int(rep[j]), int(r)))
         if out:
-            yield pd.DataFrame({"a": np.concatenate([x for x, _ in out]),
-                                "b": np.concatenate([y for _, y in out])})
+            yield pd.DataFrame(out, columns=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -252,8 +325,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("center").alias("a")).select("a", F.col("rep").alias("b")), "star-pairs")
     links = _verified(first, docs)
     comps = common.components(links)
-    crossing = _crossing(members.select("key", "rep"), classes, comps)
-    links = links.unionByName(_verified(crossing, docs))
+    links = links.unionByName(_crossing(members.select("key", "rep"), classes, comps, docs))
     # a document whose rows have several texts belongs to several classes: tie them
     several = common.written(
         rows.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id")
