@@ -18,7 +18,6 @@ driver). The share is a fixed fraction of the training documents, so it grows wi
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common, minhash, tokens
+from . import common, tokens
+from .hashing import word_hashes
 
 CONTEXT, STEP = 32, 32
 WIDTH = 16                        # of embeddings, keys, queries and values
@@ -36,7 +36,7 @@ CLASSES, SINGLES = 64, 40         # the most frequent tokens are classes of thei
 OWN_ROWS, SHARED_ROWS = 8192, 256  # input rows: frequent tokens, and buckets for the others
 FREQUENT = 200_000
 BATCH = 64                        # windows handled at once
-FLUSH_WORDS = 200_000
+COUNT_WORDS = 2_000_000         # words a task counts at once
 
 
 @dataclass(frozen=True)
@@ -243,27 +243,25 @@ def _lowered(text: str | None) -> str:
 def _word_counts(docs: DataFrame) -> DataFrame:
     """(h, c) of all words of the training documents, written; tasks count before they shuffle."""
     def run(frames):
-        seen: Counter = Counter()
-
-        def flushed():
-            out = pd.DataFrame({"h": np.fromiter(map(minhash.word_hash, seen), np.int64, len(seen)),
-                                "c": np.fromiter(seen.values(), np.int64, len(seen))})
-            seen.clear()
-            return out
-
+        waiting, n = [], 0
         for frame in frames:
-            for text in frame["text"]:
-                if isinstance(text, str):
-                    seen.update(text.encode("utf-8", "replace").lower().split())
-                if len(seen) >= FLUSH_WORDS:
-                    yield flushed()
-        if seen:
-            yield flushed()
+            waiting += [word_hashes(t if isinstance(t, str) else None) for t in frame["text"]]
+            n += sum(map(len, waiting[-len(frame):]))
+            if n >= COUNT_WORDS:
+                yield _counted(waiting)
+                waiting, n = [], 0
+        if waiting:
+            yield _counted(waiting)
 
     counted = docs.filter("not held_out").select("text").mapInPandas(run, "h long, c long")
     return common.written(counted.groupBy("h").agg(F.sum("c").alias("c")), "word-counts")
 
 
+def _counted(hashes: list[np.ndarray]) -> pd.DataFrame:
+    h, c = np.unique(np.concatenate(hashes).view(np.int64), return_counts=True)
+    return pd.DataFrame({"h": h, "c": c})
+
+
 def _read(docs: DataFrame, frequent: pd.DataFrame, norm: float, end_count: int, file: str):
     """One row per document, written: key, doc_id, held_out, n_tokens, known and base over the
     frequent words and the end, rare words (hash, count) and subword ids."""
@@ -276,16 +274,15 @@ def _read(docs: DataFrame, frequent: pd.DataFrame, norm: float, end_count: int,
         part, place = TaskContext.get().partitionId(), 0
         for frame in frames:
             out = []
-            for doc_id, held, text in zip(frame["doc_id"], frame["held_out"], frame["text"],
-                                          strict=True):
-                text = text if isinstance(text, str) else None
-                words = text.encode("utf-8", "replace").lower().split() if text else []
-                h, n = np.unique(np.fromiter(map(minhash.word_hash, words), np.int64, len(words)),
-                                 return_counts=True)
+            texts = [t if isinstance(t, str) else None for t in frame["text"]]
+            subwords = coder.batch([_lowered(t) for t in texts])
+            for doc_id, held, text, ids in zip(frame["doc_id"], frame["held_out"], texts, subwords,
+                                               strict=True):
+                words = word_hashes(text).view(np.int64)
+                h, n = np.unique(words, return_counts=True)
                 at = np.searchsorted(keys, h)
                 hit = keys.take(at, mode="clip") == h if len(keys) else np.zeros(len(h), bool)
                 base = end_value + float((n[hit] * value[at[hit]]).sum())
-                ids = coder.ids(_lowered(text))
                 small = not len(ids) or int(ids.max()) < 1 << 16
                 out.append(((part << 33) + place, doc_id, bool(held), len(words) + 1,
                             int(n[hit].sum()) + (end_count > 0), base, h[~hit],

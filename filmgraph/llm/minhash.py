@@ -23,11 +23,11 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .hashing import mix64, word_hashes
 
 SHINGLE = 5
 PERCENT = 85                      # 100 * intersection >= PERCENT * union
@@ -37,48 +37,21 @@ SIZE = BANDS * ROWS
 # standard deviation below 0.032, so 0.70 lies more than 4.6 of them away.
 MIN_SHARE = 0.70
 BLOCK = 1024                      # members of a bucket compared in one task
-CACHE_WORDS = 500_000
 
-# Odd multipliers that tell the places of a shingle apart, and the finaliser's.
+# Odd multipliers that tell the places of a shingle apart.
 _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                    0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], dtype=np.uint64)
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def mix64(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_hashes = _WordHashes()
-
-
-def word_hash(word: bytes) -> int:
-    """The hash of a word as a signed 64-bit number."""
-    h = _hashes[word]
-    return h - (1 << 64) if h >> 63 else h
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the 5-word shingles; fewer words make one shingle."""
-    # on bytes, lower() folds A-Z only and split() cuts at the six ASCII white space characters
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = min(SHINGLE, len(words))
-    total = np.full(len(words) - n + 1, n, dtype=np.uint64)
+    h = word_hashes(text)
+    if not len(h):
+        return h
+    n = min(SHINGLE, len(h))
+    total = np.full(len(h) - n + 1, n, dtype=np.uint64)
     for i in range(n):
-        total += h[i:len(words) - n + 1 + i] * _PLACE[i]
+        total += h[i:len(h) - n + 1 + i] * _PLACE[i]
     return np.unique(mix64(total))
 
 

@@ -49,10 +49,10 @@ def queue_ids(docs: DataFrame, packing: Packing) -> DataFrame:
         behind: dict = {}
         for frame in frames:
             out = []
-            for doc_id, source, text in zip(frame["doc_id"], frame["source"], frame["text"],
-                                            strict=True):
+            for doc_id, source, ids in zip(frame["doc_id"], frame["source"],
+                                           coder.batch(frame["text"]), strict=True):
                 source = source if isinstance(source, str) else None
-                ids = np.concatenate([coder.ids(text), end])
+                ids = np.concatenate([ids, end])
                 at = behind.get(source, 0)
                 behind[source] = at + len(ids)
                 small = int(ids.max()) < 1 << 16

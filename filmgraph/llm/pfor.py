@@ -158,9 +158,8 @@ def write(docs: DataFrame, path: str, output: Output | None = None) -> None:
 
         def documents():
             for frame in frames:
-                for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                    yield (None if pd.isna(doc_id) else int(doc_id),
-                           np.concatenate([coder.ids(text), end]))
+                for doc_id, ids in zip(frame["doc_id"], coder.batch(frame["text"]), strict=True):
+                    yield None if pd.isna(doc_id) else int(doc_id), np.concatenate([ids, end])
 
         number = TaskContext.get().partitionId()
         for segment in file_segments(documents(), number, output.percentile):

@@ -1,21 +1,31 @@
 """Token ids of whole texts by the ``tokenizers`` library.
 
-A byte-level tokenizer of this kind never joins a non-space character with a space behind it, so a
-text may be cut before any space that follows a non-space character, and before the last space of a
-run that a non-space character ends. Pieces recur, so their ids are looked up in a dictionary that
-the library fills; texts with other white space shapes go to the library whole.
+A byte-level tokenizer of this kind first splits a text by a pattern, and always splits between a
+non-space character and the white space behind it, around a line feed, and between a letter and a
+full stop or comma; longer runs of white space aside, where such texts go to the library whole. So a
+batch of texts is cut at those places, equal pieces are found by 64-bit hashes within the batch, and
+each different piece is looked up in a bounded table that the library's model fills. Tests hold the
+ids against the library's for whole texts.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
-CACHE_PIECES = 300_000
-CACHE_CHARS = 40
-# white space, a space, then white space or the end: cutting before that space could change ids
-_UNSAFE = re.compile(r"\s (?:\s|$)")
+from .hashing import hash_ranges
+
+TABLE_PIECES = 500_000
+BATCH_BYTES = 1 << 20             # texts hashed at once; longer ones are cut piece by piece
+# runs of white space whose inner cuts could change ids
+_UNSAFE = re.compile(r"\s\s(?:\s|$)")
+_CUT = re.compile(r"(?=[ \n])|(?<=\n)|(?<=[A-Za-z])(?=[.,])")
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+_STOP = np.zeros(256, dtype=bool)
+_STOP[[ord("."), ord(",")]] = True
 
 
 def default_path() -> str:
@@ -24,30 +34,12 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Pieces(dict):
-    """Ids (as bytes of little-endian uint32) of a piece with the space before it. Bounded: a full
-    generation becomes the older one, from which pieces still in use come back."""
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = encode(self.tokenizer, " " + piece)
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_PIECES:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-def encode(tokenizer, text: str) -> bytes:
-    ids = tokenizer.encode(text, add_special_tokens=False).ids
-    return np.asarray(ids, dtype="<u4").tobytes()
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable latin-1
+    characters stand for themselves, the others follow from U+0100 on."""
+    own = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace() and b != 0xAD]
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
 class Encoder:
@@ -57,17 +49,100 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.pieces = _Pieces(self.tokenizer)
+        self.model = self.tokenizer.model
+        letters = byte_letters()
+        self.letters, self.space = str.maketrans(dict(enumerate(letters))), letters[0x20]
+        self.stops = {s: self.whole(s) for s in ".,"}
+        self._reset()
+
+    def _reset(self) -> None:
+        self.table: dict[bytes, int] = {}          # piece -> row of first and count
+        self.first, self.count, self.store = array("q"), array("q"), array("I")
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _word(self, word: str) -> list[int]:
+        """Ids of letters with at most a space before them: one token before the merges."""
+        if word.isascii():
+            letters = word.replace(" ", self.space)
+        else:
+            letters = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(letters)]
+
+    def _piece(self, piece: str) -> list[int]:
+        bare = piece[1:] if piece[:1] == " " else piece
+        if bare.isalpha():
+            return self._word(piece)
+        if bare[-1:] in (".", ",") and bare[:-1].isalpha():
+            return self._word(piece[:-1]) + self.stops[bare[-1]]
+        return self.whole(piece)
+
+    def _row(self, piece: bytes) -> int:
+        ids = self._piece(piece.decode("utf-8"))
+        row = self.table[piece] = len(self.first)
+        self.first.append(len(self.store))
+        self.count.append(len(ids))
+        self.store.extend(ids)
+        return row
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of a text as uint32 (null and empty: none)."""
-        if not text:
-            return np.zeros(0, dtype="<u4")
-        if _UNSAFE.search(text):
-            return np.frombuffer(encode(self.tokenizer, text), dtype="<u4")
-        first, *rest = text.split(" ")
-        head = encode(self.tokenizer, first) if first else b""
-        return np.frombuffer(head + b"".join(map(self.pieces.__getitem__, rest)), dtype="<u4")
+        return self.batch([text])[0]
+
+    def batch(self, texts) -> list[np.ndarray]:
+        """Ids of each text."""
+        out: list[np.ndarray] = [np.zeros(0, dtype="<u4")] * len(texts)
+        waiting, size = [], 0
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if _UNSAFE.search(text):
+                out[i] = np.asarray(self.whole(text), dtype="<u4")
+                continue
+            raw = text.encode("utf-8")
+            if len(raw) > BATCH_BYTES:
+                pieces = filter(None, _CUT.split(text))
+                out[i] = np.fromiter((x for p in pieces for x in self._piece(p)), dtype="<u4")
+                continue
+            waiting.append((i, raw))
+            size += len(raw)
+            if size >= BATCH_BYTES:
+                self._fill(out, waiting)
+                waiting, size = [], 0
+        if waiting:
+            self._fill(out, waiting)
+        return out
+
+    def _fill(self, out: list[np.ndarray], texts: list[tuple[int, bytes]]) -> None:
+        if len(self.table) > TABLE_PIECES:
+            self._reset()
+        buffer = b"".join(raw for _, raw in texts)
+        data = np.frombuffer(buffer, dtype=np.uint8)
+        ends = np.cumsum([len(raw) for _, raw in texts])
+        feed = data == 0x0A
+        begins = (data == 0x20) | feed
+        begins[1:] |= feed[:-1] | (_STOP[data[1:]] & _LETTER[data[:-1]])
+        begins[0] = True
+        begins[ends[:-1]] = True
+        start = np.flatnonzero(begins)
+        end = np.append(start[1:], len(data))
+        _, one, which = np.unique(hash_ranges(data, start, end), return_index=True,
+                                  return_inverse=True)
+        get, add = self.table.get, self._row
+        rows = []
+        for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True):
+            row = get(piece := buffer[a:b])
+            rows.append(add(piece) if row is None else row)
+        rows = np.asarray(rows)
+        first = np.frombuffer(self.first, dtype=np.int64)[rows][which]
+        count = np.frombuffer(self.count, dtype=np.int64)[rows][which]
+        behind = np.cumsum(count)
+        flat = np.frombuffer(self.store, dtype="<u4")[
+            np.arange(behind[-1]) + np.repeat(first - behind + count, count)]
+        upto = behind[np.searchsorted(start, ends) - 1]
+        for (i, _), a, b in zip(texts, [0, *upto[:-1]], upto, strict=True):
+            out[i] = flat[a:b]
 
 
 _encoders: dict[str, Encoder] = {}
