@@ -61,28 +61,38 @@ def text_regex(col: Column | str, pattern: str) -> Column:
     return _c(col).rlike(rf"\A(?:{pattern})\z")
 
 
-def between(col: Column | str, low, high) -> Column:
+def _lit(value, dtype) -> Column:
+    """A literal of the property's type: a float property compared with 8.7 must meet the float
+    nearest to 8.7, not the double."""
+    return F.lit(value) if dtype is None else F.lit(value).cast(dtype)
+
+
+def equal(col: Column | str, value, dtype=None) -> Column:
+    return _c(col) == _lit(value, dtype)
+
+
+def between(col: Column | str, low, high, dtype=None) -> Column:
     """Inclusive lower bound, exclusive upper bound (``low <= x < high``)."""
     c = _c(col)
-    return (c >= low) & (c < high)
+    return (c >= _lit(low, dtype)) & (c < _lit(high, dtype))
 
 
-def inside(col: Column | str, low, high) -> Column:
+def inside(col: Column | str, low, high, dtype=None) -> Column:
     c = _c(col)
-    return (c > low) & (c < high)
+    return (c > _lit(low, dtype)) & (c < _lit(high, dtype))
 
 
-def outside(col: Column | str, low, high) -> Column:
+def outside(col: Column | str, low, high, dtype=None) -> Column:
     c = _c(col)
-    return (c < low) | (c > high)
+    return (c < _lit(low, dtype)) | (c > _lit(high, dtype))
 
 
-def within(col: Column | str, values: Iterable) -> Column:
-    return _c(col).isin(list(values))
+def within(col: Column | str, values: Iterable, dtype=None) -> Column:
+    return _c(col).isin([_lit(v, dtype) for v in values])
 
 
-def without(col: Column | str, values: Iterable) -> Column:
-    return ~_c(col).isin(list(values))
+def without(col: Column | str, values: Iterable, dtype=None) -> Column:
+    return ~within(col, values, dtype)
 
 
 def set_contains(col: Column | str, value) -> Column:

@@ -8,12 +8,14 @@ calls the injected ``fetch`` for its rows inside ``mapInPandas``.
 ``fetch(ref) -> str | None`` receives ``"tt" + imdbId`` and returns the answer text; raising or
 returning None counts as a failed attempt. Failed attempts are retried with exponential backoff
 (``delay * base**i`` seconds before retry ``i``) up to ``max_retries`` times within a total
-``max_wait`` budget; a link that never succeeds lands with a null answer and is tried again on the
+``max_wait`` budget, which also ends a call that does not return; a link that never succeeds lands with a null answer and is tried again on the
 next run.
 """
 
 from __future__ import annotations
 
+import queue
+import threading
 import time
 from collections.abc import Callable, Iterator
 
@@ -28,6 +30,26 @@ from ..functions import text
 # backoff base, total wait in seconds) and the task count of the original fetch job.
 MAX_RETRIES, FIRST_DELAY, BACKOFF_BASE, MAX_WAIT = 6, 1.0, 2.0, 70.0
 FETCH_PARTITIONS = 128
+# Links per landed batch.
+BATCH_LINKS = 20_000
+
+
+def call_until(fetch: Callable[[str], str | None], ref: str, seconds: float) -> str | None:
+    """One attempt that ends after ``seconds`` at the latest: the call runs on a thread of its own,
+    which is left behind if it does not return. None for a failed or late call."""
+    answers: queue.Queue = queue.Queue(1)
+
+    def run():
+        try:
+            answers.put(fetch(ref))
+        except Exception:  # noqa: BLE001 - any transport error is a failed attempt
+            answers.put(None)
+
+    threading.Thread(target=run, daemon=True).start()
+    try:
+        return answers.get(timeout=max(seconds, 0.001))
+    except queue.Empty:
+        return None
 
 
 def call_with_backoff(fetch: Callable[[str], str | None], ref: str,
@@ -38,10 +60,7 @@ def call_with_backoff(fetch: Callable[[str], str | None], ref: str,
     """One answer, or None when every attempt failed or the time budget ran out."""
     start = clock()
     for attempt in range(max_retries + 1):
-        try:
-            answer = fetch(ref)
-        except Exception:  # noqa: BLE001 - any transport error is a failed attempt
-            answer = None
+        answer = call_until(fetch, ref, max_wait - (clock() - start))
         if answer is not None:
             return answer
         if attempt == max_retries:

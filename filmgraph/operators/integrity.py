@@ -63,10 +63,12 @@ def _split(flagged: DataFrame, reasons: list) -> Checked:
 
 # ---------------------------------------------------------------- V1 unique keys
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys held by more than one row, and the null key if present: ``key, n``."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            .where((F.col("n") > 1) | F.col(key).isNull()))
+def duplicate_keys(df: DataFrame, key: str, nulls_allowed: bool = False) -> DataFrame:
+    """Keys held by more than one row, and the null key if present (unless allowed): ``key, n``."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    if nulls_allowed:
+        return per_key.where((F.col("n") > 1) & F.col(key).isNotNull())
+    return per_key.where((F.col("n") > 1) | F.col(key).isNull())
 
 
 def unique_report(df: DataFrame, label: str, prop: str) -> DataFrame:
@@ -82,19 +84,26 @@ def unique_report(df: DataFrame, label: str, prop: str) -> DataFrame:
 
 
 def enforce_unique(df: DataFrame, keys: list[str] | str, mode: str = "fail",
-                   label: str = "vertex") -> Checked:
-    """V1: every key property identifies at most one row and is never null."""
+                   label: str = "vertex", nulls_allowed: bool = False) -> Checked:
+    """V1: every key property identifies at most one row and is never null (unless allowed).
+
+    ``quarantine`` first collapses identical rows: copies of one row hold one key once.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if mode == "fail":
-        found = _first_violations([duplicate_keys(df, key) for key in keys])
+        found = _first_violations([duplicate_keys(df, key, nulls_allowed) for key in keys])
         for key, sample in zip(keys, found):
             if sample:
+                total = duplicate_keys(df, key, nulls_allowed).count()
                 shown = ", ".join(f"{r[key]!r} x{r['n']}" for r in sample)
-                raise IntegrityError(f"{label}.{key} is not unique: {shown}")
+                raise IntegrityError(f"{label}.{key} is not unique ({total} keys): {shown}")
+        return Checked(df, _no_rejects(df))
+    if not any(_first_violations([duplicate_keys(df, key, nulls_allowed) for key in keys])):
         return Checked(df, _no_rejects(df))
+    df = df.dropDuplicates()
     flagged, reasons = df, []
     for i, key in enumerate(keys):
-        dups = sizing.materialize(duplicate_keys(df, key).select(key))
+        dups = sizing.materialize(duplicate_keys(df, key, nulls_allowed).select(key))
         if dups.rows:
             flagged = _flag(flagged, key, dups, f"_flag{i}")
             reasons.append(F.when(F.col(f"_flag{i}"), F.lit(f"duplicate or null {key}")))
@@ -185,8 +194,11 @@ def enforce_references(edges: DataFrame, checks: list[tuple[str, DataFrame, str]
                                    for col, vertices, key in checks])
         for (col, _, _), sample in zip(checks, found):
             if sample:
+                vertices, key = next((v, k) for c, v, k in checks if c == col)
+                total = dangling_keys(edges, col, vertices, key, small).count()
                 shown = ", ".join(repr(r[col]) for r in sample)
-                raise IntegrityError(f"{label}.{col} refers to missing vertices: {shown}")
+                raise IntegrityError(
+                    f"{label}.{col} refers to missing vertices ({total} keys): {shown}")
         return Checked(edges, _no_rejects(edges))
     flagged, reasons = edges, []
     for i, (col, vertices, key) in enumerate(checks):

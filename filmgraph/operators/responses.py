@@ -54,6 +54,18 @@ def classify(responses: DataFrame) -> DataFrame:
           for name, (key, convert) in J.ANSWER_FIELDS.items()])
 
 
+def current(responses: DataFrame) -> DataFrame:
+    """Landed rows without those an answer has made obsolete: a null answer stays only for a link
+    that has no other row with an answer, and once."""
+    has = F.col("response").isNotNull()
+    if ERROR_COL in responses.columns:
+        has = has | F.col(ERROR_COL).isNotNull()
+    answered = responses.where(has)
+    waiting = responses.where(~has).dropDuplicates(["movieId"])
+    known = answered.select("movieId").where(F.col("movieId").isNotNull()).distinct()
+    return answered.unionByName(waiting.join(known, "movieId", "left_anti"))
+
+
 def records(classified: DataFrame) -> DataFrame:
     """The ``ok`` rows as parsed movie records (MOVIE_OMDB schema)."""
     ok = classified.where(F.col("status") == "ok")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from ..operators import edges as E
 from ..operators import enrich, integrity, responses, sizing
 from ..operators import vertices as V
+from ..sources import dataset
 from ..sources.graphstore import Graph
 
 
@@ -33,7 +34,7 @@ class Tables:
 
 
 def movie_tables(movies: DataFrame, mode: str = "fail") -> Tables:
-    """MOVIE, YEAR, GENRE, RELEASED_IN, CATEGORIZED_AS from movie rows (LoadMovies)."""
+    """MOVIE, YEAR, GENRE, RELEASED_IN, CATEGORIZED_AS from movie rows."""
     parsed = V.parse_movies(movies)
     checked = integrity.enforce_unique(parsed, "movieId", mode, "MOVIE")
     parsed = checked.accepted
@@ -47,7 +48,7 @@ def movie_tables(movies: DataFrame, mode: str = "fail") -> Tables:
 
 
 def rating_tables(ratings: DataFrame, movies: DataFrame, mode: str = "fail") -> Tables:
-    """USER and RATED_AS from rating rows; every rated movie must exist (LoadUserRatings)."""
+    """USER and RATED_AS from rating rows; every rated movie must exist."""
     checked = integrity.enforce_references(
         E.rated_as_edges(ratings), [("dst", movies, "movieId")], mode, "RATED_AS")
     return Tables(vertices={"USER": V.user_vertices(ratings)},
@@ -57,7 +58,7 @@ def rating_tables(ratings: DataFrame, movies: DataFrame, mode: str = "fail") ->
 
 def genome_tables(tags: DataFrame, scores: DataFrame, movies: DataFrame,
                   mode: str = "fail") -> Tables:
-    """TAG and ESTIMATED_AT; tag ids/names unique, both endpoints must exist (LoadGenomeTags)."""
+    """TAG and ESTIMATED_AT; tag ids/names unique, both endpoints must exist."""
     tag_check = integrity.enforce_unique(V.tag_vertices(tags), ["tagId", "tagName"], mode, "TAG")
     tag_v = tag_check.accepted
     edge_check = integrity.enforce_references(
@@ -71,7 +72,7 @@ def omdb_tables(answers: DataFrame, movies: DataFrame, links: DataFrame | None =
                 mode: str = "fail", classified: DataFrame | None = None,
                 stage: Callable[[DataFrame, str], DataFrame] | None = None,
                 malformed: int | None = None) -> Tables:
-    """Enriched MOVIE plus the five credit labels and their edges (LoadOmdbProperties).
+    """Enriched MOVIE plus the five credit labels and their edges.
 
     ``classified`` may be passed when the caller has already classified and staged the answers;
     otherwise they are classified and checkpointed here, so the checks and the ten credit tables
@@ -91,14 +92,23 @@ def omdb_tables(answers: DataFrame, movies: DataFrame, links: DataFrame | None =
     refs = integrity.enforce_references(
         unique.accepted, [("movieId", movies, "movieId")], mode, "OMDB record")
     recs = refs.accepted
+    ids = integrity.enforce_unique(recs, "imdbId", mode, "OMDB record", nulls_allowed=True)
+    recs = ids.accepted
     link_rows = None
     rejected = {"omdb_malformed": responses.rejects(classified),
-                "omdb_duplicates": unique.rejected, "omdb_dangling": refs.rejected}
+                "omdb_duplicates": unique.rejected, "omdb_dangling": refs.rejected,
+                "omdb_imdb_duplicates": ids.rejected}
     if links is not None:
-        link_check = integrity.enforce_unique(links, "movieId", mode, "link")
-        link_rows = link_check.accepted
-        rejected["links_duplicates"] = link_check.rejected
-    t = Tables(vertices={"MOVIE": enrich.enrich_movies(movies, recs, link_rows)},
+        checked = check_links(links, movies, mode)
+        link_rows = checked.accepted
+        rejected["links_rejected"] = checked.rejected
+    enriched = enrich.enrich_movies(movies, recs, link_rows)
+    if stage is not None:
+        enriched = stage(enriched, "movie_enriched")
+    # values that stay from earlier loads can still clash with the new ones
+    integrity.enforce_unique(enriched, ["movieImdbId", "movieTmdbId"], "fail", "MOVIE",
+                             nulls_allowed=True)
+    t = Tables(vertices={"MOVIE": enriched},
                rejected=rejected, extra={"records": recs, "classified": classified})
     credits = E.credit_items(recs)
     if stage is not None:
@@ -110,6 +120,27 @@ def omdb_tables(answers: DataFrame, movies: DataFrame, links: DataFrame | None =
     return t
 
 
+def check_links(links: DataFrame, movies: DataFrame, mode: str = "fail") -> integrity.Checked:
+    """Converted links (U2) that pass all checks: numeric ids, one link per movie, one movie per tmdb
+    id, and a movie that exists. Rejects keep the row with its reason."""
+    converted = enrich.convert_links(links)
+    good = dataset.accepted(converted)
+    bad = dataset.rejected(converted)
+    if mode == "fail":
+        found = bad.limit(integrity.SAMPLE).collect()
+        if found:
+            raise integrity.IntegrityError("links with bad ids: " + ", ".join(
+                f"{r[dataset.RAW_COL]} ({r[dataset.ERROR_COL]})" for r in found))
+    movie = integrity.enforce_unique(good, "movieId", mode, "link")
+    refs = integrity.enforce_references(movie.accepted, [("movieId", movies, "movieId")], mode,
+                                        "link")
+    tmdb = integrity.enforce_unique(refs.accepted, "tmdbId", mode, "link", nulls_allowed=True)
+    rejected = bad
+    for part in (movie, refs, tmdb):
+        rejected = rejected.unionByName(part.rejected, allowMissingColumns=True)
+    return integrity.Checked(tmdb.accepted, rejected)
+
+
 def build_graph(inputs: dict[str, DataFrame], mode: str = "fail") -> Graph:
     """Every table of the graph from the six inputs (no writes)."""
     g = Graph()

@@ -8,28 +8,33 @@ original five batch jobs; ``load_all`` runs the four loads in order. Each job
    it needs);
 2. builds the label tables with :mod:`filmgraph.plans.build` (integrity checks on distinct key
    sets, see :mod:`filmgraph.operators.integrity`);
-3. writes every table with ``overwrite`` - re-running a job replaces its tables instead of
-   appending duplicates. Quarantined rows go to ``<graph>/_quarantine/<name>``.
+3. writes every table as its next version - re-running a job replaces its tables instead of
+   appending duplicates, and a job that stops half-way leaves the tables as they were (see
+   :mod:`filmgraph.sources.graphstore`). Quarantined rows go to ``<graph>/_quarantine/<name>``;
+   staged inputs are deleted when the job has succeeded.
 
 Run from the command line::
 
     python -m filmgraph.plans.load movies <dataset_root> <graph_root>
+    python -m filmgraph.plans.load fetch <dataset_root> <module:function>
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 from .. import session
 from ..operators import fetch as X
-from ..operators import responses
+from ..operators import integrity, responses
 from ..sources import graphstore as G
 from ..sources import dataset as io
 from . import build
@@ -39,6 +44,7 @@ from . import build
 class LoadReport:
     written: dict[str, str] = field(default_factory=dict)
     counters: dict[str, int] = field(default_factory=dict)
+    staged: list[str] = field(default_factory=list)
 
 
 def staging_path(graph_root: str, name: str) -> str:
@@ -49,10 +55,30 @@ def quarantine_path(graph_root: str, name: str) -> str:
     return f"{graph_root.rstrip('/')}/_quarantine/{name}"
 
 
+# Staged tables that are read by one value of a column are written in folders by that value.
+STAGED_BY = {"omdb_credits": "kind"}
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate table once and continue from the written copy."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    by = STAGED_BY.get(path.rsplit("/", 1)[1])
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _staged(df: DataFrame, graph_root: str, name: str, report: LoadReport) -> DataFrame:
+    """Stage a table of a job; the report remembers it for :func:`_drop_staging`."""
+    path = staging_path(graph_root, name)
+    report.staged.append(path)
+    return stage(df, path)
+
+
+def _drop_staging(spark: SparkSession, report: LoadReport) -> LoadReport:
+    for path in report.staged:
+        session.delete_folder(spark, path)
+    report.staged.clear()
+    return report
 
 
 def _read_mode(mode: str) -> str:
@@ -62,7 +88,7 @@ def _read_mode(mode: str) -> str:
 def _staged_input(spark: SparkSession, dataset_root: str, name: str, graph_root: str,
                   mode: str, report: LoadReport) -> DataFrame:
     raw = io.read_input(spark, io.dataset_path(dataset_root, name), name, _read_mode(mode))
-    staged = stage(raw, staging_path(graph_root, name))
+    staged = _staged(raw, graph_root, name, report)
     if mode != "quarantine":
         return staged
     _write_rejects(io.rejected(staged), graph_root, name, report)
@@ -77,15 +103,28 @@ def _write_rejects(df: DataFrame, graph_root: str, name: str, report: LoadReport
 
 def build_adjacency(spark: SparkSession, graph_root: str, label: str,
                     directions: tuple[str, ...] = ("out", "in")) -> list[str]:
-    """Write the clustered adjacency copies of a stored edge table (traversal access path)."""
-    edges = G.read_graph(spark, graph_root, [label]).E(label)
-    return [G.write_adjacency(edges, graph_root, label, d) for d in directions]
+    """Write the clustered adjacency copies of a stored edge table (traversal access path); streamed
+    batches that have no copy yet get theirs."""
+    schema = S.EDGES[label].schema
+    edges = spark.read.schema(schema).parquet(G.current(spark, G.edge_path(graph_root, label)))
+    streamed = G.stream_path(graph_root, "edges", label)
+    batches = [f"{name}/{epoch}" for name in session.list_folder(spark, streamed)
+               for epoch in session.list_folder(spark, f"{streamed}/{name}")]
+    paths = []
+    for d in directions:
+        copies = G.stream_path(graph_root, f"adjacency/{d}", label)
+        for batch in batches:
+            if not session.path_exists(spark, f"{copies}/{batch}/_SUCCESS"):
+                G.write_adjacency(spark.read.schema(schema).parquet(f"{streamed}/{batch}"),
+                                  graph_root, label, d, path=f"{copies}/{batch}")
+        paths.append(G.write_adjacency(edges, graph_root, label, d))
+    return paths
 
 
 def _refresh_adjacency(spark: SparkSession, graph_root: str, label: str) -> None:
     """Rebuild the adjacency copies that exist for ``label`` after its edges were rewritten."""
     present = tuple(d for d in G.NEAR
-                    if session.path_exists(spark, G.adjacency_path(graph_root, label, d)))
+                    if G.current(spark, G.adjacency_path(graph_root, label, d)))
     if present:
         build_adjacency(spark, graph_root, label, present)
 
@@ -95,8 +134,7 @@ def _refresh_adjacency(spark: SparkSession, graph_root: str, label: str) -> None
 CONCURRENT_WRITES = 4
 
 
-def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadReport,
-                  skip: tuple[str, ...] = ()) -> None:
+def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadReport) -> None:
     def vertex(label, df):
         return label, G.write_vertices(df, graph_root, label)
 
@@ -110,7 +148,7 @@ def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadRepor
         df.write.mode("overwrite").parquet(path)
         return f"_quarantine/{name}", path
 
-    tasks = [(vertex, label, df) for label, df in t.vertices.items() if label not in skip]
+    tasks = [(vertex, label, df) for label, df in t.vertices.items()]
     tasks += [(edge, label, df) for label, df in t.edges.items()]
     if mode == "quarantine":
         tasks += [(reject, name, df) for name, df in t.rejected.items()]
@@ -140,9 +178,39 @@ def load_movies(spark: SparkSession, dataset_root: str, graph_root: str,
                               if p not in MOVIE_OWN]
         merged = t.vertices["MOVIE"].select(*MOVIE_OWN).join(
             stored.select(*kept), "movieId", "left")
-        t.vertices["MOVIE"] = stage(merged, staging_path(graph_root, "movie_merged"))
+        t.vertices["MOVIE"] = _staged(merged, graph_root, "movie_merged", report)
+        _check_stored_edges(spark, graph_root, t, mode, report)
     _write_tables(t, graph_root, mode, report)
-    return report
+    return _drop_staging(spark, report)
+
+
+def _check_stored_edges(spark: SparkSession, graph_root: str, t: build.Tables, mode: str,
+                        report: LoadReport) -> None:
+    """V2 for a reload of MOVIE: edges stored by other jobs must still find their movies.
+
+    ``fail`` stops before anything is written; ``quarantine`` takes the edges of movies that are
+    gone out of their tables (streamed ones cannot be taken out and stop the job).
+    """
+    movies = t.vertices["MOVIE"]
+    for label, spec in S.EDGES.items():
+        ends = [(c, movies, "movieId") for c, end in (("src", spec.src), ("dst", spec.dst))
+                if end == "MOVIE"]
+        folder = G.current(spark, G.edge_path(graph_root, label))
+        if label in t.edges or not ends:
+            continue
+        streamed = G.stream_path(graph_root, "edges", label)
+        if session.path_exists(spark, streamed):
+            rows = spark.read.schema(spec.schema).option("recursiveFileLookup", "true").parquet(
+                streamed)
+            integrity.enforce_references(rows, ends, "fail", f"streamed {label}")
+        if folder:
+            checked = integrity.enforce_references(
+                spark.read.schema(spec.schema).parquet(folder), ends, mode, label)
+            if mode == "quarantine":
+                t.rejected[f"{label}_stored"] = rejected = _staged(
+                    checked.rejected, graph_root, f"{label}_stored", report)
+                if not rejected.isEmpty():
+                    t.edges[label] = _staged(checked.accepted, graph_root, label, report)
 
 
 # MOVIE properties written by the movie load itself (the rest come from the enrichment job).
@@ -156,7 +224,7 @@ def load_ratings(spark: SparkSession, dataset_root: str, graph_root: str,
     ratings = _staged_input(spark, dataset_root, "ratings", graph_root, mode, report)
     movies = _stored(spark, graph_root, "MOVIE")
     _write_tables(build.rating_tables(ratings, movies, mode), graph_root, mode, report)
-    return report
+    return _drop_staging(spark, report)
 
 
 def load_genome(spark: SparkSession, dataset_root: str, graph_root: str,
@@ -167,7 +235,7 @@ def load_genome(spark: SparkSession, dataset_root: str, graph_root: str,
     scores = _staged_input(spark, dataset_root, "genome_scores", graph_root, mode, report)
     movies = _stored(spark, graph_root, "MOVIE")
     _write_tables(build.genome_tables(tags, scores, movies, mode), graph_root, mode, report)
-    return report
+    return _drop_staging(spark, report)
 
 
 def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
@@ -175,8 +243,12 @@ def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
     """Credit labels and edges plus MOVIE enrichment from landed answers (and ``links.csv``)."""
     report = LoadReport()
     answers = io.read_omdb_responses(spark, dataset_root, _read_mode(mode))
-    observed, obs = responses.observe_counts(responses.classify(answers))
-    classified = stage(observed, staging_path(graph_root, "omdb_classified"))
+    classified = responses.classify(responses.current(answers))
+    # the answer text is only needed again where it could not be read
+    classified = classified.withColumn("response", F.when(F.col("status") == "malformed",
+                                                          F.col("response")))
+    observed, obs = responses.observe_counts(classified)
+    classified = _staged(observed, graph_root, "omdb_classified", report)
     report.counters.update(obs.get)
     links_path = io.dataset_path(dataset_root, "links")
     links = None
@@ -184,31 +256,37 @@ def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
         links = _staged_input(spark, dataset_root, "links", graph_root, mode, report)
     movies = _stored(spark, graph_root, "MOVIE")
     t = build.omdb_tables(None, movies, links, mode, classified=classified,
-                          stage=lambda df, name: stage(df, staging_path(graph_root, name)),
+                          stage=lambda df, name: _staged(df, graph_root, name, report),
                           malformed=report.counters["malformed"])
-    # Credit tables first: the enriched MOVIE replaces the table those plans were built from.
-    _write_tables(t, graph_root, mode, report, skip=("MOVIE",))
-    enriched = stage(t.vertices["MOVIE"], staging_path(graph_root, "movie_enriched"))
-    report.written["MOVIE"] = G.write_vertices(enriched, graph_root, "MOVIE")
+    # versions: the new MOVIE is written beside the one it is built from
+    _write_tables(t, graph_root, mode, report)
     for row in responses.entity_counts(t.extra["credits"]).collect():   # five rows
         report.counters[f"distinct_{row['kind']}"] = row["n_raw"]
         report.counters[f"distinct_{row['kind']}_names"] = row["n_names"]
-    return report
+    return _drop_staging(spark, report)
 
 
 def fetch_omdb(spark: SparkSession, dataset_root: str, fetch: Callable[[str], str | None],
-               partitions: int = X.FETCH_PARTITIONS, **retry) -> str:
-    """Fetch answers for links without one; the first run creates ``omdb-json/``, later runs
-    add a batch folder below it (the reader picks up sub-folders)."""
+               partitions: int = X.FETCH_PARTITIONS, batch_links: int = X.BATCH_LINKS,
+               **retry) -> list[str]:
+    """Fetch answers for links without one, in batches of about ``batch_links`` links; each batch
+    lands in a folder of its own below ``omdb-json/``, so a failure loses one batch at most and the
+    next run goes on from there. Returns the folders written."""
     links = io.read_links(spark, dataset_root)
     target = io.dataset_path(dataset_root, "omdb")
-    landed = None
-    if session.path_exists(spark, target):
-        landed = io.read_omdb_responses(spark, dataset_root)
-        target = f"{target}/batch-{uuid.uuid4().hex[:12]}"
-    fetched = X.fetch_missing(links, landed, fetch, partitions, **retry)
-    io.write_omdb_responses(fetched, target)
-    return target
+    landed = io.read_omdb_responses(spark, dataset_root) \
+        if session.path_exists(spark, target) else None
+    todo = stage(X.missing_links(links, landed),
+                 session.new_scratch(spark, "fetch"))
+    n = todo.count()
+    batches = max(1, -(-n // batch_links))
+    run, paths = uuid.uuid4().hex[:12], []
+    for i in range(batches if n else 0):
+        part = todo.where(F.pmod(F.xxhash64("movieId", "imdbId"), F.lit(batches)) == i)
+        fetched = X.fetch_missing(part, None, fetch, partitions, **retry)
+        paths.append(f"{target}/batch-{run}-{i:06d}")
+        io.write_omdb_responses(fetched, paths[-1])
+    return paths
 
 
 def load_all(spark: SparkSession, dataset_root: str, graph_root: str,
@@ -235,21 +313,34 @@ JOBS = {"movies": load_movies, "ratings": load_ratings, "genome": load_genome,
         "omdb": load_omdb, "all": load_all}
 
 
+def named_function(name: str) -> Callable:
+    """``module:function`` as a callable."""
+    module, _, attribute = name.partition(":")
+    if not attribute:
+        raise ValueError(f"{name!r} is not of the form module:function")
+    return getattr(importlib.import_module(module), attribute)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Load the film dataset into graph tables")
-    parser.add_argument("job", choices=sorted(JOBS))
+    parser.add_argument("job", choices=[*sorted(JOBS), "fetch"])
     parser.add_argument("dataset_root")
-    parser.add_argument("graph_root")
+    parser.add_argument("target", help="graph root, or (with 'fetch') module:function to call with "
+                                       "each reference")
     parser.add_argument("--mode", choices=["fail", "quarantine"], default="fail")
     parser.add_argument("--adjacency", default="",
                         help="comma-separated edge labels to give adjacency copies (with 'all')")
     args = parser.parse_args(argv)
     spark = session.build_session()
+    if args.job == "fetch":
+        for path in fetch_omdb(spark, args.dataset_root, named_function(args.target)):
+            print(path)
+        return
     if args.job == "all":
         labels = tuple(x for x in args.adjacency.split(",") if x)
-        report = load_all(spark, args.dataset_root, args.graph_root, args.mode, labels)
+        report = load_all(spark, args.dataset_root, args.target, args.mode, labels)
     else:
-        report = JOBS[args.job](spark, args.dataset_root, args.graph_root, args.mode)
+        report = JOBS[args.job](spark, args.dataset_root, args.target, args.mode)
     for name, path in sorted(report.written.items()):
         print(f"{name}\t{path}")
     for name, value in sorted(report.counters.items()):

@@ -104,8 +104,12 @@ SELECT CAST(p_partkey AS STRING) movieId, lpad(CAST(p_partkey AS STRING),7,'0')
    '","imdbRating":"',CAST(1+p_size%9 AS STRING),'.',CAST(p_partkey%10 AS STRING),
    '","imdbVotes":"',CAST(1+p_size AS STRING),',',lpad(CAST(p_partkey%1000 AS STRING),3,'0'),
    '","Response":"True"}') END response
-FROM part JOIN supplier ON s_suppkey=p_partkey%10
- JOIN customer ON c_custkey=p_partkey%150 JOIN nation ON n_nationkey=p_partkey%25""",
+FROM part LEFT JOIN (
+   SELECT l_partkey, arg_max(l_suppkey, l_orderkey*16+l_linenumber) AS sk,
+     arg_max(o_custkey, l_orderkey*16+l_linenumber) AS ck
+   FROM lineitem JOIN orders ON l_orderkey=o_orderkey GROUP BY l_partkey) x ON l_partkey=p_partkey
+ JOIN supplier ON s_suppkey=coalesce(sk, p_partkey%10)
+ JOIN customer ON c_custkey=coalesce(ck, p_partkey%150) JOIN nation ON n_nationkey=p_partkey%25""",
 }
 
 # ---------------------------------------------------------------- derived tables
@@ -382,3 +386,76 @@ SQL["fetch_missing_fake"] = with_ctes(
     "SELECT CAST(l.movieId AS BIGINT) AS movie_id, l.imdbId AS imdb_id, "
     "CAST(l.imdbId AS BIGINT) % 5 <> 0 AS has_response FROM fx_links l "
     "WHERE l.movieId NOT IN (SELECT movieId FROM fx_omdb WHERE response IS NOT NULL)")
+
+
+# ---------------------------------------------------------------- planted faults, later additions
+
+SQL["duplicate_keys"] = with_ctes("""
+, t AS (SELECT tagId, tag FROM fx_tags
+  UNION SELECT tagId, concat(tag, '-b') FROM fx_tags WHERE tagId % 5 = 0),
+d AS (SELECT *, count(*) OVER (PARTITION BY tagId) AS n FROM t)
+SELECT tagId AS tag_id, tag AS tag_name,
+  CASE WHEN n > 1 THEN 'duplicate or null tagId' END AS reason FROM d""")
+SQL["dangling_ratings"] = with_ctes("""
+SELECT userId AS src, movieId AS dst, CAST(CAST(rating AS FLOAT) AS DOUBLE) AS rating, timestamp,
+  CASE WHEN movieId % 17 = 0 THEN 'no vertex for dst' END AS reason FROM fx_ratings""")
+SQL["link_rejects"] = with_ctes("""
+, f AS (SELECT CASE WHEN CAST(movieId AS BIGINT) % 19 = 0 THEN concat('x', movieId) ELSE movieId END
+    AS movieId, imdbId, CASE WHEN CAST(movieId AS BIGINT) % 23 = 0 THEN 'abc'
+    WHEN CAST(movieId AS BIGINT) % 41 = 0 THEN '5' ELSE tmdbId END AS tmdbId FROM fx_links
+  UNION ALL SELECT concat('0', movieId), imdbId, '7' FROM fx_links
+    WHERE CAST(movieId AS BIGINT) % 31 = 0
+  UNION ALL SELECT concat(movieId, '00000000'), imdbId, NULL FROM fx_links
+    WHERE CAST(movieId AS BIGINT) % 37 = 0 AND movieId <> '0'),
+c AS (SELECT TRY_CAST(movieId AS BIGINT) AS movie_id, imdbId AS imdb_id,
+    TRY_CAST(tmdbId AS BIGINT) AS tmdb_id, tmdbId FROM f),
+r AS (SELECT movie_id, imdb_id, tmdb_id, nullif(concat_ws('; ',
+    CASE WHEN movie_id IS NULL THEN 'bad movieId' END,
+    CASE WHEN tmdb_id IS NULL AND tmdbId IS NOT NULL THEN 'bad tmdbId' END), '') AS bad FROM c),
+u AS (SELECT *, CASE WHEN bad IS NULL AND count(*) FILTER (bad IS NULL) OVER (PARTITION BY movie_id)
+    > 1 THEN 'duplicate or null movieId' END AS dup FROM r),
+m AS (SELECT *, CASE WHEN bad IS NULL AND dup IS NULL
+    AND movie_id NOT IN (SELECT movieId FROM fx_movies) THEN 'no vertex for movieId' END AS gone
+    FROM u),
+t AS (SELECT *, bad IS NULL AND dup IS NULL AND gone IS NULL AS fine FROM m),
+s AS (SELECT *, count(*) FILTER (fine) OVER (PARTITION BY tmdb_id) AS n FROM t)
+SELECT movie_id, imdb_id, tmdb_id, coalesce(bad, dup, gone,
+  CASE WHEN tmdb_id IS NOT NULL AND n > 1 THEN 'duplicate or null tmdbId' END) AS reason
+FROM s""")
+SQL["quarantined_inputs"] = with_ctes("""
+SELECT CASE WHEN ok THEN userId END AS user_id,
+  CASE WHEN ok AND userId % 23 <> 0 THEN movieId END AS movie_id,
+  CASE WHEN ok AND userId % 13 <> 0 THEN CAST(rating AS DOUBLE) END AS rating,
+  CASE WHEN ok THEN timestamp END AS ts, reason, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT *, userId % 17 <> 0 AND userId % 19 <> 0 AS ok,
+    CASE WHEN userId % 17 = 0 OR userId % 19 = 0 THEN 'malformed line'
+    ELSE nullif(concat_ws('; ', CASE WHEN userId % 23 = 0 THEN 'missing movieId' END,
+      CASE WHEN userId % 13 = 0 THEN 'bad rating' END), '') END AS reason FROM fx_ratings)
+GROUP BY ALL""")
+SQL["movie_search_float_bounds"] = with_ctes(" UNION ALL ".join(
+    f"SELECT '{name}' AS search, movieId AS movie_id FROM fx_enriched WHERE {where}"
+    for name, where in {
+        "equal": "imdbScore = CAST(8.7 AS FLOAT)",
+        "within": "imdbScore IN (CAST(8.7 AS FLOAT), CAST(8.3 AS FLOAT))",
+        "without": "imdbScore NOT IN (CAST(8.7 AS FLOAT), CAST(8.3 AS FLOAT))",
+        "between": "imdbScore >= CAST(8.3 AS FLOAT) AND imdbScore < CAST(8.7 AS FLOAT)",
+        "inside": "imdbScore > CAST(8.3 AS FLOAT) AND imdbScore < CAST(9 AS FLOAT)",
+        "outside": "imdbScore < CAST(1.3 AS FLOAT) OR imdbScore > CAST(8.7 AS FLOAT)",
+        "lookup": "imdbScore IN (CAST(2.3 AS FLOAT), CAST(2.7 AS FLOAT))"}.items()))
+SQL["omdb_refetch_counters"] = with_ctes("""
+SELECT CASE status WHEN 'ok' THEN 'parse_successes' WHEN 'failure' THEN 'parse_failures'
+  ELSE status END AS metric, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT CASE WHEN status = 'unfetched' AND movieId % 2 = 0 THEN 'ok' ELSE status END AS status
+  FROM fx_answers) GROUP BY 1""")
+SQL["traversal_edge_chain"] = with_graph(
+    "SELECT c.dst AS genre_name, CAST(count(*) AS BIGINT) AS bulk FROM e_rated_as r "
+    f"JOIN e_categorized_as c ON c.src = r.dst WHERE r.src = {R.START_USER} "
+    "AND r.score >= CAST(4.0 AS FLOAT) GROUP BY 1")
+SQL["both_neighbours"] = with_graph(" UNION ALL ".join(
+    f"SELECT '{spec.dst if near == 'src' else spec.src}' AS label, "
+    f"CAST({'dst' if near == 'src' else 'src'} AS VARCHAR) AS key, "
+    f"CAST(count(*) AS BIGINT) AS bulk FROM e_{label.lower()} "
+    f"WHERE {near} IN ({', '.join(map(str, R.START_MOVIES))}) GROUP BY 1, 2"
+    for label, spec in S.EDGES.items() for near in ("src", "dst")
+    if getattr(spec, near) == "MOVIE"))
+SQL["ratings_stream_then_reload"] = SQL["rated_as_edges"]

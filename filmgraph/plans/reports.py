@@ -9,9 +9,9 @@ with ``|`` (sets sorted first), ids are bigint, float properties are widened to
 
 from __future__ import annotations
 
-import glob
 import hashlib
-import os
+import pkgutil
+import sys
 import threading
 from collections.abc import Callable
 
@@ -48,6 +48,7 @@ START_USER = 7
 START_GENRE = "PROMO"
 YEAR_RANGE = (1990, 1996)
 TOP_K = 10
+START_MOVIES = (1, 2, 3)
 
 
 def register(fn: Query) -> Query:
@@ -95,13 +96,16 @@ def omdb_part(spark: SparkSession, sf_dir: str) -> build.Tables:
 
 
 def _library_fingerprint() -> str:
-    """Hash of the library's source, so a stored graph is never reused across code changes."""
-    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    """Hash of the library's source (also from a zip file), so a stored graph is never reused across
+    code changes."""
     h = hashlib.sha1()
-    for path in sorted(glob.glob(os.path.join(pkg, "**", "*.py"), recursive=True)):
-        h.update(os.path.relpath(path, pkg).encode())
-        with open(path, "rb") as fh:
-            h.update(fh.read())
+    package = __package__.split(".")[0]
+    for info in sorted(pkgutil.walk_packages(sys.modules[package].__path__, f"{package}."),
+                       key=lambda x: x.name):
+        if info.name.startswith(f"{package}.llm"):
+            continue
+        loader = info.module_finder.find_spec(info.name).loader
+        h.update(info.name.encode() + (loader.get_source(info.name) or "").encode())
     return h.hexdigest()
 
 
@@ -527,6 +531,30 @@ def streamed_rated_as_edges(spark, sf_dir):
     return e.select("src", "dst", _dbl("score").alias("score"), "timestamp")
 
 
+@register
+def ratings_stream_then_reload(spark, sf_dir):
+    """A third of the ratings loaded as a batch, the rest as two streams, then the
+    batch loaded again: nothing is lost, nothing doubled."""
+    from ..streaming import start_ratings_stream
+    ds = dataset(spark, sf_dir)
+    root = session.new_scratch(spark, "reload-graph")
+    part = F.pmod(F.col("userId"), F.lit(3))
+    ratings = inputs(spark, sf_dir, "ratings")["ratings"]
+    io.write_csv(ratings.where(part == 0), io.dataset_path(f"{root}/in", "ratings"))
+    io.write_csv(inputs(spark, sf_dir, "movies")["movies"], io.dataset_path(f"{root}/in", "movies"))
+    load.load_movies(spark, f"{root}/in", f"{root}/graph")
+    load.load_ratings(spark, f"{root}/in", f"{root}/graph")
+    for i in (1, 2):
+        io.write_csv(ratings.where(part == i), f"{root}/landing-{i}")
+        query = start_ratings_stream(spark, f"{root}/landing-{i}", f"{root}/graph",
+                                     checkpoint=f"{root}/checkpoint-{i}")
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"ratings stream failed: {query.exception()}")
+    load.load_ratings(spark, f"{root}/in", f"{root}/graph")
+    return _rating_rows(G.read_graph(spark, f"{root}/graph", ["RATED_AS"]).E("RATED_AS"))
+
+
 class FlakyApi:
     """Stand-in for the remote API: fails the first call for ids divisible by 3, always fails
     for ids divisible by 5, otherwise answers with a small JSON object."""
@@ -555,6 +583,100 @@ def fetch_missing_fake(spark, sf_dir):
                           F.col("response").isNotNull().alias("has_response"))
 
 
+# ---------------------------------------------------------------- planted faults
+
+@register
+def duplicate_keys(spark, sf_dir):
+    """V1 with violations: tags whose id is held by two tags are set aside, equal copies are one."""
+    checked = integrity.enforce_unique(
+        V.tag_vertices(fixtures.faulty_tags(spark, sf_dir)), ["tagId", "tagName"], "quarantine",
+        "TAG")
+    return _with_reason(checked).select(F.col("tagId").alias("tag_id"),
+                                        F.col("tagName").alias("tag_name"), "reason")
+
+
+@register
+def dangling_ratings(spark, sf_dir):
+    """V2 with violations: ratings of movies that were not loaded (every 17th) are set aside."""
+    movies = movie_part(spark, sf_dir).vertices["MOVIE"].where("movieId % 17 <> 0")
+    t = build.rating_tables(inputs(spark, sf_dir, "ratings")["ratings"], movies, "quarantine")
+    rows = _with_reason(integrity.Checked(t.edges["RATED_AS"], t.rejected["RATED_AS"]))
+    return rows.select("src", "dst", _dbl("score").alias("rating"), "timestamp", "reason")
+
+
+def _with_reason(checked: integrity.Checked) -> DataFrame:
+    good = checked.accepted.withColumn("reason", F.lit(None).cast("string"))
+    bad = checked.rejected.withColumnRenamed(io.ERROR_COL, "reason")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@register
+def link_rejects(spark, sf_dir):
+    """U2, V1, V2 with violations: links with bad, doubled, shared or dangling ids."""
+    movies = movie_part(spark, sf_dir).vertices["MOVIE"]
+    checked = build.check_links(fixtures.faulty_links(spark, sf_dir), movies, "quarantine")
+    return _with_reason(checked).select(
+        F.col("movieId").alias("movie_id"), F.col("imdbId").alias("imdb_id"),
+        F.col("tmdbId").alias("tmdb_id"), "reason")
+
+
+@register
+def quarantined_inputs(spark, sf_dir):
+    """S2, S9 with violations: a ratings file with broken lines and values, by what was kept."""
+    path = fixtures.write_lines(fixtures.faulty_rating_lines(spark, sf_dir),
+                                "userId,movieId,rating,timestamp",
+                                session.new_scratch(spark, "faulty-ratings"))
+    rows = io.read_input(spark, path, "ratings", "quarantine")
+    broken = F.col(io.ERROR_COL) == "malformed line"
+    fields = {"user_id": "userId", "movie_id": "movieId", "rating": "rating", "ts": "timestamp"}
+    kept = [F.when(~F.coalesce(broken, F.lit(False)), F.col(c)).alias(n)
+            for n, c in fields.items()]
+    return (rows.select(*kept, F.col(io.ERROR_COL).alias("reason"))
+            .groupBy(*fields, "reason").agg(F.count("*").alias("n")))
+
+
+@register
+def movie_search_float_bounds(spark, sf_dir):
+    """Q5 on a float property: bounds and values with a decimal part."""
+    g = stored_graph(spark, sf_dir)
+    score = Q.Property("MOVIE", "movieImdbScore")
+    searches = {"equal": score.equal(8.7), "within": score.within([8.7, 8.3]),
+                "without": score.without([8.7, 8.3]), "between": score.between(8.3, 8.7),
+                "inside": score.inside(8.3, 9), "outside": score.outside(1.3, 8.7)}
+    found = [Q.search_movies(g, p).select(F.lit(n).alias("search"), "movieId")
+             for n, p in searches.items()]
+    found.append(Q.lookup(g, "MOVIE", "movieImdbScore", [2.3, 2.7]).select(
+        F.lit("lookup").alias("search"), "movieId"))
+    return G._union(found).select("search", F.col("movieId").alias("movie_id"))
+
+
+@register
+def omdb_refetch_counters(spark, sf_dir):
+    """A5 after a second fetch: half of the links without an answer got one beside the null row."""
+    first = inputs(spark, sf_dir, "omdb")["omdb"]
+    again = first.where("response IS NULL AND CAST(movieId AS BIGINT) % 2 = 0").withColumn(
+        "response", F.lit('{"Title":"late","Response":"True"}'))
+    return responses.status_counts(responses.classify(responses.current(
+        first.unionByName(again))))
+
+
+@register
+def traversal_edge_chain(spark, sf_dir):
+    """T6 outE + has + inV + out: genres of the movies one user rated with 4 or more."""
+    g = stored_graph(spark, sf_dir)
+    score = Q.Property("RATED_AS", "score")
+    t = (Traversal.start(g, "USER", keys=[START_USER]).out_edges("RATED_AS")
+         .has(~score.between(-1, 4)).in_v().out("CATEGORIZED_AS"))
+    return t.to_df().select(F.col("key").alias("genre_name"), "bulk")
+
+
+@register
+def both_neighbours(spark, sf_dir):
+    """T6 both over all labels: the neighbours of three movies, whatever they are."""
+    g = stored_graph(spark, sf_dir)
+    return Traversal.start(g, "MOVIE", keys=list(START_MOVIES)).both().to_df()
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movies of one genre with their year: GENRE -> in(CATEGORIZED_AS) -> MOVIE values."""
     g = movie_part(spark, sf_dir).into(G.Graph())

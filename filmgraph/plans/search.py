@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import search as P
 from ..operators import sizing
 from ..sources.graphstore import Graph
 
@@ -25,6 +26,39 @@ def _all(predicates: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, preds) if preds else F.lit(True)
 
 
+class Property:
+    """Typed predicates on one property: literals are converted to its declared type.
+
+    Example: ``search_movies(g, Property("MOVIE", "movieImdbScore").within([8.7, 8.3]))``
+    """
+
+    def __init__(self, label: str, name: str):
+        self.name = name
+        self.dtype = (S.VERTICES.get(label) or S.EDGES[label]).type_of(name)
+
+    def equal(self, value) -> Column:
+        return P.equal(self.name, value, self.dtype)
+
+    def between(self, low, high) -> Column:
+        return P.between(self.name, low, high, self.dtype)
+
+    def inside(self, low, high) -> Column:
+        return P.inside(self.name, low, high, self.dtype)
+
+    def outside(self, low, high) -> Column:
+        return P.outside(self.name, low, high, self.dtype)
+
+    def within(self, values: Iterable) -> Column:
+        return P.within(self.name, values, self.dtype)
+
+    def without(self, values: Iterable) -> Column:
+        return P.without(self.name, values, self.dtype)
+
+
+# Value lists up to this length become an IN filter; longer ones a join with the distinct values.
+VALUE_LIST_LIMIT = 100
+
+
 def lookup(graph: Graph, label: str, prop: str, values) -> DataFrame:
     """Q1/Q2 (F4, T3): vertices of ``label`` whose ``prop`` equals a value (or any of several).
 
@@ -35,13 +69,17 @@ def lookup(graph: Graph, label: str, prop: str, values) -> DataFrame:
         raise KeyError(f"{label} has no property {prop!r}")
     v = graph.V(label)
     if isinstance(values, DataFrame):
-        keys = values.select(F.col(values.columns[0]).cast(spec.type_of(prop)).alias(prop))
+        keys = values.select(F.col(values.columns[0]).try_cast(spec.type_of(prop)).alias(prop))
         # distinct values, size-checked: broadcast when small, so the vertex table is streamed
         side = sizing.for_join(sizing.Sized(keys.where(F.col(prop).isNotNull()).distinct(), None))
         return v.join(side, prop)
     if isinstance(values, (str, bytes)) or not isinstance(values, Iterable):
         return v.where(F.col(prop) == F.lit(values).cast(spec.type_of(prop)))
-    return v.where(F.col(prop).isin([v_ for v_ in values]))
+    values = list(dict.fromkeys(values))
+    if len(values) > VALUE_LIST_LIMIT:
+        rows = v.sparkSession.createDataFrame([(x,) for x in values if x is not None], ["value"])
+        return lookup(graph, label, prop, rows)
+    return v.where(Property(label, prop).within(values))
 
 
 def movies_with_genre(graph: Graph, genre: str) -> DataFrame:

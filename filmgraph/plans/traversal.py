@@ -20,6 +20,12 @@ joins the frontier with one edge table and re-aggregates by the far endpoint, so
 Example - users who rated a movie that user 7 rated, with the number of such paths::
 
     Traversal.start(g, "USER", keys=[7]).out("RATED_AS").in_("RATED_AS").to_df()
+
+Steps take one edge label, several, or none for all that touch the current vertices. Where they lead
+to vertices of different labels the result is a :class:`Mixed` traversal. ``out_edges`` and its
+relatives stop on the edges (:class:`Edges`), which can be filtered and left again at either end::
+
+    Traversal.start(g, "USER", keys=[7]).out_edges("RATED_AS").has(F.col("score") >= 4).in_v()
 """
 
 from __future__ import annotations
@@ -116,42 +122,70 @@ class Traversal:
     def _collapse(df: DataFrame) -> DataFrame:
         return df.groupBy("key").agg(F.sum("bulk").cast("bigint").alias("bulk"))
 
-    def out(self, edge_label: str, where: Column | None = None) -> "Traversal":
-        """Follow ``edge_label`` edges forward (src -> dst)."""
-        spec = S.EDGES[edge_label]
-        self._expect(spec.src, edge_label, "out")
-        return self._next(spec.dst, self._collapse(self._hop(edge_label, "src", "dst", where)))
+    def _labels(self, end: str, edge_labels: tuple[str, ...]) -> list[str]:
+        """The edge labels of a step: those given, else all stored ones that touch the label."""
+        if edge_labels:
+            return list(edge_labels)
+        return [x for x in self.graph.edges if getattr(S.EDGES[x], end) == self.label]
 
-    def in_(self, edge_label: str, where: Column | None = None) -> "Traversal":
-        """Follow ``edge_label`` edges backward (dst -> src)."""
+    def _step(self, edge_label: str, near: str, where: Column | None, step: str) -> "Traversal":
         spec = S.EDGES[edge_label]
-        self._expect(spec.dst, edge_label, "in")
-        return self._next(spec.src, self._collapse(self._hop(edge_label, "dst", "src", where)))
+        far = "dst" if near == "src" else "src"
+        self._expect(getattr(spec, near), edge_label, step)
+        return self._next(getattr(spec, far), self._collapse(
+            self._hop(edge_label, near, far, where)))
+
+    def out(self, *edge_labels, where: Column | None = None) -> "Traversal | Mixed":
+        """Follow edges forward (src -> dst); a Column among the arguments filters the edges."""
+        labels, where = _arguments(edge_labels, where)
+        return merged([self._step(x, "src", where, "out") for x in self._labels("src", labels)])
+
+    def in_(self, *edge_labels, where: Column | None = None) -> "Traversal | Mixed":
+        """Follow edges backward (dst -> src)."""
+        labels, where = _arguments(edge_labels, where)
+        return merged([self._step(x, "dst", where, "in") for x in self._labels("dst", labels)])
+
+    def both(self, *edge_labels, where: Column | None = None) -> "Traversal | Mixed":
+        """Follow edges in whichever directions touch the current label."""
+        labels, where = _arguments(edge_labels, where)
+        steps = []
+        for x in labels or list(self.graph.edges):
+            ends = [near for near in ("src", "dst") if getattr(S.EDGES[x], near) == self.label]
+            if not ends and labels:
+                self._expect(S.EDGES[x].src, x, "both")
+            steps += [self._step(x, near, where, "both") for near in ends]
+        return merged(steps)
+
+    def _edge_step(self, edge_label: str, near: str, where: Column | None, step: str) -> "Edges":
+        self._expect(getattr(S.EDGES[edge_label], near), edge_label, step)
+        e = self._edges_near(edge_label, near, where)
+        held = e.join(self._sized_frontier().withColumnRenamed("key", near), near)
+        return Edges(self.graph, edge_label, held)
 
-    def both(self, edge_label: str, where: Column | None = None) -> "Traversal":
-        """Follow ``edge_label`` in whichever direction touches the current label."""
+    def out_edges(self, edge_label: str, where: Column | None = None) -> "Edges":
+        """``outE`` as a traversal: the edges leaving the frontier."""
+        return self._edge_step(edge_label, "src", where, "outE")
+
+    def in_edges(self, edge_label: str, where: Column | None = None) -> "Edges":
+        """``inE`` as a traversal: the edges entering the frontier."""
+        return self._edge_step(edge_label, "dst", where, "inE")
+
+    def both_edges(self, edge_label: str, where: Column | None = None) -> "Edges":
+        """``bothE`` as a traversal: the edges touching the frontier at either end."""
         spec = S.EDGES[edge_label]
-        if spec.src == self.label and spec.dst == self.label:
-            union = self._hop(edge_label, "src", "dst", where).unionByName(
-                self._hop(edge_label, "dst", "src", where))
-            return self._next(self.label, self._collapse(union))
-        if spec.src == self.label:
-            return self.out(edge_label, where)
-        return self.in_(edge_label, where)
+        if spec.src == spec.dst == self.label:
+            held = self.out_edges(edge_label, where).edges.unionByName(
+                self.in_edges(edge_label, where).edges)
+            return Edges(self.graph, edge_label, held)
+        return (self.out_edges if spec.src == self.label else self.in_edges)(edge_label, where)
 
     def out_e(self, edge_label: str, where: Column | None = None) -> DataFrame:
-        """``outE``: the edges leaving the frontier, with the traverser bulk."""
-        spec = S.EDGES[edge_label]
-        self._expect(spec.src, edge_label, "outE")
-        e = self._edges_near(edge_label, "src", where)
-        return e.join(self._sized_frontier().withColumnRenamed("key", "src"), "src")
+        """``outE``: the edges leaving the frontier, with the traverser bulk, as a table."""
+        return self.out_edges(edge_label, where).to_df()
 
     def in_e(self, edge_label: str, where: Column | None = None) -> DataFrame:
-        """``inE``: the edges entering the frontier, with the traverser bulk."""
-        spec = S.EDGES[edge_label]
-        self._expect(spec.dst, edge_label, "inE")
-        e = self._edges_near(edge_label, "dst", where)
-        return e.join(self._sized_frontier().withColumnRenamed("key", "dst"), "dst")
+        """``inE``: the edges entering the frontier, with the traverser bulk, as a table."""
+        return self.in_edges(edge_label, where).to_df()
 
     def _expect(self, label: str, edge_label: str, step: str) -> None:
         if label != self.label:
@@ -184,6 +218,108 @@ class Traversal:
                                  .alias("count"))
 
 
+def _arguments(args: tuple, where: Column | None) -> tuple[tuple[str, ...], Column | None]:
+    """Edge labels and edge filter of a step (the filter may stand among the labels)."""
+    columns = [a for a in args if isinstance(a, Column)]
+    if len(columns) + (where is not None) > 1:
+        raise ValueError("a step takes one edge filter")
+    return tuple(a for a in args if not isinstance(a, Column)), columns[0] if columns else where
+
+
+def merged(steps: list[Traversal]) -> "Traversal | Mixed":
+    """Traversals united by label: paths that meet in a vertex add up."""
+    if not steps:
+        raise ValueError("no edge label touches the current vertices")
+    by_label: dict[str, list[Traversal]] = {}
+    for t in steps:
+        by_label.setdefault(t.label, []).append(t)
+    parts = {}
+    for label, same in by_label.items():
+        rows = same[0].frontier
+        for t in same[1:]:
+            rows = rows.unionByName(t.frontier)
+        parts[label] = same[0] if len(same) == 1 else Traversal(
+            same[0].graph, label, Traversal._collapse(rows))
+    return next(iter(parts.values())) if len(parts) == 1 else Mixed(parts)
+
+
+class Mixed:
+    """Current vertices of several labels, one :class:`Traversal` each."""
+
+    def __init__(self, parts: dict[str, Traversal]):
+        self.parts = parts
+
+    def has_label(self, label: str) -> Traversal:
+        if label not in self.parts:
+            raise KeyError(f"no {label} vertices here; have {sorted(self.parts)}")
+        return self.parts[label]
+
+    def _each(self, step: str, args: tuple, where: Column | None) -> "Traversal | Mixed":
+        labels, where = _arguments(args, where)
+        out = []
+        for t in self.parts.values():
+            ends = {"out": ("src",), "in_": ("dst",), "both": ("src", "dst")}[step]
+            own = [x for x in labels or t.graph.edges
+                   if any(getattr(S.EDGES[x], e) == t.label for e in ends)]
+            if own:
+                result = getattr(t, step)(*own, where=where)
+                out += list(result.parts.values()) if isinstance(result, Mixed) else [result]
+        return merged(out)
+
+    def out(self, *edge_labels, where: Column | None = None) -> "Traversal | Mixed":
+        return self._each("out", edge_labels, where)
+
+    def in_(self, *edge_labels, where: Column | None = None) -> "Traversal | Mixed":
+        return self._each("in_", edge_labels, where)
+
+    def both(self, *edge_labels, where: Column | None = None) -> "Traversal | Mixed":
+        return self._each("both", edge_labels, where)
+
+    def dedup(self) -> "Mixed":
+        return Mixed({label: t.dedup() for label, t in self.parts.items()})
+
+    def to_df(self) -> DataFrame:
+        """``label, key, bulk`` of the current vertices, keys as text."""
+        rows = None
+        for label, t in self.parts.items():
+            part = t.to_df().select(F.lit(label).alias("label"),
+                                    F.col("key").cast("string").alias("key"), "bulk")
+            rows = part if rows is None else rows.unionByName(part)
+        return rows
+
+    def count(self) -> DataFrame:
+        return self.to_df().agg(F.coalesce(F.sum("bulk"), F.lit(0)).cast("bigint").alias("count"))
+
+
+class Edges:
+    """Current edges of one label: their columns and ``bulk``, the paths that reach each."""
+
+    def __init__(self, graph: Graph, label: str, edges: DataFrame):
+        self.graph, self.label, self.edges = graph, label, edges
+
+    def has(self, where: Column) -> "Edges":
+        """Keep the edges that satisfy ``where`` (a predicate on their properties)."""
+        return Edges(self.graph, self.label, self.edges.where(where))
+
+    def _at(self, end: str) -> Traversal:
+        rows = self.edges.select(F.col(end).alias("key"), "bulk")
+        return Traversal(self.graph, getattr(S.EDGES[self.label], end), Traversal._collapse(rows))
+
+    def out_v(self) -> Traversal:
+        """The vertices the edges start from."""
+        return self._at("src")
+
+    def in_v(self) -> Traversal:
+        """The vertices the edges lead to."""
+        return self._at("dst")
+
+    def to_df(self) -> DataFrame:
+        return self.edges
+
+    def count(self) -> DataFrame:
+        return self.edges.agg(F.coalesce(F.sum("bulk"), F.lit(0)).cast("bigint").alias("count"))
+
+
 def degrees(graph: Graph, edge_label: str, direction: str = "out") -> DataFrame:
     """Edge count per vertex: ``key, degree`` (``out`` counts by src, ``in`` by dst)."""
     side = "src" if direction == "out" else "dst"

@@ -86,6 +86,9 @@ class EdgeLabel:
         dst_type = VERTICES[self.dst].type_of(VERTICES[self.dst].key)
         return _struct(("src", src_type), ("dst", dst_type), *self.properties)
 
+    def type_of(self, prop: str) -> T.DataType:
+        return self.schema[prop].dataType
+
 
 def _named(label: str, prop: str) -> VertexLabel:
     return VertexLabel(label, prop, ((prop, STRING),), unique=(prop,))

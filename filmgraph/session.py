@@ -87,6 +87,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
@@ -108,6 +110,36 @@ def new_scratch(spark: SparkSession, name: str) -> str:
     return shared_path(spark, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names directly below a folder (one metadata call; empty if it does not exist)."""
+    fs, hpath = _hadoop(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hpath))
+
+
+def file_facts(spark: SparkSession, path: str) -> list[str]:
+    """``name:size:mtime`` of a file, or of the files directly below a folder, on any file system
+    (empty if it does not exist)."""
+    fs, hpath = _hadoop(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}"
+                  for s in fs.listStatus(hpath))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote (a missing one is fine)."""
+    fs, hpath = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True if ``path`` exists (any Hadoop-compatible file system).
 

@@ -9,8 +9,12 @@ Bad rows are handled by ``mode``:
 
 * ``"fail"`` (default) - the job stops at the first row whose value cannot be converted or
   whose required field is missing;
-* ``"quarantine"`` - such rows are kept with a non-null ``_error`` column; split them off with
-  :func:`accepted` / :func:`rejected`.
+* ``"quarantine"`` - such rows, and lines with too few or too many fields, are kept with a
+  non-null ``_error`` column and the values as they were read in ``_raw`` (the whole line where it
+  did not split into the declared fields); split them off with :func:`accepted` / :func:`rejected`.
+
+Every file of a folder must have the header of the first one: a file with other columns, or the
+same in another order, stops the read in both modes.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from pyspark.sql import types as T
 from .. import schemas as S
 
 ERROR_COL = "_error"
+RAW_COL = "_raw"
+_CORRUPT = "_corrupt_record"
 
 # RFC 4180 CSV; leading/trailing blanks are data (titles carry padding the parser must trim).
 CSV_READ = {"header": "true", "sep": ",", "quote": '"', "escape": '"',
@@ -71,19 +77,25 @@ def conform(df: DataFrame, schema: T.StructType, required: tuple[str, ...] = (),
     if absent:
         raise ValueError(f"input lacks column(s) {absent}; has {sorted(have)}")
     values, problems = [], []
+    corrupt = F.col(_CORRUPT) if _CORRUPT in have else F.lit(None).cast("string")
+    if _CORRUPT in have:
+        problems.append(F.when(corrupt.isNotNull(), F.lit("malformed line")))
     for f in schema.fields:
         raw = F.col(f.name)
         value = raw if have[f.name] == f.dataType else raw.try_cast(f.dataType)
         if have[f.name] != f.dataType:
-            problems.append(F.when(raw.isNotNull() & value.isNull(), F.lit(f"bad {f.name}")))
+            problems.append(F.when(corrupt.isNull() & raw.isNotNull() & value.isNull(),
+                                   F.lit(f"bad {f.name}")))
         if f.name in required:
-            problems.append(F.when(raw.isNull(), F.lit(f"missing {f.name}")))
+            problems.append(F.when(corrupt.isNull() & raw.isNull(), F.lit(f"missing {f.name}")))
         values.append(value.alias(f.name))
     error = F.nullif(F.concat_ws("; ", *problems), F.lit("")) if problems else F.lit(None)
-    out = df.select(*values, error.cast("string").alias(ERROR_COL))
+    error = error.cast("string")
     if mode == "quarantine":
-        return out
-    return raise_on_error(out).drop(ERROR_COL)
+        fields = F.to_json(F.struct(*[F.col(f.name) for f in schema.fields]))
+        raw = F.when(error.isNotNull(), F.coalesce(corrupt, fields))
+        return df.select(*values, error.alias(ERROR_COL), raw.alias(RAW_COL))
+    return raise_on_error(df.select(*values, error.alias(ERROR_COL))).drop(ERROR_COL)
 
 
 def raise_on_error(df: DataFrame, what: str = "input row") -> DataFrame:
@@ -96,11 +108,12 @@ def raise_on_error(df: DataFrame, what: str = "input row") -> DataFrame:
 
 def accepted(df: DataFrame) -> DataFrame:
     """Rows of a quarantine-mode read that converted cleanly (``_error`` dropped)."""
-    return df.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL)
+    return df.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL, RAW_COL)
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    """Rows of a quarantine-mode read that failed, with the reason in ``_error``."""
+    """Rows of a quarantine-mode read that failed, with the reason in ``_error`` and what was read
+    in ``_raw``."""
     return df.where(F.col(ERROR_COL).isNotNull())
 
 
@@ -108,9 +121,16 @@ def read_input(spark: SparkSession, path: str, name: str, mode: str = "fail") ->
     """Read one dataset input from an explicit path."""
     spec = INPUTS[name]
     if spec.fmt == "csv":
-        raw = (spark.read.options(**CSV_READ)
-               .option("mode", "FAILFAST" if mode == "fail" else "PERMISSIVE")
-               .csv(path))
+        names = spark.read.options(**CSV_READ).csv(path).columns      # header of the first file
+        fields = [T.StructField(n, T.StringType(), True) for n in names]
+        # enforceSchema=false: every file's own header must match, it is not just skipped
+        reader = spark.read.options(**CSV_READ, enforceSchema="false")
+        if mode == "fail":
+            raw = reader.option("mode", "FAILFAST").schema(T.StructType(fields)).csv(path)
+        else:
+            fields.append(T.StructField(_CORRUPT, T.StringType(), True))
+            raw = (reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT,
+                                  columnPruning="false").schema(T.StructType(fields)).csv(path))
     else:
         # Declared schema - if no answer was ever fetched the writer omits the field and an
         # inferred schema would lose the column. Sub-folders hold later fetch batches.

@@ -13,9 +13,10 @@ dataset layout (CSV + JSON lines), so the queries exercise the real file readers
 from __future__ import annotations
 
 import hashlib
-import os
+import inspect
 import threading
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def genome_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tag per brand."""
     brand = F.col("p_brand")
     return table(spark, sf_dir, "part").select(
-        F.substring(brand, 7, 1 << 20).cast("int").alias("tagId"), brand.alias("tag")).distinct()
+        F.expr("substring(p_brand, 7)").cast("int").alias("tagId"), brand.alias("tag")).distinct()
 
 
 def genome_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +112,16 @@ def omdb(spark: SparkSession, sf_dir: str) -> DataFrame:
     response = (F.when(k % 11 == 0, lit(None).cast("string"))
                 .when(k % 13 == 0, lit('{"Response":"False","Error":"Incorrect IMDb ID."}'))
                 .otherwise(body))
-    joined = (part.join(sup, sup.s_suppkey == k % 10)
-              .join(cust, cust.c_custkey == k % 150)
+    # credits from real keys, so that names grow with the data: supplier and customer of the part's
+    # last line item (a part without one takes fixed ones)
+    last = (table(spark, sf_dir, "lineitem")
+            .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("l_partkey").agg(F.max_by(
+                F.struct("l_suppkey", "o_custkey"),
+                F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("x")))
+    joined = (part.join(last, k == F.col("l_partkey"), "left")
+              .join(sup, sup.s_suppkey == F.coalesce("x.l_suppkey", k % 10))
+              .join(cust, cust.c_custkey == F.coalesce("x.o_custkey", k % 150))
               .join(nat, nat.n_nationkey == k % 25))
     return joined.select(_s(k).alias("movieId"), F.lpad(_s(k), 7, "0").alias("imdbId"),
                          response.alias("response"))
@@ -124,15 +133,14 @@ BUILDERS = {
 }
 
 
-def _source_key(sf_dir: str) -> str:
-    """Identity of a source folder: its path plus the size and mtime of each table file."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+def _source_key(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of derived inputs: the source folder, name, size and time of its files (asked of the
+    file system Spark reads from) and the formulas of this module."""
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
     for name in ("part", "lineitem", "orders", "supplier", "customer", "nation"):
-        try:
-            st = os.stat(f"{sf_dir.rstrip('/')}/{name}.parquet")
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(name.encode())
+        h.update(f"{name}:{session.file_facts(spark, f'{sf_dir}/{name}.parquet')}".encode())
+    for build in BUILDERS.values():
+        h.update(inspect.getsource(build).encode())
     return h.hexdigest()[:16]
 
 
@@ -150,7 +158,7 @@ def write_dataset(spark: SparkSession, sf_dir: str, root: str, mode: str = "erro
 
 def dataset_for(spark: SparkSession, sf_dir: str) -> str:
     """Dataset root holding the inputs derived from ``sf_dir``; written on first use."""
-    root = session.shared_path(spark, "datasets", _source_key(sf_dir))
+    root = session.shared_path(spark, "datasets", _source_key(spark, sf_dir))
     marker = root + "/_ready"
     with _LOCK:
         if not session.path_exists(spark, marker):
@@ -158,3 +166,52 @@ def dataset_for(spark: SparkSession, sf_dir: str) -> str:
             spark.createDataFrame([(sf_dir,)], "source string").coalesce(1) \
                 .write.mode("overwrite").text(marker)
     return root
+
+
+# ---------------------------------------------------------------- planted faults
+
+def faulty_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tags, and for ids divisible by 5 a second tag with the same id; id 6 comes twice alike."""
+    tags = genome_tags(spark, sf_dir)
+    again = tags.where("tagId % 5 = 0").select("tagId", F.concat("tag", F.lit("-b")).alias("tag"))
+    return tags.unionByName(again).unionByName(tags.where("tagId = 6"))
+
+
+def faulty_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links with movie ids that are no numbers (%19), tmdb ids that are no numbers (%23) or
+    shared (%41), a second spelling of a movie id (%31), and links of absent movies (%37)."""
+    k = F.col("movieId").cast("bigint")
+    base = links(spark, sf_dir)
+    text = F.when(k % 19 == 0, F.concat(F.lit("x"), "movieId")).otherwise(F.col("movieId"))
+    tmdb = (F.when(k % 23 == 0, F.lit("abc")).when(k % 41 == 0, F.lit("5"))
+            .otherwise(F.col("tmdbId")))
+    spelled = base.where(k % 31 == 0).select(
+        F.concat(F.lit("0"), "movieId").alias("movieId"), "imdbId", F.lit("7").alias("tmdbId"))
+    absent = base.where(k % 37 == 0).select(
+        F.concat("movieId", F.lit("00000000")).alias("movieId"), "imdbId",
+        F.lit(None).cast("string").alias("tmdbId"))
+    absent = absent.where(F.col("movieId") != "000000000")
+    return (base.select(text.alias("movieId"), "imdbId", tmdb.alias("tmdbId"))
+            .unionByName(spelled).unionByName(absent))
+
+
+def faulty_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a ratings file: the rating is no number (user % 13 = 0), or the line has a field
+    more (user % 17 = 0) or less (user % 19 = 0), or no movie (user % 23 = 0)."""
+    u = F.col("userId")
+    movie = F.when(u % 23 == 0, F.lit("")).otherwise(_s(F.col("movieId")))
+    rating = F.when(u % 13 == 0, F.lit("bad")).otherwise(_s(F.col("rating")))
+    line = F.concat_ws(",", _s(u), movie, rating, _s(F.col("timestamp")))
+    line = F.when(u % 17 == 0, F.concat(line, F.lit(",more"))).when(
+        u % 19 == 0, F.concat_ws(",", _s(u), movie)).otherwise(line)
+    return ratings(spark, sf_dir).select(line.alias("value"))
+
+
+def write_lines(lines: DataFrame, header: str, path: str) -> str:
+    """Text files of ``lines(value)``, each starting with ``header``."""
+    def headed(frames):
+        yield pd.DataFrame({"value": [header]})
+        yield from frames
+
+    lines.mapInPandas(headed, "value string").write.text(path)
+    return path

@@ -2,15 +2,20 @@
 
 Layout below a graph root::
 
-    vertices/<LABEL>/part-*.parquet     natural key + properties (V3 schema)
-    edges/<LABEL>/part-*.parquet        src, dst (endpoint keys) + properties
-
-Choosing a label is choosing a folder, so a label predicate never reads other labels. Within each
-file rows are sorted by the label's index columns (vertex key; RATED_AS by score then timestamp;
-ESTIMATED_AT by relevance), which gives tight row-group min/max statistics for the exact-match
-and range predicates of the query surface - the Parquet counterpart of a composite index. The
-sort is local to each write task: no extra shuffle. Unique lookup columns that are not the sort
-key carry Parquet bloom filters (the counterpart of a unique composite index).
+    vertices/<LABEL>/version-<n>/part-*.parquet   natural key + properties (V3 schema)
+    edges/<LABEL>/version-<n>/part-*.parquet      src, dst (endpoint keys) + properties
+    stream/{vertices,edges}/<LABEL>/<stream>/epoch-<n>/   micro-batches of incremental loads
+
+Choosing a label is choosing a folder, so a label predicate never reads other labels. A load job
+replaces a table by writing its next version; readers take the highest version whose write was
+committed (``_SUCCESS``), so a job that stops half-way leaves the table as it was. Streamed batches
+lie outside the versions: replacing a batch table keeps them, and readers take both.
+
+Rows are range-partitioned and sorted by the label's index columns (vertex key; RATED_AS by score
+then timestamp; ESTIMATED_AT by relevance), so every file and row group covers a narrow range and
+exact-match and range predicates open few files - the Parquet counterpart of a composite index.
+Unique lookup columns that are not the sort key carry Parquet bloom filters (the counterpart of a
+unique composite index).
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from .. import session
 
 
 def vertex_path(root: str, label: str) -> str:
@@ -35,6 +41,43 @@ def adjacency_path(root: str, label: str, direction: str) -> str:
     return f"{root.rstrip('/')}/adjacency/{label}/{direction}"
 
 
+def stream_path(root: str, kind: str, label: str) -> str:
+    """Folder of the streamed batches of a table; ``kind`` is vertices, edges or
+    adjacency/<direction>."""
+    return f"{root.rstrip('/')}/stream/{kind}/{label}"
+
+
+# ---------------------------------------------------------------- versions
+
+_VERSION = "version-"
+KEPT_VERSIONS = 2                 # the current one and its predecessor, for readers under way
+
+
+def versions(spark: SparkSession, folder: str) -> list[str]:
+    return [n for n in session.list_folder(spark, folder) if n.startswith(_VERSION)]
+
+
+def current(spark: SparkSession, folder: str) -> str | None:
+    """Path of the newest committed version of a table, None if there is none."""
+    for name in reversed(versions(spark, folder)):
+        path = f"{folder}/{name}"
+        if session.path_exists(spark, f"{path}/_SUCCESS"):
+            return path
+    return None
+
+
+def publish(spark: SparkSession, folder: str, write) -> str:
+    """Write the next version of a table with ``write(path)``; older ones are then deleted, but for
+    the predecessor."""
+    have = versions(spark, folder)
+    number = int(have[-1][len(_VERSION):]) + 1 if have else 1
+    path = f"{folder}/{_VERSION}{number:08d}"
+    write(path)
+    for name in [*have, path.rsplit("/", 1)[1]][:-KEPT_VERSIONS]:
+        session.delete_folder(spark, f"{folder}/{name}")
+    return path
+
+
 # The endpoint an adjacency copy is clustered on, per direction.
 NEAR = {"out": "src", "in": "dst"}
 
@@ -55,35 +98,35 @@ def bloom_options(columns) -> dict[str, str]:
     return opts
 
 
-def write_vertices(df: DataFrame, root: str, label: str, mode: str = "overwrite") -> str:
-    """Store one vertex label (re-running with ``overwrite`` is idempotent).
+def write_vertices(df: DataFrame, root: str, label: str) -> str:
+    """Store one vertex label as the table's next version (re-running replaces it).
 
-    Files are sorted by the key (row-group min/max prune key lookups); the other unique lookup
-    columns carry bloom filters, so a lookup by one of them reads only the row group holding it.
+    Rows are range-partitioned and sorted by the key, so a key lookup opens one file; the other
+    unique lookup columns carry bloom filters, so a lookup by one of them reads only the row group
+    holding it.
     """
     spec = S.VERTICES[label]
-    path = vertex_path(root, label)
-    (_conform(df, spec.schema).sortWithinPartitions(spec.key)
-     .write.mode(mode).options(**bloom_options(spec.bloom)).parquet(path))
-    return path
+    rows = _conform(df, spec.schema).repartitionByRange(spec.key).sortWithinPartitions(spec.key)
+    return publish(df.sparkSession, vertex_path(root, label), lambda path: rows.write.options(
+        **bloom_options(spec.bloom)).parquet(path))
 
 
-def write_edges(df: DataFrame, root: str, label: str, mode: str = "overwrite",
-                bloom: tuple[str, ...] = ()) -> str:
-    """Store one edge label; rows sorted by the label's index columns within each file.
+def write_edges(df: DataFrame, root: str, label: str, bloom: tuple[str, ...] = ()) -> str:
+    """Store one edge label as the table's next version, clustered by its index columns (the
+    endpoints follow as last sort columns, so that one frequent score spreads over files).
 
     ``bloom=("src", "dst")`` adds bloom filters on the endpoints: worth it when traversals start
     from few, low-degree vertices (a high-degree vertex has rows in every row group anyway).
     """
     spec = S.EDGES[label]
-    path = edge_path(root, label)
-    (_conform(df, spec.schema).sortWithinPartitions(*spec.sort_by)
-     .write.mode(mode).options(**bloom_options(bloom)).parquet(path))
-    return path
+    order = list(dict.fromkeys([*spec.sort_by, "src", "dst"]))
+    rows = _conform(df, spec.schema).repartitionByRange(*order).sortWithinPartitions(*order)
+    return publish(df.sparkSession, edge_path(root, label), lambda path: rows.write.options(
+        **bloom_options(bloom)).parquet(path))
 
 
 def write_adjacency(df: DataFrame, root: str, label: str, direction: str,
-                    mode: str = "overwrite", path: str | None = None) -> str:
+                    path: str | None = None) -> str:
     """An adjacency copy of one edge label, clustered on the near endpoint of ``direction``.
 
     ``out`` clusters on ``src``, ``in`` on ``dst`` - the two adjacency lists a graph store keeps
@@ -96,10 +139,13 @@ def write_adjacency(df: DataFrame, root: str, label: str, direction: str,
     spec = S.EDGES[label]
     near = NEAR[direction]
     far = "dst" if near == "src" else "src"
-    path = path or adjacency_path(root, label, direction)
-    (_conform(df, spec.schema).repartitionByRange(near, far).sortWithinPartitions(near, far)
-     .write.mode(mode).parquet(path))
-    return path
+    rows = (_conform(df, spec.schema).repartitionByRange(near, far)
+            .sortWithinPartitions(near, far))
+    if path:
+        rows.write.mode("overwrite").parquet(path)
+        return path
+    return publish(df.sparkSession, adjacency_path(root, label, direction),
+                   lambda target: rows.write.parquet(target))
 
 
 @dataclass
@@ -158,11 +204,11 @@ class Graph:
             names.append(name)
         return names
 
-    def write(self, root: str, mode: str = "overwrite") -> None:
+    def write(self, root: str) -> None:
         for label, df in self.vertices.items():
-            write_vertices(df, root, label, mode)
+            write_vertices(df, root, label)
         for label, df in self.edges.items():
-            write_edges(df, root, label, mode)
+            write_edges(df, root, label)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -172,55 +218,83 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _reader(spark: SparkSession, schema):
-    # Recursive: incremental loads add batch folders below a table folder (see streaming).
-    return spark.read.schema(schema).option("recursiveFileLookup", "true")
+def _stored(spark: SparkSession, schema, folder: str, streamed: str,
+            key: str | None = None) -> DataFrame | None:
+    """Newest version and streamed batches of a table, None if there is neither. With ``key`` a
+    vertex found in both counts once."""
+    reader = spark.read.schema(schema)
+    version = current(spark, folder)
+    table = reader.parquet(version) if version else None
+    if not session.path_exists(spark, streamed):
+        return table
+    batches = reader.option("recursiveFileLookup", "true").parquet(streamed)
+    if table is not None:
+        batches = table.unionByName(batches)
+    return batches.dropDuplicates([key]) if key else batches
 
 
 def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None) -> Graph:
     """Open a stored graph. Labels that were never written are skipped.
 
     Tables are read with their declared schemas, so opening a graph lists files but reads no
-    Parquet footers for schema inference. Batch folders written by incremental loads below a
-    table folder are part of the table.
+    Parquet footers for schema inference.
     """
-    from ..session import path_exists
-
     g = Graph()
     for label, spec in S.VERTICES.items():
-        if (labels is None or label in labels) and path_exists(spark, vertex_path(root, label)):
-            g.vertices[label] = _reader(spark, spec.schema).parquet(vertex_path(root, label))
+        if labels is None or label in labels:
+            df = _stored(spark, spec.schema, vertex_path(root, label),
+                         stream_path(root, "vertices", label), spec.key)
+            if df is not None:
+                g.vertices[label] = df
     for label, spec in S.EDGES.items():
-        if (labels is None or label in labels) and path_exists(spark, edge_path(root, label)):
-            g.edges[label] = _reader(spark, spec.schema).parquet(edge_path(root, label))
+        if labels is None or label in labels:
+            df = _stored(spark, spec.schema, edge_path(root, label),
+                         stream_path(root, "edges", label))
+            if df is None:
+                continue
+            g.edges[label] = df
             for direction in NEAR:
-                path = adjacency_path(root, label, direction)
-                if path_exists(spark, path):
-                    g.adjacency[(label, direction)] = _reader(spark, spec.schema).parquet(path)
+                folder = adjacency_path(root, label, direction)
+                if current(spark, folder):
+                    g.adjacency[(label, direction)] = _stored(
+                        spark, spec.schema, folder,
+                        stream_path(root, f"adjacency/{direction}", label))
     return g
 
 
 def register_tables(spark: SparkSession, root: str, database: str = "filmgraph") -> list[str]:
-    """Register a stored graph as external catalog tables ``<database>.v_<label>`` /
-    ``<database>.e_<label>`` over its folders (no data is copied or moved).
+    """Register a stored graph in the catalog as ``<database>.v_<label>`` / ``<database>.e_<label>``
+    (no data is copied or moved).
 
-    With a persistent metastore the tables outlive the session, so SQL users can query the graph
-    by name. Tables are re-created on every call, so a reload is picked up.
+    A table without streamed batches becomes an external table over its current version, one with
+    streamed batches a view that unites both. With a persistent metastore they outlive the session,
+    so SQL users can query the graph by name. Call again after a reload.
     """
-    from ..session import path_exists
-
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     names = []
-    folders = [(f"v_{label.lower()}", vertex_path(root, label), spec.schema)
+    folders = [(f"v_{label.lower()}", vertex_path(root, label),
+                stream_path(root, "vertices", label), spec.schema)
                for label, spec in S.VERTICES.items()]
-    folders += [(f"e_{label.lower()}", edge_path(root, label), spec.schema)
-                for label, spec in S.EDGES.items()]
-    for table, path, schema in folders:
-        if not path_exists(spark, path):
+    folders += [(f"e_{label.lower()}", edge_path(root, label), stream_path(root, "edges", label),
+                 spec.schema) for label, spec in S.EDGES.items()]
+    for table, folder, streamed, schema in folders:
+        version = current(spark, folder)
+        has_stream = session.path_exists(spark, streamed)
+        if not version and not has_stream:
             continue
-        name = f"`{database}`.`{table}`"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet",
-                                  schema=schema, recursiveFileLookup="true")
+        parts = [(f"{table}_batch", version)] if version else []
+        parts += [(f"{table}_stream", streamed)] if has_stream else []
+        if not has_stream:
+            parts = [(table, version)]
+        else:
+            spark.sql(f"DROP VIEW IF EXISTS `{database}`.`{table}`")
+        for name, path in parts:
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+            spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet",
+                                      schema=schema, recursiveFileLookup="true")
+        if has_stream:
+            union = " UNION " if table.startswith("v_") else " UNION ALL "
+            spark.sql(f"CREATE VIEW `{database}`.`{table}` AS " + union.join(
+                f"SELECT * FROM `{database}`.`{name}`" for name, _ in parts))
         names.append(f"{database}.{table}")
     return names

@@ -4,24 +4,27 @@ USER vertices of an already loaded graph.
 This is the ratings load (S2, VX4, E3, V2) on a Structured Streaming file source. Each
 micro-batch
 
-1. is staged to ``<graph>/_staging/ratings_stream/epoch-<n>`` (lineage cut; a replayed batch
-   overwrites its own staging copy),
+1. is staged to ``<graph>/_staging/ratings_stream/<stream>/epoch-<n>`` (lineage cut; deleted at the
+   end of the batch);
 2. checks every rated movie against the stored MOVIE keys (distinct-key anti join; misses go to
-   ``<graph>/_quarantine/ratings_stream/epoch-<n>``) - the batch's few keys are broadcast and the
-   vertex table streamed, so a micro-batch never shuffles the whole key column,
-3. writes its edges to ``edges/RATED_AS/stream-epoch-<n>`` (and to the adjacency copies, when
-   the graph has them) and the users not yet in the graph to ``vertices/USER/stream-epoch-<n>`` -
-   all with ``overwrite``, so replaying a batch after a failure rewrites exactly that batch's
-   folders and never duplicates rows.
-
-Graph readers pick the batch folders up because tables are read recursively
-(:func:`filmgraph.sources.graphstore.read_graph`). Stream files are positional CSV with a header
-line, in the column order of ``ratings.csv``.
+   ``<graph>/_quarantine/ratings_stream/<stream>/epoch-<n>``) - the batch's few keys are broadcast
+   and the vertex table streamed, so a micro-batch never shuffles the whole key column;
+3. writes its edges to ``stream/edges/RATED_AS/<stream>/epoch-<n>`` (and to the adjacency copies,
+   when the graph has them) and the users not yet in the graph to
+   ``stream/vertices/USER/<stream>/epoch-<n>`` - all with ``overwrite``, so replaying a batch after
+   a failure rewrites exactly that batch's folders and never duplicates rows.
+
+These folders lie outside the batch tables, so reloading ``ratings.csv`` keeps streamed ratings.
+``<stream>`` is an id kept beside the checkpoint: two streams, or a stream started again with a new
+checkpoint, never share folders. Graph readers unite both parts
+(:func:`filmgraph.sources.graphstore.read_graph`). Stream files are CSV with a header line in the
+column order of ``ratings.csv``; a file with another header stops the stream.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,53 +43,70 @@ _RAW = T.StructType([T.StructField(f.name, T.StringType(), True) for f in S.RATI
 
 
 def epoch_folder(epoch_id: int) -> str:
-    return f"stream-epoch-{epoch_id:012d}"
+    return f"epoch-{epoch_id:012d}"
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the stream with this checkpoint, made and stored on its first start."""
+    path = f"{checkpoint.rstrip('/')}/_filmgraph_stream"
+    if not session.path_exists(spark, f"{path}/_SUCCESS"):
+        name = f"stream-{uuid.uuid4().hex[:12]}"
+        spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode(
+            "overwrite").text(path)
+    return spark.read.text(path).first()["value"]
 
 
 def rating_stream(spark: SparkSession, landing_dir: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of typed ratings with an ``_error`` column for rows that failed."""
-    reader = spark.readStream.schema(_RAW).options(**io.CSV_READ)
+    # enforceSchema=false: the header of every file must be the declared one
+    reader = spark.readStream.schema(_RAW).options(**io.CSV_READ, enforceSchema="false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(landing_dir)
     return io.conform(raw, S.RATINGS, io.INPUTS["ratings"].required, mode="quarantine")
 
 
-def _existing_users(spark: SparkSession, graph_root: str, epoch_id: int) -> DataFrame:
+def _existing_users(spark: SparkSession, graph_root: str, mine: str) -> DataFrame:
     """Stored USER keys, excluding whatever an earlier attempt of this batch wrote."""
     schema = S.VERTICES["USER"].schema
-    path = G.vertex_path(graph_root, "USER")
-    if not session.path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    users = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-    mine = f"/{epoch_folder(epoch_id)}/"
-    return users.where(~F.col("_metadata.file_path").contains(mine)).select("userId")
-
-
-def process_batch(batch: DataFrame, epoch_id: int, graph_root: str) -> None:
+    users = spark.createDataFrame([], schema)
+    batch = G.current(spark, G.vertex_path(graph_root, "USER"))
+    if batch:
+        users = users.unionByName(spark.read.schema(schema).parquet(batch))
+    streamed = G.stream_path(graph_root, "vertices", "USER")
+    if session.path_exists(spark, streamed):
+        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(streamed)
+        users = users.unionByName(rows.where(
+            ~F.col("_metadata.file_path").contains(f"/{mine}/")).select("userId"))
+    return users
+
+
+def process_batch(batch: DataFrame, epoch_id: int, graph_root: str,
+                  stream: str = "stream-0") -> None:
     """Load one micro-batch of typed ratings (see module docstring)."""
     spark = batch.sparkSession
     from ..plans.load import quarantine_path, stage, staging_path
 
-    folder = epoch_folder(epoch_id)
-    staged = stage(batch, staging_path(graph_root, f"ratings_stream/{folder}"))
+    folder = f"{stream}/{epoch_folder(epoch_id)}"
+    staging = staging_path(graph_root, f"ratings_stream/{folder}")
+    staged = stage(batch, f"{staging}/rows")
     good, bad = io.accepted(staged), io.rejected(staged)
     movies = G.read_graph(spark, graph_root, ["MOVIE"]).V("MOVIE")
     checked = integrity.enforce_references(E.rated_as_edges(good), [("dst", movies, "movieId")],
                                            "quarantine", "RATED_AS", small=True)
-    edges = stage(E.conform_edges(checked.accepted, "RATED_AS"),
-                  staging_path(graph_root, f"ratings_stream_edges/{folder}"))
-    (edges.sortWithinPartitions(*S.EDGES["RATED_AS"].sort_by)
-     .write.mode("overwrite").parquet(f"{G.edge_path(graph_root, 'RATED_AS')}/{folder}"))
+    edges = stage(E.conform_edges(checked.accepted, "RATED_AS"), f"{staging}/edges")
+    (edges.sortWithinPartitions(*S.EDGES["RATED_AS"].sort_by).write.mode("overwrite")
+     .parquet(f"{G.stream_path(graph_root, 'edges', 'RATED_AS')}/{folder}"))
     for direction in G.NEAR:     # keep existing adjacency copies in step with the edges
-        base = G.adjacency_path(graph_root, "RATED_AS", direction)
-        if session.path_exists(spark, base):
-            G.write_adjacency(edges, graph_root, "RATED_AS", direction, path=f"{base}/{folder}")
+        if G.current(spark, G.adjacency_path(graph_root, "RATED_AS", direction)):
+            copies = G.stream_path(graph_root, f"adjacency/{direction}", "RATED_AS")
+            G.write_adjacency(edges, graph_root, "RATED_AS", direction, path=f"{copies}/{folder}")
     new_users = integrity.absent_keys(V.user_vertices(good), "userId",
-                                      _existing_users(spark, graph_root, epoch_id), "userId",
+                                      _existing_users(spark, graph_root, folder), "userId",
                                       small=True)
-    new_users.write.mode("overwrite").parquet(f"{G.vertex_path(graph_root, 'USER')}/{folder}")
+    new_users.write.mode("overwrite").parquet(
+        f"{G.stream_path(graph_root, 'vertices', 'USER')}/{folder}")
     rejects = bad.unionByName(
         checked.rejected.select(
             F.col("src").alias("userId"), F.col("dst").alias("movieId"),
@@ -94,6 +114,7 @@ def process_batch(batch: DataFrame, epoch_id: int, graph_root: str) -> None:
         allowMissingColumns=True)
     rejects.write.mode("overwrite").parquet(
         f"{quarantine_path(graph_root, 'ratings_stream')}/{folder}")
+    session.delete_folder(spark, staging)
 
 
 def start_ratings_stream(spark: SparkSession, landing_dir: str, graph_root: str,
@@ -105,12 +126,13 @@ def start_ratings_stream(spark: SparkSession, landing_dir: str, graph_root: str,
     ``available_now`` processes what has landed and stops (a scheduled incremental load);
     otherwise the query keeps running with ``processing_time`` triggers.
     """
-    tag = hashlib.sha1(graph_root.encode()).hexdigest()[:16]
+    tag = hashlib.sha1(f"{graph_root} {landing_dir}".encode()).hexdigest()[:16]
     checkpoint = checkpoint or session.shared_path(spark, "streams", f"ratings-{tag}")
+    name = stream_id(spark, checkpoint)
     stream = rating_stream(spark, landing_dir, max_files_per_trigger)
     writer = (stream.writeStream.queryName("filmgraph_ratings")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, epoch: process_batch(df, epoch, graph_root)))
+              .foreachBatch(lambda df, epoch: process_batch(df, epoch, graph_root, name)))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -1,5 +1,6 @@
 """Fetching missing answers with retries, against fake APIs."""
 
+import pytest
 from filmgraph.operators import fetch as X
 
 
@@ -90,13 +91,37 @@ def test_fetch_job_resumes_into_a_batch_folder(spark, tmp_root):
     def api(ref):
         return None if int(ref[2:]) > 5 else "{}"
     first = load.fetch_omdb(spark, tmp_root, api, partitions=2, delay=0.0, sleep=lambda s: None)
-    assert first.endswith("omdb-json")
-    second = load.fetch_omdb(spark, tmp_root, lambda ref: "{}", partitions=2, delay=0.0,
-                             sleep=lambda s: None)
-    assert "/omdb-json/batch-" in second
+    assert len(first) == 1 and "/omdb-json/batch-" in first[0]
+    second = load.fetch_omdb(spark, tmp_root, lambda ref: "{}", partitions=2, batch_links=2,
+                             delay=0.0, sleep=lambda s: None)
+    assert len(second) == 3 and not set(first) & set(second)      # 5 links left, about 2 a batch
     landed = io.read_omdb_responses(spark, tmp_root)
     assert landed.where("response is not null").select("movieId").distinct().count() == 10
 
 
+def test_a_call_that_never_returns_ends_with_its_budget():
+    import time
+    began = time.monotonic()
+    assert X.call_with_backoff(lambda ref: time.sleep(60), "tt1", max_wait=0.3) is None
+    assert time.monotonic() - began < 5
+
+
+def test_answers_make_earlier_null_rows_obsolete(spark):
+    from filmgraph.operators import responses
+    rows = [("1", "1", None), ("1", "1", '{"Response":"True"}'), ("2", "2", None),
+            ("2", "2", None), ("3", "3", '{"Response":"False"}')]
+    df = spark.createDataFrame(rows, "movieId string, imdbId string, response string")
+    counts = {r["metric"]: r["n"] for r in responses.status_counts(
+        responses.classify(responses.current(df))).collect()}
+    assert counts == {"parse_successes": 1, "parse_failures": 1, "unfetched": 1}
+
+
+def test_fetch_function_by_name():
+    from filmgraph.plans import load
+    assert load.named_function("os.path:basename")("a/b") == "b"
+    with pytest.raises(ValueError):
+        load.named_function("os.path")
+
+
 def test_constants():
     assert (X.MAX_RETRIES, X.FIRST_DELAY, X.BACKOFF_BASE, X.MAX_WAIT) == (6, 1.0, 2.0, 70.0)

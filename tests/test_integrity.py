@@ -52,7 +52,7 @@ def scores_df(spark):
 
 def test_tag_id_twice_fails(spark):
     movies = build.movie_tables(movies_df(spark)).vertices["MOVIE"]
-    with pytest.raises(integrity.IntegrityError, match="TAG.tagId is not unique: 1 x2"):
+    with pytest.raises(integrity.IntegrityError, match="TAG.tagId is not unique .1 keys.: 1 x2"):
         build.genome_tables(tags_df(spark, [(1, "007"), (1, "bond"), (2, "noir")]),
                             scores_df(spark), movies)
 

@@ -67,7 +67,7 @@ def test_stream_schema(spark):
     landing = tempfile.mkdtemp(prefix="filmgraph-landing-")
     df = rating_stream(spark, landing)
     assert df.isStreaming
-    assert df.columns == ["userId", "movieId", "rating", "timestamp", "_error"]
+    assert df.columns == ["userId", "movieId", "rating", "timestamp", "_error", "_raw"]
 
 
 def test_stream_keeps_adjacency_copies_in_step(spark):
