@@ -71,16 +71,26 @@ def duplicate_keys(df: DataFrame, key: str, nulls_allowed: bool = False) -> Data
     return per_key.where((F.col("n") > 1) | F.col(key).isNull())
 
 
-def unique_report(df: DataFrame, label: str, prop: str) -> DataFrame:
-    """One row: ``label, property, n_rows, n_null, n_keys, n_duplicated`` for a unique index."""
-    per_key = df.groupBy(prop).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
+def unique_report(df: DataFrame, label: str, props: list[str]) -> DataFrame:
+    """A row per unique index of a label: ``label, property, n_rows, n_null, n_keys, n_duplicated``.
+
+    All properties are stacked and counted in one pass over the table.
+    """
+    stacked = df.select(F.explode(F.array(*[F.struct(
+        F.lit(p).alias("property"), F.col(p).cast("string").alias("value"))
+        for p in props])).alias("s")).select("s.*")
+    per_key = stacked.groupBy("property", "value").agg(F.count(F.lit(1)).alias("n"))
+    found = per_key.groupBy("property").agg(
         F.sum("n").cast("bigint").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col(prop).isNull(), F.col("n"))), F.lit(0))
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0))
         .cast("bigint").alias("n_null"),
-        F.count(prop).alias("n_keys"),
-        F.count_if(F.col(prop).isNotNull() & (F.col("n") > 1)).alias("n_duplicated"),
-    ).select(F.lit(label).alias("label"), F.lit(prop).alias("property"), "*")
+        F.count("value").alias("n_keys"),
+        F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("n_duplicated"))
+    wanted = df.sparkSession.createDataFrame([(p,) for p in props], "property string")
+    counts = [F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
+              for c in ("n_rows", "n_null", "n_keys", "n_duplicated")]
+    return F.broadcast(wanted).join(found, "property", "left").select(
+        F.lit(label).alias("label"), "property", *counts)
 
 
 def enforce_unique(df: DataFrame, keys: list[str] | str, mode: str = "fail",
@@ -152,32 +162,37 @@ def reference_report(edges: DataFrame, label: str, col: str, vertices: DataFrame
     ).select(F.lit(label).alias("label"), F.lit(col).alias("endpoint"), "*")
 
 
-def references_report(edges: list[tuple[str, str, DataFrame]], vertices: DataFrame,
-                       key: str) -> DataFrame:
-    """:func:`reference_report` for several edge endpoints that point at one vertex label.
+def references_report(edges: dict[str, tuple[DataFrame, list[tuple[str, str]]]],
+                      vertices: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """:func:`reference_report` for all endpoints of several edge tables at once.
 
-    ``edges`` holds ``(edge label, endpoint column, edge table)``; the vertex key set is
-    computed once for all of them. Returns one row per given endpoint.
+    ``edges`` maps an edge label to its table and its ``(endpoint column, vertex label)`` pairs,
+    ``vertices`` a vertex label to its table and key. Both endpoints of an edge are stacked and
+    counted in one pass; the distinct keys then meet all vertex keys in one join.
     """
-    spark = vertices.sparkSession
-    refs = None
-    for label, col, df in edges:
-        part = df.select(F.lit(label).alias("label"), F.lit(col).alias("endpoint"),
-                         F.col(col).alias("_k"))
+    refs = known = None
+    for label, (df, ends) in edges.items():
+        part = df.select(F.explode(F.array(*[F.struct(
+            F.lit(label).alias("label"), F.lit(c).alias("endpoint"), F.lit(target).alias("target"),
+            F.col(c).cast("string").alias("key")) for c, target in ends])).alias("s")).select("s.*")
+        part = part.groupBy("label", "endpoint", "target", "key").agg(
+            F.count(F.lit(1)).alias("n"))
         refs = part if refs is None else refs.unionByName(part)
-    per_key = refs.groupBy("label", "endpoint", "_k").agg(F.count(F.lit(1)).alias("n"))
-    known = (vertices.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-             .withColumn("_known", F.lit(True)))
+    for target, (df, key) in vertices.items():
+        part = df.select(F.lit(target).alias("target"), F.col(key).cast("string").alias("key"))
+        known = part if known is None else known.unionByName(part)
+    known = known.where("key IS NOT NULL").distinct().withColumn("_known", F.lit(True))
     missing = F.col("_known").isNull()
-    found = per_key.join(known, "_k", "left").groupBy("label", "endpoint").agg(
+    found = refs.join(known, ["target", "key"], "left").groupBy("label", "endpoint").agg(
         F.sum("n").cast("bigint").alias("n_edges"),
         F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).cast("bigint")
         .alias("n_dangling_edges"),
         F.count_if(missing).alias("n_dangling_keys"))
     # every endpoint gets a row, also when its edge table is empty
-    wanted = spark.createDataFrame([(lbl, col) for lbl, col, _ in edges],
-                                   "label string, endpoint string")
-    return wanted.join(found, ["label", "endpoint"], "left").select(
+    wanted = known.sparkSession.createDataFrame(
+        [(label, c) for label, (_, ends) in edges.items() for c, _ in ends],
+        "label string, endpoint string")
+    return F.broadcast(wanted).join(found, ["label", "endpoint"], "left").select(
         "label", "endpoint",
         *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
           for c in ("n_edges", "n_dangling_edges", "n_dangling_keys")])

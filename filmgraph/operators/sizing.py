@@ -10,7 +10,7 @@ the library therefore proves its size first:
 * otherwise the side is written to the shared checkpoint folder and counted (one pass over a
   result that is small in the cases that matter; it also cuts the lineage).
 
-Within ``limit`` rows the side is broadcast - the big side is streamed, never shuffled, and a hot
+Within ``limit`` rows and ``BROADCAST_BYTE_LIMIT`` bytes the side is broadcast - the big side is streamed, never shuffled, and a hot
 key cannot skew anything. Beyond it the join is left to a shuffled sort-merge join, with AQE's
 skew splitting for hot keys.
 """
@@ -26,18 +26,35 @@ from .. import session
 
 # Rows of narrow key columns (bigint/short strings): at most a few tens of MB per executor.
 BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTE_LIMIT = 64 << 20
 
 
 @dataclass
 class Sized:
     df: DataFrame
     rows: int | None          # proven upper bound on the row count, None if unknown
+    width: int = 0            # measured bytes, 0 for lists of keys (bounded by their length)
 
 
 def materialize(df: DataFrame) -> Sized:
-    """Checkpoint ``df`` to the shared folder and count it."""
+    """Checkpoint ``df`` to the shared folder, count its rows and add up their bytes."""
     saved = checkpoint(df)
-    return Sized(saved, saved.count())
+    rows, width = saved.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return Sized(saved, rows, int(width))
+
+
+def _row_bytes(df: DataFrame):
+    """Bytes of a row: text by its length, arrays and structs by their text, 8 for the rest."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind in ("array", "struct", "map"):
+            total = total + F.coalesce(F.octet_length(F.to_json(f.name)), F.lit(0))
+        else:
+            total = total + 8
+    return total
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -53,4 +70,5 @@ def ensure_bound(side: Sized) -> Sized:
 def for_join(side: Sized, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """The side itself, hinted for broadcast when its proven size is within ``limit``."""
     side = ensure_bound(side)
-    return F.broadcast(side.df) if side.rows <= limit else side.df
+    small = side.rows <= limit and side.width <= BROADCAST_BYTE_LIMIT
+    return F.broadcast(side.df) if small else side.df

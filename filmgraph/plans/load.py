@@ -181,6 +181,12 @@ def load_movies(spark: SparkSession, dataset_root: str, graph_root: str,
         t.vertices["MOVIE"] = _staged(merged, graph_root, "movie_merged", report)
         _check_stored_edges(spark, graph_root, t, mode, report)
     _write_tables(t, graph_root, mode, report)
+    stored = G.read_graph(spark, graph_root, ["MOVIE"]).V("MOVIE")
+    for prop in G.TEXT_INDEXES["MOVIE"]:
+        report.written[f"index/MOVIE/{prop}"] = G.write_tokens(stored, graph_root, "MOVIE", prop)
+    # movies of a genre: the edges clustered by genre
+    for path in build_adjacency(spark, graph_root, "CATEGORIZED_AS", ("in",)):
+        report.written["adjacency/CATEGORIZED_AS/in"] = path
     return _drop_staging(spark, report)
 
 
@@ -305,7 +311,7 @@ def load_all(spark: SparkSession, dataset_root: str, graph_root: str,
             report.counters.update(r.counters)
     for label in adjacency:
         for path in build_adjacency(spark, graph_root, label):
-            report.written[f"adjacency/{path.rsplit('/', 2)[-2]}/{path.rsplit('/', 1)[-1]}"] = path
+            report.written["/".join(path.rsplit("/", 4)[1:4])] = path
     return report
 
 

@@ -4,6 +4,7 @@ Layout below a graph root::
 
     vertices/<LABEL>/version-<n>/part-*.parquet   natural key + properties (V3 schema)
     edges/<LABEL>/version-<n>/part-*.parquet      src, dst (endpoint keys) + properties
+    index/<LABEL>/<property>/version-<n>/         token, vertex key: the text index of a property
     stream/{vertices,edges}/<LABEL>/<stream>/epoch-<n>/   micro-batches of incremental loads
 
 Choosing a label is choosing a folder, so a label predicate never reads other labels. A load job
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from .. import session
+from ..functions import search as P
 
 
 def vertex_path(root: str, label: str) -> str:
@@ -41,6 +43,10 @@ def adjacency_path(root: str, label: str, direction: str) -> str:
     return f"{root.rstrip('/')}/adjacency/{label}/{direction}"
 
 
+def index_path(root: str, label: str, prop: str) -> str:
+    return f"{root.rstrip('/')}/index/{label}/{prop}"
+
+
 def stream_path(root: str, kind: str, label: str) -> str:
     """Folder of the streamed batches of a table; ``kind`` is vertices, edges or
     adjacency/<direction>."""
@@ -78,6 +84,9 @@ def publish(spark: SparkSession, folder: str, write) -> str:
     return path
 
 
+# Text properties that get a token table.
+TEXT_INDEXES = {"MOVIE": ("movieTitle",)}
+
 # The endpoint an adjacency copy is clustered on, per direction.
 NEAR = {"out": "src", "in": "dst"}
 
@@ -148,17 +157,34 @@ def write_adjacency(df: DataFrame, root: str, label: str, direction: str,
                    lambda target: rows.write.parquet(target))
 
 
+def token_schema(label: str):
+    key = S.VERTICES[label].key
+    return S._struct(("token", S.STRING), (key, S.VERTICES[label].type_of(key)))
+
+
+def write_tokens(df: DataFrame, root: str, label: str, prop: str) -> str:
+    """The text index of a property: a row per vertex and distinct token, clustered by token, so a
+    search for a token or a prefix opens the files that hold it instead of all vertices."""
+    key = S.VERTICES[label].key
+    rows = df.select(F.explode(F.array_distinct(P.tokens(prop))).alias("token"), key)
+    rows = rows.repartitionByRange("token", key).sortWithinPartitions("token", key)
+    return publish(df.sparkSession, index_path(root, label, prop),
+                   lambda path: rows.write.parquet(path))
+
+
 @dataclass
 class Graph:
     """Vertex and edge tables by label (lazy DataFrames).
 
-    ``adjacency[(label, direction)]`` holds the optional clustered copies of edge tables used by
+    ``tokens[(label, property)]`` holds text indexes (:func:`write_tokens`) and
+    ``adjacency[(label, direction)]`` the optional clustered copies of edge tables used by
     traversals from small frontiers (:func:`write_adjacency`).
     """
 
     vertices: dict[str, DataFrame] = field(default_factory=dict)
     edges: dict[str, DataFrame] = field(default_factory=dict)
     adjacency: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
+    tokens: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
 
     def V(self, label: str) -> DataFrame:
         """The vertex table of one label."""
@@ -246,6 +272,11 @@ def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None)
                          stream_path(root, "vertices", label), spec.key)
             if df is not None:
                 g.vertices[label] = df
+            for prop in TEXT_INDEXES.get(label, ()):
+                version = current(spark, index_path(root, label, prop))
+                if version:
+                    g.tokens[(label, prop)] = spark.read.schema(token_schema(label)).parquet(
+                        version)
     for label, spec in S.EDGES.items():
         if labels is None or label in labels:
             df = _stored(spark, spec.schema, edge_path(root, label),

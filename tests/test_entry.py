@@ -17,11 +17,15 @@ def test_entry_runs(spark):
     assert rows and df.columns == ["movie_id", "title", "year", "n_listed"]
 
 
+# The optional operators have tests of their own (not all of them can be stated in SQL).
+OWN = [q for q in E.queries() if q != "pipeline" and not q.startswith("op")]
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(OWN) <= set(E.oracle_sql()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_queries_match_oracle(spark):
-    res = compare(spark, SF_SMALL, verbose=False)
+    res = compare(spark, SF_SMALL, OWN, verbose=False)
     bad = {k: v for k, v in res.items() if not v["ok"]}
     assert not bad, bad

@@ -186,7 +186,7 @@ def test_adjacency_copies_give_the_same_traversals_and_read_less(spark, loaded):
     finally:
         spark.conf.unset("parquet.block.size")
     plain, indexed = G.read_graph(spark, root), G.read_graph(spark, copy)
-    assert set(indexed.adjacency) == {("RATED_AS", "out"), ("RATED_AS", "in")}
+    assert {("RATED_AS", "out"), ("RATED_AS", "in")} <= set(indexed.adjacency)
     user = plain.E("RATED_AS").first()["src"]
 
     def two_hops(g):
@@ -227,3 +227,47 @@ def test_register_tables_in_the_catalog(spark, loaded):
     g = G.read_graph(spark, loaded[1])
     assert n == g.E("RATED_AS").where("score >= 4").count()
     assert spark.table("fg_test.v_movie").schema == S.VERTICES["MOVIE"].schema
+
+
+def test_genre_and_token_searches_use_the_stored_indexes(spark, loaded):
+    from filmgraph.functions import search as P
+    g = G.read_graph(spark, loaded[1])
+    bare = G.Graph(g.vertices, g.edges)                      # no adjacency, no token table
+
+    def ids(df):
+        return sorted(r["movieId"] for r in df.collect())
+
+    genre = g.V("GENRE").first()["genreName"]
+    assert ids(Q.movies_with_genre(g, genre)) == ids(Q.movies_with_genre(bare, genre)) != []
+    for given in ({"word": "RED"}, {"prefix": "wi"}, {"pattern": "g.*r"}, {"word": "nothing"}):
+        assert ids(Q.movies_with_title_token(g, **given)) == ids(
+            Q.movies_with_title_token(bare, **given))
+    assert g.tokens[("MOVIE", "movieTitle")].where("token = 'red'").count() == bare.V(
+        "MOVIE").where(P.text_contains("movieTitle", "red")).count()
+
+
+def test_edge_steps_chain_and_mix_labels(spark, loaded):
+    g = G.read_graph(spark, loaded[1])
+    user = g.E("RATED_AS").first()["src"]
+    start = Traversal.start(g, "USER", keys=[user])
+    high = start.out_edges("RATED_AS").has(F.col("score") >= 3)
+    want = g.E("RATED_AS").where(F.col("src") == user).where("score >= 3")
+    assert high.count().first()["count"] == want.count()
+    assert {r["key"]: r["bulk"] for r in high.in_v().to_df().collect()} == {
+        r["dst"]: r["count"] for r in want.groupBy("dst").count().collect()}
+    assert [r["key"] for r in high.out_v().to_df().collect()] == [user]
+    movie = want.first()["dst"]
+    around = Traversal.start(g, "MOVIE", keys=[movie]).both()
+    rows = around.to_df().collect()
+    assert {r["label"] for r in rows} >= {"USER", "GENRE"}
+    raters = around.has_label("USER")
+    assert raters.count().first()["count"] == g.E("RATED_AS").where(F.col("dst") == movie).count()
+    two = Traversal.start(g, "MOVIE", keys=[movie]).out("CATEGORIZED_AS", "RELEASED_IN")
+    assert two.count().first()["count"] == sum(
+        g.E(x).where(F.col("src") == movie).count() for x in ("CATEGORIZED_AS", "RELEASED_IN"))
+    back = two.in_("CATEGORIZED_AS")
+    assert back.label == "MOVIE" and back.dedup().count().first()["count"] >= 1
+    with pytest.raises(ValueError):
+        start.out("CATEGORIZED_AS")
+    assert start.both_edges("RATED_AS").count().first()["count"] == g.E("RATED_AS").where(
+        F.col("src") == user).count()

@@ -110,8 +110,13 @@ def test_grouped_reference_report_matches_single(spark):
     b = spark.createDataFrame([(5, 9)], "src bigint, dst bigint")
     empty = spark.createDataFrame([], "src bigint, dst bigint")
     vertices = spark.createDataFrame([(5,), (7,)], "id bigint")
+    others = spark.createDataFrame([(1,)], "id bigint")
+    edges = {"A": (a, [("src", "W"), ("dst", "V")]), "B": (b, [("src", "V")]),
+             "C": (empty, [("dst", "V")])}
     grouped = {(r["label"], r["endpoint"]): r.asDict() for r in integrity.references_report(
-        [("A", "dst", a), ("B", "src", b), ("C", "dst", empty)], vertices, "id").collect()}
+        edges, {"V": (vertices, "id"), "W": (others, "id")}).collect()}
+    assert grouped[("A", "src")] == integrity.reference_report(a, "A", "src", others,
+                                                               "id").first().asDict()
     for label, col, df in (("A", "dst", a), ("B", "src", b), ("C", "dst", empty)):
         single = integrity.reference_report(df, label, col, vertices, "id").first().asDict()
         assert grouped[(label, col)] == single
