@@ -59,7 +59,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences that each show the mixture of the stage before."""
     common.configure(spark)
-    return pack.pack(docs).drop("ids")
+    return pack.pack(docs, pack.Packing(with_ids=False))
 
 
 STAGES = [("quality classifier", quality_classifier), ("quality rules", quality_rules),

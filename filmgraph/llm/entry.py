@@ -23,7 +23,7 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences at the corpus mixture."""
-    return pack.pack(common.table(spark, sf_dir, "documents")).drop("ids")
+    return pack.pack(common.table(spark, sf_dir, "documents"), pack.Packing(with_ids=False))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,13 @@ Serving order is known in closed form: burst ``t`` of a source with weight ``w``
 ``(t + 1/2) / w``, and its place in the stream is the number of ids due before it, summed over the
 sources. So no window waits for another: given the ids per source before each input partition, every
 partition cuts its documents on its own, and deficits carry over windows and partitions exactly
-(integer arithmetic).
+(integer arithmetic; weights are rounded to 2^-20 of their sum, which leaves 64 bits enough for 2^42
+bursts of a source).
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,9 +34,10 @@ class Packing:
     end_id: int = 1
     window: int = 2048
     quantum: int = 128
-    # weight per source name, integers; None: each source's number of ids, so that every window
+    # weight per source name; None: each source's number of ids, so that every window
     # shows the corpus mixture and all queues run out together
     weights: dict | None = None
+    with_ids: bool = True             # return the ids of each piece
 
 
 def queue_ids(docs: DataFrame, packing: Packing) -> DataFrame:
@@ -71,46 +74,57 @@ def queue_ids(docs: DataFrame, packing: Packing) -> DataFrame:
                 "small boolean, ids binary"), "queues")
 
 
-def served_before(t: int, j: int, sizes: list[int], weights: list[int], quantum: int) -> int:
-    """Place in the stream of burst ``t`` of source ``j``: ids of all bursts due earlier (equal
+WEIGHT_UNITS = 1 << 20
+
+
+def rounded_weights(weights: list[float]) -> np.ndarray:
+    total = sum(weights)
+    return np.array([max(1, round(w / total * WEIGHT_UNITS)) for w in weights], dtype=np.int64)
+
+
+def served_before(t: np.ndarray, j: np.ndarray, sizes: np.ndarray, weights: np.ndarray,
+                  quantum: int) -> np.ndarray:
+    """Places in the stream of bursts ``t`` of sources ``j``: ids of all bursts due earlier (equal
     times: by source order)."""
-    place = 0
-    for r, (size, w) in enumerate(zip(sizes, weights, strict=True)):
-        if r == j:
-            bursts = t
-        else:
-            # bursts u with (2u + 1) / w < (2t + 1) / weights[j], or equal and r < j
-            due = (2 * t + 1) * w
-            k, left = divmod(due + weights[j], 2 * weights[j])
-            bursts = k if left or r < j else k - 1
-        place += min(size, max(bursts, 0) * quantum)
+    place = np.zeros(len(t), dtype=np.int64)
+    own = weights[j]
+    for r, (size, w) in enumerate(zip(sizes.tolist(), weights.tolist(), strict=True)):
+        # bursts u with (2u + 1) / w < (2t + 1) / own, or equal and r before j
+        bursts, left = np.divmod((2 * t + 1) * w + own, 2 * own)
+        bursts -= (left == 0) & (r > j)
+        place += np.minimum(size, np.where(r == j, t, bursts) * quantum)
     return place
 
 
-def cut(start: int, length: int, j: int, sizes: list[int], weights: list[int],
-        quantum: int, window: int):
-    """Pieces ``(start in the document, length, stream place)`` of the document that lies at
-    ``start`` of queue ``j``; neighbouring bursts of one document in one window are one piece."""
-    pieces: list[list[int]] = []
-    at, end = start, start + length
-    while at < end:
-        t, inside = divmod(at, quantum)
-        place = served_before(t, j, sizes, weights, quantum) + inside
-        upto = min(end, (t + 1) * quantum)
-        while at < upto:
-            n = min(upto - at, window - place % window)
-            last = pieces[-1] if pieces else None
-            if last and last[2] + last[1] == place and place % window:
-                last[1] += n
-            else:
-                pieces.append([at - start, n, place])
-            at, place = at + n, place + n
-    return pieces
+def cut(start: np.ndarray, length: np.ndarray, j: np.ndarray, sizes: np.ndarray,
+        weights: np.ndarray, quantum: int, window: int):
+    """Pieces ``(document, start in it, length, stream place)``, as arrays, of documents that lie at
+    ``start`` of queues ``j``; neighbouring bursts of one document in one window are one piece."""
+    first, last = start // quantum, (start + length - 1) // quantum
+    n = last - first + 1
+    doc = np.repeat(np.arange(len(start)), n)
+    t = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[doc]
+    lo = np.maximum(t * quantum, start[doc])
+    hi = np.minimum((t + 1) * quantum, (start + length)[doc])
+    place = served_before(t, j[doc], sizes, weights, quantum) + lo - t * quantum
+    # a burst lies in as many pieces as windows
+    k = (place + hi - lo - 1) // window - place // window + 1
+    part = np.repeat(np.arange(len(t)), k)
+    inside = np.arange(len(part)) - np.repeat(np.cumsum(k) - k, k)
+    edge = (place // window)[part] * window + inside * window
+    a = np.maximum(place[part], edge)
+    b = np.minimum((place + hi - lo)[part], edge + window)
+    at, own = (lo - place)[part] + a - start[doc[part]], doc[part]
+    joins = np.zeros(len(a), dtype=bool)
+    joins[1:] = (own[1:] == own[:-1]) & (a[1:] == b[:-1]) & (a[1:] % window != 0)
+    head = np.flatnonzero(~joins)
+    return own[head], at[head], np.add.reduceat(b - a, head), a[head]
 
 
 def pack(docs: DataFrame, packing: Packing | None = None) -> DataFrame:
     """One row per piece of ``docs(doc_id, source, text)``: doc_id, source, start, length,
-    ids_crc32, doc_tokens, sequence_id, offset, ids (array), sequence_tokens, padded_tokens.
+    ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens, padded_tokens and (on request)
+    ids, an array.
 
     Null and empty texts hold the end id alone, null sources are a source of their own, null and
     repeated ids are packed row by row, other columns are not carried, and an empty table gives no
@@ -130,33 +144,42 @@ def pack(docs: DataFrame, packing: Packing | None = None) -> DataFrame:
     mixture = per_part.groupBy("source").agg(F.sum("n").alias("n")).collect()
     mixture = sorted(((r["source"], r["n"]) for r in mixture),
                      key=lambda x: (x[0] is None, x[0] or ""))
-    names = [s for s, _ in mixture]
-    sizes = [n for _, n in mixture]
+    if not mixture:
+        return spark.createDataFrame([], _schema(packing))
+    place_of = {s: j for j, (s, _) in enumerate(mixture)}
+    sizes = np.array([n for _, n in mixture], dtype=np.int64)
     given = packing.weights
-    weights = [max(1, n if given is None else int(given.get(s, 1))) for s, n in mixture]
-    place_of = {s: j for j, s in enumerate(names)}
-    total, window, quantum = sum(sizes), packing.window, packing.quantum
+    weights = rounded_weights([n if given is None else given.get(s, 1) for s, n in mixture])
+    total, window, quantum = int(sizes.sum()), packing.window, packing.quantum
     rest = total % window
-    power = rest & (rest - 1) == 0
+    padded = rest if rest & (rest - 1) == 0 else window
+    names = [c.split()[0] for c in _schema(packing).split(", ")]
 
     def cut_documents(frames):
         for frame in frames:
-            out = []
-            for source, at, doc_id, n, small, data in zip(
-                    frame["source"], frame["queue_at"], frame["doc_id"], frame["doc_tokens"],
-                    frame["small"], frame["ids"], strict=True):
-                ids = np.frombuffer(data, "<u2" if small else "<u4").astype("<u4")
-                j = place_of[source if isinstance(source, str) else None]
-                for start, length, place in cut(int(at), int(n), j, sizes, weights, quantum,
-                                                window):
-                    piece = ids[start:start + length]
-                    seq = place // window
-                    filled = window if (seq + 1) * window <= total else rest
-                    out.append((None if pd.isna(doc_id) else int(doc_id), source, start, length,
-                                common.crc32_u4(piece), int(n), seq, place % window,
-                                piece.astype("<i4"), filled,
-                                filled if filled == window or power else window))
-            rows = pd.DataFrame(out, columns=[c.split()[0] for c in PIECES.split(", ")])
+            if not len(frame):
+                continue
+            source = [s if isinstance(s, str) else None for s in frame["source"]]
+            j = np.array([place_of[s] for s in source], dtype=np.int64)
+            n = frame["doc_tokens"].to_numpy()
+            doc, start, length, place = cut(frame["queue_at"].to_numpy(), n, j, sizes, weights,
+                                            quantum, window)
+            ids = [np.frombuffer(data, "<u2" if small else "<u4").astype("<u4")
+                   for data, small in zip(frame["ids"], frame["small"], strict=True)]
+            views = [memoryview(x).cast("B") for x in ids]
+            crc = [zlib.crc32(views[d][4 * a:4 * (a + m)]) for d, a, m in
+                   zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
+            seq = place // window
+            full = (seq + 1) * window <= total
+            out = {"doc_id": frame["doc_id"].astype("Int64").iloc[doc].to_numpy(),
+                   "source": [source[d] for d in doc], "start": start, "length": length,
+                   "ids_crc32": crc, "doc_tokens": n[doc], "sequence_id": seq,
+                   "offset": place % window, "sequence_tokens": np.where(full, window, rest),
+                   "padded_tokens": np.where(full, window, padded)}
+            if packing.with_ids:
+                out["ids"] = [ids[d][a:a + m].astype("<i4") for d, a, m in
+                              zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
+            rows = pd.DataFrame({c: out[c] for c in names})
             rows["doc_id"] = rows["doc_id"].astype("Int64")
             yield rows
 
@@ -165,12 +188,15 @@ def pack(docs: DataFrame, packing: Packing | None = None) -> DataFrame:
         (F.col("part") == F.col("_part")) & F.col("source").eqNullSafe(F.col("_source")))
     placed = placed.select("source", (F.col("base") + F.col("queue_start")).alias("queue_at"),
                            "doc_id", "doc_tokens", "small", "ids")
-    return placed.mapInPandas(cut_documents, PIECES) if names else spark.createDataFrame([], PIECES)
+    return placed.mapInPandas(cut_documents, _schema(packing))
 
 
 PIECES = ("doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, "
-          "sequence_id long, offset long, ids array<int>, sequence_tokens long, "
-          "padded_tokens long")
+          "sequence_id long, offset long, sequence_tokens long, padded_tokens long")
+
+
+def _schema(packing: Packing) -> str:
+    return f"{PIECES}, ids array<int>" if packing.with_ids else PIECES
 
 
 def sequences(pieces: DataFrame, pad_id: int = 50256) -> DataFrame:

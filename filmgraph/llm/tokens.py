@@ -3,21 +3,21 @@
 A byte-level tokenizer of this kind first splits a text by a pattern, and always splits between a
 non-space character and the white space behind it, around a line feed, and between a letter and a
 full stop or comma; longer runs of white space aside, where such texts go to the library whole. So a
-batch of texts is cut at those places, equal pieces are found by 64-bit hashes within the batch, and
-each different piece is looked up in a bounded table that the library's model fills. Tests hold the
-ids against the library's for whole texts.
+batch of texts is cut at those places, and each different piece is looked up, by a 64-bit hash and
+its length, in a bounded table of arrays that the library's model fills (two different pieces pass
+for one with a chance of about 1e-13 for each look-up in a full table). Tests hold the ids against
+the library's for whole texts.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
 
 import numpy as np
 
 from .hashing import hash_ranges
 
-TABLE_PIECES = 500_000
+TABLE_PIECES = 1_000_000
 BATCH_BYTES = 1 << 20             # texts hashed at once; longer ones are cut piece by piece
 # runs of white space whose inner cuts could change ids
 _UNSAFE = re.compile(r"\s\s(?:\s|$)")
@@ -56,8 +56,10 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.table: dict[bytes, int] = {}          # piece -> row of first and count
-        self.first, self.count, self.store = array("q"), array("q"), array("I")
+        # sorted hashes of the pieces seen; place of their ids in the store, how many, and bytes
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.rows = np.zeros((3, 0), dtype=np.int64)
+        self.store = np.zeros(0, dtype="<u4")
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -78,13 +80,17 @@ class Encoder:
             return self._word(piece[:-1]) + self.stops[bare[-1]]
         return self.whole(piece)
 
-    def _row(self, piece: bytes) -> int:
-        ids = self._piece(piece.decode("utf-8"))
-        row = self.table[piece] = len(self.first)
-        self.first.append(len(self.store))
-        self.count.append(len(ids))
-        self.store.extend(ids)
-        return row
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """Add pieces that the table does not hold; ``keys`` are their sorted hashes."""
+        ids = [self._piece(p.decode("utf-8")) for p in pieces]
+        count = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        first = len(self.store) + np.cumsum(count) - count
+        size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        self.store = np.concatenate([self.store, np.fromiter(
+            (x for own in ids for x in own), dtype="<u4", count=int(count.sum()))])
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.rows = np.insert(self.rows, at, np.stack([first, count, size]), axis=1)
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of a text as uint32 (null and empty: none)."""
@@ -115,7 +121,7 @@ class Encoder:
         return out
 
     def _fill(self, out: list[np.ndarray], texts: list[tuple[int, bytes]]) -> None:
-        if len(self.table) > TABLE_PIECES:
+        if len(self.keys) > TABLE_PIECES:
             self._reset()
         buffer = b"".join(raw for _, raw in texts)
         data = np.frombuffer(buffer, dtype=np.uint8)
@@ -127,19 +133,22 @@ class Encoder:
         begins[ends[:-1]] = True
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(data))
-        _, one, which = np.unique(hash_ranges(data, start, end), return_index=True,
-                                  return_inverse=True)
-        get, add = self.table.get, self._row
-        rows = []
-        for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True):
-            row = get(piece := buffer[a:b])
-            rows.append(add(piece) if row is None else row)
-        rows = np.asarray(rows)
-        first = np.frombuffer(self.first, dtype=np.int64)[rows][which]
-        count = np.frombuffer(self.count, dtype=np.int64)[rows][which]
+        keys, one, which = np.unique(hash_ranges(data, start, end), return_index=True,
+                                     return_inverse=True)
+        size = (end - start)[one]
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), dtype=bool)
+        if len(self.keys):
+            held = np.minimum(at, len(self.keys) - 1)
+            known = (self.keys[held] == keys) & (self.rows[2, held] == size)
+        new = np.flatnonzero(~known)
+        if len(new):
+            self._learn(keys[new], [buffer[a:b] for a, b in zip(
+                start[one[new]].tolist(), end[one[new]].tolist(), strict=True)])
+            at = np.searchsorted(self.keys, keys)
+        first, count = self.rows[0, at][which], self.rows[1, at][which]
         behind = np.cumsum(count)
-        flat = np.frombuffer(self.store, dtype="<u4")[
-            np.arange(behind[-1]) + np.repeat(first - behind + count, count)]
+        flat = self.store[np.arange(behind[-1]) + np.repeat(first - behind + count, count)]
         upto = behind[np.searchsorted(start, ends) - 1]
         for (i, _), a, b in zip(texts, [0, *upto[:-1]], upto, strict=True):
             out[i] = flat[a:b]

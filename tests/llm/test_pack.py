@@ -1,5 +1,6 @@
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 
@@ -7,18 +8,51 @@ from filmgraph.llm import pack as P
 from filmgraph.llm import tokens
 
 
-def test_stream_places_are_a_permutation_and_follow_due_times():
+def plain_places(sizes, weights, q):
+    """(source, burst) -> place, by a plain round robin: always the burst due first."""
+    due = sorted((Fraction(2 * t + 1, weights[j]), j, t) for j in range(len(sizes))
+                 for t in range(-(-sizes[j] // q)))
+    places, at = {}, 0
+    for _, j, t in due:
+        places[j, t] = at
+        at += min(q, sizes[j] - t * q)
+    return places
+
+
+def test_pieces_follow_a_plain_round_robin():
     rng = random.Random(2)
-    for _ in range(60):
-        k, q = rng.randint(1, 4), rng.choice([1, 3, 8])
+    for _ in range(80):
+        k, q, window = rng.randint(1, 4), rng.choice([1, 3, 8]), rng.choice([4, 8, 20])
         sizes = [rng.randint(1, 200) for _ in range(k)]
         weights = [rng.randint(1, 9) for _ in range(k)]
-        due = sorted((((2 * t + 1) / weights[j]), j, t) for j in range(k)
-                     for t in range(-(-sizes[j] // q)))
-        place = 0
-        for _, j, t in due:     # a plain round robin: always the burst due first
-            assert P.served_before(t, j, sizes, weights, q) == place
-            place += min(q, sizes[j] - t * q)
+        places = plain_places(sizes, weights, q)
+        docs = []
+        for j in range(k):
+            at = 0
+            while at < sizes[j]:
+                docs.append((at, min(rng.randint(1, 50), sizes[j] - at), j))
+                at += docs[-1][1]
+        start, length, j = (np.array(x) for x in zip(*docs, strict=True))
+        doc, a, n, place = P.cut(start, length, j, np.array(sizes), np.array(weights), q, window)
+        seen = np.zeros(sum(sizes), dtype=int)
+        for d, x, m, p in zip(doc, a, n, place, strict=True):
+            assert p // window == (p + m - 1) // window
+            seen[p:p + m] += 1
+            for i in range(m):
+                t, inside = divmod(start[d] + x + i, q)
+                assert places[j[d], t] + inside == p + i
+        assert (seen == 1).all()
+        # neighbours in one window are one piece
+        same = (doc[1:] == doc[:-1]) & (place[1:] == place[:-1] + n[:-1])
+        assert not (same & (place[1:] % window != 0)).any()
+
+
+def test_large_queues_do_not_overflow():
+    weights = P.rounded_weights([3.0, 1.0, 1e-9])
+    sizes = np.array([1 << 48, 1 << 46, 1000])
+    t = np.array([1 << 40, (1 << 40) + 1])
+    place = P.served_before(t, np.array([0, 0]), sizes, weights, 128)
+    assert 128 <= place[1] - place[0] <= 3 * 128 and (place > t * 128).all()
 
 
 def check_pieces(rows, texts, window):
