@@ -19,11 +19,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from filmgraph import session  # noqa: E402
 from filmgraph.functions import search as P  # noqa: E402
 from filmgraph.operators import edges as E  # noqa: E402
-from filmgraph.operators import integrity  # noqa: E402
+from filmgraph.operators import integrity, responses  # noqa: E402
 from filmgraph.plans import build, load  # noqa: E402
 from filmgraph.plans import search as Q  # noqa: E402
 from filmgraph.plans.traversal import Traversal  # noqa: E402
-from filmgraph.sources import fixtures  # noqa: E402
+from filmgraph.sources import dataset, fixtures  # noqa: E402
 from filmgraph.sources import graphstore as G  # noqa: E402
 
 
@@ -53,8 +53,10 @@ def main() -> None:
     root = session.new_scratch(spark, "plans-graph")
     load.load_all(spark, ds, root, adjacency=("RATED_AS",))
     g = G.read_graph(spark, root)
-    staged = spark.read.parquet(load.staging_path(root, "ratings"))
-    credits = spark.read.parquet(load.staging_path(root, "omdb_credits"))
+    staged = load.stage(dataset.read_ratings(spark, ds), session.new_scratch(spark, "ratings"))
+    answers = responses.records(responses.classify(dataset.read_omdb_responses(spark, ds)))
+    credits = load.stage(E.credit_items(answers),
+                         session.new_scratch(spark, "plans") + "/omdb_credits")
     cases = [
         ("RATED_AS edges in the ratings load (no join: the endpoint check ran on key sets)",
          build.rating_tables(staged, g.V("MOVIE")).edges["RATED_AS"]),
