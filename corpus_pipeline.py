@@ -70,9 +70,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's rows written and read again by the next."""
+    """All stages over ``documents``, each one's rows written and read again by the next; the tables
+    behind a stage are released when its rows are written."""
     common.configure(spark)
     docs = common.table(spark, sf_dir, "documents")
+    common.scratch_start()
     for name, stage in STAGES[:-1]:
         docs = common.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        common.release(spark, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)

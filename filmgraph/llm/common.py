@@ -34,6 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_scratch: list[str] = []          # folders written by this process and not yet released
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared scratch area and continue from that copy.
 
@@ -42,9 +45,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = session.new_scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    _scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_start() -> None:
+    """Forget earlier scratch tables: other results may still read them, so they are not this
+    job's to release."""
+    _scratch.clear()
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the scratch tables written so far, but for the last ``keep``. Call it once the results
+    that read them have been written."""
+    gone = _scratch[:len(_scratch) - keep]
+    del _scratch[:len(gone)]
+    for path in gone:
+        session.delete_folder(spark, path)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores as it takes to clash with no column of ``df``."""
     taken = {c.lower() for c in df.columns}

@@ -52,6 +52,17 @@ def test_word_count_and_fold(llm):
     assert rows[2][1] == 0
 
 
+def test_release_deletes_all_but_the_last_tables(llm):
+    from filmgraph import session
+
+    common.scratch_start()
+    first, last = (common.written(llm.range(3), n) for n in ("one", "two"))
+    paths = list(common._scratch)
+    common.release(llm, keep=1)
+    assert [session.path_exists(llm, p) for p in paths] == [False, True]
+    assert last.count() == 3 and first is not last
+
+
 def test_free_name(llm):
     df = llm.createDataFrame([(1, 2)], "X long, x_ long")
     assert common.free_name(df, "x") == "x__"
