@@ -17,7 +17,8 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_AZ = str.maketrans(_UPPER, _UPPER.lower())
 
 # Rows handed to a Python worker at once: texts may be long, so batches stay short.
-BATCH_ROWS = 500
+BATCH_ROWS = 200
+BATCH_BYTES = 8 << 20
 # A lookup row whose key covers more than 1/HOT_SHARE of all rows is hot: fewer than HOT_SHARE
 # such keys can exist, so they are always few enough to broadcast.
 HOT_SHARE = 1000
@@ -27,6 +28,7 @@ def configure(spark: SparkSession) -> SparkSession:
     """Session settings, short Arrow batches included (idempotent)."""
     session.configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

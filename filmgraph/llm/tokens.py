@@ -2,11 +2,11 @@
 
 A byte-level tokenizer of this kind first splits a text by a pattern, and always splits between a
 non-space character and the white space behind it, around a line feed, and between a letter and a
-full stop or comma; longer runs of white space aside, where such texts go to the library whole. So a
-batch of texts is cut at those places, and each different piece is looked up, by a 64-bit hash and
-its length, in a bounded table of arrays that the library's model fills (two different pieces pass
-for one with a chance of about 1e-13 for each look-up in a full table). Tests hold the ids against
-the library's for whole texts.
+full stop or comma. Texts with longer runs of white space or with a special token go to the library
+whole; a batch of the others is cut at those places, and each different piece is looked up, by a
+64-bit hash and its length, in a bounded table of arrays that the library's model fills (two
+different pieces pass for one with a chance of about 1e-13 for each look-up in a full table). Tests
+hold the ids against the library's for whole texts.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ import numpy as np
 
 from .hashing import hash_ranges
 
-TABLE_PIECES = 1_000_000
-BATCH_BYTES = 1 << 20             # texts hashed at once; longer ones are cut piece by piece
+TABLE_PIECES = 500_000
+BATCH_BYTES = 1 << 19             # texts hashed at once; longer ones are cut piece by piece
 # runs of white space whose inner cuts could change ids
 _UNSAFE = re.compile(r"\s\s(?:\s|$)")
 _CUT = re.compile(r"(?=[ \n])|(?<=\n)|(?<=[A-Za-z])(?=[.,])")
@@ -50,6 +50,8 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        # a special token ends the text before it, so such texts go to the library whole
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         letters = byte_letters()
         self.letters, self.space = str.maketrans(dict(enumerate(letters))), letters[0x20]
         self.stops = {s: self.whole(s) for s in ".,"}
@@ -58,7 +60,7 @@ class Encoder:
     def _reset(self) -> None:
         # sorted hashes of the pieces seen; place of their ids in the store, how many, and bytes
         self.keys = np.zeros(0, dtype=np.uint64)
-        self.rows = np.zeros((3, 0), dtype=np.int64)
+        self.rows = np.zeros((3, 0), dtype=np.int32)
         self.store = np.zeros(0, dtype="<u4")
 
     def whole(self, text: str) -> list[int]:
@@ -90,7 +92,8 @@ class Encoder:
             (x for own in ids for x in own), dtype="<u4", count=int(count.sum()))])
         at = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, at, keys)
-        self.rows = np.insert(self.rows, at, np.stack([first, count, size]), axis=1)
+        new = np.stack([first, count, size]).astype(np.int32)
+        self.rows = np.insert(self.rows, at, new, axis=1)
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of a text as uint32 (null and empty: none)."""
@@ -103,7 +106,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if _UNSAFE.search(text):
+            if _UNSAFE.search(text) or any(s in text for s in self.special):
                 out[i] = np.asarray(self.whole(text), dtype="<u4")
                 continue
             raw = text.encode("utf-8")
@@ -146,7 +149,7 @@ class Encoder:
             self._learn(keys[new], [buffer[a:b] for a, b in zip(
                 start[one[new]].tolist(), end[one[new]].tolist(), strict=True)])
             at = np.searchsorted(self.keys, keys)
-        first, count = self.rows[0, at][which], self.rows[1, at][which]
+        first, count = (self.rows[i, at].astype(np.int64)[which] for i in (0, 1))
         behind = np.cumsum(count)
         flat = self.store[np.arange(behind[-1]) + np.repeat(first - behind + count, count)]
         upto = behind[np.searchsorted(start, ends) - 1]

@@ -10,7 +10,7 @@ from filmgraph.llm import tokens
 PARTS = ["a", "b ", " ", "  ", "\n", "\t", "É", "!", "<|endoftext|>", "1", "'s", "x\n", "\r", "日本"]
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(st.lists(st.sampled_from(PARTS), max_size=9).map("".join) | st.text(max_size=30))
 def test_pieces_give_the_ids_of_the_whole_text(text):
     coder = tokens.encoder(tokens.default_path())
