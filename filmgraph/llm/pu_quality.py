@@ -11,6 +11,7 @@ zero. The model is fitted in numpy on samples of at most ``Training.positives``
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -96,34 +97,45 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training | None = None) ->
     pos = _sample(ids.join(marks.filter("quality = 1"), "doc_id", "left_semi"),
                   t.positives, t.seed)
     unl = _sample(ids.join(marks, "doc_id", "left_anti"), t.unlabelled, t.seed)
-    x_pos, x_unl = _collect(docs, pos), _collect(docs, unl)
-    return fit_matrix(x_pos, x_unl, t)
+    # bounded by two parameters, so it may be broadcast and trained on in one task
+    sample = (pos.withColumn("positive", F.lit(True))
+              .unionByName(unl.withColumn("positive", F.lit(False))))
 
-
-def _collect(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Feature rows of a bounded set of documents, in id order (independent of partitioning)."""
     @F.pandas_udf("array<float>")
     def vectors(texts: pd.Series) -> pd.Series:
         return pd.Series(list(feature_matrix(texts)))
 
-    # the sample is bounded by a parameter, so it may be broadcast
-    rows = (docs.join(F.broadcast(ids), "doc_id").select("doc_id", F.col("text").cast("string"))
-            .select("doc_id", vectors("text").alias("x")).toPandas())
-    rows = rows.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
-    return np.stack(rows["x"].to_list()).astype(np.float64) if len(rows) else np.zeros(
-        (0, N_FEATURES))
+    def train(frames):
+        parts = [frame for frame in frames if len(frame)]
+        if parts:
+            # in id order: the fit does not depend on the partitioning
+            rows = pd.concat(parts, ignore_index=True)
+            rows = rows.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+            x, mark = np.stack(rows["x"].to_list()), rows["positive"].to_numpy()
+            yield pd.DataFrame({"model": [pickle.dumps(fit_matrix(x[mark], x[~mark], t))]})
+
+    rows = (docs.join(F.broadcast(sample), "doc_id")
+            .select("doc_id", "positive", vectors(F.col("text").cast("string")).alias("x")))
+    made = rows.repartition(1).mapInPandas(train, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else constant()
+
+
+def constant() -> Model:
+    zero = np.zeros(N_FEATURES, dtype=np.float32)
+    return Model(zero, 0.0, zero, zero + 1, 0.5)
 
 
 def fit_matrix(x_pos: np.ndarray, x_unl: np.ndarray, t: Training) -> Model:
-    zero = np.zeros(N_FEATURES)
     if len(x_pos) < 4 or len(x_unl) < 4:
-        return Model(zero, 0.0, zero, np.ones(N_FEATURES), 0.5)
-    both = np.concatenate([x_pos, x_unl])
-    mean, scale = both.mean(0), both.std(0) + 1e-3
-    p = np.clip((x_pos - mean) / scale, -8, 8)
-    u = np.clip((x_unl - mean) / scale, -8, 8)
+        return constant()
+    n = len(x_pos) + len(x_unl)
+    mean = (x_pos.sum(0) + x_unl.sum(0)) / n
+    scale = np.sqrt((np.square(x_pos - mean).sum(0) + np.square(x_unl - mean).sum(0)) / n) + 1e-3
+    mean, scale = mean.astype(np.float32), scale.astype(np.float32)
+    p = np.clip((x_pos - mean) / scale, -8, 8).astype(np.float32)
+    u = np.clip((x_unl - mean) / scale, -8, 8).astype(np.float32)
     # the prior needs scores of a positive-against-unlabelled model on rows it has not seen
-    w, b = _descend(p[::2], u[::2], None, t)
+    w, b = _descend(np.ascontiguousarray(p[::2]), np.ascontiguousarray(u[::2]), None, t)
     prior = best_bin_prior(p[1::2] @ w + b, u[1::2] @ w + b)
     w, b = _descend(p, u, prior, t)
     return Model(w, b, mean, scale, prior)
@@ -147,7 +159,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, t: Training):
     """Adam on the logistic loss; with a prior on the non-negative risk, else positives against
     unlabelled, both sides weighing the same."""
-    w, b = np.zeros(p.shape[1]), 0.0
+    w, b = np.zeros(p.shape[1], dtype=np.float32), 0.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, t.steps + 1):
         zp, zu = p @ w + b, u @ w + b
@@ -162,10 +174,11 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, t: Training):
                 cp, cu = prior * gp_plus - prior * gp_minus, gu_minus
             else:                                   # undo the overfit of the negative part
                 cp, cu = prior * gp_minus, -gu_minus
-        g = np.append(p.T @ cp + u.T @ cu + t.decay * w, cp.sum() + cu.sum())
+        g = np.append(p.T @ cp.astype(np.float32) + u.T @ cu.astype(np.float32) + t.decay * w,
+                      cp.sum() + cu.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = t.rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-        w, b = w - move[:-1], b - move[-1]
+        w, b = (w - move[:-1]).astype(np.float32), b - move[-1]
     return w, float(b)
 
 
