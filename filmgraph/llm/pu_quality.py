@@ -31,7 +31,7 @@ class Training:
     unlabelled: int = 6000
     steps: int = 300
     rate: float = 0.05
-    decay: float = 1e-3
+    decay: float = 3e-3
     threshold: float = 0.3
     seed: int = 7
 
@@ -160,7 +160,7 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, t: Training):
     """Adam on the logistic loss; with a prior on the non-negative risk, else positives against
     unlabelled, both sides weighing the same."""
     w, b = np.zeros(p.shape[1], dtype=np.float32), 0.0
-    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
+    m, v, late = (np.zeros(len(w) + 1) for _ in range(3))
     for step in range(1, t.steps + 1):
         zp, zu = p @ w + b, u @ w + b
         gp_plus = -_sigmoid(-zp) / len(zp)          # slope of the loss of "positive" on P
@@ -177,9 +177,14 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, t: Training):
         g = np.append(p.T @ cp.astype(np.float32) + u.T @ cu.astype(np.float32) + t.decay * w,
                       cp.sum() + cu.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        move = t.rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        rate = t.rate * (1 - 0.9 * step / t.steps)
+        move = rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, b = (w - move[:-1]).astype(np.float32), b - move[-1]
-    return w, float(b)
+        if 2 * step > t.steps:
+            late += np.append(w, b)
+    # the mean of the later steps: stepping back from a negative part makes single steps jump
+    late /= t.steps - t.steps // 2
+    return late[:-1].astype(np.float32), float(late[-1])
 
 
 def score(docs: DataFrame, model: Model, out: str, text: str = "text") -> DataFrame:
