@@ -22,6 +22,7 @@ BATCH_BYTES = 8 << 20
 # A lookup row whose key covers more than 1/HOT_SHARE of all rows is hot: fewer than HOT_SHARE
 # such keys can exist, so they are always few enough to broadcast.
 HOT_SHARE = 1000
+FILE_ROWS = 500_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -39,12 +40,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _scratch: list[str] = []          # folders written by this process and not yet released
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, rows: int | None = None,
+            per_file: int = FILE_ROWS) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared scratch area and continue from that copy.
 
-    Cuts the lineage and keeps the work done when an executor is lost later on.
+    Cuts the lineage and keeps the work done when an executor is lost later on. Where at most
+    ``rows`` rows are known to come, they go to a file for each ``per_file`` of them, not to one for
+    each shuffle partition.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(1 + rows // per_file)
     path = session.new_scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     _scratch.append(path)
@@ -138,21 +144,22 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 .filter("u <> v").distinct(), "edges")
     state = _fingerprint(e)
     for _ in range(max_rounds):
-        if state[0] == 0:
+        n = state[0]
+        if n == 0:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
-                                                 F.count("*").alias("n")), "star")
-        large = (lookup_join(both.filter("v > u"), smallest, ["u"], "n", 2 * state[0])
+                                                 F.count("*").alias("n")), "star", 2 * n)
+        large = (lookup_join(both.filter("v > u"), smallest, ["u"], "n", 2 * n)
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u <> v").distinct())
-        large = written(large, "edges")
+        large = written(large, "edges", n)
         least = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")),
-                        "star")
-        moved = (lookup_join(large, least, ["u"], "n", 2 * state[0])
+                        "star", n)
+        moved = (lookup_join(large, least, ["u"], "n", 2 * n)
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         small = moved.unionByName(least.select("u", F.col("m").alias("v")))
-        e = written(small.filter("u <> v").distinct(), "edges")
+        e = written(small.filter("u <> v").distinct(), "edges", 2 * n)
         after = _fingerprint(e)
         if after == state:
             break

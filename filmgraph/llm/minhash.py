@@ -36,6 +36,8 @@ SIZE = BANDS * ROWS
 # Pairs whose sketches agree on a smaller share are not verified: at similarity 0.85 the share has a
 # standard deviation below 0.032, so 0.70 lies more than 4.6 of them away.
 MIN_SHARE = 0.70
+# Rows of a file where a bound on a table's rows is known: sketches and sets, and narrow rows.
+WIDE_ROWS, NARROW_ROWS = 20_000, 250_000
 BLOCK = 1024                      # members of a bucket compared in one task
 
 # Odd multipliers that tell the places of a shingle apart.
@@ -116,7 +118,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "sketch").mapInPandas(run, "key long, rep long")
 
 
-def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+def _sets(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, items) with the full sorted shingle sets of ``ids(doc_id)``, written."""
     def sets(frames):
         for frame in frames:
@@ -124,40 +126,42 @@ def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
                 shingles(t if isinstance(t, str) else None).view(np.int64)
                 for t in frame["text"]]})
 
-    wanted = common.written(ids.distinct(), "candidates")
+    wanted = common.written(ids.distinct(), "candidates", n, NARROW_ROWS)
     texts = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
              .join(common.bounded(wanted), "doc_id", "left_semi"))
     return common.written(texts.mapInPandas(sets, "doc_id long, items array<long>"), "sets")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose full shingle sets are similar enough."""
+def _verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """Those of at most ``n`` ``pairs(a, b)`` whose full shingle sets are similar enough."""
     full = _sets(pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))), docs)
+        pairs.select(F.col("b").alias("doc_id"))), docs, 2 * n)
     side = {x: full.select(F.col("doc_id").alias(x), F.col("items").alias(f"{x}_items"))
             for x in "ab"}
     both = F.size(F.array_intersect("a_items", "b_items"))
     union = F.size("a_items") + F.size("b_items") - both
     return common.written(pairs.join(side["b"], "b").join(side["a"], "a")
-                          .filter(100 * both >= PERCENT * union).select("a", "b"), "links")
+                          .filter(100 * both >= PERCENT * union).select("a", "b"), "links", n,
+                          WIDE_ROWS)
 
 
-def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame,
-              docs: DataFrame) -> DataFrame:
+def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame, docs: DataFrame,
+              n: int) -> DataFrame:
     """Verified links ``(a, b)`` that connect all components with a link between them in a bucket.
 
-    ``members(key, rep)`` are the buckets with two classes or more. Two passes over blocks: the
+    ``members(key, rep)`` are the buckets with two classes or more, ``n`` rows. Two passes over blocks: the
     first compares sketches and passes on the rows with a likely partner, the second compares the
     full sets of those. Pairs stay inside the tasks.
     """
     labelled = common.written(
         members.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "rep", F.coalesce("component", "rep").alias("comp")), "members")
+        .select("key", "rep", F.coalesce("component", "rep").alias("comp")), "members", n,
+        NARROW_ROWS)
     by_comp = labelled.groupBy("key", "comp").agg(F.count("*").alias("c"))
     open_keys = common.written(
         by_comp.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"),
                                    F.sum("c").alias("n"), F.count("*").alias("comps"))
-        .filter("comps > 1").select("key", "main", "n"), "open-buckets")
+        .filter("comps > 1").select("key", "main", "n"), "open-buckets", n, NARROW_ROWS)
     total = open_keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rows = common.lookup_join(labelled, open_keys, ["key"], "n", total)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -171,7 +175,7 @@ def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame,
     likely = common.written(
         _by_block(dealt.join(classes.select("rep", "sketch"), "rep"), "sketch")
         .mapInPandas(_likely, LIKELY).distinct(), "likely")
-    sets = _sets(likely.select(F.col("rep").alias("doc_id")), docs)
+    sets = _sets(likely.select(F.col("rep").alias("doc_id")), docs, likely.count())
     full = likely.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     return common.written(_by_block(full, "items").mapInPandas(_linked, "a long, b long")
                           .distinct(), "crossing")
@@ -284,26 +288,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     result.
     """
     rows = _sketches(docs)
+    usable = "n_shingles > 0 and doc_id is not null"
+    n = rows.filter(usable).count()
     classes = common.written(
-        rows.filter("n_shingles > 0 and doc_id is not null").groupBy("cls")
+        rows.filter(usable).groupBy("cls")
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"),
-             F.first("sketch").alias("sketch")), "classes")
+             F.first("sketch").alias("sketch")), "classes", n, WIDE_ROWS)
     buckets = common.written(_buckets(classes), "buckets")
     shared = common.written(buckets.groupBy("key").agg(
-        F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1"), "shared")
+        F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1"), "shared",
+        BANDS * n // 2, NARROW_ROWS)
     total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     members = common.written(common.lookup_join(buckets, shared, ["key"], "n", total)
-                             .select("key", "rep", "center"), "shared-members")
+                             .select("key", "rep", "center"), "shared-members", BANDS * n,
+                             NARROW_ROWS)
     first = common.written(members.filter("center < rep").groupBy("rep").agg(
-        F.min("center").alias("a")).select("a", F.col("rep").alias("b")), "star-pairs")
-    links = _verified(first, docs)
+        F.min("center").alias("a")).select("a", F.col("rep").alias("b")), "star-pairs", n,
+        NARROW_ROWS)
+    links = _verified(first, docs, first.count())
     comps = common.components(links)
-    links = links.unionByName(_crossing(members.select("key", "rep"), classes, comps, docs))
+    links = links.unionByName(_crossing(members.select("key", "rep"), classes, comps, docs, total))
     # a document whose rows have several texts belongs to several classes: tie them
     several = common.written(
-        rows.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id")
+        rows.filter(usable).groupBy("doc_id")
         .agg(F.min("cls").alias("x"), F.max("cls").alias("y")).filter("x <> y")
-        .select("doc_id"), "several-texts")
+        .select("doc_id"), "several-texts", n, NARROW_ROWS)
     if several.limit(1).count():
         links = links.unionByName(
             rows.filter("n_shingles > 0").select("doc_id", "cls").distinct()
@@ -312,13 +321,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = common.components(links)
     answer = common.written(classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
                             .groupBy("cls").agg(F.first("n").alias("n"), F.min(
-                                F.coalesce("component", "rep")).alias("component_id")), "answer")
-    linked = rows.filter("n_shingles > 0 and doc_id is not null").select(
-        "doc_id", "n_shingles", "cls")
+                                F.coalesce("component", "rep")).alias("component_id")), "answer",
+                            n, NARROW_ROWS)
+    linked = rows.filter(usable).select("doc_id", "n_shingles", "cls")
     alone = rows.filter("n_shingles = 0 or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "cls")
-    total = linked.count()
-    out = (common.lookup_join(linked, answer, ["cls"], "n", total)
+    out = (common.lookup_join(linked, answer, ["cls"], "n", n)
            .select("doc_id", "n_shingles", "component_id", "cls").unionByName(alone))
     return out.select("doc_id", "n_shingles", "component_id",
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "cls")
