@@ -18,6 +18,7 @@ driver). The share is a fixed fraction of the training documents, so it grows wi
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -118,39 +119,45 @@ class Forward:
         # scores are bounded, so that exp needs no running maximum
         self.q = np.clip(e @ params["wq"], -2, 2)
         self.k = np.clip(e @ params["wk"], -2, 2)
-        one = np.ones((len(e), 1), dtype=np.float32)
+        one = np.ones((len(e), 1), dtype=e.dtype)
         one[-1] = 0                               # padding adds nothing to sum or weight
         self.v = np.concatenate([e @ params["wv"], one], axis=1)
+        # what a query position and a key position need, side by side
+        self.own = np.concatenate([self.q, e], axis=1)
+        self.seen = np.concatenate([self.k, self.v], axis=1)
         self.e = e
         near = np.clip(params["near"], -10, 10)[_LAG_AT]
         self.bias = np.where(_CAUSAL, near, -np.inf).astype(np.float32)
 
     def logits(self, x: np.ndarray):
         own = x[:, CONTEXT:]
-        s = self.q[own] @ self.k[x].transpose(0, 2, 1)
+        query, key = self.own.take(own, axis=0), self.seen.take(x, axis=0)
+        s = query[..., :WIDTH] @ key[..., :WIDTH].transpose(0, 2, 1)
         s += self.bias
         np.exp(s, out=s)
-        mixed = s @ self.v[x]
+        mixed = s @ key[..., WIDTH:]
         weight = mixed[..., -1:]
         # a query behind the end of its text may see padding only
-        h = mixed[..., :-1] / np.maximum(weight, 1e-30) + self.e[own]
-        flat = np.maximum(h, 0).reshape(-1, WIDTH)
-        return flat @ self.p["out"] + self.p["direct"][own.ravel()], (own, s, weight, h)
+        h = mixed[..., :-1] / np.maximum(weight, 1e-30)
+        h += query[..., WIDTH:]
+        z = np.maximum(h, 0).reshape(-1, WIDTH) @ self.p["out"]
+        z += self.p["direct"].take(own.ravel(), axis=0)
+        return z, (own, s, weight, h)
 
 
 def log_probs(model: Model, forward: Forward, ids: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each text (ids with the end token), every token scored once."""
-    total = np.zeros(len(ids))
+    total, ones = np.zeros(len(ids)), np.ones(CLASSES, dtype=np.float32)
     x, y, owner = windows(ids, model)
     for lo in range(0, len(x), BATCH):
         z, _ = forward.logits(x[lo:lo + BATCH])
         target = y[lo:lo + BATCH].ravel()
-        real = np.flatnonzero(target >= 0)
-        z, target = z[real], target[real]
-        cls = model.class_of[target]
-        ln = z[np.arange(len(z)), cls] - np.log(np.exp(z).sum(axis=1))
-        value = ln.astype(np.float64) / np.log(10) + model.log_share[target]
-        total += np.bincount(np.repeat(owner[lo:lo + BATCH], STEP)[real], value, len(ids))
+        picked = z[np.arange(len(z)), model.class_of[target]]
+        np.exp(z, out=z)
+        value = (picked - np.log(z @ ones)).astype(np.float64) / np.log(10)
+        value += model.log_share[target]
+        value[target < 0] = 0
+        total += np.bincount(owner[lo:lo + BATCH], value.reshape(-1, STEP).sum(axis=1), len(ids))
     return total
 
 
@@ -382,22 +389,25 @@ def _sampled(read: DataFrame, one_of: int, seed: int) -> DataFrame:
         F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(one_of)) == 0)
 
 
-def _warm_sample(read: DataFrame, n_train: int, t: Training, end: int) -> list[np.ndarray]:
-    one_of = max(1, n_train // t.warm_documents)
-    rows = _sampled(read, one_of, t.seed).orderBy("doc_id", "key").limit(t.warm_documents)
-    cut = F.expr(f"substring(ids, 1, {t.warm_tokens} * IF(small, 2, 4))")
-    # at most warm_documents * warm_tokens ids come to the driver
-    return _ids(rows.select("small", cut.alias("ids")).toPandas(), end)
-
-
 def fit(read: DataFrame, size: int, n_train: int, t: Training) -> Model:
+    """Classes and tables from all counts, a warm start on a bounded sample (one task, at most
+    ``warm_documents * warm_tokens`` ids), then the averaged pass over the training share."""
     counts = _token_counts(read, size)
-    sample = _warm_sample(read, n_train, t, size - 1)
-    model = build(counts, sample, t.seed)
-    if not sample:
-        return model                      # nothing to learn from: uniform classes
-    train(model, sample, t.warm_steps, t.rate, t.seed)
-    return averaged(read, model, t)
+
+    def warm(frames):
+        sample = [ids for frame in frames for ids in _ids(frame, size - 1)]
+        if sample:
+            model = build(counts, sample, t.seed)
+            train(model, sample, t.warm_steps, t.rate, t.seed)
+            yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    one_of = max(1, n_train // t.warm_documents)
+    rows = _sampled(read, one_of, t.seed).orderBy("doc_id", "key").limit(t.warm_documents)
+    cut = F.expr(f"substring(ids, 1, {t.warm_tokens} * IF(small, 2, 4))").alias("ids")
+    made = rows.select("small", cut).mapInPandas(warm, "model binary").collect()
+    if not made:
+        return build(counts, [], t.seed)  # nothing to learn from: uniform classes
+    return averaged(read, pickle.loads(made[0]["model"]), t)
 
 
 def averaged(read: DataFrame, model: Model, t: Training) -> Model:
@@ -421,16 +431,16 @@ def averaged(read: DataFrame, model: Model, t: Training) -> Model:
             seen += sum(map(len, ids))
             train(own, ids, None, t.shard_rate, t.seed)
         if seen:
-            flat = np.concatenate([own.params[k].ravel() for k in names]).astype(np.float64) * seen
+            flat = np.concatenate([own.params[k].ravel() for k in names])
             pieces = np.array_split(flat, 64)
             yield pd.DataFrame({"piece": range(64), "tokens": seen,
-                                "total": [p.tobytes() for p in pieces]})
+                                "values": [p.tobytes() for p in pieces]})
 
     def added(frames):
         at, total, n = None, None, 0
         for frame in frames:
             for piece, seen, data in frame.itertuples(index=False):
-                values = np.frombuffer(data)
+                values = np.frombuffer(data, dtype=np.float32) * float(seen)
                 if piece != at:
                     if at is not None:
                         yield pd.DataFrame({"piece": [at], "mean": [(total / n).tobytes()]})
@@ -439,8 +449,10 @@ def averaged(read: DataFrame, model: Model, t: Training) -> Model:
         if at is not None:
             yield pd.DataFrame({"piece": [at], "mean": [(total / n).tobytes()]})
 
-    trained = (part.repartition(int(shards), "key").select("small", "ids")
-               .mapInPandas(local, "piece int, tokens long, total binary"))
+    # as many non-empty partitions as shards at most, however many partitions there are
+    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")
+    trained = (part.select(shard, "small", "ids").repartition(int(shards), "shard")
+               .mapInPandas(local, "piece int, tokens long, values binary"))
     sums = (trained.repartition("piece").sortWithinPartitions("piece")
             .mapInPandas(added, "piece int, mean binary"))
     mean = np.concatenate([np.frombuffer(r["mean"]) for r in
