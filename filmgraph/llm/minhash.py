@@ -36,8 +36,9 @@ SIZE = BANDS * ROWS
 # Pairs whose sketches agree on a smaller share are not verified: at similarity 0.85 the share has a
 # standard deviation below 0.032, so 0.70 lies more than 4.6 of them away.
 MIN_SHARE = 0.70
-# Rows of a file where a bound on a table's rows is known: sketches and sets, and narrow rows.
-WIDE_ROWS, NARROW_ROWS = 20_000, 250_000
+# Rows of a file, and of the task that writes it, where a bound on a table's rows is known: pairs
+# joined with their sets, sketches, narrow rows.
+PAIR_ROWS, WIDE_ROWS, NARROW_ROWS = 2_000, 20_000, 250_000
 BLOCK = 1024                      # members of a bucket compared in one task
 
 # Odd multipliers that tell the places of a shingle apart.
@@ -142,7 +143,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     union = F.size("a_items") + F.size("b_items") - both
     return common.written(pairs.join(side["b"], "b").join(side["a"], "a")
                           .filter(100 * both >= PERCENT * union).select("a", "b"), "links", n,
-                          WIDE_ROWS)
+                          PAIR_ROWS)
 
 
 def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame, docs: DataFrame,
