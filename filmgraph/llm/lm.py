@@ -11,9 +11,9 @@ training documents. The class distribution is a softmax over
 head looks back over the context. Texts are cut into windows of ``STEP`` new tokens behind
 ``CONTEXT`` earlier ones, so windows overlap and each token is scored once, in batches.
 
-Training is numpy throughout: a warm start on a bounded sample, then every shard of the training
-share trains on its own and the shards' parameters are averaged (summed on Spark, not on the
-driver). The share is a fixed fraction of the training documents, so it grows with the corpus.
+Training is numpy throughout: a warm start on a bounded sample, then every training document goes to
+a shard, each shard trains on its own and the shards' parameters are averaged (summed on Spark, not
+on the driver).
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ CLASSES, SINGLES = 64, 40         # the most frequent tokens are classes of thei
 OWN_ROWS, SHARED_ROWS = 8192, 256  # input rows: frequent tokens, and buckets for the others
 FREQUENT = 200_000
 BATCH = 64                        # windows handled at once
+SHARD_BATCH = 512                 # windows of a step in the shards: a step costs the whole tables
 COUNT_WORDS = 2_000_000         # words a task counts at once
 
 
@@ -47,7 +48,7 @@ class Training:
     warm_tokens: int = 2048           # of each document
     warm_steps: int = 600
     rate: float = 0.01
-    share: int = 32                   # one of so many training documents goes to the shards
+    share: int = 1                    # one of so many training documents goes to the shards
     shard_tokens: int = 2_000_000
     shard_rate: float = 0.002
     seed: int = 11
@@ -226,13 +227,13 @@ class Adam:
             params[k] -= rate * m / (np.sqrt(self.v[k] / (1 - 0.999 ** self.step)) + 1e-8)
 
 
-def train(model: Model, ids: list[np.ndarray], steps: int | None, rate: float, seed: int) -> None:
+def train(model: Model, ids: list[np.ndarray], steps: int | None, rate: float, seed: int,
+          size: int = 2 * BATCH) -> None:
     """Adam over shuffled windows: ``steps`` batches, or one pass over all (None)."""
     x, y, _ = windows(ids, model)
     cls = np.where(y >= 0, model.class_of[np.maximum(y, 0)], -1)
     rng = np.random.default_rng(seed)
     adam, order = Adam(model.params, rate), rng.permutation(len(x))
-    size = 2 * BATCH
     n = -(-len(x) // size) if steps is None else steps
     for i in range(n):
         pick = order.take(np.arange(i * size, min((i + 1) * size, len(x)) if steps is None
@@ -385,13 +386,15 @@ def build(counts: np.ndarray, sample: list[np.ndarray], seed: int) -> Model:
 
 
 def _sampled(read: DataFrame, one_of: int, seed: int) -> DataFrame:
-    return read.filter("not held_out").filter(
-        F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(one_of)) == 0)
+    """One of so many training rows, rows of one id or without an id each on their own."""
+    rows = read.filter("not held_out")
+    return rows if one_of == 1 else rows.filter(
+        F.pmod(F.xxhash64("doc_id", "key", F.lit(seed)), F.lit(one_of)) == 0)
 
 
 def fit(read: DataFrame, size: int, n_train: int, t: Training) -> Model:
     """Classes and tables from all counts, a warm start on a bounded sample (one task, at most
-    ``warm_documents * warm_tokens`` ids), then the averaged pass over the training share."""
+    ``warm_documents * warm_tokens`` ids), then the averaged pass over all training documents."""
     counts = _token_counts(read, size)
 
     def warm(frames):
@@ -405,16 +408,15 @@ def fit(read: DataFrame, size: int, n_train: int, t: Training) -> Model:
     rows = _sampled(read, one_of, t.seed).orderBy("doc_id", "key").limit(t.warm_documents)
     cut = F.expr(f"substring(ids, 1, {t.warm_tokens} * IF(small, 2, 4))").alias("ids")
     made = rows.select("small", cut).mapInPandas(warm, "model binary").collect()
-    if not made:
-        return build(counts, [], t.seed)  # nothing to learn from: uniform classes
-    return averaged(read, pickle.loads(made[0]["model"]), t)
+    # an empty sample only leaves out the warm start; without any text the classes stay uniform
+    model = pickle.loads(made[0]["model"]) if made else build(counts, [], t.seed)
+    return averaged(read, model, t)
 
 
 def averaged(read: DataFrame, model: Model, t: Training) -> Model:
-    """One pass of local training per shard of the training share, parameters averaged by tokens.
+    """One pass of local training per shard of the training rows, parameters averaged by tokens.
     Shards and sums live on Spark; the driver gets one set of parameters."""
-    part = common.written(_sampled(read, t.share, t.seed + 1).select(
-        "doc_id", "key", "small", "ids", "n_ids"), "lm-share")
+    part = _sampled(read, t.share, t.seed + 1)
     n_tokens = part.agg(F.coalesce(F.sum("n_ids"), F.lit(0))).first()[0]
     if not n_tokens:
         return model
@@ -429,7 +431,7 @@ def averaged(read: DataFrame, model: Model, t: Training) -> Model:
         for frame in frames:
             ids = _ids(frame, end)
             seen += sum(map(len, ids))
-            train(own, ids, None, t.shard_rate, t.seed)
+            train(own, ids, None, t.shard_rate, t.seed, SHARD_BATCH)
         if seen:
             flat = np.concatenate([own.params[k].ravel() for k in names])
             pieces = np.array_split(flat, 64)

@@ -144,6 +144,18 @@ def test_repeated_rows_null_ids_and_empty_tables(llm):
     assert {(r["train_tokens"], r["n_known"]) for r in none} == {(0, 0)}
 
 
+def test_every_training_document_takes_part_in_the_shard_pass(llm):
+    # document i consists of token i; a table row moves only if its token was trained on
+    rows = [(i, None if i % 2 else "same", i % 4 == 3, True,
+             bytearray(np.full(5, i, dtype="<u2").tobytes()), 6) for i in range(80)]
+    read = llm.createDataFrame(rows, "key long, doc_id string, held_out boolean, small boolean, "
+                                     "ids binary, n_ids long")
+    model, _ = small_model()
+    after = L.averaged(read, model, L.Training(shard_tokens=50))
+    moved = (after.params["direct"] != model.params["direct"]).any(axis=1)
+    assert [bool(moved[model.row_of[i]]) for i in range(80)] == [i % 4 != 3 for i in range(80)]
+
+
 def test_vocabulary_of_the_model_covers_the_tokenizer():
     size = tokens.encoder(tokens.default_path()).tokenizer.get_vocab_size()
     assert size == 50257
