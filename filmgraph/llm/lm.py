@@ -35,6 +35,7 @@ CONTEXT, STEP = 32, 32
 WIDTH = 16                        # of embeddings, keys, queries and values
 CLASSES, SINGLES = 64, 40         # the most frequent tokens are classes of their own
 OWN_ROWS, SHARED_ROWS = 8192, 256  # input rows: frequent tokens, and buckets for the others
+NEAR = 512                        # neighbour columns a token is grouped by, 256 on either side
 FREQUENT = 200_000
 BATCH = 64                        # windows handled at once
 SHARD_BATCH = 512                 # windows of a step in the shards: a step costs the whole tables
@@ -329,43 +330,77 @@ def _token_counts(read: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _classes(counts: np.ndarray, sample: list[np.ndarray], seed: int) -> np.ndarray:
+def _ranks(counts: np.ndarray) -> np.ndarray:
+    """Tokens by falling count."""
+    return np.lexsort((np.arange(len(counts)), -counts))
+
+
+def _frames(counts: np.ndarray) -> np.ndarray:
+    """Neighbour column of every token: the 255 most frequent have their own, the others share one."""
+    out = np.full(len(counts), 255, dtype=np.int64)
+    rank = _ranks(counts)[:255]
+    out[rank] = np.arange(len(rank))
+    return out
+
+
+def _neighbours(ids: list[np.ndarray], frame: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(token * NEAR + column, count) of all neighbours before and behind the tokens of ``ids``."""
+    keys = [k for t in ids for k in (t[1:] * np.int64(NEAR) + frame[t[:-1]],
+                                     t[:-1] * np.int64(NEAR) + frame[t[1:]] + 256)]
+    return np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *keys]), return_counts=True)
+
+
+def _neighbour_counts(read: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(key, c) of the neighbours of all training ids: at most vocabulary x NEAR rows, summed in the
+    tasks before they shuffle."""
+    size, frame = len(counts), _frames(counts)
+
+    def run(frames):
+        total = np.zeros(size * NEAR, dtype=np.int64)
+        for rows in frames:
+            key, c = _neighbours(_ids(rows, size - 1), frame)
+            total[key] += c
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), COUNT_WORDS):
+            yield pd.DataFrame({"key": at[lo:lo + COUNT_WORDS],
+                                "c": total[at[lo:lo + COUNT_WORDS]]})
+
+    return (read.filter("not held_out").select("small", "ids").mapInPandas(run, "key int, c long")
+            .groupBy("key").agg(F.sum("c").alias("c")))
+
+
+def _classes(counts: np.ndarray, key: np.ndarray, c: np.ndarray, seed: int) -> np.ndarray:
     """Class of every token: the most frequent ones and the end stand alone, the others are grouped
-    by which tokens stand before and behind them (k-means on the sample)."""
+    by which tokens stand before and behind them (k-means on the counted neighbours)."""
     size = len(counts)
-    rank = np.lexsort((np.arange(size), -counts))
-    singles = np.unique(np.r_[rank[:SINGLES - 1], size - 1])
+    singles = np.unique(np.r_[_ranks(counts)[:SINGLES - 1], size - 1])
     out = np.full(size, -1, dtype=np.int64)
     out[singles] = np.arange(len(singles))
     groups = CLASSES - len(singles)
-    frame = np.full(size, 255, dtype=np.int64)
-    frame[rank[:255]] = np.arange(255)
     rest = np.flatnonzero((out < 0) & (counts > 0))
     rest = rest[np.argsort(-counts[rest], kind="stable")]
     index = np.full(size, -1)
     index[rest] = np.arange(len(rest))
-    near = np.zeros((len(rest), 512), dtype=np.float32)
-    for t in sample:
-        for a, b, shift in ((t[1:], t[:-1], 0), (t[:-1], t[1:], 256)):
-            at = index[a]
-            np.add.at(near, (at[at >= 0], frame[b[at >= 0]] + shift), 1)
-    near = np.sqrt(near)
+    near = np.zeros((len(rest), NEAR), dtype=np.float32)
+    at = index[key // NEAR]
+    near[at[at >= 0], (key % NEAR)[at >= 0]] = np.sqrt(c[at >= 0])
     norm = np.linalg.norm(near, axis=1)
     near /= np.maximum(norm, 1)[:, None]
     group = np.arange(len(rest)) % groups
     used = np.flatnonzero(norm > 0)
     if len(used) >= groups:
         rng = np.random.default_rng(seed)
-        heavy = used[:max(groups, 4 * groups)]
+        near = near[used]
+        heavy = np.arange(len(used))[:max(groups, 4 * groups)]
         centre = near[rng.choice(heavy, groups, replace=False)]
         weight = np.sqrt(counts[rest[used]]).astype(np.float32)
         for _ in range(12):
-            best = (near[used] @ centre.T).argmax(axis=1)
+            best = (near @ centre.T).argmax(axis=1)
             for j in range(groups):
                 own = best == j
                 if own.any():
-                    c = (near[used][own] * weight[own, None]).sum(0)
-                    centre[j] = c / max(np.linalg.norm(c), 1e-9)
+                    total = (near[own] * weight[own, None]).sum(0)
+                    centre[j] = total / max(np.linalg.norm(total), 1e-9)
         group[used] = best
     out[rest] = len(singles) + group
     never = np.flatnonzero(out < 0)
@@ -373,12 +408,16 @@ def _classes(counts: np.ndarray, sample: list[np.ndarray], seed: int) -> np.ndar
     return out
 
 
-def build(counts: np.ndarray, sample: list[np.ndarray], seed: int) -> Model:
+def build(counts: np.ndarray, texts: list[np.ndarray], seed: int) -> Model:
+    """The untrained model of ``counts``, with the classes of ``texts``."""
+    return _model(counts, _classes(counts, *_neighbours(texts, _frames(counts)), seed), seed)
+
+
+def _model(counts: np.ndarray, cls: np.ndarray, seed: int) -> Model:
     size = len(counts)
-    cls = _classes(counts, sample, seed)
     members, mass = np.bincount(cls, minlength=CLASSES), np.bincount(cls, counts, CLASSES)
     share = np.log10((counts + 0.5) / (mass[cls] + 0.5 * members[cls]))
-    rank = np.lexsort((np.arange(size), -counts))
+    rank = _ranks(counts)
     row = OWN_ROWS + np.arange(size) % SHARED_ROWS
     row[rank[:OWN_ROWS]] = np.arange(min(size, OWN_ROWS))
     row[size - 1] = OWN_ROWS + SHARED_ROWS
@@ -393,24 +432,44 @@ def _sampled(read: DataFrame, one_of: int, seed: int) -> DataFrame:
 
 
 def fit(read: DataFrame, size: int, n_train: int, t: Training) -> Model:
-    """Classes and tables from all counts, a warm start on a bounded sample (one task, at most
-    ``warm_documents * warm_tokens`` ids), then the averaged pass over all training documents."""
+    """Classes and tables from the counts of all training ids, a warm start on a bounded sample (one
+    task, at most ``warm_documents * warm_tokens`` ids), then the averaged pass over all training
+    documents."""
     counts = _token_counts(read, size)
 
+    def cluster(frames):
+        rows = pd.concat([pd.DataFrame({"key": [], "c": []}, dtype="int64"), *frames])
+        cls = _classes(counts, rows["key"].to_numpy(), rows["c"].to_numpy(), t.seed)
+        yield pd.DataFrame({"cls": [cls.astype("<i8").tobytes()]})
+
+    # a bounded table, so one task may hold it: vocabulary x NEAR
+    near = common.written(_neighbour_counts(read, counts), "neighbours")
+    made = near.repartition(1).sortWithinPartitions("key").mapInPandas(
+        cluster, "cls binary").collect()
+    # without any neighbours the classes stay uniform
+    model = (_model(counts, np.frombuffer(made[0]["cls"], dtype="<i8"), t.seed) if made
+             else build(counts, [], t.seed))
+
     def warm(frames):
         sample = [ids for frame in frames for ids in _ids(frame, size - 1)]
         if sample:
-            model = build(counts, sample, t.seed)
             train(model, sample, t.warm_steps, t.rate, t.seed)
             yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     one_of = max(1, n_train // t.warm_documents)
     rows = _sampled(read, one_of, t.seed).orderBy("doc_id", "key").limit(t.warm_documents)
-    cut = F.expr(f"substring(ids, 1, {t.warm_tokens} * IF(small, 2, 4))").alias("ids")
-    made = rows.select("small", cut).mapInPandas(warm, "model binary").collect()
-    # an empty sample only leaves out the warm start; without any text the classes stay uniform
-    model = pickle.loads(made[0]["model"]) if made else build(counts, [], t.seed)
-    return averaged(read, model, t)
+    made = _runs(rows, t).mapInPandas(warm, "model binary").collect()
+    # an empty sample only leaves out the warm start
+    return averaged(read, pickle.loads(made[0]["model"]) if made else model, t)
+
+
+def _runs(rows: DataFrame, t: Training) -> DataFrame:
+    """(small, ids): of each row a run of at most ``warm_tokens`` ids, from any place of its text."""
+    start = F.pmod(F.xxhash64("key", F.lit(t.seed)),
+                   F.greatest(F.lit(1), F.col("n_ids") - t.warm_tokens))
+    return rows.select("small", start.alias("start"), "ids").select("small", F.expr(
+        f"substring(ids, CAST(1 + start * IF(small, 2, 4) AS int), "
+        f"{t.warm_tokens} * IF(small, 2, 4))").alias("ids"))
 
 
 def averaged(read: DataFrame, model: Model, t: Training) -> Model:

@@ -156,6 +156,46 @@ def test_every_training_document_takes_part_in_the_shard_pass(llm):
     assert [bool(moved[model.row_of[i]]) for i in range(80)] == [i % 4 != 3 for i in range(80)]
 
 
+def id_rows(texts):
+    return [(i, str(i), False, True, bytearray(np.array(t, dtype="<u2").tobytes()), len(t) + 1)
+            for i, t in enumerate(texts)]
+
+
+READ = "key long, doc_id string, held_out boolean, small boolean, ids binary, n_ids long"
+
+
+def test_classes_follow_all_training_ids(llm):
+    # tokens 100-119 stand behind 1 and tokens 200-219 behind 2, all behind the first 2,048 ids of
+    # their text or in documents that the warm start need not see
+    rng = np.random.default_rng(3)
+    head = rng.integers(300, 340, 2100).tolist()
+    texts = [head + [1, 100 + i % 20, 3, 2, 200 + i % 20, 4] * 3 for i in range(40)]
+    read = llm.createDataFrame(id_rows(texts), READ).repartition(3)
+    size = 400
+    counts = L._token_counts(read, size)
+    got = {r["key"]: r["c"] for r in L._neighbour_counts(read, counts).collect()}
+    want, frame = Counter(), L._frames(counts)
+    for t in texts:
+        t = [*t, size - 1]
+        for a, b in zip(t, t[1:], strict=False):
+            want[b * L.NEAR + frame[a]] += 1
+            want[a * L.NEAR + frame[b] + 256] += 1
+    assert got == want
+    few = L.Training(warm_documents=2, warm_steps=1)
+    cls = L.fit(read, size, len(texts), few).class_of
+    first, second = set(cls[100:120].tolist()), set(cls[200:220].tolist())
+    assert not first & second
+
+
+def test_warm_start_takes_runs_from_anywhere_in_a_text(llm):
+    texts = [range(5000)] * 30 + [range(2048), range(7), range(0)]
+    rows = L._runs(llm.createDataFrame(id_rows(texts), READ), L.Training()).collect()
+    runs = [np.frombuffer(r["ids"], "<u2").tolist() for r in rows]
+    assert all(r == list(range(r[0], r[0] + 2048)) for r in runs[:30])
+    assert len({r[0] for r in runs[:30]}) > 20
+    assert [len(r) for r in runs[30:]] == [2048, 7, 0]
+
+
 def test_vocabulary_of_the_model_covers_the_tokenizer():
     size = tokens.encoder(tokens.default_path()).tokenizer.get_vocab_size()
     assert size == 50257
