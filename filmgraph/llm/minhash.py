@@ -6,7 +6,7 @@ value, the smallest (round, value) stays; from round ``size`` on, round ``size +
 elements to coordinate ``i``. So every coordinate is filled after at most two times ``size`` rounds,
 usually after one, and the share of equal coordinates is concentrated around the Jaccard similarity.
 Equal bands put documents into a bucket; at similarity 0.85 a pair shares none of the 25 buckets
-with probability 4e-7.
+with probability 4e-7, at 0.80 with 5e-5.
 
 No bucket is expanded into pairs. Documents with equal sets collapse first. Then
 (1) every class is verified against the smallest id of its buckets, and components are formed;
@@ -20,6 +20,7 @@ formed again. Every pair of a bucket is thus either connected already or compare
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -30,12 +31,12 @@ from . import common
 from .hashing import mix64, word_hashes
 
 SHINGLE = 5
-PERCENT = 85                      # 100 * intersection >= PERCENT * union
+PERCENT = 85                      # 100 * intersection >= PERCENT * union, unless given
 BANDS, ROWS = 25, 5
 SIZE = BANDS * ROWS
-# Pairs whose sketches agree on a smaller share are not verified: at similarity 0.85 the share has a
-# standard deviation below 0.032, so 0.70 lies more than 4.6 of them away.
-MIN_SHARE = 0.70
+# Pairs whose sketches agree on a share lower by so many standard deviations are not verified: at
+# similarity 0.85 one is below 0.032, so that is 0.70.
+DEVIATIONS = 4.65
 # Rows of a file, and of the task that writes it, where a bound on a table's rows is known: pairs
 # joined with their sets, sketches, narrow rows.
 PAIR_ROWS, WIDE_ROWS, NARROW_ROWS = 2_000, 20_000, 250_000
@@ -78,6 +79,12 @@ def sketch(items: np.ndarray, size: int = SIZE) -> np.ndarray:
     return (mix64(filled) >> np.uint64(32)).astype(np.uint32)
 
 
+def min_share(percent: int) -> float:
+    """Share of equal coordinates below which a pair is not verified."""
+    p = percent / 100
+    return p - DEVIATIONS * (p * (1 - p) / SIZE) ** 0.5
+
+
 def band_keys(coordinates: np.ndarray) -> np.ndarray:
     """64-bit bucket keys of the bands of one sketch (as signed numbers)."""
     bands = coordinates.reshape(BANDS, ROWS).astype(np.uint64)
@@ -133,7 +140,7 @@ def _sets(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     return common.written(texts.mapInPandas(sets, "doc_id long, items array<long>"), "sets")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of at most ``n`` ``pairs(a, b)`` whose full shingle sets are similar enough."""
     full = _sets(pairs.select(F.col("a").alias("doc_id")).unionByName(
         pairs.select(F.col("b").alias("doc_id"))), docs, 2 * n)
@@ -142,12 +149,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     both = F.size(F.array_intersect("a_items", "b_items"))
     union = F.size("a_items") + F.size("b_items") - both
     return common.written(pairs.join(side["b"], "b").join(side["a"], "a")
-                          .filter(100 * both >= PERCENT * union).select("a", "b"), "links", n,
+                          .filter(100 * both >= percent * union).select("a", "b"), "links", n,
                           PAIR_ROWS)
 
 
 def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame, docs: DataFrame,
-              n: int) -> DataFrame:
+              n: int, percent: int) -> DataFrame:
     """Verified links ``(a, b)`` that connect all components with a link between them in a bucket.
 
     ``members(key, rep)`` are the buckets with two classes or more, ``n`` rows. Two passes over blocks: the
@@ -175,11 +182,11 @@ def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame, docs: Da
         "key", "rep", "comp", "x.*")
     likely = common.written(
         _by_block(dealt.join(classes.select("rep", "sketch"), "rep"), "sketch")
-        .mapInPandas(_likely, LIKELY).distinct(), "likely")
+        .mapInPandas(partial(_likely, least=min_share(percent)), LIKELY).distinct(), "likely")
     sets = _sets(likely.select(F.col("rep").alias("doc_id")), docs, likely.count())
     full = likely.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    return common.written(_by_block(full, "items").mapInPandas(_linked, "a long, b long")
-                          .distinct(), "crossing")
+    return common.written(_by_block(full, "items").mapInPandas(
+        partial(_linked, percent=percent), "a long, b long").distinct(), "crossing")
 
 
 LIKELY = "key long, block int, role int, rep long, comp long"
@@ -200,7 +207,7 @@ def _runs(frames):
                 yield keys[lo][:2], keys[lo][2], frame.iloc[lo:hi]
 
 
-def _likely(frames):
+def _likely(frames, least: float):
     """Rows sorted by bucket, block and role: the members of a block are held, the strangers behind
     them stream past. Passes on both sides of every pair of components whose sketches agree."""
     at, parts, held, hit = None, [], None, None
@@ -226,7 +233,7 @@ def _likely(frames):
         own = _matrix(rows["sketch"])
         near = np.zeros(len(rows), dtype=bool)
         for i, c in enumerate(rows["comp"].to_numpy()):
-            close = ((sketches == own[i]).mean(axis=1) >= MIN_SHARE) & (comp != c)
+            close = ((sketches == own[i]).mean(axis=1) >= least) & (comp != c)
             hit |= close
             near[i] = close.any()
         if near.any():
@@ -238,7 +245,7 @@ def _matrix(sketches) -> np.ndarray:
     return np.frombuffer(b"".join(sketches), np.uint32).reshape(-1, SIZE)
 
 
-def _linked(frames):
+def _linked(frames, percent: int):
     """Like ``_likely`` on full sets: links that join components of a block, a spanning forest."""
     at, parts, held = None, [], None
     root: dict[int, int] = {}
@@ -269,7 +276,7 @@ def _linked(frames):
             place[place == len(known)] = 0
             mark[place[known[place] == items]] = 1
             both = np.add.reduceat(mark[index], first)
-            links = 100 * both >= PERCENT * (sizes + len(items) - both)
+            links = 100 * both >= percent * (sizes + len(items) - both)
             for j in np.flatnonzero(links & (comp != c)):
                 x, y = find(int(comp[j])), find(int(c))
                 if x != y:
@@ -279,8 +286,9 @@ def _linked(frames):
             yield pd.DataFrame(out, columns=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id, kept, cls.
+    Documents with a similarity of ``percent`` or more are linked.
 
     Null and empty texts, and texts without a word, have no shingle, link with nothing and form a
     component of their own. Rows with equal ids are one document, whose texts link to what any of
@@ -306,9 +314,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = common.written(members.filter("center < rep").groupBy("rep").agg(
         F.min("center").alias("a")).select("a", F.col("rep").alias("b")), "star-pairs", n,
         NARROW_ROWS)
-    links = _verified(first, docs, first.count())
+    links = _verified(first, docs, first.count(), percent)
     comps = common.components(links)
-    links = links.unionByName(_crossing(members.select("key", "rep"), classes, comps, docs, total))
+    links = links.unionByName(_crossing(members.select("key", "rep"), classes, comps, docs,
+                                        total, percent))
     # a document whose rows have several texts belongs to several classes: tie them
     several = common.written(
         rows.filter(usable).groupBy("doc_id")
@@ -333,10 +342,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "cls")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group, all columns and names as they are. Rows with equal
     ids are one document, of which one row stays; rows without an id all stay."""
-    kept = common.written(near_duplicates(docs.select("doc_id", "text")).filter(
+    kept = common.written(near_duplicates(docs.select("doc_id", "text"), percent).filter(
         "doc_id is not null").groupBy("doc_id").agg(F.min("kept").alias("kept"),
                                                     F.count("*").alias("n")).filter("kept"),
                           "kept")

@@ -121,3 +121,28 @@ def test_large_group_of_near_copies_is_split_and_whole(llm, make_docs):
     want = brute([(i, t) for t, i in distinct.items()])
     got = answers(make_docs(docs))
     assert got == {i: want[distinct[t]] for i, t in docs}
+
+
+def test_one_of_each_group_is_kept_at_the_threshold_that_is_given(make_docs):
+    docs, want = [], {}
+    for g, percent in enumerate((78, 79, 81, 82, 83, 84, 86)):
+        words = [f"g{g}_{i}" for i in range(304)]       # 300 shingles, of which the copy has a part
+        docs += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[:3 * percent + 4]))]
+        want[2 * g + 1] = percent
+    kept = M.keep_one(make_docs(docs), 80).collect()
+    assert {r["doc_id"] for r in kept if r["doc_id"] % 2} == {i for i in want if want[i] < 80}
+    strict = M.keep_one(make_docs(docs)).collect()
+    assert {r["doc_id"] for r in strict if r["doc_id"] % 2} == {i for i in want if want[i] < 85}
+
+
+def test_crossing_links_at_080(make_docs):
+    # one document is linked to the others of its buckets only by way of a stranger to their centre
+    words = [f"a{i}" for i in range(100)]
+    near, far = list(words), list(words)
+    near[10] = "x10"
+    far = list(near)
+    far[50] = "y50"
+    far[90] = "z90"
+    docs = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
+    got = {r["doc_id"]: r["component_id"] for r in M.near_duplicates(make_docs(docs), 80).collect()}
+    assert got == {1: 1, 2: 1, 3: 1}
