@@ -5,10 +5,12 @@ members, and the line separator is an empty gzip member, which is legal and hold
 commit protocol covers lost tasks on any file system Spark writes to, and tools that read
 concatenated gzip read the files.
 
-The reader takes a file from the start. Where a member does not inflate, a record has no version
-line, its length does not fit or its block digest is wrong, the reader looks for the next place at
-which a valid member (or, uncompressed, a version line at the start of a line) begins, goes on there,
-and logs the bytes in between as a quarantined gap.
+The reader takes a file from the start, members and plain records in any order. Where a member does
+not inflate, a record has no version line, its length does not fit or its block digest is wrong, the
+reader looks for the next place at which a valid member or a sound plain record begins, goes on
+there, and logs the bytes in between as a quarantined gap. Of a damaged member the records in front
+of the first that fails are kept if their digests hold; none are kept if only its checksum fails (a
+header may be wrong) or if the file ends in it.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ EMPTY_MEMBER = (b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03" b"\x03\x00" + bytes(
 CHUNK_BYTES = 1 << 20             # members are handed to the writer in runs of about this size
 FILE_CHUNKS = 128                 # rows, and so about so many MB, in one file
 _GZIP = b"\x1f\x8b\x08"
-_VERSION = re.compile(rb"(?m)^WARC/1\.[01]\r\n")
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _INPUT = 1 << 16
 
 
@@ -97,7 +99,7 @@ class Salvage:
 def parse_record(data, at: int) -> tuple[Record | None, int, str]:
     """(record, place behind it, "") - or (None, at, reason)."""
     version = _VERSION.match(data, at)
-    if not version or version.start() != at:
+    if not version:
         return None, at, "no version line"
     end = data.find(CRLF + CRLF, at)
     if end < 0:
@@ -142,66 +144,93 @@ def inflate(data, at: int) -> tuple[bytes | None, int]:
     return b"".join(out), here - len(z.unused_data)
 
 
-def salvage(data: bytes) -> Salvage:
-    """All records of a file, compressed or not, that pass their checks, and the gaps."""
-    return _salvage_members(data) if _looks_compressed(data) else _salvage_plain(data)
-
-
-def _looks_compressed(data: bytes) -> bool:
-    member, version = data.find(_GZIP), _VERSION.search(data)
-    return member >= 0 and (version is None or member < version.start())
+def inflated_part(data, at: int) -> tuple[bytes, int]:
+    """What the damaged member at ``at`` gives before the error, and the place of the error; of a
+    member that the end of the data cuts off, nothing."""
+    z = zlib.decompressobj(31)
+    out, here, step = [], at, _INPUT
+    while here < len(data):
+        before = z.copy() if step > 1 else z
+        try:
+            out.append(z.decompress(data[here:here + step]))
+            here += step
+        except zlib.error:
+            if step == 1:
+                return b"".join(out), here
+            z, step = before, 1       # again, byte by byte: an error takes the output of its call
+    return b"", at
 
 
-def _salvage_plain(data: bytes) -> Salvage:
+def salvage(data: bytes) -> Salvage:
+    """All records of a file, compressed or not, that pass their checks, and the gaps."""
     out, at, bad, reason = Salvage(), 0, -1, ""
+    taken, reach = [], 0              # records of a damaged member, and how far it was read
+    member = version = -1             # next signature and next version line
     while at < len(data):
-        rec, behind, why = parse_record(data, at)
-        if rec:
+        packed = data[at:at + 3] == _GZIP
+        if packed:
+            content, behind = inflate(data, at)
+            inner = None if content is None else _salvage_plain(content)
+        else:
+            rec, behind, why = parse_record(data, at)
+            inner = Salvage([rec]) if rec else None
+        if inner is not None:
             if bad >= 0:
                 out.gaps.append((bad, at, reason))
                 bad = -1
-            out.records.append(rec)
+            for rec in inner.records:
+                rec.start = at
+                # stored bytes of a damaged member show its records once more
+                if not packed and at < reach and (rec.fields, rec.block) in taken:
+                    taken.remove((rec.fields, rec.block))
+                else:
+                    out.records.append(rec)
+            if inner.gaps:
+                # the member inflates, so what is wrong is inside: go on behind
+                out.gaps.append((at, behind, f"in member: {inner.gaps[0][2]}"))
             at = behind
             continue
         if bad < 0:
-            bad, reason = at, why
-        later = _VERSION.search(data, at + 1)
-        at = later.start() if later else len(data)
+            bad, reason = at, "damaged member" if packed else why
+        if packed:
+            part, error = inflated_part(data, at)
+            inner = _salvage_plain(part)
+            # no digest covers a header: the damage must show behind the records that are kept
+            sound = inner.gaps[0][0] if inner.gaps else 0
+            found = [r for r in inner.records if r.start < sound
+                     and r.fields.get("warc-block-digest", "").startswith("sha1:")]
+            if found:
+                taken, reach = [(r.fields, r.block) for r in found], error
+            for rec in found:
+                rec.start = at
+                out.records.append(rec)
+        if member <= at:
+            member = data.find(_GZIP, at + 1)
+            member = member if member >= 0 else len(data)
+        if version <= at:
+            later = _VERSION.search(data, at + 1)
+            version = later.start() if later else len(data)
+        at = min(member, version)
     if bad >= 0:
         out.gaps.append((bad, len(data), reason))
     return out
 
 
-def _salvage_members(data: bytes) -> Salvage:
+def _salvage_plain(data: bytes) -> Salvage:
     out, at, bad, reason = Salvage(), 0, -1, ""
     while at < len(data):
-        content, behind = inflate(data, at) if data[at:at + 3] == _GZIP else (None, at)
-        inner = None if content is None else _salvage_plain(content)
-        # a member counts if it is empty or if all it holds are sound records
-        if inner is not None and not inner.gaps:
-            if bad >= 0:
-                out.gaps.append((bad, at, reason))
-                bad = -1
-            for rec in inner.records:
-                rec.start = at
-            out.records += inner.records
-            at = behind
-            continue
-        if inner is not None:
-            # the member inflates, so what is wrong is inside: keep its sound records, go on behind
+        rec, behind, why = parse_record(data, at)
+        if rec:
             if bad >= 0:
                 out.gaps.append((bad, at, reason))
                 bad = -1
-            for rec in inner.records:
-                rec.start = at
-            out.records += inner.records
-            out.gaps.append((at, behind, f"in member: {inner.gaps[0][2]}"))
+            out.records.append(rec)
             at = behind
             continue
         if bad < 0:
-            bad, reason = at, "damaged member" if data[at:at + 3] == _GZIP else "no member"
-        later = data.find(_GZIP, at + 1)
-        at = later if later >= 0 else len(data)
+            bad, reason = at, why
+        later = _VERSION.search(data, at + 1)
+        at = later.start() if later else len(data)
     if bad >= 0:
         out.gaps.append((bad, len(data), reason))
     return out

@@ -89,6 +89,40 @@ def test_every_single_byte_error_loses_at_most_its_own_record():
         assert urn(0)[0] in got and urn(2)[0] in got
 
 
+def test_gzip_body_behind_a_damaged_first_version_line(llm):
+    parts = [W.page_record(i, "http://a.com/", W.gzip_member(b"<html>body</html>" * 50), None)
+             for i in range(4)]
+    got = W.salvage(b"X" + b"".join(parts)[1:])
+    assert ids(got) == urn(1, 2, 3)
+    assert got.gaps[0][0] == 0 and got.gaps[-1][1] == len(parts[0])
+    assert all(a[1] == b[0] for a, b in zip(got.gaps, got.gaps[1:], strict=False))
+
+
+def test_plain_records_behind_sound_and_damaged_members():
+    plain, packed = records(), [W.gzip_member(r) for r in records()]
+    got = W.salvage(packed[0] + plain[1] + packed[2] + plain[3])
+    assert ids(got) == urn(0, 1, 2, 3) and not got.gaps
+    hurt = bytearray(packed[0])
+    hurt[40] ^= 0xFF
+    got = W.salvage(bytes(hurt) + plain[1] + plain[2] + packed[3])
+    assert ids(got) == urn(1, 2, 3) and [g[:2] for g in got.gaps] == [(0, len(hurt))]
+
+
+def test_records_before_the_error_in_a_member_of_many_are_kept():
+    parts = [W.page_record(i, f"http://a.com/{i}", hashlib.sha512(b"%d" % i).hexdigest().encode()
+                           * 9, None) for i in range(60)]
+    for level in (0, 6):                    # stored bytes show the records in the raw data as well
+        z = zlib.compressobj(level, zlib.DEFLATED, 31)
+        data = bytearray(z.compress(b"".join(parts)) + z.flush())
+        size = len(data)
+        data[-200] ^= 0xFF
+        got = W.salvage(bytes(data) + W.gzip_member(records(1)[0]))
+        found = ids(got)
+        assert found[:50] == urn(*range(50)) and found[-1] == urn(0)[0]
+        assert len(set(found)) == len(found) - 1 and got.gaps[0][0] == 0
+        assert got.gaps[-1][1] == size
+
+
 def test_round_trip_with_ties_nulls_and_clashing_columns(llm):
     rows = [(1, "u", "same", 0), (5, "u", "same", 0), (5, "v", "same", 0), (3, None, None, 0),
             (4, "u", "", 0), (None, "u", "same", 0), (None, "n", "only null ids", 0),
