@@ -1,10 +1,11 @@
 """URL filtering by mined association rules, DataFrame functions only.
 
 Tokens of labelled URLs (domain suffixes, first host label, path segments, extension, query keys,
-scheme, fragment) form transactions; Spark's FP-growth finds the frequent combinations, and those
-that imply the block label with enough support and confidence become rules. Rules are matched
-through an inverted index token -> rule: a rule fires on a URL that holds all its tokens. An
-explicit rule list (host and path prefix) takes precedence.
+scheme, fragment) form transactions; Spark's FP-growth finds the combinations on enough blocked
+pages, a number that does not depend on the size of the table, and those that imply the block label
+with enough confidence become rules. Rules are matched through an inverted index rarest token ->
+rule: a rule fires on a URL that holds all its tokens. An explicit rule list (host and path prefix)
+takes precedence.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ BLOCK = "label=block"
 
 @dataclass(frozen=True)
 class Mining:
-    """Pruning of the mined rules. ``min_support`` is a share of the labelled URLs, so at most
-    tokens-per-URL / min_support tokens are frequent whatever the input."""
+    """Pruning of the mined rules: a rule holds on at least ``min_pages`` blocked pages, whatever the
+    input; one of more than ``max_tokens`` tokens is left out if a rule with some of its tokens is
+    there. ``min_support`` is the share in the SQL statement, which is equal to ``min_pages`` on up
+    to ``min_pages / min_support`` labelled URLs; mining does not use it."""
 
     min_support: float = 0.002
     min_pages: int = 5
@@ -83,46 +86,73 @@ def tokens(url: Column) -> Column:
 
 
 def mine(labelled: DataFrame, mining: Mining | None = None) -> DataFrame:
-    """Rules ``(rule_id, items, n_items, confidence, support)`` from ``labelled(url, block)``.
+    """Rules ``(rule_id, items, n_items, confidence, support, anchor)`` from ``labelled(url, block)``.
 
     Rows without a label or a token are left out; without any row there are no rules.
     """
     mining = mining or Mining()
-    items = F.when(F.col("block"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(
-        F.col("tokens"))
     sets = common.written(labelled.filter("block is not null").select(
-        "block", tokens(F.col("url")).alias("tokens")).filter("size(tokens) > 0")
-        .select(items.alias("items")), "transactions")
+        F.monotonically_increasing_id().alias("uid"), "block",
+        tokens(F.col("url")).alias("tokens")).filter("size(tokens) > 0"), "labelled-tokens")
     n = sets.count()
     empty = labelled.sparkSession.createDataFrame(
-        [], "rule_id long, items array<string>, n_items int, confidence double, support double")
-    if n == 0:
+        [], "rule_id long, items array<string>, n_items int, confidence double, support double, "
+            "anchor string")
+    # a token on too few blocked pages is in no rule, so the other ones' combinations are not mined
+    each = sets.select("uid", "block", F.explode("tokens").alias("token"))
+    seen = common.written(each.groupBy("token").agg(
+        F.count("*").alias("n"), F.count_if("block").alias("blocked"))
+        .filter(F.col("blocked") >= mining.min_pages).select("token", "n"), "tokens")
+    items = F.collect_list("token")
+    kept = common.written(each.join(common.bounded(seen.select("token")), "token")
+                          .groupBy("uid", "block").agg(items.alias("items"))
+                          .select(F.when(F.col("block"), F.concat("items", F.array(F.lit(BLOCK))))
+                                  .otherwise(F.col("items")).alias("items")), "transactions")
+    rows = kept.count()
+    if rows == 0:
         return empty
-    support = min(1.0, max(mining.min_support, mining.min_pages / n))
-    model = FPGrowth(itemsCol="items", minSupport=support,
-                     minConfidence=mining.min_confidence).fit(sets)
-    rules = (model.associationRules
-             .filter((F.col("consequent") == F.array(F.lit(BLOCK)))
-                     & (F.size("antecedent") <= mining.max_tokens))
-             .select(F.sort_array("antecedent").alias("items"), "confidence", "support"))
-    return common.written(rules.select(
+    # half a page less: the product with the number of rows is rounded up
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (mining.min_pages - 0.5) / rows),
+                     minConfidence=mining.min_confidence).fit(kept)
+    found = (model.associationRules
+             .filter(F.col("consequent") == F.array(F.lit(BLOCK)))
+             .select(F.sort_array("antecedent").alias("items"), "confidence",
+                     (F.col("support") * rows / n).alias("support")))
+    found = common.written(found.select(
         F.xxhash64("items").alias("rule_id"), "items", F.size("items").alias("n_items"),
-        "confidence", "support"), "rules")
+        "confidence", "support"), "found")
+    # the rarest token of each rule
+    anchors = (found.select("rule_id", F.explode("items").alias("token"))
+               .join(common.bounded(seen), "token").groupBy("rule_id")
+               .agg(F.min_by("token", F.struct("n", "token")).alias("anchor")))
+    rules = common.written(found.join(anchors, "rule_id"), "rules")
+    # few rules are long; by number of tokens, those that hold no rule stay
+    for size in sorted(r[0] for r in rules.filter(F.col("n_items") > mining.max_tokens)
+                       .select("n_items").distinct().collect()):
+        long = rules.filter(F.col("n_items") == size)
+        shorter = rules.filter(F.col("n_items") < size)
+        held = _met(long.select(F.col("rule_id").alias("long_id"), F.col("items").alias("tokens")),
+                    shorter).select(F.col("long_id").alias("rule_id")).distinct()
+        rules = common.written(rules.join(held, "rule_id", "left_anti"), "rules")
+    return rules
+
+
+def _met(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows of ``sets(..., tokens)`` with every rule whose tokens they hold."""
+    index = common.bounded(rules.select("rule_id", "items", "anchor"), 100_000)
+    each = sets.withColumn("anchor", F.explode("tokens"))
+    return each.join(index, "anchor").filter(F.size(F.array_except("items", "tokens")) == 0)
 
 
 def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Of the distinct ``urls(url)`` those on which a rule fires: ``(url, n_rules)``.
 
-    Inverted index: a URL's tokens meet the rules that hold them; a rule fires when it met as many
-    tokens as it has. Hits are counted per URL and rule, tokens without a rule never shuffle when
-    the index is small.
+    Inverted index: a URL's tokens meet the rules whose rarest token they are, and a rule fires if
+    the URL holds its other tokens as well. Tokens without a rule never shuffle when the index is
+    small.
     """
-    index = common.bounded(rules.select("rule_id", "n_items", F.explode("items").alias("token")))
-    hits = (urls.select("url", F.explode(tokens(F.col("url"))).alias("token"))
-            .join(index, "token")
-            .groupBy("url", "rule_id", "n_items").agg(F.count("*").alias("met"))
-            .filter("met = n_items"))
-    return hits.groupBy("url").agg(F.count("*").alias("n_rules"))
+    return (_met(urls.select("url", tokens(F.col("url")).alias("tokens")), rules)
+            .groupBy("url").agg(F.count("*").alias("n_rules")))
 
 
 def judge(pages: DataFrame, labelled: DataFrame, list_rules=LIST_RULES,

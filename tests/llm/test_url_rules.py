@@ -37,6 +37,29 @@ def test_mined_combination_blocks_only_where_all_tokens_meet(llm):
     assert got[0]["n_mined"] > 0 and got[0]["rule"] is None
 
 
+def test_a_small_blocked_host_gets_its_rule_in_a_large_table_too(llm):
+    spam = [(f"http://spam.com/{i}", True) for i in range(6)]
+    for others in (20, 6000):
+        labelled = spam + [(f"http://good{i % 7}.org/a/{i}", False) for i in range(others)]
+        got = verdicts(llm, ["http://spam.com/x", "http://good1.org/a/b"], labelled)
+        assert [got[i]["verdict"] for i in range(2)] == ["block", "allow"]
+
+
+def test_a_combination_of_four_tokens_blocks_if_no_smaller_one_does(llm):
+    def url(h, p, q, scheme, i):
+        return f"{scheme}://{h}/{p}/{i}?{q}=1"
+
+    both = [(h, p, q, s) for h in ("a.com", "b.com") for p in ("x", "y") for q in ("k", "l")
+            for s in ("http", "https")]
+    labelled = [(url(*c, i), c == both[0]) for c in both for i in range(8)]
+    urls = [url(*c, 99) for c in both]
+    got = verdicts(llm, urls, labelled)
+    assert [got[i]["verdict"] for i in range(len(both))] == ["block"] + ["allow"] * 15
+    rules = U.mine(llm.createDataFrame(labelled, "url string, block boolean")).collect()
+    # d: and h: stand for the same host, so two rules of four and none of five
+    assert sorted(r["n_items"] for r in rules) == [4, 4]
+
+
 def test_empty_tables_and_clashing_columns(llm):
     pages = llm.createDataFrame([(1, "http://a.com/", "v", "h")],
                                 "page_id long, url string, verdict string, host string")
