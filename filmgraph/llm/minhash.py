@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import partial
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -34,9 +35,9 @@ SHINGLE = 5
 PERCENT = 85                      # 100 * intersection >= PERCENT * union, unless given
 BANDS, ROWS = 25, 5
 SIZE = BANDS * ROWS
-# Pairs whose sketches agree on a share lower by so many standard deviations are not verified: at
-# similarity 0.85 one is below 0.032, so that is 0.70.
-DEVIATIONS = 4.65
+# Pairs whose sketches agree on fewer coordinates are not verified: so few that a pair at the threshold
+# is dropped with less than this chance (binomial tail; the coordinates of a sketch spread less).
+DROPPED = 1e-9
 # Rows of a file, and of the task that writes it, where a bound on a table's rows is known: pairs
 # joined with their sets, sketches, narrow rows.
 PAIR_ROWS, WIDE_ROWS, NARROW_ROWS = 2_000, 20_000, 250_000
@@ -81,8 +82,13 @@ def sketch(items: np.ndarray, size: int = SIZE) -> np.ndarray:
 
 def min_share(percent: int) -> float:
     """Share of equal coordinates below which a pair is not verified."""
-    p = percent / 100
-    return p - DEVIATIONS * (p * (1 - p) / SIZE) ** 0.5
+    p, tail, least = percent / 100, 0.0, 0
+    while least < SIZE:
+        tail += comb(SIZE, least) * p ** least * (1 - p) ** (SIZE - least)
+        if tail > DROPPED:
+            break
+        least += 1
+    return least / SIZE
 
 
 def band_keys(coordinates: np.ndarray) -> np.ndarray:

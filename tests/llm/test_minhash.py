@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -146,3 +147,19 @@ def test_crossing_links_at_080(make_docs):
     docs = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
     got = {r["doc_id"]: r["component_id"] for r in M.near_duplicates(make_docs(docs), 80).collect()}
     assert got == {1: 1, 2: 1, 3: 1}
+
+
+def test_the_gate_on_sketches_drops_less_than_the_banding():
+    for percent in (80, 85):
+        p, least = percent / 100, round(M.min_share(percent) * M.SIZE)
+        tail = sum(math.comb(M.SIZE, k) * p ** k * (1 - p) ** (M.SIZE - k) for k in range(least))
+        assert 0 < tail < 1e-9 < (1 - p ** M.ROWS) ** M.BANDS
+
+
+def test_pairs_with_an_unlucky_sketch_are_compared():
+    # 84 of 125 equal coordinates, which a pair at 0.85 may have
+    sketches = [np.zeros(M.SIZE, np.uint32), np.r_[np.ones(41), np.zeros(84)].astype(np.uint32)]
+    frame = M.pd.DataFrame({"key": 1, "block": 0, "role": [0, 1], "rep": [1, 2], "comp": [1, 2],
+                            "sketch": [x.tobytes() for x in sketches]})
+    out = M.pd.concat(list(M._likely([frame], M.min_share(85))))
+    assert sorted(out["rep"]) == [1, 2]
