@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, line_rules, lm, metric_join, minhash, mix, pack, pfor, pu_quality, url_rules, warc
+from . import (common, fim, line_rules, lm, metric_join, minhash, mix, pack, pfor, pu_quality,
+               spelling, url_rules, warc)
 
 
 def op1_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +77,22 @@ def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.near_duplicates(common.table(spark, sf_dir, "embeddings"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle forms of all documents, with the text rebuilt from each output."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fim.transform(docs, "f").select("doc_id", "f.*")
+    back = fim.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, usual forms and their roots of all words of the documents."""
+    return spelling.group(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_line_rules, op2_url_rules, op3_packing, op4_warc, op5_pu_quality, op6_mixing,
-    op7_token_files, op8_near_duplicates, op9_lm_scoring,
-    op10_metric_join)}
+    op7_token_files, op8_near_duplicates, op9_lm_scoring, op10_metric_join, op11_fill_in_middle,
+    op12_spelling_variants)}

@@ -203,6 +203,26 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
     CASE WHEN again THEN largest END AS refers_to FROM r
 """
 
+FIM_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || substr(x, 1, 8))::BIGINT AS h1,
+    ('0x' || substr(x, 9, 8))::BIGINT AS h2, ('0x' || substr(x, 17, 8))::BIGINT AS h3,
+    ('0x' || substr(x, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT doc_id, t, n, form, coalesce(array_to_string(u[1:a], ''), '') AS p,
+    coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+    coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256 FROM p
+"""
+
 SQL = {
     "op1_line_rules": line_rules_sql(),
     "op2_url_rules": url_rules_sql(),
@@ -210,4 +230,5 @@ SQL = {
     "op6_mixing": MIX_SQL,
     "op8_near_duplicates": NEAR_SQL,
     "op10_metric_join": VECTOR_SQL,
+    "op11_fill_in_middle": FIM_SQL,
 }
