@@ -80,9 +80,9 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def fold(doc_id: Column) -> Column:
-    """crc32 of the id written as text, modulo 5 (0 for a null id)."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(0))
+def fold(doc_id: Column, folds: int = 5) -> Column:
+    """crc32 of the id written as text, modulo ``folds`` (0 for a null id)."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
 def word_count(text: Column) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (common, fim, line_rules, lm, metric_join, minhash, mix, pack, pfor, pu_quality,
-               spelling, url_rules, warc)
+from . import (common, fim, langid, line_rules, lm, metric_join, minhash, mix, pack, pfor,
+               pu_quality, spelling, url_rules, warc)
 
 
 def op1_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,17 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learnt from the folds that are not held out."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = common.fold(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.filter(~held_out).select("text", "lang"))
+    return (langid.predict(docs.select("doc_id", "text"), model, "p")
+            .select("doc_id", held_out.alias("held_out"), F.col("p.lang").alias("lang_pred"),
+                    "p.score", "p.accepted"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_line_rules, op2_url_rules, op3_packing, op4_warc, op5_pu_quality, op6_mixing,
     op7_token_files, op8_near_duplicates, op9_lm_scoring, op10_metric_join, op11_fill_in_middle,
-    op12_spelling_variants)}
+    op12_spelling_variants, op13_language_id)}

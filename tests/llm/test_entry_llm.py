@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = E.queries()
-    for n in range(1, 13):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(sql.SQL) <= set(E.oracle_sql())
 

@@ -1,0 +1,148 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from filmgraph.llm import common, entry, langid
+from filmgraph.llm.hashing import hash_ranges
+
+SMALL = langid.Training(documents=300, buckets=1 << 12, calibration_every=4)
+SF = "/root/testdata/sf0.01"
+
+
+def plain_bag(text, buckets):
+    """Buckets of the subwords of every run, one by one."""
+    def bucket(raw):
+        data = np.frombuffer(raw, dtype=np.uint8)
+        h = hash_ranges(data, np.asarray([0]), np.asarray([len(raw)]))[0]
+        return int(h >> np.uint64(40)) % buckets
+
+    found, run = Counter(), b""
+    for byte in (text or "").lower().encode() + b" ":
+        if byte >= 0x80 or chr(byte).isalpha():
+            run += bytes([byte])
+        elif run:
+            found[bucket(run)] += 1
+            marked = b"\x02" + run + b"\x03"
+            for n in langid.ORDERS:
+                found.update(bucket(marked[i:i + n]) for i in range(len(marked) - n + 1))
+            run = b""
+    return found
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bc", " ", "É", "日本", "1", "\n", "x.", "ÿ"]), max_size=20)
+       .map("".join))
+def test_bags_equal_a_plain_version(text):
+    ids, n = langid.bag(text, 512)
+    assert dict(zip(ids.tolist(), n.tolist(), strict=True)) == plain_bag(text, 512)
+
+
+def test_probabilities_are_those_of_mean_embeddings(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = langid.Model(["a", "b", "c"], rng.normal(size=(512, 3)), rng.normal(size=3), 0.7, 0.5)
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice(["ab", "é", " ", "Zz", "\n"]) for _ in range(rnd.randrange(80)))
+             for _ in range(40)] + [None, "", "123"]
+    for chunk in (langid.CHUNK, 50):       # the small one cuts between texts and at blanks
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        got = model.probabilities(texts)
+        for text, p in zip(texts, got, strict=True):
+            if chunk == 50 and text and len(text) > 50:
+                continue
+            own = plain_bag(text, 512)
+            z = sum(n * model.table[i] for i, n in own.items()) / max(sum(own.values()), 1)
+            assert np.allclose(p, langid.softmax((z + model.bias) / 0.7))
+
+
+def test_long_texts_are_cut_at_blanks(monkeypatch):
+    text = "one two three four five six " * 30
+    whole = langid.bag(text, 512)
+    monkeypatch.setattr(langid, "CHUNK", 40)
+    assert [x.tolist() for x in langid.bag(text, 512)] == [x.tolist() for x in whole]
+    assert len(langid.bag("x" * 200, 512)[0])
+
+
+def test_calibration():
+    rng = np.random.default_rng(2)
+    true = rng.normal(size=(4000, 3))
+    p = langid.softmax(true)
+    labels = np.asarray([rng.choice(3, p=x) for x in p])
+    temperature, accept = langid.calibrate(true * 5, labels, 0.8)
+    assert 4 < temperature < 6.5            # logits five times too steep are found out
+    best = p.max(axis=1)
+    taken = best >= accept
+    assert 0.1 < taken.mean() < 0.9
+    assert (p.argmax(axis=1) == labels)[taken].mean() > 0.78
+    wrong = (p.argmax(axis=1) + 1) % 3
+    assert langid.calibrate(true, wrong, 0.9)[1] > 1
+
+
+def test_descent_lowers_the_loss_of_unseen_texts():
+    rnd = random.Random(9)
+    words = {"x": ["the", "and", "ing", "th"], "y": ["der", "und", "sch", "ei"]}
+    data = [(lang, "".join(rnd.choice(words[lang]) for _ in range(2)) + " " + " ".join(
+        rnd.choices(words[lang], k=8))) for lang in ("x", "y") for _ in range(150)]
+    langs = ["x", "y"]
+    bags = [langid.bag(t, SMALL.buckets) for _, t in data]
+    model = langid.fit_bags(langs, np.asarray([langs.index(x) for x, _ in data]), bags, SMALL)
+    p = model.probabilities(["the and thing", "und der schei"])
+    assert p[0, 0] > 0.95 and p[1, 1] > 0.95
+
+
+@pytest.fixture(scope="module")
+def predicted(llm):
+    return entry.op13_language_id(llm, SF).collect()
+
+
+def test_held_out_accuracy(llm, predicted):
+    langs = {r["doc_id"]: r["lang"] for r in common.table(llm, SF, "documents").collect()}
+    assert len(predicted) == len(langs)
+    for r in predicted:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["lang_pred"] in {*langs.values(), "und"}
+    held = [r for r in predicted if r["held_out"]]
+    right = [r["lang_pred"] == langs[r["doc_id"]] for r in held]
+    assert np.mean(right) > 0.95
+    taken = [x for x, r in zip(right, held, strict=True) if r["accepted"]]
+    assert len(taken) > 0.5 * len(held) and np.mean(taken) >= np.mean(right)
+
+
+def test_learns_nothing_from_held_out_rows_and_the_partitioning(llm, predicted):
+    docs = common.table(llm, SF, "documents").select("doc_id", "text", "lang")
+    learn = docs.filter(common.fold(docs["doc_id"], 4) != 2).select("text", "lang")
+    one, two = (langid.fit(x.repartition(n), SMALL) for x, n in ((learn, 1), (learn, 7)))
+    assert np.array_equal(one.table, two.table) and one.temperature == two.temperature
+
+
+def test_odd_rows(llm):
+    rows = [(None, None, "en", 1), (2**53 + 1, "", "en", 2), (1, "123 .,", None, 3),
+            (1, "123 .,", None, 3), (5, "日本語", "ja", 4), (6, "plain words here", "en", 5),
+            (7, "wörter " * 100_000, "de", 6)]
+    df = llm.createDataFrame(rows, "doc_id long, text string, lang string, score int")
+    model = langid.fit(df.select("text", "lang"), SMALL)
+    assert model.langs == ["de", "en", "ja"]
+    got = langid.predict(df, model, "p")
+    assert got.columns == ["doc_id", "text", "lang", "score", "p"]
+    by = {(r["doc_id"], r["score"]): r["p"] for r in got.collect()}
+    assert len(by) == 6
+    for key in ((None, 1), (2**53 + 1, 2), (1, 3)):
+        assert tuple(by[key]) == ("und", 0.0, False)
+    assert by[5, 4]["lang"] in model.langs
+    bare = df.selectExpr("text", "CAST(NULL AS STRING) AS lang")
+    assert langid.fit(bare, SMALL) is None
+    assert {r["p"]["lang"] for r in langid.predict(df, None, "p").collect()} == {"und"}
+    assert langid.predict(df.limit(0), model, "p").count() == 0
+
+
+def test_copies_teach_once_and_the_sample_is_bounded(llm):
+    rows = [("same text again", "en")] * 500 + [(f"text number {i}", "en") for i in range(400)]
+    rows += [(f"ein anderer {i}", "de") for i in range(5)]
+    df = llm.createDataFrame(rows, "text string, lang string").repartition(6)
+    got = [(r["lang"], r["text"]) for r in langid.sample(df, 100).collect()]
+    assert len(got) == len(set(got)) <= 100
+    assert Counter(x for x, _ in got)["de"] == 5 and Counter(x for x, _ in got)["en"] > 20
