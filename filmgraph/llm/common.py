@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import zlib
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +87,20 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def id_text(doc_id: Column) -> Column:
+    """An id on its way to a Python worker. As a number it would turn into a double wherever a batch
+    holds a null, and ids above 2^53 would change."""
+    return doc_id.cast("long").cast("string")
+
+
+def ids_from(texts) -> pd.arrays.IntegerArray:
+    """Nullable 64-bit ids from what ``id_text`` sent."""
+    none = np.fromiter((not isinstance(t, str) for t in texts), dtype=bool, count=len(texts))
+    own = np.fromiter((int(t) if isinstance(t, str) else 0 for t in texts), dtype=np.int64,
+                      count=len(texts))
+    return pd.arrays.IntegerArray(own, none)
+
+
 def word_count(text: Column) -> Column:
     """Number of words, counted without building them (a null text has none)."""
     starts = F.regexp_count(text, F.lit(WORD_PATTERN))

@@ -105,16 +105,15 @@ def _sketches(docs: DataFrame) -> DataFrame:
     def run(frames):
         for frame in frames:
             out = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+            for text in frame["text"]:
                 items = shingles(text if isinstance(text, str) else None)
                 cls = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
-                out.append((None if pd.isna(doc_id) else int(doc_id), len(items), cls,
-                            sketch(items).tobytes() if len(items) else None))
-            rows = pd.DataFrame(out, columns=["doc_id", "n_shingles", "cls", "sketch"])
-            rows["doc_id"] = rows["doc_id"].astype("Int64")
+                out.append((len(items), cls, sketch(items).tobytes() if len(items) else None))
+            rows = pd.DataFrame(out, columns=["n_shingles", "cls", "sketch"])
+            rows.insert(0, "doc_id", common.ids_from(frame["doc_id"]))
             yield rows
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    rows = docs.select(common.id_text(F.col("doc_id")).alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
     return common.written(rows.mapInPandas(
         run, "doc_id long, n_shingles long, cls binary, sketch binary"), "sketches")

@@ -52,21 +52,20 @@ def queue_ids(docs: DataFrame, packing: Packing) -> DataFrame:
         behind: dict = {}
         for frame in frames:
             out = []
-            for doc_id, source, ids in zip(frame["doc_id"], frame["source"],
-                                           coder.batch(frame["text"]), strict=True):
+            for source, ids in zip(frame["source"], coder.batch(frame["text"]), strict=True):
                 source = source if isinstance(source, str) else None
                 ids = np.concatenate([ids, end])
                 at = behind.get(source, 0)
                 behind[source] = at + len(ids)
                 small = int(ids.max()) < 1 << 16
-                out.append((part, source, at, None if pd.isna(doc_id) else int(doc_id), len(ids),
-                            small, ids.astype("<u2" if small else "<u4").tobytes()))
-            rows = pd.DataFrame(out, columns=["part", "source", "queue_start", "doc_id",
-                                              "doc_tokens", "small", "ids"])
-            rows["doc_id"] = rows["doc_id"].astype("Int64")
+                out.append((part, source, at, len(ids), small,
+                            ids.astype("<u2" if small else "<u4").tobytes()))
+            rows = pd.DataFrame(out, columns=["part", "source", "queue_start", "doc_tokens",
+                                              "small", "ids"])
+            rows.insert(3, "doc_id", common.ids_from(frame["doc_id"]))
             yield rows
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    rows = docs.select(common.id_text(F.col("doc_id")).alias("doc_id"),
                        F.col("source").cast("string").alias("source"),
                        F.col("text").cast("string").alias("text"))
     return common.written(rows.mapInPandas(
@@ -171,7 +170,7 @@ def pack(docs: DataFrame, packing: Packing | None = None) -> DataFrame:
                    zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
             seq = place // window
             full = (seq + 1) * window <= total
-            out = {"doc_id": frame["doc_id"].astype("Int64").iloc[doc].to_numpy(),
+            out = {"doc_id": common.ids_from(frame["doc_id"])[doc],
                    "source": [source[d] for d in doc], "start": start, "length": length,
                    "ids_crc32": crc, "doc_tokens": n[doc], "sequence_id": seq,
                    "offset": place % window, "sequence_tokens": np.where(full, window, rest),
@@ -179,15 +178,14 @@ def pack(docs: DataFrame, packing: Packing | None = None) -> DataFrame:
             if packing.with_ids:
                 out["ids"] = [ids[d][a:a + m].astype("<i4") for d, a, m in
                               zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
-            rows = pd.DataFrame({c: out[c] for c in names})
-            rows["doc_id"] = rows["doc_id"].astype("Int64")
-            yield rows
+            yield pd.DataFrame({c: out[c] for c in names})
 
     placed = queues.join(common.bounded(bases.select(
         F.col("part").alias("_part"), F.col("source").alias("_source"), "base")),
         (F.col("part") == F.col("_part")) & F.col("source").eqNullSafe(F.col("_source")))
     placed = placed.select("source", (F.col("base") + F.col("queue_start")).alias("queue_at"),
-                           "doc_id", "doc_tokens", "small", "ids")
+                           common.id_text(F.col("doc_id")).alias("doc_id"), "doc_tokens", "small",
+                           "ids")
     return placed.mapInPandas(cut_documents, _schema(packing))
 
 

@@ -159,7 +159,8 @@ def write(docs: DataFrame, path: str, output: Output | None = None) -> None:
         def documents():
             for frame in frames:
                 for doc_id, ids in zip(frame["doc_id"], coder.batch(frame["text"]), strict=True):
-                    yield None if pd.isna(doc_id) else int(doc_id), np.concatenate([ids, end])
+                    yield (int(doc_id) if isinstance(doc_id, str) else None,
+                           np.concatenate([ids, end]))
 
         number = TaskContext.get().partitionId()
         for segment in file_segments(documents(), number, output.percentile):
@@ -168,7 +169,8 @@ def write(docs: DataFrame, path: str, output: Output | None = None) -> None:
     tie = F.xxhash64("text")
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                            F.col("text").cast("string").alias("text"))
-               .repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text"))
+               .repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
+               .select(common.id_text(F.col("doc_id")).alias("doc_id"), "text"))
     segments = ordered.mapInPandas(encode, "segment binary")
     (segments.select(F.col("segment").cast("string").alias("value"))
      .write.option("lineSep", SYNC).text(path))
@@ -183,11 +185,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     continue
                 data = bytes(data)
                 number = read_index(data)[3]
-                rows = [(d, number, s, len(ids), common.crc32_u4(ids))
-                        for d, s, ids in file_documents(data)]
-                out = pd.DataFrame(rows, columns=["doc_id", "file", "file_start", "n_tokens",
-                                                  "ids_crc32"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
+                rows = [(number, s, len(ids), common.crc32_u4(ids))
+                        for _, s, ids in file_documents(data)]
+                out = pd.DataFrame(rows, columns=["file", "file_start", "n_tokens", "ids_crc32"])
+                own = read_index(data)[1]
+                out.insert(0, "doc_id", pd.arrays.IntegerArray(own.astype(np.int64), own == _NO_ID))
                 yield out
 
     files = spark.read.format("binaryFile").load(path).select("content")
