@@ -459,3 +459,27 @@ SQL["both_neighbours"] = with_graph(" UNION ALL ".join(
     for label, spec in S.EDGES.items() for near in ("src", "dst")
     if getattr(spec, near) == "MOVIE"))
 SQL["ratings_stream_then_reload"] = SQL["rated_as_edges"]
+
+# ---------------------------------------------------------------- labelled patterns, several labels
+
+SQL["pattern_co_raters"] = with_graph(
+    f"SELECT a.dst AS movie, b.src AS other, {dbl('a.score')} AS mine_score, "
+    f"{dbl('b.score')} AS theirs_score, CAST(count(*) AS BIGINT) AS bulk "
+    "FROM e_rated_as a JOIN e_rated_as b ON a.dst = b.dst "
+    f"WHERE a.src = {R.START_USER} AND b.score >= CAST(4.0 AS FLOAT) GROUP BY ALL")
+SQL["pattern_genre_years"] = with_graph(
+    "SELECT c.dst AS genre, y.dst AS year, CAST(count(*) AS BIGINT) AS bulk "
+    "FROM e_categorized_as c JOIN e_released_in y ON y.src = c.src "
+    "JOIN e_rated_as r ON r.dst = c.src GROUP BY ALL")
+SQL["pattern_matches_per_movie"] = with_graph(
+    "SELECT m.movieId AS movie_id, CAST(count(*) AS BIGINT) AS bulk FROM fx_parsed m "
+    "JOIN e_rated_as r ON r.dst = m.movieId JOIN e_estimated_at t ON t.dst = m.movieId "
+    "JOIN e_categorized_as c ON c.src = m.movieId "
+    f"WHERE m.year >= {R.YEAR_RANGE[0]} AND m.year < {R.YEAR_RANGE[1]} "
+    "AND t.relevance >= CAST(0.5 AS FLOAT) GROUP BY ALL")
+SQL["edges_of_several_labels"] = with_graph(
+    "SELECT label, src, dst, CAST(count(*) AS BIGINT) AS n FROM (" + " UNION ALL ".join(
+        f"SELECT '{label}' AS label, CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst "
+        f"FROM e_{label.lower()} WHERE {near} IN ({', '.join(map(str, R.START_MOVIES))})"
+        for label, spec in S.EDGES.items() for near in ("src", "dst")
+        if getattr(spec, near) == "MOVIE") + ") GROUP BY ALL")

@@ -30,6 +30,7 @@ from ..sources import graphstore as G
 from ..sources import dataset as io
 from . import build, load
 from . import search as Q
+from .pattern import Pattern
 from .traversal import Traversal, degrees
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -673,6 +674,48 @@ def both_neighbours(spark, sf_dir):
     return Traversal.start(g, "MOVIE", keys=list(START_MOVIES)).both().to_df()
 
 
+@register
+def pattern_co_raters(spark, sf_dir):
+    """Labelled steps - which movie one user shares with whom, with both scores."""
+    g = stored_graph(spark, sf_dir)
+    high = F.col("score") >= F.lit(4.0).cast("float")
+    m = (Pattern.start(g, "me", "USER", keys=[START_USER])
+         .out("me", "RATED_AS", "movie", edge="mine")
+         .in_("movie", "RATED_AS", "other", edge_where=high, edge="theirs")).matches()
+    rows = m.select("movie", "other", props={"mine": ["score"], "theirs": ["score"]})
+    return rows.select("movie", "other", _dbl("mine_score").alias("mine_score"),
+                       _dbl("theirs_score").alias("theirs_score"), "bulk")
+
+
+@register
+def pattern_genre_years(spark, sf_dir):
+    """The ratings of each genre and year, over movies that are summed away."""
+    g = stored_graph(spark, sf_dir)
+    m = (Pattern.start(g, "movie", "MOVIE").out("movie", "CATEGORIZED_AS", "genre")
+         .out("movie", "RELEASED_IN", "year").in_("movie", "RATED_AS", "user")).matches()
+    return m.select("genre", "year")
+
+
+@register
+def pattern_matches_per_movie(spark, sf_dir):
+    """Matches (rater, relevant tag, genre) through each movie of some years, counted without
+    listing them."""
+    g = stored_graph(spark, sf_dir)
+    relevant = F.col("relevance") >= F.lit(0.5).cast("float")
+    m = (Pattern.start(g, "movie", "MOVIE", where=P.between("movieYear", *YEAR_RANGE))
+         .in_("movie", "RATED_AS", "user").in_("movie", "ESTIMATED_AT", "tag", edge_where=relevant)
+         .out("movie", "CATEGORIZED_AS", "genre")).matches()
+    return m.per("movie").select(F.col("key").alias("movie_id"), "bulk")
+
+
+@register
+def edges_of_several_labels(spark, sf_dir):
+    """T6 bothE over all labels: the edges that touch three movies."""
+    g = stored_graph(spark, sf_dir)
+    rows = Traversal.start(g, "MOVIE", keys=list(START_MOVIES)).both_edges().to_df()
+    return rows.groupBy("label", "src", "dst").agg(F.sum("bulk").cast("bigint").alias("n"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movies of one genre with their year: GENRE -> in(CATEGORIZED_AS) -> MOVIE values."""
     g = movie_part(spark, sf_dir).into(G.Graph())

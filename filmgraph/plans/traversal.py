@@ -162,30 +162,39 @@ class Traversal:
         held = e.join(self._sized_frontier().withColumnRenamed("key", near), near)
         return Edges(self.graph, edge_label, held)
 
-    def out_edges(self, edge_label: str, where: Column | None = None) -> "Edges":
-        """``outE`` as a traversal: the edges leaving the frontier."""
-        return self._edge_step(edge_label, "src", where, "outE")
-
-    def in_edges(self, edge_label: str, where: Column | None = None) -> "Edges":
-        """``inE`` as a traversal: the edges entering the frontier."""
-        return self._edge_step(edge_label, "dst", where, "inE")
-
-    def both_edges(self, edge_label: str, where: Column | None = None) -> "Edges":
+    def _edge_steps(self, ends: tuple[str, ...], args: tuple, where: Column | None,
+                    step: str) -> "Edges | MixedEdges":
+        labels, where = _arguments(args, where)
+        found: dict[str, Edges] = {}
+        for x in labels or list(self.graph.edges):
+            for near in [n for n in ends if getattr(S.EDGES[x], n) == self.label] or (
+                    ends[:1] if labels else ()):
+                own = self._edge_step(x, near, where, step)
+                found[x] = own if x not in found else Edges(
+                    self.graph, x, found[x].edges.unionByName(own.edges))
+        if not found:
+            raise ValueError("no edge label touches the current vertices")
+        return next(iter(found.values())) if len(found) == 1 else MixedEdges(found)
+
+    def out_edges(self, *edge_labels, where: Column | None = None) -> "Edges | MixedEdges":
+        """``outE`` as a traversal: the edges of one label, several or all that leave the frontier."""
+        return self._edge_steps(("src",), edge_labels, where, "outE")
+
+    def in_edges(self, *edge_labels, where: Column | None = None) -> "Edges | MixedEdges":
+        """``inE`` as a traversal: the edges of one label, several or all that enter the frontier."""
+        return self._edge_steps(("dst",), edge_labels, where, "inE")
+
+    def both_edges(self, *edge_labels, where: Column | None = None) -> "Edges | MixedEdges":
         """``bothE`` as a traversal: the edges touching the frontier at either end."""
-        spec = S.EDGES[edge_label]
-        if spec.src == spec.dst == self.label:
-            held = self.out_edges(edge_label, where).edges.unionByName(
-                self.in_edges(edge_label, where).edges)
-            return Edges(self.graph, edge_label, held)
-        return (self.out_edges if spec.src == self.label else self.in_edges)(edge_label, where)
+        return self._edge_steps(("src", "dst"), edge_labels, where, "bothE")
 
-    def out_e(self, edge_label: str, where: Column | None = None) -> DataFrame:
+    def out_e(self, *edge_labels, where: Column | None = None) -> DataFrame:
         """``outE``: the edges leaving the frontier, with the traverser bulk, as a table."""
-        return self.out_edges(edge_label, where).to_df()
+        return self.out_edges(*edge_labels, where=where).to_df()
 
-    def in_e(self, edge_label: str, where: Column | None = None) -> DataFrame:
+    def in_e(self, *edge_labels, where: Column | None = None) -> DataFrame:
         """``inE``: the edges entering the frontier, with the traverser bulk, as a table."""
-        return self.in_edges(edge_label, where).to_df()
+        return self.in_edges(*edge_labels, where=where).to_df()
 
     def _expect(self, label: str, edge_label: str, step: str) -> None:
         if label != self.label:
@@ -320,6 +329,41 @@ class Edges:
         return self.edges.agg(F.coalesce(F.sum("bulk"), F.lit(0)).cast("bigint").alias("count"))
 
 
+class MixedEdges:
+    """Current edges of several labels, one :class:`Edges` each."""
+
+    def __init__(self, parts: dict[str, Edges]):
+        self.parts = parts
+
+    def has_label(self, label: str) -> Edges:
+        if label not in self.parts:
+            raise KeyError(f"no {label} edges here; have {sorted(self.parts)}")
+        return self.parts[label]
+
+    def has(self, prop: str, where: Column) -> "MixedEdges":
+        """Keep the edges that have the property and satisfy ``where``."""
+        return MixedEdges({label: e.has(where) for label, e in self.parts.items()
+                           if prop in S.EDGES[label].schema.fieldNames()})
+
+    def out_v(self) -> "Traversal | Mixed":
+        return merged([e.out_v() for e in self.parts.values()])
+
+    def in_v(self) -> "Traversal | Mixed":
+        return merged([e.in_v() for e in self.parts.values()])
+
+    def to_df(self) -> DataFrame:
+        """``label, src, dst, bulk`` of the current edges, endpoints as text."""
+        rows = None
+        for label, e in self.parts.items():
+            part = e.to_df().select(F.lit(label).alias("label"), *[
+                F.col(c).cast("string").alias(c) for c in ("src", "dst")], "bulk")
+            rows = part if rows is None else rows.unionByName(part)
+        return rows
+
+    def count(self) -> DataFrame:
+        return self.to_df().agg(F.coalesce(F.sum("bulk"), F.lit(0)).cast("bigint").alias("count"))
+
+
 def degrees(graph: Graph, edge_label: str, direction: str = "out") -> DataFrame:
     """Edge count per vertex: ``key, degree`` (``out`` counts by src, ``in`` by dst)."""
     side = "src" if direction == "out" else "dst"
