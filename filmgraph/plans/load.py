@@ -108,8 +108,7 @@ def build_adjacency(spark: SparkSession, graph_root: str, label: str,
     schema = S.EDGES[label].schema
     edges = spark.read.schema(schema).parquet(G.current(spark, G.edge_path(graph_root, label)))
     streamed = G.stream_path(graph_root, "edges", label)
-    batches = [f"{name}/{epoch}" for name in session.list_folder(spark, streamed)
-               for epoch in session.list_folder(spark, f"{streamed}/{name}")]
+    batches = _streamed_batches(spark, streamed)
     paths = []
     for d in directions:
         copies = G.stream_path(graph_root, f"adjacency/{d}", label)
@@ -121,6 +120,30 @@ def build_adjacency(spark: SparkSession, graph_root: str, label: str,
     return paths
 
 
+def build_edge_ids(spark: SparkSession, graph_root: str, label: str) -> str:
+    """Write the index of edge ids of a stored edge table; streamed batches without one get theirs."""
+    schema = S.EDGES[label].schema
+    streamed = G.stream_path(graph_root, "edges", label)
+    for batch in _streamed_batches(spark, streamed):
+        path = f"{G.stream_path(graph_root, 'ids', label)}/{batch}"
+        if not session.path_exists(spark, f"{path}/_SUCCESS"):
+            G.write_edge_ids(spark.read.schema(schema).parquet(f"{streamed}/{batch}"), graph_root,
+                             label, path=path)
+    edges = spark.read.schema(schema).parquet(G.current(spark, G.edge_path(graph_root, label)))
+    return G.write_edge_ids(edges, graph_root, label)
+
+
+def _streamed_batches(spark: SparkSession, streamed: str) -> list[str]:
+    return [f"{name}/{epoch}" for name in session.list_folder(spark, streamed)
+            for epoch in session.list_folder(spark, f"{streamed}/{name}")]
+
+
+def _refresh_edge_ids(spark: SparkSession, graph_root: str, label: str) -> None:
+    """Rebuild the id index of ``label``, if it has one, after its edges were rewritten."""
+    if G.current(spark, G.ids_path(graph_root, label)):
+        build_edge_ids(spark, graph_root, label)
+
+
 def _refresh_adjacency(spark: SparkSession, graph_root: str, label: str) -> None:
     """Rebuild the adjacency copies that exist for ``label`` after its edges were rewritten."""
     present = tuple(d for d in G.NEAR
@@ -141,6 +164,7 @@ def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadRepor
     def edge(label, df):
         path = G.write_edges(df, graph_root, label)
         _refresh_adjacency(df.sparkSession, graph_root, label)
+        _refresh_edge_ids(df.sparkSession, graph_root, label)
         return label, path
 
     def reject(name, df):
@@ -296,10 +320,12 @@ def fetch_omdb(spark: SparkSession, dataset_root: str, fetch: Callable[[str], st
 
 
 def load_all(spark: SparkSession, dataset_root: str, graph_root: str,
-             mode: str = "fail", adjacency: tuple[str, ...] = ()) -> LoadReport:
+             mode: str = "fail", adjacency: tuple[str, ...] = (),
+             edge_ids: tuple[str, ...] = ()) -> LoadReport:
     """Every load job in dependency order; inputs that are absent are skipped.
 
-    ``adjacency`` names edge labels that also get clustered adjacency copies (both directions).
+    ``adjacency`` names edge labels that also get clustered adjacency copies (both directions),
+    ``edge_ids`` those that get an index of edge ids.
     """
     report = LoadReport()
     steps = [("movies", load_movies), ("ratings", load_ratings),
@@ -312,6 +338,8 @@ def load_all(spark: SparkSession, dataset_root: str, graph_root: str,
     for label in adjacency:
         for path in build_adjacency(spark, graph_root, label):
             report.written["/".join(path.rsplit("/", 4)[1:4])] = path
+    for label in edge_ids:
+        report.written[f"ids/{label}"] = build_edge_ids(spark, graph_root, label)
     return report
 
 
@@ -336,6 +364,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--mode", choices=["fail", "quarantine"], default="fail")
     parser.add_argument("--adjacency", default="",
                         help="comma-separated edge labels to give adjacency copies (with 'all')")
+    parser.add_argument("--edge-ids", default="",
+                        help="comma-separated edge labels to give an index of edge ids (with 'all')")
     args = parser.parse_args(argv)
     spark = session.build_session()
     if args.job == "fetch":
@@ -343,8 +373,9 @@ def main(argv: list[str] | None = None) -> None:
             print(path)
         return
     if args.job == "all":
-        labels = tuple(x for x in args.adjacency.split(",") if x)
-        report = load_all(spark, args.dataset_root, args.target, args.mode, labels)
+        labels, ids = (tuple(x for x in given.split(",") if x)
+                       for given in (args.adjacency, args.edge_ids))
+        report = load_all(spark, args.dataset_root, args.target, args.mode, labels, ids)
     else:
         report = JOBS[args.job](spark, args.dataset_root, args.target, args.mode)
     for name, path in sorted(report.written.items()):

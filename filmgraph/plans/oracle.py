@@ -483,3 +483,27 @@ SQL["edges_of_several_labels"] = with_graph(
         f"FROM e_{label.lower()} WHERE {near} IN ({', '.join(map(str, R.START_MOVIES))})"
         for label, spec in S.EDGES.items() for near in ("src", "dst")
         if getattr(spec, near) == "MOVIE") + ") GROUP BY ALL")
+
+
+# ---------------------------------------------------------------- edge ids
+
+def _edge_id(label: str) -> str:
+    """Content hash over the columns' lengths and texts, and the place among equal edges."""
+    texts, columns = [], S.EDGES[label].schema.fieldNames()
+    for f in S.EDGES[label].schema.fields:
+        x = dbl(f.name) if f.dataType.typeName() == "float" else f.name
+        x = f"CAST({x} AS VARCHAR)"
+        texts.append(f"coalesce(concat(length({x}), ':', {x}), '-')")
+    # concat skips nulls in DuckDB
+    texts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE {t} END"
+             for c, t in zip(columns, texts, strict=True)]
+    return (f"concat('{label}:', md5({' || '.join(texts)}), ':', row_number() OVER "
+            f"(PARTITION BY {', '.join(columns)}) - 1)")
+
+
+SQL["edge_ids"] = with_graph(" UNION ALL ".join(
+    f"SELECT '{label}' AS label, {_edge_id(label)} AS edge_id, CAST(src AS VARCHAR) AS src, "
+    f"CAST(dst AS VARCHAR) AS dst FROM e_{label.lower()}" for label in ("RATED_AS", "WRITTEN_BY")))
+SQL["edge_by_id"] = with_graph(
+    f"SELECT {_edge_id('RATED_AS')} AS edge_id, src, dst, {dbl('score')} AS score, timestamp "
+    f"FROM e_rated_as WHERE src = {R.START_USER}")

@@ -126,7 +126,7 @@ def stored_graph(spark: SparkSession, sf_dir: str) -> G.Graph:
     root = session.shared_path(spark, "graphs", key)
     with _GRAPH_LOCK:
         if not session.path_exists(spark, root + "/_ready"):
-            load.load_all(spark, ds, root, adjacency=("RATED_AS",))
+            load.load_all(spark, ds, root, adjacency=("RATED_AS",), edge_ids=("RATED_AS",))
             spark.createDataFrame([(sf_dir,)], "source string").coalesce(1) \
                 .write.mode("overwrite").text(root + "/_ready")
     return G.read_graph(spark, root)
@@ -716,6 +716,26 @@ def edges_of_several_labels(spark, sf_dir):
     return rows.groupBy("label", "src", "dst").agg(F.sum("bulk").cast("bigint").alias("n"))
 
 
+@register
+def edge_ids(spark, sf_dir):
+    """Every rating and every writer's credit with its id."""
+    g = stored_graph(spark, sf_dir)
+    return G._union([g.edges_with_ids(label).select(
+        F.lit(label).alias("label"), "edge_id", *[F.col(c).cast("string").alias(c)
+                                                 for c in ("src", "dst")])
+        for label in ("RATED_AS", "WRITTEN_BY")])
+
+
+@register
+def edge_by_id(spark, sf_dir):
+    """T2 E(id): the ratings of one user looked up by their ids, and an id that names none."""
+    g = stored_graph(spark, sf_dir)
+    own = g.edges_with_ids("RATED_AS").where(F.col("src") == START_USER).select("edge_id")
+    none = own.select(F.regexp_replace("edge_id", "[0-9]+$", "999999").alias("edge_id"))
+    return Q.edges_by_id(g, "RATED_AS", own.unionByName(none)).select(
+        "edge_id", "src", "dst", _dbl("score").alias("score"), "timestamp")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movies of one genre with their year: GENRE -> in(CATEGORIZED_AS) -> MOVIE values."""
     g = movie_part(spark, sf_dir).into(G.Graph())

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import search as P
-from ..operators import sizing
+from ..operators import edge_ids, sizing
 from ..sources.graphstore import Graph
 
 
@@ -151,6 +151,27 @@ def ratings_in_range(graph: Graph, score: tuple[float, float] | None = None,
     return graph.E("RATED_AS").where(_all(preds))
 
 
+def edges_by_id(graph: Graph, label: str, ids) -> DataFrame:
+    """T2 ``E(id)``: the edges of ``label`` with the given ids (one, several, or the first column of a
+    DataFrame), as ``edge_id`` and the edge's columns. Ids that name no edge give no row.
+
+    Few ids reach the scan of the stored id index, which opens the files that hold them.
+    """
+    spark = graph.E(label).sparkSession
+    if isinstance(ids, str):
+        ids = [ids]
+    rows = ids if isinstance(ids, DataFrame) else edge_ids.as_rows(spark, ids)
+    wanted = sizing.materialize(edge_ids.parsed(rows, label))
+    held = graph.contents(label)
+    if wanted.rows <= VALUE_LIST_LIMIT:
+        hashes = sorted({r[edge_ids.HASH] for r in wanted.df.collect()})
+        held = held.where(F.col(edge_ids.HASH).isin(hashes))
+    else:
+        side = sizing.Sized(wanted.df.select(edge_ids.HASH).distinct(), wanted.rows, wanted.width)
+        held = held.join(sizing.for_join(side), edge_ids.HASH, "left_semi")
+    return edge_ids.found(sizing.for_join(wanted), held, label)
+
+
 def relevant_tags(graph: Graph, min_relevance: float) -> DataFrame:
     """Q9: ESTIMATED_AT edges with relevance at least ``min_relevance``."""
     return graph.E("ESTIMATED_AT").where(F.col("relevance") >= F.lit(min_relevance).cast("float"))

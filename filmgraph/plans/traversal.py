@@ -306,6 +306,14 @@ class Edges:
     def __init__(self, graph: Graph, label: str, edges: DataFrame):
         self.graph, self.label, self.edges = graph, label, edges
 
+    @classmethod
+    def by_id(cls, graph: Graph, label: str, ids) -> "Edges":
+        """``E(id)``: a traversal that starts on the edges with these ids."""
+        from .search import edges_by_id
+
+        return cls(graph, label, edges_by_id(graph, label, ids).withColumn(
+            "bulk", F.lit(1).cast("bigint")))
+
     def has(self, where: Column) -> "Edges":
         """Keep the edges that satisfy ``where`` (a predicate on their properties)."""
         return Edges(self.graph, self.label, self.edges.where(where))

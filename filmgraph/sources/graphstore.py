@@ -5,6 +5,7 @@ Layout below a graph root::
     vertices/<LABEL>/version-<n>/part-*.parquet   natural key + properties (V3 schema)
     edges/<LABEL>/version-<n>/part-*.parquet      src, dst (endpoint keys) + properties
     index/<LABEL>/<property>/version-<n>/         token, vertex key: the text index of a property
+    ids/<LABEL>/version-<n>/                      content hash, copies, edge: the index of edge ids
     stream/{vertices,edges}/<LABEL>/<stream>/epoch-<n>/   micro-batches of incremental loads
 
 Choosing a label is choosing a folder, so a label predicate never reads other labels. A load job
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from .. import session
 from ..functions import search as P
+from ..operators import edge_ids
 
 
 def vertex_path(root: str, label: str) -> str:
@@ -47,8 +49,12 @@ def index_path(root: str, label: str, prop: str) -> str:
     return f"{root.rstrip('/')}/index/{label}/{prop}"
 
 
+def ids_path(root: str, label: str) -> str:
+    return f"{root.rstrip('/')}/ids/{label}"
+
+
 def stream_path(root: str, kind: str, label: str) -> str:
-    """Folder of the streamed batches of a table; ``kind`` is vertices, edges or
+    """Folder of the streamed batches of a table; ``kind`` is vertices, edges, ids or
     adjacency/<direction>."""
     return f"{root.rstrip('/')}/stream/{kind}/{label}"
 
@@ -157,6 +163,18 @@ def write_adjacency(df: DataFrame, root: str, label: str, direction: str,
                    lambda target: rows.write.parquet(target))
 
 
+def write_edge_ids(df: DataFrame, root: str, label: str, path: str | None = None) -> str:
+    """The index of edge ids: a row per distinct edge with its content hash and number of copies,
+    clustered by the hash, so a lookup by id opens the file that holds it. ``path`` overrides the
+    target folder, as for adjacency copies."""
+    rows = edge_ids.contents(_conform(df, S.EDGES[label].schema), label)
+    rows = rows.repartitionByRange(edge_ids.HASH).sortWithinPartitions(edge_ids.HASH)
+    if path:
+        rows.write.mode("overwrite").parquet(path)
+        return path
+    return publish(df.sparkSession, ids_path(root, label), lambda target: rows.write.parquet(target))
+
+
 def token_schema(label: str):
     key = S.VERTICES[label].key
     return S._struct(("token", S.STRING), (key, S.VERTICES[label].type_of(key)))
@@ -176,7 +194,8 @@ def write_tokens(df: DataFrame, root: str, label: str, prop: str) -> str:
 class Graph:
     """Vertex and edge tables by label (lazy DataFrames).
 
-    ``tokens[(label, property)]`` holds text indexes (:func:`write_tokens`) and
+    ``tokens[(label, property)]`` holds text indexes (:func:`write_tokens`), ``ids[label]`` indexes of
+    edge ids (:func:`write_edge_ids`) and
     ``adjacency[(label, direction)]`` the optional clustered copies of edge tables used by
     traversals from small frontiers (:func:`write_adjacency`).
     """
@@ -185,6 +204,7 @@ class Graph:
     edges: dict[str, DataFrame] = field(default_factory=dict)
     adjacency: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
     tokens: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
+    ids: dict[str, DataFrame] = field(default_factory=dict)
 
     def V(self, label: str) -> DataFrame:
         """The vertex table of one label."""
@@ -198,6 +218,19 @@ class Graph:
             raise KeyError(f"no edge label {label!r}; have {sorted(self.edges)}")
         return self.edges[label]
 
+    def contents(self, label: str) -> DataFrame:
+        """Distinct edges of a label with content hash and copies: the stored index, or made from the
+        edges where there is none."""
+        return self.ids[label] if label in self.ids else edge_ids.contents(self.E(label), label)
+
+    def edges_with_ids(self, label: str) -> DataFrame:
+        """Every edge of a label with its ``edge_id``."""
+        held = self.contents(label)
+        columns = S.EDGES[label].schema.fieldNames()
+        whole = held.groupBy(edge_ids.HASH, *columns).agg(
+            F.sum(edge_ids.COPIES).alias(edge_ids.COPIES))
+        return edge_ids.numbered(whole, label)
+
     def key(self, label: str) -> str:
         return S.VERTICES[label].key
 
@@ -290,6 +323,9 @@ def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None)
                     g.adjacency[(label, direction)] = _stored(
                         spark, spec.schema, folder,
                         stream_path(root, f"adjacency/{direction}", label))
+            if current(spark, ids_path(root, label)):
+                g.ids[label] = _stored(spark, edge_ids.contents_schema(label),
+                                       ids_path(root, label), stream_path(root, "ids", label))
     return g
 
 

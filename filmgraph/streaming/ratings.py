@@ -102,6 +102,9 @@ def process_batch(batch: DataFrame, epoch_id: int, graph_root: str,
         if G.current(spark, G.adjacency_path(graph_root, "RATED_AS", direction)):
             copies = G.stream_path(graph_root, f"adjacency/{direction}", "RATED_AS")
             G.write_adjacency(edges, graph_root, "RATED_AS", direction, path=f"{copies}/{folder}")
+    if G.current(spark, G.ids_path(graph_root, "RATED_AS")):
+        G.write_edge_ids(edges, graph_root, "RATED_AS",
+                         path=f"{G.stream_path(graph_root, 'ids', 'RATED_AS')}/{folder}")
     new_users = integrity.absent_keys(V.user_vertices(good), "userId",
                                       _existing_users(spark, graph_root, folder), "userId",
                                       small=True)
