@@ -51,14 +51,23 @@ def text_contains_regex(col: Column | str, pattern: str, is_set: bool = False) -
     return F.exists(tokens(col), lambda t: t.rlike(anchored))
 
 
-def text_prefix(col: Column | str, prefix: str) -> Column:
+def _some(col: Column | str, test, is_set: bool) -> Column:
+    return F.exists(_c(col), test) if is_set else test(_c(col))
+
+
+def text_prefix(col: Column | str, prefix: str, is_set: bool = False) -> Column:
     """The whole value starts with ``prefix`` (case-sensitive)."""
-    return _c(col).startswith(prefix)
+    return _some(col, lambda v: v.startswith(prefix), is_set)
 
 
-def text_regex(col: Column | str, pattern: str) -> Column:
+def text_regex(col: Column | str, pattern: str, is_set: bool = False) -> Column:
     """The whole value fully matches ``pattern``."""
-    return _c(col).rlike(rf"\A(?:{pattern})\z")
+    return _some(col, lambda v: v.rlike(rf"\A(?:{pattern})\z"), is_set)
+
+
+def text_substring(col: Column | str, text: str, is_set: bool = False) -> Column:
+    """The value holds ``text`` (case-sensitive)."""
+    return _some(col, lambda v: v.contains(text), is_set)
 
 
 def _lit(value, dtype) -> Column:

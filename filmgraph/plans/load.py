@@ -8,9 +8,10 @@ original five batch jobs; ``load_all`` runs the four loads in order. Each job
    it needs);
 2. builds the label tables with :mod:`filmgraph.plans.build` (integrity checks on distinct key
    sets, see :mod:`filmgraph.operators.integrity`);
-3. writes every table as its next version - re-running a job replaces its tables instead of
-   appending duplicates, and a job that stops half-way leaves the tables as they were (see
-   :mod:`filmgraph.sources.graphstore`). Quarantined rows go to ``<graph>/_quarantine/<name>``;
+3. writes every table as its next version and then makes them current together - re-running a job
+   replaces its tables instead of appending duplicates, and a job that stops half-way leaves all
+   tables as they were (see :func:`filmgraph.sources.graphstore.load_job`). Text indexes and copies
+   belong to the job that writes the table behind them. Quarantined rows go to ``<graph>/_quarantine/<name>``;
    staged inputs are deleted when the job has succeeded.
 
 Run from the command line::
@@ -22,10 +23,12 @@ Run from the command line::
 from __future__ import annotations
 
 import argparse
+import functools
 import importlib
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +50,16 @@ class LoadReport:
     staged: list[str] = field(default_factory=list)
 
 
+def _job(fn: Callable[..., LoadReport]) -> Callable[..., LoadReport]:
+    """A load job: its tables become current together, or not at all."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, dataset_root: str, graph_root: str,
+            mode: str = "fail") -> LoadReport:
+        with G.load_job(spark, graph_root):
+            return fn(spark, dataset_root, graph_root, mode)
+    return run
+
+
 def staging_path(graph_root: str, name: str) -> str:
     return f"{graph_root.rstrip('/')}/_staging/{name}"
 
@@ -177,10 +190,21 @@ def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadRepor
     if mode == "quarantine":
         tasks += [(reject, name, df) for name, df in t.rejected.items()]
     with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
-        for name, path in pool.map(lambda task: task[0](task[1], task[2]), tasks):
+        # each in a copy of this context, which knows the job's versions
+        runs = [pool.submit(copy_context().run, task, label, df) for task, label, df in tasks]
+        for name, path in [r.result() for r in runs]:
             report.written[name] = path
 
 
+def _write_search(spark: SparkSession, graph_root: str, label: str, report: LoadReport) -> None:
+    """The text index and the curve copy of a label, from its new version."""
+    rows = _stored(spark, graph_root, label)
+    for path in G.write_postings(rows, graph_root, label):
+        report.written["/".join(path.rsplit("/", 4)[1:4])] = path
+    if label in G.CURVES:
+        report.written[f"curve/{label}"] = G.write_curve(rows, graph_root, label)
+
+
 def _stored(spark: SparkSession, graph_root: str, label: str) -> DataFrame:
     g = G.read_graph(spark, graph_root, [label])
     if label not in g.vertices:
@@ -188,6 +212,7 @@ def _stored(spark: SparkSession, graph_root: str, label: str) -> DataFrame:
     return g.V(label)
 
 
+@_job
 def load_movies(spark: SparkSession, dataset_root: str, graph_root: str,
                 mode: str = "fail") -> LoadReport:
     """MOVIE, YEAR, GENRE, RELEASED_IN, CATEGORIZED_AS from ``movies.csv``."""
@@ -205,9 +230,7 @@ def load_movies(spark: SparkSession, dataset_root: str, graph_root: str,
         t.vertices["MOVIE"] = _staged(merged, graph_root, "movie_merged", report)
         _check_stored_edges(spark, graph_root, t, mode, report)
     _write_tables(t, graph_root, mode, report)
-    stored = G.read_graph(spark, graph_root, ["MOVIE"]).V("MOVIE")
-    for prop in G.TEXT_INDEXES["MOVIE"]:
-        report.written[f"index/MOVIE/{prop}"] = G.write_tokens(stored, graph_root, "MOVIE", prop)
+    _write_search(spark, graph_root, "MOVIE", report)
     # movies of a genre: the edges clustered by genre
     for path in build_adjacency(spark, graph_root, "CATEGORIZED_AS", ("in",)):
         report.written["adjacency/CATEGORIZED_AS/in"] = path
@@ -247,6 +270,7 @@ def _check_stored_edges(spark: SparkSession, graph_root: str, t: build.Tables, m
 MOVIE_OWN = ("movieId", "movieTitle", "movieYear", "movieGenres")
 
 
+@_job
 def load_ratings(spark: SparkSession, dataset_root: str, graph_root: str,
                  mode: str = "fail") -> LoadReport:
     """USER and RATED_AS from ``ratings.csv`` (MOVIE must be loaded)."""
@@ -257,6 +281,7 @@ def load_ratings(spark: SparkSession, dataset_root: str, graph_root: str,
     return _drop_staging(spark, report)
 
 
+@_job
 def load_genome(spark: SparkSession, dataset_root: str, graph_root: str,
                 mode: str = "fail") -> LoadReport:
     """TAG and ESTIMATED_AT from the genome files (MOVIE must be loaded)."""
@@ -265,9 +290,11 @@ def load_genome(spark: SparkSession, dataset_root: str, graph_root: str,
     scores = _staged_input(spark, dataset_root, "genome_scores", graph_root, mode, report)
     movies = _stored(spark, graph_root, "MOVIE")
     _write_tables(build.genome_tables(tags, scores, movies, mode), graph_root, mode, report)
+    _write_search(spark, graph_root, "TAG", report)
     return _drop_staging(spark, report)
 
 
+@_job
 def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
               mode: str = "fail") -> LoadReport:
     """Credit labels and edges plus MOVIE enrichment from landed answers (and ``links.csv``)."""
@@ -290,6 +317,7 @@ def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
                           malformed=report.counters["malformed"])
     # versions: the new MOVIE is written beside the one it is built from
     _write_tables(t, graph_root, mode, report)
+    _write_search(spark, graph_root, "MOVIE", report)
     for row in responses.entity_counts(t.extra["credits"]).collect():   # five rows
         report.counters[f"distinct_{row['kind']}"] = row["n_raw"]
         report.counters[f"distinct_{row['kind']}_names"] = row["n_names"]

@@ -507,3 +507,34 @@ SQL["edge_ids"] = with_graph(" UNION ALL ".join(
 SQL["edge_by_id"] = with_graph(
     f"SELECT {_edge_id('RATED_AS')} AS edge_id, src, dst, {dbl('score')} AS score, timestamp "
     f"FROM e_rated_as WHERE src = {R.START_USER}")
+
+
+# ---------------------------------------------------------------- postings and the curve copy
+
+_GENRE = "len(list_filter(genres, lambda g: {})) > 0"
+SQL["movie_search_postings"] = with_graph(" UNION ALL ".join(
+    [f"SELECT '{name}' AS search, movieId AS id FROM fx_enriched WHERE {where}"
+     for name, where in {
+        "title_contains": "contains(title, 'ring')",
+        "title_starts": "starts_with(title, 'blue w')",
+        "title_regex": "regexp_full_match(title, '(blue|green) (wid|gi).*')",
+        "title_regex_any": "regexp_full_match(title, '.*[0-9].*')",
+        "imdb_regex": r"regexp_full_match(imdbId, '00000\d7')",
+        "imdb_contains": "contains(imdbId, '00123')",
+        "rated_regex": "regexp_full_match(rated, 'P.?G')",
+        "rated_word": f"list_contains({_tokens('rated')}, 'pg')",
+        "genre_contains": _GENRE.format("contains(g, 'CONO')"),
+        "genre_regex": _GENRE.format("regexp_full_match(g, 'Brand#1[0-4]')"),
+        "genre_word_prefix": _GENRE.format(
+            f"len(list_filter({_tokens('g')}, lambda t: starts_with(t, 'pro'))) > 0"),
+     }.items()]
+    + ["SELECT 'tag_contains', tagId FROM v_tag WHERE contains(tagName, 'nd#2')"]))
+SQL["movie_search_ranges"] = with_ctes(" UNION ALL ".join(
+    f"SELECT '{name}' AS search, movieId AS movie_id FROM fx_enriched WHERE {where}"
+    for name, where in {
+        "two": "year >= 1960 AND year < 1970 AND imdbScore > CAST(2.5 AS FLOAT) "
+               "AND imdbScore < CAST(6.5 AS FLOAT)",
+        "three": "year >= 1955 AND year < 1985 AND NOT (imdbScore >= CAST(0 AS FLOAT) "
+                 "AND imdbScore < CAST(5 AS FLOAT)) AND imdbVotes >= 0 AND imdbVotes < 30000",
+        "one": "imdbVotes > 10000 AND imdbVotes < 20000",
+        "null": "metascore IS NULL AND year >= 1980 AND year < 1982"}.items()))

@@ -425,6 +425,44 @@ def movie_search_text(spark, sf_dir):
                      for name, df in found.items()])
 
 
+@register
+def movie_search_postings(spark, sf_dir):
+    """Q6, Q7: substring, prefix, regular expression and token searches on every text property."""
+    g = stored_graph(spark, sf_dir)
+    searches = {
+        "title_contains": ("MOVIE", "movieTitle", {"contains": "ring"}),
+        "title_starts": ("MOVIE", "movieTitle", {"starts_with": "blue w"}),
+        "title_regex": ("MOVIE", "movieTitle", {"regex": r"(blue|green) (wid|gi).*"}),
+        "title_regex_any": ("MOVIE", "movieTitle", {"regex": r".*[0-9].*"}),
+        "imdb_regex": ("MOVIE", "movieImdbId", {"regex": r"00000\d7"}),
+        "imdb_contains": ("MOVIE", "movieImdbId", {"contains": "00123"}),
+        "rated_regex": ("MOVIE", "movieRated", {"regex": "P.?G"}),
+        "rated_word": ("MOVIE", "movieRated", {"word": "pg"}),
+        "genre_contains": ("MOVIE", "movieGenres", {"contains": "CONO"}),
+        "genre_regex": ("MOVIE", "movieGenres", {"regex": "Brand#1[0-4]"}),
+        "genre_word_prefix": ("MOVIE", "movieGenres", {"word_prefix": "pro"}),
+        "tag_contains": ("TAG", "tagName", {"contains": "nd#2"}),
+    }
+    return G._union([Q.text_search(g, label, prop, **given).select(
+        F.lit(name).alias("search"), F.col(g.key(label)).alias("id"))
+        for name, (label, prop, given) in searches.items()])
+
+
+@register
+def movie_search_ranges(spark, sf_dir):
+    """Q5: ranges of several properties at once, read from the copy along the curve."""
+    g = stored_graph(spark, sf_dir)
+    year, score = Q.Property("MOVIE", "movieYear"), Q.Property("MOVIE", "movieImdbScore")
+    votes = Q.Property("MOVIE", "movieImdbVotes")
+    searches = {"two": [year.between(1960, 1970), score.inside(2.5, 6.5)],
+                "three": [year.between(1955, 1985), ~score.between(0, 5), votes.between(0, 30000)],
+                "one": [votes.inside(10000, 20000)],
+                "null": [F.col("movieMetascore").isNull(), year.between(1980, 1982)]}
+    return G._union([Q.search_movies(g, *given).select(
+        F.lit(name).alias("search"), F.col("movieId").alias("movie_id"))
+        for name, given in searches.items()])
+
+
 @register
 def tag_search(spark, sf_dir):
     """Q7: id range plus name text."""

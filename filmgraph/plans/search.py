@@ -9,6 +9,7 @@ search are conjunctions of the predicates in :mod:`filmgraph.functions.search`.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -16,9 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import grams
 from ..functions import search as P
 from ..operators import edge_ids, sizing
-from ..sources.graphstore import Graph
+from ..sources.graphstore import ALL, CURVES, GRAM, TEXT_INDEXES, Graph, prop_is_set
 
 
 def _all(predicates: Iterable[Column]) -> Column:
@@ -90,43 +92,112 @@ def movies_with_genre(graph: Graph, genre: str) -> DataFrame:
     edges = graph.adjacency.get(("CATEGORIZED_AS", "in"))
     if edges is None:
         return graph.V("MOVIE").where(F.array_contains("movieGenres", genre))
-    return _movies(graph, edges.where(F.col("dst") == genre).select(F.col("src").alias("movieId")))
+    keys = edges.where(F.col("dst") == genre).select(F.col("src").alias("movieId"))
+    return _vertices(graph, "MOVIE", keys)
 
 
 def movies_with_title_token(graph: Graph, word: str | None = None, prefix: str | None = None,
                             pattern: str | None = None) -> DataFrame:
     """Q6: movies with a title token equal to ``word``, starting with ``prefix`` or fully matching
-    ``pattern`` (give one). Answered from the token table of a stored graph where there is one."""
-    given = [(f, x) for f, x in ((P.text_contains, word), (P.text_contains_prefix, prefix),
-                                 (P.text_contains_regex, pattern)) if x is not None]
-    if len(given) != 1:
-        raise ValueError("give one of word, prefix and pattern")
-    index = graph.tokens.get(("MOVIE", "movieTitle"))
-    if index is None:
-        return graph.V("MOVIE").where(given[0][0]("movieTitle", given[0][1]))
-    token = F.col("token")
-    if word is not None:
-        hit = token == word.lower()
-    elif prefix is not None:
-        hit = token.startswith(prefix.lower())
-    else:
-        hit = token.rlike(rf"\A(?:{pattern})\z")
-    return _movies(graph, index.where(hit).select("movieId"))
+    ``pattern`` (give one). Answered from the postings of a stored graph where there are some."""
+    return text_search(graph, "MOVIE", "movieTitle", word=word, word_prefix=prefix,
+                       word_regex=pattern)
+
+
+# A text search whose rarest piece is held by more than one in so many values reads the whole table, and
+# one looks up no more than so many of its pieces.
+USEFUL_SHARE, PIECES = 5, 4
+
 
+def text_search(graph: Graph, label: str, prop: str, *, word: str | None = None,
+                word_prefix: str | None = None, word_regex: str | None = None,
+                contains: str | None = None, starts_with: str | None = None,
+                regex: str | None = None) -> DataFrame:
+    """Q6/Q7: vertices whose text property - for a set, some element - has a token equal to ``word``, with
+    ``word_prefix`` or matching ``word_regex``, or ``contains`` a string, ``starts_with`` one or matches
+    ``regex`` as a whole (give one).
 
-def _movies(graph: Graph, keys: DataFrame) -> DataFrame:
-    """MOVIE vertices of the given keys: few keys are pushed into the scan, which then opens the
-    files of their ranges; more are a size-checked join."""
+    A stored graph answers from its postings: token searches read the tokens, the others look up the
+    three-character runs that a value must hold, rarest first, and check what is left. Without postings, or
+    if no such run follows from the search, the vertices are read.
+    """
+    given = {name: value for name, value in (
+        ("word", word), ("word_prefix", word_prefix), ("word_regex", word_regex),
+        ("contains", contains), ("starts_with", starts_with), ("regex", regex)) if value is not None}
+    if len(given) != 1:
+        raise ValueError("give one search")
+    (kind, value), = given.items()
+    test = {"word": P.text_contains, "word_prefix": P.text_contains_prefix,
+            "word_regex": P.text_contains_regex, "contains": P.text_substring,
+            "starts_with": P.text_prefix, "regex": P.text_regex}[kind]
+    if prop not in dict(S.VERTICES[label].properties):
+        raise KeyError(f"{label} has no property {prop!r}")
+    where = test(prop, value, is_set=True) if prop_is_set(label, prop) else test(prop, value)
+    if kind.startswith("word"):
+        tokens = graph.tokens.get((label, prop))
+        if tokens is None:
+            return graph.V(label).where(where)
+        token = F.col("token")
+        hit = {"word": lambda: token == value.lower(),
+               "word_prefix": lambda: token.startswith(value.lower()),
+               "word_regex": lambda: token.rlike(rf"\A(?:{value})\z")}[kind]()
+        return _vertices(graph, label, tokens.where(hit).select(S.VERTICES[label].key))
+    needed = {"contains": grams.of_substring, "starts_with": grams.of_prefix,
+              "regex": grams.of_regex}[kind](value)
+    keys = _with_grams(graph, label, prop, needed)
+    rows = graph.V(label) if keys is None else _vertices(graph, label, keys)
+    return rows.where(where)
+
+
+def _with_grams(graph: Graph, label: str, prop: str, needed: list[set[str]] | None):
+    """Keys of the vertices that hold, in one of the alternatives, the rarest of the runs it needs; None if
+    reading all vertices is as good."""
+    if needed is None or label not in graph.postings or prop not in TEXT_INDEXES[label]:
+        return None
+    key = S.VERTICES[label].key
+    every = sorted(set().union(*needed))
+    counts = graph.counts[label].where((F.col("property") == prop) & (
+        ((F.col("kind") == GRAM) & F.col("piece").isin(every)) | (F.col("kind") == ALL)))
+    held = {(r["kind"], r["piece"]): r["n"] for r in counts.collect()}    # one row per run at most
+    total = held.get((ALL, ""), 0)
+    rows = None
+    for alternative in needed:
+        sizes = sorted((held.get((GRAM, x), 0), x) for x in alternative)
+        if sizes[0][0] == 0:
+            continue                  # nothing holds all of it
+        if sizes[0][0] * USEFUL_SHARE > total:
+            return None
+        rarest = [x for _, x in sizes[:PIECES]]
+        own = graph.postings[label].where((F.col("property") == prop) & (F.col("kind") == GRAM)
+                                          & F.col("piece").isin(rarest))
+        # a vertex has a row for each piece at most
+        own = own.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(
+            F.col("_n") == len(rarest)).select(key)
+        rows = own if rows is None else rows.unionByName(own)
+    return rows if rows is not None else graph.V(label).select(key).limit(0)
+
+
+def _vertices(graph: Graph, label: str, keys: DataFrame) -> DataFrame:
+    """Vertices of the given keys: few keys are pushed into the scan, which then opens the files of their
+    ranges; more are a size-checked join."""
+    key = S.VERTICES[label].key
     side = sizing.materialize(keys.distinct())
-    movies = graph.V("MOVIE")
+    rows = graph.V(label)
     if side.rows <= VALUE_LIST_LIMIT:
-        return movies.where(F.col("movieId").isin([r["movieId"] for r in side.df.collect()]))
-    return movies.join(sizing.for_join(side), "movieId", "left_semi")
+        return rows.where(F.col(key).isin([r[key] for r in side.df.collect()]))
+    return rows.join(sizing.for_join(side), key, "left_semi")
 
 
 def search_movies(graph: Graph, *predicates: Column) -> DataFrame:
-    """Q5/Q6: movies matching every predicate (ranges, equality, text)."""
-    return graph.V("MOVIE").where(_all(predicates))
+    """Q5/Q6: movies matching every predicate (ranges, equality, text).
+
+    Searches that name a property of the curve copy read that copy, whose files cover narrow ranges of all
+    its properties, so several ranges at once leave few of them.
+    """
+    copy = graph.curves.get("MOVIE")
+    named = copy is not None and any(re.search(rf"\b{prop}\b", str(p))
+                                     for p in predicates for prop in CURVES["MOVIE"])
+    return (copy if named else graph.V("MOVIE")).where(_all(predicates))
 
 
 def search_tags(graph: Graph, *predicates: Column) -> DataFrame:

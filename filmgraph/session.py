@@ -134,6 +134,32 @@ def file_facts(spark: SparkSession, path: str) -> list[str]:
                   for s in fs.listStatus(hpath))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file on any file system."""
+    fs, hpath = _hadoop(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers see all of it or none: under another name first, then renamed.
+    An existing file is an error."""
+    fs, hpath = _hadoop(spark, path)
+    folder, name = path.rsplit("/", 1)
+    _, part = _hadoop(spark, f"{folder}/_{name}-{uuid.uuid4().hex[:12]}")
+    stream = fs.create(part, False)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if fs.exists(hpath) or not fs.rename(part, hpath):
+        fs.delete(part, False)
+        raise RuntimeError(f"{path} was written by another job meanwhile")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote (a missing one is fine)."""
     fs, hpath = _hadoop(spark, path)

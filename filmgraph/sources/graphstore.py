@@ -4,14 +4,18 @@ Layout below a graph root::
 
     vertices/<LABEL>/version-<n>/part-*.parquet   natural key + properties (V3 schema)
     edges/<LABEL>/version-<n>/part-*.parquet      src, dst (endpoint keys) + properties
-    index/<LABEL>/<property>/version-<n>/         token, vertex key: the text index of a property
+    index/<LABEL>/<table>/version-<n>/            postings of text properties, and their counts
     ids/<LABEL>/version-<n>/                      content hash, copies, edge: the index of edge ids
     stream/{vertices,edges}/<LABEL>/<stream>/epoch-<n>/   micro-batches of incremental loads
 
+    curve/<LABEL>/version-<n>/                    copy of the vertices along a space-filling curve
+    _manifest/<n>                                 the current version of every table
+
 Choosing a label is choosing a folder, so a label predicate never reads other labels. A load job
-replaces a table by writing its next version; readers take the highest version whose write was
-committed (``_SUCCESS``), so a job that stops half-way leaves the table as it was. Streamed batches
-lie outside the versions: replacing a batch table keeps them, and readers take both.
+replaces tables by writing their next versions and then one small file, the manifest, that names
+them (:func:`load_job`); readers take the versions of the newest manifest, so a job that stops
+half-way leaves all tables as they were. One job writes to a graph at a time. Streamed batches lie
+outside the versions: replacing a batch table keeps them, and readers take both.
 
 Rows are range-partitioned and sorted by the label's index columns (vertex key; RATED_AS by score
 then timestamp; ESTIMATED_AT by relevance), so every file and row group covers a narrow range and
@@ -22,13 +26,18 @@ unique composite index).
 
 from __future__ import annotations
 
+import json
+import threading
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from .. import session
+from ..functions import grams
 from ..functions import search as P
 from ..operators import edge_ids
 
@@ -62,36 +71,136 @@ def stream_path(root: str, kind: str, label: str) -> str:
 # ---------------------------------------------------------------- versions
 
 _VERSION = "version-"
-KEPT_VERSIONS = 2                 # the current one and its predecessor, for readers under way
+_KINDS = ("vertices", "edges", "adjacency", "index", "ids", "curve")
+_manifest_lock = threading.RLock()
+# Folder -> version of the load job that runs in this context; nobody else reads them yet.
+_pending: ContextVar[dict[str, dict[str, str]]] = ContextVar("pending")
+
+
+def _root_of(folder: str) -> str:
+    return folder[:max(folder.rfind(f"/{kind}/") for kind in _KINDS)]
+
+
+def manifest_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_manifest"
+
+
+def manifest(spark: SparkSession, root: str) -> dict[str, str] | None:
+    """The version that stands for each table folder (relative to the root), as last published; None for a
+    graph that has no manifest."""
+    root = root.rstrip("/")
+    names = [n for n in session.list_folder(spark, manifest_path(root)) if n.isdigit()]
+    if not names:
+        return None
+    return json.loads(session.read_text(spark, f"{manifest_path(root)}/{names[-1]}"))
+
+
+def _publish_versions(spark: SparkSession, root: str, found: dict[str, str]) -> None:
+    """Make new versions of some tables current, all at once: the next manifest names them. Versions that
+    are neither current nor were so before are deleted."""
+    with _manifest_lock:
+        held = manifest(spark, root) or {}
+        names = [n for n in session.list_folder(spark, manifest_path(root)) if n.isdigit()]
+        number = int(names[-1]) + 1 if names else 1
+        session.write_text(spark, f"{manifest_path(root)}/{number:08d}",
+                           json.dumps({**held, **found}, sort_keys=True))
+        for name in names[:-1]:           # the new one and its predecessor stay
+            session.delete_folder(spark, f"{manifest_path(root)}/{name}")
+    for table, version in found.items():
+        for name in versions(spark, f"{root}/{table}"):
+            if name not in (version, held.get(table)):
+                session.delete_folder(spark, f"{root}/{table}/{name}")
+
+
+def _adopt(spark: SparkSession, root: str) -> None:
+    """Give a graph its first manifest: what is committed there already."""
+    with _manifest_lock:
+        if manifest(spark, root) is not None:
+            return
+        found = {}
+        tables = [f"{kind}/{a}" for kind in ("vertices", "edges", "ids", "curve")
+                  for a in session.list_folder(spark, f"{root}/{kind}")]
+        tables += [f"{kind}/{a}/{b}" for kind in ("adjacency", "index")
+                   for a in session.list_folder(spark, f"{root}/{kind}")
+                   for b in session.list_folder(spark, f"{root}/{kind}/{a}")]
+        for table in tables:
+            newest = _newest(spark, f"{root}/{table}")
+            if newest:
+                found[table] = newest
+        session.write_text(spark, f"{manifest_path(root)}/{1:08d}", json.dumps(found))
+
+
+@contextmanager
+def load_job(spark: SparkSession, root: str):
+    """The tables written inside become current together when the block ends well, and not at all
+    otherwise. Inside, the job reads its own versions; others read the old ones."""
+    root = root.rstrip("/")
+    _adopt(spark, root)
+    found: dict[str, str] = {}
+    token = _pending.set({**_pending.get({}), root: found})
+    try:
+        yield
+    except BaseException:
+        for table, version in found.items():
+            session.delete_folder(spark, f"{root}/{table}/{version}")
+        raise
+    else:
+        if found:
+            _publish_versions(spark, root, found)
+    finally:
+        _pending.reset(token)
 
 
 def versions(spark: SparkSession, folder: str) -> list[str]:
     return [n for n in session.list_folder(spark, folder) if n.startswith(_VERSION)]
 
 
-def current(spark: SparkSession, folder: str) -> str | None:
-    """Path of the newest committed version of a table, None if there is none."""
+def _newest(spark: SparkSession, folder: str) -> str | None:
     for name in reversed(versions(spark, folder)):
-        path = f"{folder}/{name}"
-        if session.path_exists(spark, f"{path}/_SUCCESS"):
-            return path
+        if session.path_exists(spark, f"{folder}/{name}/_SUCCESS"):
+            return name
     return None
 
 
+def current(spark: SparkSession, folder: str, held: dict[str, str] | None = None) -> str | None:
+    """Path of the current version of a table, None if there is none. ``held`` saves reading the
+    manifest again."""
+    root = _root_of(folder)
+    table = folder[len(root) + 1:]
+    own = _pending.get({}).get(root, {})
+    if table in own:
+        return f"{folder}/{own[table]}"
+    if held is None:
+        held = manifest(spark, root)
+    name = _newest(spark, folder) if held is None else held.get(table)
+    return f"{folder}/{name}" if name else None
+
+
 def publish(spark: SparkSession, folder: str, write) -> str:
-    """Write the next version of a table with ``write(path)``; older ones are then deleted, but for
-    the predecessor."""
+    """Write the next version of a table with ``write(path)``. It becomes current at the end of the load
+    job around it, or at once if there is none."""
     have = versions(spark, folder)
     number = int(have[-1][len(_VERSION):]) + 1 if have else 1
-    path = f"{folder}/{_VERSION}{number:08d}"
-    write(path)
-    for name in [*have, path.rsplit("/", 1)[1]][:-KEPT_VERSIONS]:
-        session.delete_folder(spark, f"{folder}/{name}")
-    return path
-
-
-# Text properties that get a token table.
-TEXT_INDEXES = {"MOVIE": ("movieTitle",)}
+    name = f"{_VERSION}{number:08d}"
+    root = _root_of(folder)
+    own = _pending.get({}).get(root)
+    if own is None:
+        _adopt(spark, root)
+    write(f"{folder}/{name}")
+    if own is not None:
+        own[folder[len(root) + 1:]] = name
+    else:
+        _publish_versions(spark, root, {folder[len(root) + 1:]: name})
+    return f"{folder}/{name}"
+
+
+# Text properties whose tokens and three-character runs get postings.
+TEXT_INDEXES = {"MOVIE": ("movieTitle", "movieRated", "movieImdbId", "movieGenres"),
+                "TAG": ("tagName",)}
+# Numeric properties that order the copy of a label along a space-filling curve.
+CURVES = {"MOVIE": ("movieYear", "movieImdbScore", "movieImdbVotes", "movieBoxOffice",
+                    "movieMetascore")}
+CURVE_BITS = 6
 
 # The endpoint an adjacency copy is clustered on, per direction.
 NEAR = {"out": "src", "in": "dst"}
@@ -175,27 +284,97 @@ def write_edge_ids(df: DataFrame, root: str, label: str, path: str | None = None
     return publish(df.sparkSession, ids_path(root, label), lambda target: rows.write.parquet(target))
 
 
-def token_schema(label: str):
-    key = S.VERTICES[label].key
-    return S._struct(("token", S.STRING), (key, S.VERTICES[label].type_of(key)))
+POSTINGS, COUNTS = "postings", "counts"
+TOKEN, GRAM, ALL = "t", "g", "all"
 
 
-def write_tokens(df: DataFrame, root: str, label: str, prop: str) -> str:
-    """The text index of a property: a row per vertex and distinct token, clustered by token, so a
-    search for a token or a prefix opens the files that hold it instead of all vertices."""
+def postings_schema(label: str):
     key = S.VERTICES[label].key
-    rows = df.select(F.explode(F.array_distinct(P.tokens(prop))).alias("token"), key)
-    rows = rows.repartitionByRange("token", key).sortWithinPartitions("token", key)
-    return publish(df.sparkSession, index_path(root, label, prop),
-                   lambda path: rows.write.parquet(path))
+    return S._struct(("property", S.STRING), ("kind", S.STRING), ("piece", S.STRING),
+                     (key, S.VERTICES[label].type_of(key)))
+
+
+COUNTS_SCHEMA = S._struct(("property", S.STRING), ("kind", S.STRING), ("piece", S.STRING),
+                          ("n", S.LONG))
+
+
+def write_postings(df: DataFrame, root: str, label: str) -> list[str]:
+    """The text index of a label: a row per vertex, text property and distinct token or run of three
+    characters, clustered by them, so a search opens the files that hold its pieces; and the number of
+    vertices of each piece (and of all with the property), by which a search picks the rarest."""
+    spec = S.VERTICES[label]
+    pieces = []
+    for prop in TEXT_INDEXES[label]:
+        values = F.col(prop) if prop_is_set(label, prop) else F.array(F.col(prop))
+        values = F.filter(values, lambda v: v.isNotNull())
+        for kind, cut in ((TOKEN, P.tokens), (GRAM, grams.grams)):
+            found = F.array_distinct(F.flatten(F.transform(values, cut)))
+            pieces.append(F.transform(found, _piece(prop, kind)))
+        pieces.append(F.when(F.size(values) > 0, F.array(F.struct(
+            F.lit(prop).alias("property"), F.lit(ALL).alias("kind"), F.lit("").alias("piece")))))
+    every = F.flatten(F.filter(F.array(*pieces), lambda x: x.isNotNull()))
+    rows = df.select(F.explode(every).alias("x"), spec.key).select("x.*", spec.key)
+    order = ["property", "kind", "piece"]
+    listed = rows.where(F.col("kind") != ALL).repartitionByRange(*order, spec.key) \
+        .sortWithinPartitions(*order, spec.key)
+    counted = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("n")).repartitionByRange(*order) \
+        .sortWithinPartitions(*order)
+    return [publish(df.sparkSession, index_path(root, label, name), lambda path, t=t: t.write.parquet(
+        path)) for name, t in ((POSTINGS, listed), (COUNTS, counted))]
+
+
+def _piece(prop: str, kind: str):
+    return lambda x: F.struct(F.lit(prop).alias("property"), F.lit(kind).alias("kind"),
+                              x.alias("piece"))
+
+
+def prop_is_set(label: str, prop: str) -> bool:
+    return S.VERTICES[label].type_of(prop).typeName() == "array"
+
+
+def curve_place(df: DataFrame, props: tuple[str, ...], bits: int = CURVE_BITS) -> Column:
+    """Place on a space-filling curve: each property's rank among its quantiles (0: null), their bits
+    interleaved from the highest on. Neighbours on the curve are near in all properties, so a sorted
+    file covers a narrow range of each."""
+    parts = (1 << bits) - 2
+    cuts = df.approxQuantile(list(props), [i / parts for i in range(1, parts)], 0.25 / parts)
+    ranks = []
+    for prop, bounds in zip(props, cuts, strict=True):
+        value = F.col(prop).cast("double")
+        below = F.size(F.filter(F.lit(sorted(set(bounds))).cast("array<double>"), _up_to(value)))
+        ranks.append(F.when(value.isNull(), 0).otherwise(below + 1).cast("long"))
+    place = F.lit(0).cast("long")
+    for bit in range(bits - 1, -1, -1):
+        for rank in ranks:
+            place = F.shiftleft(place, 1).bitwiseOR(F.shiftright(rank, bit).bitwiseAND(1))
+    return place
+
+
+def _up_to(value: Column):
+    return lambda bound: bound <= value
+
+
+def curve_path(root: str, label: str) -> str:
+    return f"{root.rstrip('/')}/curve/{label}"
+
+
+def write_curve(df: DataFrame, root: str, label: str) -> str:
+    """A copy of a label sorted along the curve of its numeric properties, for searches by several."""
+    spec = S.VERTICES[label]
+    rows = _conform(df, spec.schema)
+    place = curve_place(rows, CURVES[label])
+    placed = (rows.withColumn("_place", place).repartitionByRange("_place", spec.key)
+              .sortWithinPartitions("_place", spec.key).drop("_place"))
+    return publish(df.sparkSession, curve_path(root, label), lambda path: placed.write.parquet(path))
 
 
 @dataclass
 class Graph:
     """Vertex and edge tables by label (lazy DataFrames).
 
-    ``tokens[(label, property)]`` holds text indexes (:func:`write_tokens`), ``ids[label]`` indexes of
-    edge ids (:func:`write_edge_ids`) and
+    ``postings[label]`` and ``counts[label]`` hold text indexes (:func:`write_postings`) - their tokens
+    also by ``tokens[(label, property)]`` -, ``curves[label]`` copies for searches by several properties
+    (:func:`write_curve`), ``ids[label]`` indexes of edge ids (:func:`write_edge_ids`) and
     ``adjacency[(label, direction)]`` the optional clustered copies of edge tables used by
     traversals from small frontiers (:func:`write_adjacency`).
     """
@@ -205,6 +384,9 @@ class Graph:
     adjacency: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
     tokens: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
     ids: dict[str, DataFrame] = field(default_factory=dict)
+    postings: dict[str, DataFrame] = field(default_factory=dict)
+    counts: dict[str, DataFrame] = field(default_factory=dict)
+    curves: dict[str, DataFrame] = field(default_factory=dict)
 
     def V(self, label: str) -> DataFrame:
         """The vertex table of one label."""
@@ -277,12 +459,30 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _open_search(spark: SparkSession, g: Graph, root: str, label: str, held) -> None:
+    """The text index and the curve copy of a label, where they are stored."""
+    tables = {POSTINGS: (g.postings, postings_schema(label)), COUNTS: (g.counts, COUNTS_SCHEMA)}
+    for name, (target, schema) in tables.items():
+        path = current(spark, index_path(root, label, name), held) if label in TEXT_INDEXES else None
+        if path:
+            target[label] = spark.read.schema(schema).parquet(path)
+    if label in g.postings:
+        key = S.VERTICES[label].key
+        for prop in TEXT_INDEXES[label]:
+            g.tokens[(label, prop)] = g.postings[label].where(
+                (F.col("property") == prop) & (F.col("kind") == TOKEN)).select(
+                F.col("piece").alias("token"), key)
+    path = current(spark, curve_path(root, label), held) if label in CURVES else None
+    if path:
+        g.curves[label] = spark.read.schema(S.VERTICES[label].schema).parquet(path)
+
+
 def _stored(spark: SparkSession, schema, folder: str, streamed: str,
-            key: str | None = None) -> DataFrame | None:
+            key: str | None = None, held: dict[str, str] | None = None) -> DataFrame | None:
     """Newest version and streamed batches of a table, None if there is neither. With ``key`` a
     vertex found in both counts once."""
     reader = spark.read.schema(schema)
-    version = current(spark, folder)
+    version = current(spark, folder, held)
     table = reader.parquet(version) if version else None
     if not session.path_exists(spark, streamed):
         return table
@@ -298,34 +498,31 @@ def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None)
     Tables are read with their declared schemas, so opening a graph lists files but reads no
     Parquet footers for schema inference.
     """
-    g = Graph()
+    root = root.rstrip("/")
+    g, held = Graph(), manifest(spark, root)
     for label, spec in S.VERTICES.items():
         if labels is None or label in labels:
             df = _stored(spark, spec.schema, vertex_path(root, label),
-                         stream_path(root, "vertices", label), spec.key)
+                         stream_path(root, "vertices", label), spec.key, held)
             if df is not None:
                 g.vertices[label] = df
-            for prop in TEXT_INDEXES.get(label, ()):
-                version = current(spark, index_path(root, label, prop))
-                if version:
-                    g.tokens[(label, prop)] = spark.read.schema(token_schema(label)).parquet(
-                        version)
+            _open_search(spark, g, root, label, held)
     for label, spec in S.EDGES.items():
         if labels is None or label in labels:
             df = _stored(spark, spec.schema, edge_path(root, label),
-                         stream_path(root, "edges", label))
+                         stream_path(root, "edges", label), held=held)
             if df is None:
                 continue
             g.edges[label] = df
             for direction in NEAR:
                 folder = adjacency_path(root, label, direction)
-                if current(spark, folder):
+                if current(spark, folder, held):
                     g.adjacency[(label, direction)] = _stored(
                         spark, spec.schema, folder,
-                        stream_path(root, f"adjacency/{direction}", label))
-            if current(spark, ids_path(root, label)):
-                g.ids[label] = _stored(spark, edge_ids.contents_schema(label),
-                                       ids_path(root, label), stream_path(root, "ids", label))
+                        stream_path(root, f"adjacency/{direction}", label), held=held)
+            if current(spark, ids_path(root, label), held):
+                g.ids[label] = _stored(spark, edge_ids.contents_schema(label), ids_path(root, label),
+                                       stream_path(root, "ids", label), held=held)
     return g
 
 
