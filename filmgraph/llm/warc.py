@@ -9,8 +9,10 @@ The reader takes a file from the start, members and plain records in any order.
 not inflate, a record has no version line, its length does not fit or its block digest is wrong, the
 reader looks for the next place at which a valid member or a sound plain record begins, goes on
 there, and logs the bytes in between as a quarantined gap. Of a damaged member the records in front
-of the first that fails are kept if their digests hold; none are kept if only its checksum fails (a
-header may be wrong) or if the file ends in it.
+of the first that fails are kept if their digests hold. So are those of a member that the file's end
+cuts off - the last of them only if the compressed stream says that it ends there - and all of one in
+which nothing but the checksum is wrong; no digest covers a header, so where no checksum does either
+the records are marked - their headers are not verified - and must have all mandatory fields.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ EMPTY_MEMBER = (b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03" b"\x03\x00" + bytes(
 CHUNK_BYTES = 1 << 20             # members are handed to the writer in runs of about this size
 FILE_CHUNKS = 128                 # rows, and so about so many MB, in one file
 _GZIP = b"\x1f\x8b\x08"
+# The fields every record has.
+MANDATORY = {"warc-record-id", "warc-type", "warc-date", "content-length"}
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _INPUT = 1 << 16
 
@@ -78,6 +82,7 @@ class Record:
     start: int                    # byte place of the record (of its member) in the file
     fields: dict[str, str]
     block: bytes
+    verified: bool = True         # False: only digests vouch for it, not the member's checksum
 
     @property
     def kind(self) -> str:
@@ -144,9 +149,12 @@ def inflate(data, at: int) -> tuple[bytes | None, int]:
     return b"".join(out), here - len(z.unused_data)
 
 
-def inflated_part(data, at: int) -> tuple[bytes, int]:
-    """What the damaged member at ``at`` gives before the error, and the place of the error; of a
-    member that the end of the data cuts off, nothing."""
+CUT, CHECKSUM, BROKEN = "member cut off", "member checksum", "damaged member"
+
+
+def inflated_part(data, at: int) -> tuple[bytes, int, str]:
+    """What the damaged member at ``at`` gives before the error, the place of the error, and its kind:
+    the data ends, only the checksum or length behind the content is wrong, or anything else."""
     z = zlib.decompressobj(31)
     out, here, step = [], at, _INPUT
     while here < len(data):
@@ -154,11 +162,33 @@ def inflated_part(data, at: int) -> tuple[bytes, int]:
         try:
             out.append(z.decompress(data[here:here + step]))
             here += step
-        except zlib.error:
+        except zlib.error as error:
             if step == 1:
-                return b"".join(out), here
+                kind = CHECKSUM if re.search("incorrect (data|length) check", str(error)) else BROKEN
+                return b"".join(out), here, kind
             z, step = before, 1       # again, byte by byte: an error takes the output of its call
-    return b"", at
+    return b"".join(out), len(data), CUT
+
+
+def _cut_trailer(data, at: int) -> bytes | None:
+    """Of a member that the end of the data cuts off, what there is of its checksum and length; None if
+    its compressed stream is cut as well."""
+    flags, here = data[at + 3] if at + 3 < len(data) else 0, at + 10
+    if flags & 4:
+        here += 2 + int.from_bytes(data[here:here + 2], "little")
+    for flag in (8, 16):              # name and comment end in a zero byte
+        if flags & flag:
+            here = data.find(b"\0", here) + 1 or len(data)
+    if flags & 2:
+        here += 2
+    z = zlib.decompressobj(-15)
+    try:
+        while not z.eof and here < len(data):
+            z.decompress(data[here:here + _INPUT])
+            here += _INPUT
+    except zlib.error:
+        return None
+    return z.unused_data if z.eof else None
 
 
 def salvage(data: bytes) -> Salvage:
@@ -190,20 +220,33 @@ def salvage(data: bytes) -> Salvage:
                 out.gaps.append((at, behind, f"in member: {inner.gaps[0][2]}"))
             at = behind
             continue
-        if bad < 0:
-            bad, reason = at, "damaged member" if packed else why
         if packed:
-            part, error = inflated_part(data, at)
+            part, error, why = inflated_part(data, at)
             inner = _salvage_plain(part)
-            # no digest covers a header: the damage must show behind the records that are kept
+            # no digest covers a header: the damage must show behind records that count as verified
             sound = inner.gaps[0][0] if inner.gaps else 0
-            found = [r for r in inner.records if r.start < sound
+            found = [r for r in inner.records if (r.start < sound or why != BROKEN)
                      and r.fields.get("warc-block-digest", "").startswith("sha1:")]
-            if found:
-                taken, reach = [(r.fields, r.block) for r in found], error
+            sure = why == BROKEN
+            if why == CUT:
+                trailer = _cut_trailer(data, at)
+                sure = trailer is not None and trailer[:4] == zlib.crc32(part).to_bytes(4, "little")
+                if trailer is None and not inner.gaps:
+                    found = found[:-1]        # what ends with the data may have been meant longer
+            if not sure:
+                found = [r for r in found if MANDATORY <= r.fields.keys()]
             for rec in found:
-                rec.start = at
+                rec.start, rec.verified = at, sure
                 out.records.append(rec)
+            if why == CHECKSUM and found and not inner.gaps:
+                if bad >= 0:
+                    out.gaps.append((bad, at, reason))
+                bad, reason, at = error, why, error + 1       # nothing else of it is missing
+                continue
+            if found:
+                taken, reach = [(r.fields, r.block) for r in found], error
+        if bad < 0:
+            bad, reason = at, why
         if member <= at:
             member = data.find(_GZIP, at + 1)
             member = member if member >= 0 else len(data)
@@ -287,12 +330,15 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 
 
 RECORDS = ("file string, start long, record_type string, record_id string, url string, "
-           "refers_to string, payload_digest string, payload_bytes long, payload binary")
+           "refers_to string, payload_digest string, payload_bytes long, header_verified boolean, "
+           "payload binary")
 GAPS = "file string, start long, end long, reason string"
 
 
 def read(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """Sound records of all archives below ``path`` (files of up to 2 GB, the limit of a value)."""
+    """Sound records of all archives below ``path`` (files of up to 2 GB, the limit of a value).
+    ``header_verified`` is false for those whose digests hold but whose member's checksum could not be
+    checked."""
     def records(frames):
         for frame in frames:
             for file, data in zip(frame["path"], frame["content"], strict=True):
@@ -304,7 +350,7 @@ def read(spark: SparkSession, path: str, with_payload: bool = False) -> DataFram
                             else int(r.fields.get("x-payload-length", "0") or 0))
                     out.append((file, r.start, r.kind, r.fields.get("warc-record-id", ""),
                                 r.fields.get("warc-target-uri", ""),
-                                r.fields.get("warc-refers-to"), digest, size,
+                                r.fields.get("warc-refers-to"), digest, size, r.verified,
                                 payload if with_payload else None))
                 yield pd.DataFrame(out, columns=[c.split()[0] for c in RECORDS.split(", ")])
 

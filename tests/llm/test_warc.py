@@ -171,3 +171,75 @@ def test_gap_log_of_a_damaged_archive(llm):
     assert [(g["start"], g["end"]) for g in gap] == [
         (len(members[0]), len(members[0]) + len(members[1]))]
     assert W.read(llm, path).count() == 3
+
+
+def many(n=2000):
+    return [W.page_record(i, f"http://a.com/{i}", hashlib.sha512(b"%d" % i).hexdigest().encode(),
+                          None) for i in range(n)]
+
+
+def test_records_of_a_member_that_the_end_cuts_off_are_kept():
+    data = W.gzip_member(b"".join(many()))
+    # without its length, without part of the checksum, without the end of the stream, without half
+    for cut, least, sure in ((4, 2000, True), (5, 2000, False), (9, 1999, False),
+                             (len(data) // 2, 900, False)):
+        got = W.salvage(data[:-cut])
+        n = len(got.records)
+        assert least <= n and ids(got) == urn(*range(n))
+        assert {r.verified for r in got.records} == {sure}
+        assert [g[:2] for g in got.gaps] == [(0, len(data) - cut)]
+        assert got.gaps[0][2] == W.CUT
+    stored = zlib.compressobj(0, zlib.DEFLATED, 31)           # its records show in the raw data too
+    data = stored.compress(b"".join(many(50))) + stored.flush()
+    found = ids(W.salvage(data[:-200]))
+    assert len(found) == len(set(found)) >= 48
+
+
+def test_records_under_a_wrong_checksum_are_kept_and_marked():
+    data = bytearray(W.gzip_member(b"".join(many())))
+    data[-6] ^= 0xFF                                          # in the checksum
+    got = W.salvage(bytes(data) + W.gzip_member(many(1)[0]))
+    assert ids(got) == urn(*range(2000), 0)
+    assert [r.verified for r in got.records] == [False] * 2000 + [True]
+    assert [g[2] for g in got.gaps] == [W.CHECKSUM] and got.gaps[0][1] == len(data)
+    assert got.gaps[0][0] >= len(data) - 8
+    data[-6] ^= 0xFF
+    data[-1] ^= 0xFF                                          # in the length
+    got = W.salvage(b"garbage" + bytes(data))
+    assert ids(got) == urn(*range(2000))
+    assert [g[:2] for g in got.gaps] == [(0, 7), (len(data) + 6, len(data) + 7)]
+
+
+def test_every_byte_value_survives_the_text_writer(llm):
+    payload = bytes(range(256)) * 5
+    path = session.new_scratch(llm, "warc-bytes")
+    (llm.createDataFrame([(bytearray(payload),), (bytearray(b"\xff\xfe"),)], "v binary").coalesce(1)
+     .selectExpr("CAST(v AS string) value").write.option("encoding", "ISO-8859-1")
+     .option("lineSep", W.EMPTY_MEMBER).text(path))
+    data = bytes(llm.read.format("binaryFile").load(path).first()["content"])
+    assert data == b"".join(x + W.EMPTY_MEMBER.encode("latin-1") for x in (payload, b"\xff\xfe"))
+
+
+def test_header_marks_reach_the_table(llm):
+    path = session.new_scratch(llm, "warc-cut")
+    data = W.gzip_member(b"".join(many(30)))[:-7]
+    (llm.createDataFrame([(bytearray(data),)], "v binary").selectExpr("CAST(v AS string) value")
+     .write.option("encoding", "ISO-8859-1").option("lineSep", "\n").text(path))
+    rows = W.read(llm, path).collect()
+    assert len(rows) == 30 and not any(r["header_verified"] for r in rows)
+
+
+def test_cut_members_with_optional_header_fields():
+    body = b"".join(many(40))
+    raw = zlib.compressobj(6, zlib.DEFLATED, -15)
+    deflated = raw.compress(body) + raw.flush()
+    crc = zlib.crc32(body).to_bytes(4, "little")
+    for flags, extra in ((8, b"name\0"), (16, b"note\0"), (4, b"\x03\0abc"), (2, b"xx"),
+                         (28, b"\x01\0an\0c\0")):
+        head = b"\x1f\x8b\x08" + bytes([flags]) + bytes(5) + b"\x03" + extra
+        if flags == 2:
+            head = head[:-2] + (zlib.crc32(head[:-2]) & 0xFFFF).to_bytes(2, "little")
+        got = W.salvage(head + deflated + crc)
+        assert len(got.records) == 40 and all(r.verified for r in got.records)
+    for n in range(12):
+        assert W.salvage(W.gzip_member(body)[:n]).records == []
