@@ -62,16 +62,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def url_rules_sql() -> str:
     m = url_rules.Mining()
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_rules.LIST_RULES)
-    sizes = range(1, m.max_tokens + 1)
-    sets = []
-    for k in sizes:
-        tables = ", ".join(f"tok t{i}" for i in range(k))
-        same = " AND ".join([f"t0.uid = t{i}.uid AND t{i - 1}.token < t{i}.token"
-                             for i in range(1, k)]) or "true"
-        items = ", ".join(f"t{i}.token" for i in range(k))
-        sets.append(f"SELECT [{items}] AS items, t0.uid, t0.block FROM {tables} WHERE {same}")
     return rf"""
-WITH p AS (SELECT row_number() OVER () AS uid, page_id, url, coalesce(url, '') AS u FROM pages),
+WITH RECURSIVE p AS (SELECT row_number() OVER () AS uid, page_id, url, coalesce(url, '') AS u FROM pages),
 h AS (SELECT uid, page_id, url, u,
     translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
               'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -94,15 +86,28 @@ lab AS (SELECT doc_id AS page_id,
     max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 THEN 1 ELSE 0 END) AS block
     FROM labels GROUP BY doc_id),
 train AS (SELECT uid, tokens, block FROM lists JOIN lab USING (page_id) WHERE len(tokens) > 0),
-least_pages AS (SELECT ceil(least(1.0, greatest({m.min_support}, {m.min_pages} / count(*)))
-    * count(*)) AS k FROM train),
 tok AS (SELECT uid, block, unnest(tokens) AS token FROM train),
-sets AS ({" UNION ALL ".join(sets)}),
-mined AS (SELECT items, sum(block) / count(*) AS confidence FROM sets GROUP BY items
-    HAVING sum(block) >= (SELECT k FROM least_pages)
-       AND sum(block) / count(*) >= {m.min_confidence}),
-hits AS (SELECT uid, count(*) AS n FROM lists, mined
-    WHERE len(list_intersect(tokens, items)) = len(items) GROUP BY uid),
+seen AS (SELECT token, list(uid ORDER BY uid) AS cover, sum(block) AS blocked FROM tok
+    GROUP BY token HAVING sum(block) >= {m.min_pages}),
+cls AS MATERIALIZED (SELECT cover, min(token) AS cls, list(token) AS members,
+    any_value(blocked) / len(cover) AS confidence FROM seen GROUP BY cover),
+bad AS MATERIALIZED (SELECT list(uid) AS uids FROM train WHERE block = 1),
+grown AS (SELECT [cls] AS items, cls AS last, cover, confidence FROM cls
+    UNION ALL SELECT items, last, cover, blocked / len(cover) FROM (
+        SELECT *, len(list_intersect(cover, (SELECT uids FROM bad))) AS blocked FROM (
+            SELECT list_append(g.items, c.cls) AS items, c.cls AS last,
+                list_intersect(g.cover, c.cover) AS cover
+            FROM grown g JOIN cls c ON c.cls > g.last AND c.confidence < {m.min_confidence}
+            WHERE g.confidence < {m.min_confidence})) WHERE blocked >= {m.min_pages}),
+found AS MATERIALIZED (SELECT items FROM grown WHERE confidence >= {m.min_confidence}),
+mined AS (SELECT items FROM found f WHERE NOT EXISTS (SELECT 1 FROM found g
+    WHERE len(g.items) < len(f.items)
+      AND len(list_intersect(g.items, f.items)) = len(g.items))),
+member AS (SELECT cls, unnest(members) AS token FROM cls),
+held AS (SELECT uid, list(DISTINCT cls) AS held FROM (SELECT uid, unnest(tokens) AS token FROM lists)
+    JOIN member USING (token) GROUP BY uid),
+hits AS (SELECT uid, count(*) AS n FROM held, mined
+    WHERE len(list_intersect(held, items)) = len(items) GROUP BY uid),
 listed AS (SELECT uid, verdict, h || p AS rule,
     row_number() OVER (PARTITION BY uid ORDER BY length(h || p) DESC) AS k
     FROM lists, (VALUES {rules}) AS r(verdict, h, p)

@@ -3,9 +3,14 @@
 Tokens of labelled URLs (domain suffixes, first host label, path segments, extension, query keys,
 scheme, fragment) form transactions; Spark's FP-growth finds the combinations on enough blocked
 pages, a number that does not depend on the size of the table, and those that imply the block label
-with enough confidence become rules. Rules are matched through an inverted index rarest token ->
-rule: a rule fires on a URL that holds all its tokens. An explicit rule list (host and path prefix)
-takes precedence.
+with enough confidence become rules, unless a part of them is a rule already.
+
+Tokens that lie on the same labelled pages say the same, so they are merged into one class before
+mining, by a hash of their pages, and a rule is a set of classes. Classes that are rules alone take
+no part in FP-growth. Without this, a dozen path segments shared by a few pages would give thousands
+of combinations. Rules are matched through an inverted index rarest class -> rule: a rule fires on a
+URL that holds a token of each of its classes. An explicit rule list (host and path prefix) takes
+precedence.
 """
 
 from __future__ import annotations
@@ -21,20 +26,25 @@ from . import common
 # Fixed values of the contract: (verdict, host, path).
 LIST_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
               ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-BLOCK = "label=block"
+BLOCK = 0                         # the label among the classes of a transaction
 
 
 @dataclass(frozen=True)
 class Mining:
-    """Pruning of the mined rules: a rule holds on at least ``min_pages`` blocked pages, whatever the
-    input; one of more than ``max_tokens`` tokens is left out if a rule with some of its tokens is
-    there. ``min_support`` is the share in the SQL statement, which is equal to ``min_pages`` on up
-    to ``min_pages / min_support`` labelled URLs; mining does not use it."""
+    """A rule holds on at least ``min_pages`` blocked pages, whatever the input, and of the labelled
+    pages it holds on at least the share ``min_confidence`` is blocked."""
 
-    min_support: float = 0.002
     min_pages: int = 5
     min_confidence: float = 0.8
-    max_tokens: int = 3
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Written tables: ``classes(token, cls)`` and ``rules(rule_id, items, n_items, confidence, support,
+    anchor)``, items being classes and the anchor the rarest of them."""
+
+    classes: DataFrame
+    rules: DataFrame
 
 
 def host(url: Column) -> Column:
@@ -85,8 +95,8 @@ def tokens(url: Column) -> Column:
     return F.when(h != "", every).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, mining: Mining | None = None) -> DataFrame:
-    """Rules ``(rule_id, items, n_items, confidence, support, anchor)`` from ``labelled(url, block)``.
+def mine_classes(labelled: DataFrame, mining: Mining | None = None) -> Rules:
+    """Minimal rules over token classes from ``labelled(url, block)``.
 
     Rows without a label or a token are left out; without any row there are no rules.
     """
@@ -95,64 +105,95 @@ def mine(labelled: DataFrame, mining: Mining | None = None) -> DataFrame:
         F.monotonically_increasing_id().alias("uid"), "block",
         tokens(F.col("url")).alias("tokens")).filter("size(tokens) > 0"), "labelled-tokens")
     n = sets.count()
-    empty = labelled.sparkSession.createDataFrame(
-        [], "rule_id long, items array<string>, n_items int, confidence double, support double, "
-            "anchor string")
-    # a token on too few blocked pages is in no rule, so the other ones' combinations are not mined
+    # a token on too few blocked pages is in no rule, so the other ones' combinations are not mined;
+    # two independent sums of page hashes and the number of pages tell the covers apart
     each = sets.select("uid", "block", F.explode("tokens").alias("token"))
-    seen = common.written(each.groupBy("token").agg(
-        F.count("*").alias("n"), F.count_if("block").alias("blocked"))
-        .filter(F.col("blocked") >= mining.min_pages).select("token", "n"), "tokens")
-    items = F.collect_list("token")
-    kept = common.written(each.join(common.bounded(seen.select("token")), "token")
-                          .groupBy("uid", "block").agg(items.alias("items"))
-                          .select(F.when(F.col("block"), F.concat("items", F.array(F.lit(BLOCK))))
-                                  .otherwise(F.col("items")).alias("items")), "transactions")
+    seen = (each.groupBy("token").agg(
+        F.count("*").alias("n"), F.count_if("block").alias("blocked"),
+        F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("x"),
+        F.bit_xor(F.xxhash64("uid", F.lit(2))).alias("y"))
+        .filter(F.col("blocked") >= mining.min_pages)
+        .withColumn("cls", F.xxhash64("n", "x", "y").bitwiseOR(1)))       # odd: never the label
+    classes = common.written(seen.select("token", "cls", "n", "blocked"), "token-classes")
+    sizes = common.written(classes.groupBy("cls").agg(
+        F.first("n").alias("n"), (F.first("blocked") / F.first("n")).alias("confidence")),
+        "classes")
+    sure = F.col("confidence") >= mining.min_confidence
+    found = sizes.filter(sure).select(
+        F.array("cls").alias("items"), "confidence", (F.col("n") * F.col("confidence") / n)
+        .alias("support"))
+    unsure = common.bounded(common.written(
+        classes.join(sizes.filter(~sure).select("cls"), "cls").select("token", "cls"), "unsure"))
+    kept = common.written(
+        each.join(unsure, "token").groupBy("uid", "block")
+        .agg(F.collect_set("cls").alias("items"))
+        .select(F.when(F.col("block"), F.concat("items", F.array(F.lit(BLOCK).cast("long"))))
+                .otherwise(F.col("items")).alias("items")), "transactions")
     rows = kept.count()
-    if rows == 0:
-        return empty
-    # half a page less: the product with the number of rows is rounded up
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (mining.min_pages - 0.5) / rows),
-                     minConfidence=mining.min_confidence).fit(kept)
-    found = (model.associationRules
-             .filter(F.col("consequent") == F.array(F.lit(BLOCK)))
-             .select(F.sort_array("antecedent").alias("items"), "confidence",
-                     (F.col("support") * rows / n).alias("support")))
+    if rows:
+        # half a page less: the product with the number of rows is rounded up
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, (mining.min_pages - 0.5) / rows),
+                         minConfidence=mining.min_confidence).fit(kept)
+        found = found.unionByName(
+            model.associationRules
+            .filter(F.col("consequent") == F.array(F.lit(BLOCK).cast("long")))
+            .select(F.sort_array("antecedent").alias("items"), "confidence",
+                    (F.col("support") * rows / n).alias("support")))
     found = common.written(found.select(
         F.xxhash64("items").alias("rule_id"), "items", F.size("items").alias("n_items"),
         "confidence", "support"), "found")
-    # the rarest token of each rule
-    anchors = (found.select("rule_id", F.explode("items").alias("token"))
-               .join(common.bounded(seen), "token").groupBy("rule_id")
-               .agg(F.min_by("token", F.struct("n", "token")).alias("anchor")))
+    # the rarest class of each rule
+    anchors = (found.select("rule_id", F.explode("items").alias("cls"))
+               .join(common.bounded(sizes.select("cls", "n")), "cls").groupBy("rule_id")
+               .agg(F.min_by("cls", F.struct("n", "cls")).alias("anchor")))
     rules = common.written(found.join(anchors, "rule_id"), "rules")
-    # few rules are long; by number of tokens, those that hold no rule stay
-    for size in sorted(r[0] for r in rules.filter(F.col("n_items") > mining.max_tokens)
-                       .select("n_items").distinct().collect()):
+    # by number of classes, those that hold no rule stay
+    for size in sorted(r[0] for r in rules.filter("n_items > 2").select("n_items").distinct()
+                       .collect()):
         long = rules.filter(F.col("n_items") == size)
         shorter = rules.filter(F.col("n_items") < size)
-        held = _met(long.select(F.col("rule_id").alias("long_id"), F.col("items").alias("tokens")),
+        held = _met(long.select(F.col("rule_id").alias("long_id"), F.col("items").alias("held")),
                     shorter).select(F.col("long_id").alias("rule_id")).distinct()
         rules = common.written(rules.join(held, "rule_id", "left_anti"), "rules")
-    return rules
+    used = rules.select(F.explode("items").alias("cls")).distinct()
+    return Rules(common.written(classes.join(used, "cls").select("token", "cls"), "rule-tokens"),
+                 rules)
+
+
+def mine(labelled: DataFrame, mining: Mining | None = None) -> DataFrame:
+    """The rules spelt out in tokens, ``(items, n_items, confidence, support)``: a rule for each choice
+    of a token from each of its classes."""
+    r = mine_classes(labelled, mining)
+    own = r.classes.groupBy("cls").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    listed = (r.rules.select("rule_id", "n_items", "confidence", "support", F.explode("items")
+                             .alias("cls")).join(own, "cls")
+              .groupBy("rule_id", "n_items", "confidence", "support")
+              .agg(F.collect_list("tokens").alias("choices")))
+    none = F.array(F.array().cast("array<string>"))
+    every = F.aggregate("choices", none, lambda done, more: F.flatten(F.transform(
+        done, lambda a: F.transform(more, lambda t: F.concat(a, F.array(t))))))
+    return listed.select(F.explode(every).alias("items"), "n_items", "confidence",
+                         "support").withColumn("items", F.sort_array("items"))
 
 
 def _met(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows of ``sets(..., tokens)`` with every rule whose tokens they hold."""
+    """Rows of ``sets(..., held)`` with every rule whose classes they hold."""
     index = common.bounded(rules.select("rule_id", "items", "anchor"), 100_000)
-    each = sets.withColumn("anchor", F.explode("tokens"))
-    return each.join(index, "anchor").filter(F.size(F.array_except("items", "tokens")) == 0)
+    each = sets.withColumn("anchor", F.explode("held"))
+    return each.join(index, "anchor").filter(F.size(F.array_except("items", "held")) == 0)
 
 
-def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def fired(urls: DataFrame, rules: Rules) -> DataFrame:
     """Of the distinct ``urls(url)`` those on which a rule fires: ``(url, n_rules)``.
 
-    Inverted index: a URL's tokens meet the rules whose rarest token they are, and a rule fires if
-    the URL holds its other tokens as well. Tokens without a rule never shuffle when the index is
+    Inverted index: a URL's classes meet the rules whose rarest class they are, and a rule fires if
+    the URL holds its other classes as well. Tokens of no rule never shuffle when the index is
     small.
     """
-    return (_met(urls.select("url", tokens(F.col("url")).alias("tokens")), rules)
-            .groupBy("url").agg(F.count("*").alias("n_rules")))
+    held = (urls.select("url", F.explode(tokens(F.col("url"))).alias("token"))
+            .join(common.bounded(rules.classes), "token")
+            .groupBy("url").agg(F.collect_set("cls").alias("held")))
+    return _met(held, rules.rules).groupBy("url").agg(F.count("*").alias("n_rules"))
 
 
 def judge(pages: DataFrame, labelled: DataFrame, list_rules=LIST_RULES,
@@ -164,7 +205,7 @@ def judge(pages: DataFrame, labelled: DataFrame, list_rules=LIST_RULES,
     rule: only the list decides.
     """
     own = pages.select("page_id", "url")
-    rules = mine(labelled, mining)
+    rules = mine_classes(labelled, mining)
     hit = common.written(fired(own.filter("url is not null").select("url").distinct(), rules),
                          "fired")
     h, p = host(F.col("url")), path(F.col("url"))

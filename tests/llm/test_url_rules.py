@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from filmgraph.llm import url_rules as U
 
 
@@ -76,3 +78,93 @@ def test_labels_of_a_page_are_joined_by_id_with_nulls(llm):
                                  "doc_id long, quality int, toxic int")
     got = {r["url"]: r["block"] for r in U.labelled_urls(pages, labels).collect()}
     assert got == {"u1": True, "u2": False, None: True}
+
+
+def plain_rules(labelled, token_lists, m=U.Mining()):
+    """Minimal rules over classes of tokens with equal covers, by enumeration."""
+    import itertools
+
+    pages = [(set(t), b) for t, (_, b) in zip(token_lists, labelled, strict=True) if t]
+    covers = {}
+    for token in set().union(*[t for t, _ in pages]):
+        cover = frozenset(i for i, (t, _) in enumerate(pages) if token in t)
+        if sum(pages[i][1] for i in cover) >= m.min_pages:
+            covers.setdefault(cover, set()).add(token)
+    found = []
+    for k in range(1, len(covers) + 1):
+        for combo in itertools.combinations(covers, k):
+            cover = frozenset.intersection(*combo)
+            blocked = sum(pages[i][1] for i in cover)
+            if blocked >= m.min_pages and blocked >= m.min_confidence * len(cover) and not any(
+                    set(f) < set(combo) for f in found):
+                found.append(combo)
+        if k == 4:
+            break
+    return [[covers[c] for c in combo] for combo in found]
+
+
+def test_rules_equal_enumeration(llm):
+    import random
+
+    rng = random.Random(6)
+    labelled = []
+    for i in range(120):
+        parts = [rng.choice("abc"), rng.choice("xy"), rng.choice("pqr")]
+        labelled.append((f"http://{parts[0]}.com/{parts[1]}/{parts[2]}/{i}",
+                         parts[0] == "a" and parts[1] == "x" or rng.random() < 0.1))
+    df = llm.createDataFrame(labelled, "url string, block boolean")
+    order = df.select("url", U.tokens(F.col("url")).alias("t")).collect()
+    lists = {r["url"]: r["t"] for r in order}
+    want = plain_rules(labelled, [lists[u] for u, _ in labelled])
+    got = {frozenset(r["items"]) for r in U.mine(df).collect()}
+    import itertools
+    assert got == {frozenset(c) for rule in want for c in itertools.product(*rule)} != set()
+    urls = [f"http://{a}.com/{b}/{c}/z" for a in "abc" for b in "xy" for c in "pqr"]
+    verdict = verdicts(llm, urls, labelled)
+    tokens = {r["url"]: set(r["t"]) for r in llm.createDataFrame(
+        [(u,) for u in urls], "url string").select("url", U.tokens(F.col("url")).alias("t")).collect()}
+    for i, u in enumerate(urls):
+        n = sum(all(c & tokens[u] for c in rule) for rule in want)
+        assert verdict[i]["n_mined"] == n and verdict[i]["verdict"] == ("block" if n else "allow")
+
+
+def test_many_shared_segments_are_one_class(llm):
+    import time
+
+    shared = "/".join(f"s{k}" for k in range(25))
+    labelled = [(f"http://h{i}.com/{shared}/{i}", True) for i in range(6)]
+    labelled += [(f"http://g{i % 9}.org/a/b/{i}", i % 4 == 0) for i in range(50)]
+    both = "/".join(f"t{k}" for k in range(25))          # shared by blocked and allowed pages
+    labelled += [(f"http://m{i}.net/{both}/{i}", i % 2 == 0) for i in range(20)]
+    df = llm.createDataFrame(labelled, "url string, block boolean")
+    began = time.time()
+    r = U.mine_classes(df)
+    assert [len(x["items"]) for x in r.rules.collect()] == [1]
+    assert {x["token"] for x in r.classes.collect()} == {f"p:s{k}" for k in range(25)}
+    assert time.time() - began < 60
+    got = verdicts(llm, ["http://new.com/x/s7/y", f"http://new.com/{both}/z"], labelled)
+    assert [got[i]["verdict"] for i in range(2)] == ["block", "allow"]
+
+
+def test_statement_and_query_agree_where_rules_are_mined(llm, tmp_path):
+    import duckdb
+
+    from filmgraph.llm import entry, sql
+
+    urls = [f"http://{'spam' if i % 3 == 0 else 'fine'}{i % 2}.com/{'shop' if i % 4 else 'news'}/{i}?k=1"
+            for i in range(90)] + ["http://x.net/a", None, "no scheme", "http://spam0.com/other"]
+    pages = llm.createDataFrame([(i, u, "html") for i, u in enumerate(urls)],
+                                "page_id long, url string, html string")
+    labels = llm.createDataFrame([(i, int(not (i % 3 == 0 and i % 2 == 0)), 0) for i in range(70)],
+                                 "doc_id long, quality int, toxic int")
+    for name, df in (("pages", pages), ("labels", labels)):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = entry.op2_url_rules(llm, str(tmp_path))
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(sql.SQL["op2_url_rules"])
+    names = [d[0] for d in want.description]
+    want = sorted(map(repr, want.fetchall()))
+    assert sorted(repr(tuple(r[c] for c in names)) for r in got.collect()) == want
+    assert got.filter("n_mined > 0").count() >= 15
