@@ -88,8 +88,9 @@ def _sample(df: DataFrame, bound: int, seed: int) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, training: Training | None = None) -> Model:
     """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, quality)``; the caller leaves out what
-    must not be learnt from. A document with any label row is not unlabelled. Without positives or
-    unlabelled documents the model is constant (score 0.5)."""
+    must not be learnt from. A document with any label row is not unlabelled. Rows with equal ids
+    are one document with the smallest of their texts. Without positives or unlabelled documents the
+    model is constant (score 0.5)."""
     t = training or Training()
     ids = docs.select("doc_id").filter("doc_id is not null").distinct()
     marks = labels.filter("doc_id is not null").groupBy("doc_id").agg(
@@ -110,12 +111,15 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training | None = None) ->
         if parts:
             # in id order: the fit does not depend on the partitioning
             rows = pd.concat(parts, ignore_index=True)
-            rows = rows.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+            rows = rows.sort_values("doc_id")
             x, mark = np.stack(rows["x"].to_list()), rows["positive"].to_numpy()
             yield pd.DataFrame({"model": [pickle.dumps(fit_matrix(x[mark], x[~mark], t))]})
 
-    rows = (docs.join(F.broadcast(sample), "doc_id")
-            .select("doc_id", "positive", vectors(F.col("text").cast("string")).alias("x")))
+    # one text for each sampled id, picked by the tasks that read it: a repeated id stays one row
+    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
+            .join(F.broadcast(sample), "doc_id").groupBy("doc_id", "positive")
+            .agg(F.min("text").alias("text"))
+            .select("doc_id", "positive", vectors("text").alias("x")))
     made = rows.repartition(1).mapInPandas(train, "model binary").collect()
     return pickle.loads(made[0]["model"]) if made else constant()
 

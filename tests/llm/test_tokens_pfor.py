@@ -72,3 +72,25 @@ def test_files_in_id_order_with_nulls_ties_and_clashes(llm):
 
 def test_empty_table(llm):
     assert P.round_trip(llm.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_whole_documents_equal_a_plain_writer(llm):
+    """Every document of a driver table, in id order, by the library alone."""
+    import zlib
+
+    import duckdb
+    from tokenizers import Tokenizer
+
+    from filmgraph.llm import common, entry
+
+    sf = "/root/testdata/sf0.001"
+    library = Tokenizer.from_file(tokens.default_path())
+    at, want = 0, []
+    for doc_id, text in duckdb.sql(
+            f"SELECT doc_id, coalesce(text, '') FROM '{sf}/documents.parquet' ORDER BY 1").fetchall():
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        raw = b"".join(i.to_bytes(4, "little") for i in ids)
+        want.append((doc_id, at, len(ids), zlib.crc32(raw)))
+        at += len(ids)
+    rows = entry.op7_token_files(common.configure(llm), sf).collect()
+    assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows) == want
