@@ -82,3 +82,47 @@ def test_cells_cover_every_pair_in_range():
     own, visits = J._cells(x, pivots, join)
     a, b = np.nonzero(x @ x.T >= 0.9)
     assert visits[b, own[a]].all() and visits.mean() < 0.9
+
+
+def test_tiles_stripes_and_balls_on_clusters(llm):
+    """Well separated clusters, a crowd of near vectors, loose ones; many blocks, stripes and cells."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(12, 40))
+    rows = [centres[i % 12] + rng.normal(0, 0.15 * (i % 4), 40) for i in range(500)]
+    rows += [rng.normal(size=40) for _ in range(100)]
+    rows += [centres[0] * 3 + rng.normal(0, 0.01, 40) for _ in range(200)]
+    rows = [(i, v.tolist()) for i, v in enumerate(rows)]
+    df = frame(llm, rows).repartition(4)
+    want = brute(rows)
+    for join in (None, J.RangeJoin(members=50, pivots=64, stripe=2),
+                 J.RangeJoin(members=200, pivots=5, stripe=1), J.RangeJoin(members=1000, pivots=1)):
+        assert got(df, join) == want
+
+
+def test_leading_components_never_drop_a_near_pair():
+    rng = np.random.default_rng(3)
+    for size in (20, 64, 200):
+        x = J.unit(list(rng.normal(size=(400, size))))
+        x = np.concatenate([x, J.unit(list(x[:200] + rng.normal(0, 0.5 / size ** 0.5, (200, size))))])
+        basis, lead = J._basis(x, 0.9)
+        none = np.zeros(0, dtype=int)
+        layout = J.Layout(x[:1], none, none, none, none, 1, basis, lead)
+        a = layout.leading(x)
+        bound = a @ a.T >= np.float32(0.9 - layout.rounding())
+        assert bound[x @ x.T >= 0.9].all()
+        if lead < size:
+            assert bound.mean() < 0.05
+    assert any(J._basis(J.unit(list(rng.normal(size=(400, 64)))), 0.9)[1] == k for k in J.LEADING)
+
+
+def test_blocks_hold_about_their_members_and_rows_few_copies(llm):
+    rng = np.random.default_rng(5)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(3000, 16)).tolist())]
+    join = J.RangeJoin(members=1500)
+    classes = frame(llm, rows).selectExpr("vec_id AS cls", "1L AS copies", "embedding AS v")
+    layout = J._laid_out(classes, 3000, 16, join)
+    assert len(layout.entry_start) <= 4 and layout.stripes == 1
+    dealt = J._dealt(classes, layout, join)
+    assert dealt.filter("role = 0").count() == 3000
+    assert dealt.count() <= 5 * 3000
+    assert dealt.filter("role = 0").groupBy("tile").count().agg({"count": "max"}).first()[0] <= 1700
