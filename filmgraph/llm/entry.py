@@ -50,8 +50,11 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> pu_quali
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix of all sources."""
-    docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix.mix(docs, "m").select("doc_id", "m.size", "m.source_size", "m.target", "m.taken")
+    docs = common.table(spark, sf_dir, "documents")
+    sizes = common.written(docs.select("doc_id", "source", common.word_count(F.col("text"))
+                                       .alias("size")), "document-sizes")
+    return mix.mix(sizes, "m", size="size").select("doc_id", "m.size", "m.source_size",
+                                                   "m.target", "m.taken")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,30 +91,34 @@ def _thresholds(hashed: DataFrame, budgets: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, out: str, text: str = "text", source: str = "source",
         doc_id: str = "doc_id", weights: tuple = WEIGHTS,
-        max_repeat: int = MAX_REPEAT) -> DataFrame:
+        max_repeat: int = MAX_REPEAT, size: str | None = None) -> DataFrame:
     """``docs`` with a struct column ``out``: size, source_size, target, repeats, taken.
 
+    Words are counted once for the plan, and once more for ``size`` and ``taken`` if these are used. A
+    written table with a column of sizes, named by ``size``, is not counted at all.
+
     A null or empty text has size 0 and takes nothing, null sources form a source of their own
     (last), a null id has a hash like any other; rows with equal ids share their hash and are taken
     together, so they stay together. An empty table gives an empty result. Tables with a row per
     source are broadcast after their rows were counted, else joined by a shuffle.
     """
-    narrow = common.written(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
-        common.word_count(F.col(text)).alias("size")), "sizes")
+    words = common.word_count(F.col(text)) if size is None else F.coalesce(
+        F.col(size).cast("long"), F.lit(0))
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string")
+                         .alias("source"), words.alias("size"))
+    if size is None:
+        narrow = common.written(narrow, "sizes")
     cuts = plan(narrow, weights, max_repeat)
-    own = docs.withColumn(out, F.struct(
-        common.word_count(F.col(text)).alias("size"), unit_hash(F.col(doc_id)).alias("h"),
-        sid(F.col(source).cast("string")).alias("sid")))
+    own = docs.withColumn(out, F.struct(unit_hash(F.col(doc_id)).alias("h"),
+                                        sid(F.col(source).cast("string")).alias("sid")))
     cut = common.bounded(cuts).select(F.struct("*").alias("_plan"))
     joined = own.join(cut, F.col(f"{out}.sid") == F.col("_plan.sid"))
-    size = F.col(f"{out}.size")
     repeats = F.col("_plan.whole") + F.when(
         F.col(f"{out}.h") < F.col("_plan.cut"), 1).otherwise(0)
     return joined.withColumn(out, F.struct(
-        size.alias("size"), F.col("_plan.source_size").alias("source_size"),
+        words.alias("size"), F.col("_plan.source_size").alias("source_size"),
         F.col("_plan.target").alias("target"), repeats.cast("long").alias("repeats"),
-        (size * repeats).cast("long").alias("taken"))).drop("_plan")
+        (words * repeats).cast("long").alias("taken"))).drop("_plan")
 
 
 def sid(source: Column) -> Column:

@@ -76,3 +76,15 @@ def test_nulls_empty_repeats_and_clashing_columns(llm):
 def test_sources_without_words(make_docs):
     rows = M.mix(make_docs([(1, "", "a"), (2, None, "b")]), "m").select("m.*").collect()
     assert [(r["target"], r["taken"]) for r in rows] == [(0.0, 0), (0.0, 0)]
+
+
+def test_a_table_of_sizes_is_mixed_like_its_texts(llm, make_docs):
+    rng = random.Random(11)
+    docs = make_docs([(i, words(rng.randint(0, 9)), rng.choice("abc")) for i in range(200)]
+                     + [(None, None, None), (3, "w w", "a")])
+    sizes = docs.selectExpr("doc_id", "source", "size(filter(split(text, ' '), x -> x <> '')) AS own")
+    sizes = sizes.selectExpr("doc_id", "source", "IF(own < 0, 0, own) AS own")
+    columns = ["doc_id", "m.size", "m.source_size", "m.target", "m.taken", "m.repeats"]
+    a = M.mix(docs, "m").select(*columns).collect()
+    b = M.mix(sizes, "m", size="own").select(*columns).collect()
+    assert sorted(map(repr, a)) == sorted(map(repr, b))
