@@ -21,6 +21,9 @@ LOWER_AZ = str.maketrans(_UPPER, _UPPER.lower())
 # Rows handed to a Python worker at once: texts may be long, so batches stay short.
 BATCH_ROWS = 200
 BATCH_BYTES = 8 << 20
+# Texts are long: rows that the Parquet reader holds at once, and bytes that its writer collects.
+READER_ROWS = 256
+WRITER_BYTES = 16 << 20
 # A lookup row whose key covers more than 1/HOT_SHARE of all rows is hot: fewer than HOT_SHARE
 # such keys can exist, so they are always few enough to broadcast.
 HOT_SHARE = 1000
@@ -32,6 +35,7 @@ def configure(spark: SparkSession) -> SparkSession:
     session.configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
     return spark
 
 
@@ -54,7 +58,8 @@ def written(df: DataFrame, name: str, rows: int | None = None,
     if rows is not None:
         df = df.coalesce(1 + rows // per_file)
     path = session.new_scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    (df.write.option("compression", "zstd").option("parquet.block.size", str(WRITER_BYTES))
+     .parquet(path))
     _scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
