@@ -50,9 +50,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.configure(spark)
     name = common.free_name(docs, "mix_plan")
     n = common.free_name(docs, "mix_copy")
-    mixed = mix.mix(docs, name).filter(F.col(f"{name}.repeats") > 0)
-    copies = mixed.withColumn(n, F.explode(F.sequence(
-        F.lit(1), F.col(f"{name}.repeats").cast("int"))))
+    # only the repeats are used, so no word is counted again
+    mixed = mix.mix(docs, name).withColumn(name, F.col(f"{name}.repeats").cast("int"))
+    copies = mixed.filter(F.col(name) > 0).withColumn(n, F.explode(F.sequence(
+        F.lit(1), F.col(name))))
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
