@@ -11,9 +11,12 @@ training documents. The class distribution is a softmax over
 head looks back over the context. Texts are cut into windows of ``STEP`` new tokens behind
 ``CONTEXT`` earlier ones, so windows overlap and each token is scored once, in batches.
 
-Training is numpy throughout: a warm start on a bounded sample, then every training document goes to
-a shard, each shard trains on its own and the shards' parameters are averaged (summed on Spark, not
-on the driver).
+Training is numpy throughout. ``direct`` has a closed form: the smoothed logarithms of how often each
+class follows each token, counted over all training ids; it stays as it is. The attention learns what
+the previous token alone does not tell: a warm start on a bounded sample, then every training document
+goes to a shard, each shard trains on its own with one optimiser, and the shards' parameters are
+averaged (summed on Spark, not on the driver). Samples, shards and orders follow from hashes of id and
+ids, sums run in shard order, so the model does not depend on the partitioning or on lost tasks.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import numpy as np
 import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, tokens
@@ -38,7 +41,11 @@ OWN_ROWS, SHARED_ROWS = 8192, 256  # input rows: frequent tokens, and buckets fo
 NEAR = 512                        # neighbour columns a token is grouped by, 256 on either side
 FREQUENT = 200_000
 BATCH = 64                        # windows handled at once
-SHARD_BATCH = 512                 # windows of a step in the shards: a step costs the whole tables
+SHARD_BATCH = 256                 # windows of a step in the shards
+SETTLE = 60                       # steps over which a shard's rate rises
+GROUP_IDS = 500_000               # ids of a shard whose windows are shuffled at once
+PRIOR = 20.0                      # weight of the classes' shares in the rows of ``direct``
+FIXED = ("direct",)
 COUNT_WORDS = 2_000_000         # words a task counts at once
 
 
@@ -51,7 +58,7 @@ class Training:
     rate: float = 0.01
     share: int = 1                    # one of so many training documents goes to the shards
     shard_tokens: int = 2_000_000
-    shard_rate: float = 0.002
+    shard_rate: float = 0.006
     seed: int = 11
 
 
@@ -144,7 +151,7 @@ class Forward:
         h += query[..., WIDTH:]
         z = np.maximum(h, 0).reshape(-1, WIDTH) @ self.p["out"]
         z += self.p["direct"].take(own.ravel(), axis=0)
-        return z, (own, s, weight, h)
+        return z, (query, key, s, weight, h)
 
 
 def log_probs(model: Model, forward: Forward, ids: list[np.ndarray]) -> np.ndarray:
@@ -163,48 +170,57 @@ def log_probs(model: Model, forward: Forward, ids: list[np.ndarray]) -> np.ndarr
     return total
 
 
-def gradient(params: dict[str, np.ndarray], x: np.ndarray, cls: np.ndarray):
-    """Mean loss and its slopes over a batch; ``cls`` holds target classes, -1 for none."""
+def gradient(params: dict[str, np.ndarray], x: np.ndarray, cls: np.ndarray, fixed: tuple = ()):
+    """Mean loss and its slopes over a batch, but for the parameters in ``fixed``; ``cls`` holds target
+    classes, -1 for none."""
     f = Forward(params)
-    z, (own, s, weight, h) = f.logits(x)
+    z, (query, key, s, weight, h) = f.logits(x)
     target = cls.ravel()
     real = target >= 0
     n = max(1, int(real.sum()))
     z -= z.max(axis=1, keepdims=True)
-    p = np.exp(z)
+    p = np.exp(z, out=z)
     p /= p.sum(axis=1, keepdims=True)
-    at = np.arange(len(z)), np.maximum(target, 0)
+    at = np.arange(len(p)), np.maximum(target, 0)
     loss = -np.log(np.maximum(p[at], 1e-30))[real].sum() / n
     p[at] -= 1
     p[~real] = 0
-    p /= n
-    g = {"direct": _scatter(own.ravel(), p, len(params["direct"]))}
+    p *= p.dtype.type(1 / n)
+    g = {}
+    if "direct" not in fixed:
+        g["direct"] = _scatter(x[:, CONTEXT:].ravel(), p, len(params["direct"]))
     flat = np.maximum(h, 0).reshape(-1, WIDTH)
     g["out"] = flat.T @ p
     dh = ((p @ params["out"].T) * (flat > 0)).reshape(h.shape)
-    a = s / np.maximum(weight, 1e-30)
-    v, k, q = f.v[x][..., :-1], f.k[x], f.q[own]
-    live = f.v[x][..., -1][:, None, :]
-    da = dh @ v.transpose(0, 2, 1)
-    ds = a * live * (da - (a * live * da).sum(-1, keepdims=True))
-    dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, (a * live).transpose(0, 2, 1) @ dh
+    q, e_own = query[..., :WIDTH], query[..., WIDTH:]
+    k, v = key[..., :WIDTH], key[..., WIDTH:-1]
+    a = np.divide(s, np.maximum(weight, 1e-30), out=s)
+    dv = a.transpose(0, 2, 1) @ dh
+    # the mean of a row's slopes is that of its output
+    ds = dh @ v.transpose(0, 2, 1)
+    ds -= (dh * (h - e_own)).sum(-1, keepdims=True)
+    ds *= a
+    padded = np.flatnonzero(x[:, 0] == len(f.e) - 1)       # padding stands in front, if anywhere
+    ds[padded] *= key[padded][..., -1][:, None, :]
+    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
     dq *= np.abs(q) < 2
     dk *= np.abs(k) < 2
-    near = np.zeros(CONTEXT + STEP)
-    np.add.at(near, _LAG_AT[_CAUSAL], ds.sum(0)[_CAUSAL])
-    g["near"] = near.astype(np.float32)
-    e_own, e_all = f.e[own].reshape(-1, WIDTH), f.e[x].reshape(-1, WIDTH)
-    dq, dk, dv = (d.reshape(-1, WIDTH) for d in (dq, dk, dv))
-    g["wq"], g["wk"], g["wv"] = e_own.T @ dq, e_all.T @ dk, e_all.T @ dv
-    rows = len(params["embed"])
-    g["embed"] = (_scatter(own.ravel(), dq @ params["wq"].T + dh.reshape(-1, WIDTH), rows)
-                  + _scatter(x.ravel(), dk @ params["wk"].T + dv @ params["wv"].T, rows))
+    g["near"] = np.bincount(_LAG_AT[_CAUSAL], ds.sum(0)[_CAUSAL], CONTEXT + STEP).astype(s.dtype)
+    dq, both = dq.reshape(-1, WIDTH), np.concatenate([dk, dv], axis=2).reshape(-1, 2 * WIDTH)
+    g["wq"] = e_own.reshape(-1, WIDTH).T @ dq
+    seen = f.e.take(x.ravel(), axis=0).T @ both
+    g["wk"], g["wv"] = seen[:, :WIDTH], seen[:, WIDTH:]
+    moved = (both @ np.concatenate([params["wk"], params["wv"]], axis=1).T).reshape(*x.shape, WIDTH)
+    moved[:, CONTEXT:] += (dq @ params["wq"].T).reshape(dh.shape) + dh
+    g["embed"] = _scatter(x.ravel(), moved.reshape(-1, WIDTH), len(params["embed"]))
     g["embed"][-1] = 0
     return loss, g
 
 
 def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Sum of ``values`` by row."""
+    if size <= 1 << 16:
+        rows = rows.astype(np.uint16)         # sorted digit by digit
     order = np.argsort(rows, kind="stable")
     at = rows[order]
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
@@ -214,8 +230,8 @@ def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
 
 
 class Adam:
-    def __init__(self, params: dict[str, np.ndarray], rate: float):
-        self.rate, self.step = rate, 0
+    def __init__(self, params: dict[str, np.ndarray]):
+        self.step = 0
         self.m = {k: np.zeros_like(v) for k, v in params.items()}
         self.v = {k: np.zeros_like(v) for k, v in params.items()}
 
@@ -229,20 +245,57 @@ class Adam:
 
 
 def train(model: Model, ids: list[np.ndarray], steps: int | None, rate: float, seed: int,
-          size: int = 2 * BATCH) -> None:
-    """Adam over shuffled windows: ``steps`` batches, or one pass over all (None)."""
+          size: int = 2 * BATCH, fixed: tuple = ()) -> None:
+    """Adam over shuffled windows: ``steps`` batches, or one pass over all (None). Parameters in ``fixed``
+    stay as they are."""
     x, y, _ = windows(ids, model)
     cls = np.where(y >= 0, model.class_of[np.maximum(y, 0)], -1)
     rng = np.random.default_rng(seed)
-    adam, order = Adam(model.params, rate), rng.permutation(len(x))
+    adam = Adam({k: v for k, v in model.params.items() if k not in fixed})
+    order = rng.permutation(len(x))
     n = -(-len(x) // size) if steps is None else steps
     for i in range(n):
         pick = order.take(np.arange(i * size, min((i + 1) * size, len(x)) if steps is None
                                     else (i + 1) * size), mode="wrap")
-        _, g = gradient(model.params, x[pick], cls[pick])
+        _, g = gradient(model.params, x[pick], cls[pick], fixed)
         adam.update(model.params, g, rate * (1 - 0.9 * i / n))
 
 
+class ShardTraining:
+    """One pass over the documents of a shard, in groups of a bounded size, with one optimiser."""
+
+    def __init__(self, model: Model, t: Training, fixed: tuple):
+        self.fixed = fixed
+        self.model = Model({k: v.copy() for k, v in model.params.items()}, model.row_of,
+                           model.class_of, model.log_share)
+        self.t, self.seen, self.size, self.waiting = t, 0, 0, []
+        self.adam = Adam({k: v for k, v in model.params.items() if k not in fixed})
+        self.rng = np.random.default_rng(t.seed)
+
+    def add(self, ids: np.ndarray) -> None:
+        for lo in range(0, len(ids), GROUP_IDS):
+            self.waiting.append(ids[lo:lo + GROUP_IDS])
+            self.size += len(self.waiting[-1])
+            if self.size >= GROUP_IDS:
+                self.flush()
+
+    def flush(self) -> None:
+        if not self.waiting:
+            return
+        x, y, _ = windows(self.waiting, self.model)
+        cls = np.where(y >= 0, self.model.class_of[np.maximum(y, 0)], -1)
+        done, order = self.seen, self.rng.permutation(len(x))
+        for lo in range(0, len(x), SHARD_BATCH):
+            pick = order[lo:lo + SHARD_BATCH]
+            _, g = gradient(self.model.params, x[pick], cls[pick], self.fixed)
+            at = (done + self.size * lo / len(x)) / self.t.shard_tokens
+            # short steps until the optimiser's moments have settled
+            soft = min(1.0, (self.adam.step + 1) / SETTLE)
+            self.adam.update(self.model.params, g,
+                             self.t.shard_rate * soft * (1 - 0.9 * min(at, 1.0)))
+        self.seen, self.size, self.waiting = done + self.size, 0, []
+
+
 # ---------------------------------------------------------------- corpus
 
 def _lowered(text: str | None) -> str:
@@ -424,11 +477,52 @@ def _model(counts: np.ndarray, cls: np.ndarray, seed: int) -> Model:
     return Model(new_params(seed), row.astype(np.int32), cls, share)
 
 
-def _sampled(read: DataFrame, one_of: int, seed: int) -> DataFrame:
-    """One of so many training rows, rows of one id or without an id each on their own."""
-    rows = read.filter("not held_out")
-    return rows if one_of == 1 else rows.filter(
-        F.pmod(F.xxhash64("doc_id", "key", F.lit(seed)), F.lit(one_of)) == 0)
+def _direct_counts(read: DataFrame, model: Model) -> np.ndarray:
+    """How often each class follows each input row, over all training ids. The table is as large as
+    ``direct``, whatever the corpus."""
+    rows, end = len(model.params["direct"]), model.end
+    row_of, class_of = model.row_of.astype(np.int64), model.class_of
+
+    def run(frames):
+        total = np.zeros(rows * CLASSES, dtype=np.int64)
+        for frame in frames:
+            keys = [row_of[np.concatenate([[end], ids[:-1]])] * CLASSES + class_of[ids]
+                    for ids in _ids(frame, end)]
+            total += np.bincount(np.concatenate([np.zeros(0, np.int64), *keys]),
+                                 minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"key": at, "c": total[at]})
+
+    found = (read.filter("not held_out").select("small", "ids").mapInPandas(run, "key long, c long")
+             .groupBy("key").agg(F.sum("c").alias("c")).toPandas())
+    out = np.zeros(rows * CLASSES)
+    out[found["key"].to_numpy()] = found["c"].to_numpy()
+    return out.reshape(rows, CLASSES)
+
+
+def _direct(counts: np.ndarray) -> np.ndarray:
+    """Logarithms of the smoothed shares; rows that no id has get those of all."""
+    share = (counts.sum(axis=0) + 1) / (counts.sum() + CLASSES)
+    return np.log((counts + PRIOR * share) / (counts.sum(axis=1, keepdims=True) + PRIOR)).astype(
+        np.float32)
+
+
+def _mark() -> Column:
+    """Rows that agree in this hash are copies: equal document and subword ids."""
+    return F.xxhash64("doc_id", "ids")
+
+
+def _training(read: DataFrame) -> DataFrame:
+    """Training rows ``mark, small, ids, n_ids``; of the copies of a document each task hands on one."""
+    def first(frames):
+        seen: set[int] = set()
+        for frame in frames:
+            new = [m not in seen and not seen.add(m) for m in frame["mark"].tolist()]
+            yield frame[new]
+
+    rows = read.filter("not held_out").select(_mark().alias("mark"), "small", "ids",
+                                              "n_ids")
+    return rows.mapInPandas(first, "mark long, small boolean, ids binary, n_ids long")
 
 
 def fit(read: DataFrame, size: int, n_train: int, t: Training) -> Model:
@@ -449,59 +543,72 @@ def fit(read: DataFrame, size: int, n_train: int, t: Training) -> Model:
     # without any neighbours the classes stay uniform
     model = (_model(counts, np.frombuffer(made[0]["cls"], dtype="<i8"), t.seed) if made
              else build(counts, [], t.seed))
+    model.params["direct"] = _direct(_direct_counts(read, model))
+    model.params["out"] *= np.float32(0.1)
 
     def warm(frames):
         sample = [ids for frame in frames for ids in _ids(frame, size - 1)]
         if sample:
-            train(model, sample, t.warm_steps, t.rate, t.seed)
+            train(model, sample, t.warm_steps, t.rate, t.seed, fixed=FIXED)
             yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     one_of = max(1, n_train // t.warm_documents)
-    rows = _sampled(read, one_of, t.seed).orderBy("doc_id", "key").limit(t.warm_documents)
+    rows = _training(read).filter(F.pmod(F.xxhash64("mark", F.lit(t.seed)), F.lit(one_of)) == 0)
+    rows = (rows.dropDuplicates(["mark"]).orderBy("mark").limit(t.warm_documents)
+            .repartition(1).sortWithinPartitions("mark"))
     made = _runs(rows, t).mapInPandas(warm, "model binary").collect()
     # an empty sample only leaves out the warm start
-    return averaged(read, pickle.loads(made[0]["model"]) if made else model, t)
+    return averaged(read, pickle.loads(made[0]["model"]) if made else model, t, FIXED)
 
 
 def _runs(rows: DataFrame, t: Training) -> DataFrame:
     """(small, ids): of each row a run of at most ``warm_tokens`` ids, from any place of its text."""
-    start = F.pmod(F.xxhash64("key", F.lit(t.seed)),
+    mark = F.col("mark") if "mark" in rows.columns else _mark()
+    start = F.pmod(F.xxhash64(mark, F.lit(t.seed + 2)),
                    F.greatest(F.lit(1), F.col("n_ids") - t.warm_tokens))
     return rows.select("small", start.alias("start"), "ids").select("small", F.expr(
         f"substring(ids, CAST(1 + start * IF(small, 2, 4) AS int), "
         f"{t.warm_tokens} * IF(small, 2, 4))").alias("ids"))
 
 
-def averaged(read: DataFrame, model: Model, t: Training) -> Model:
-    """One pass of local training per shard of the training rows, parameters averaged by tokens.
-    Shards and sums live on Spark; the driver gets one set of parameters."""
-    part = _sampled(read, t.share, t.seed + 1)
-    n_tokens = part.agg(F.coalesce(F.sum("n_ids"), F.lit(0))).first()[0]
+def averaged(read: DataFrame, model: Model, t: Training, fixed: tuple = ()) -> Model:
+    """One pass of local training per shard of the training rows, parameters (but for those in ``fixed``)
+    averaged by tokens. Shards and sums live on Spark; the driver gets one set of parameters."""
+    n_tokens = read.filter("not held_out").agg(F.coalesce(F.sum("n_ids"), F.lit(0))).first()[0]
     if not n_tokens:
         return model
     shards = -(-n_tokens // t.shard_tokens)
-    names = list(model.params)
+    names = [k for k in model.params if k not in fixed]
     end = model.end
 
     def local(frames):
-        own = Model({k: v.copy() for k, v in model.params.items()}, model.row_of, model.class_of,
-                    model.log_share)
-        seen = 0
-        for frame in frames:
-            ids = _ids(frame, end)
-            seen += sum(map(len, ids))
-            train(own, ids, None, t.shard_rate, t.seed, SHARD_BATCH)
-        if seen:
-            flat = np.concatenate([own.params[k].ravel() for k in names])
+        at, last, shard = None, None, None
+
+        def finished():
+            shard.flush()
+            flat = np.concatenate([shard.model.params[k].ravel() for k in names])
             pieces = np.array_split(flat, 64)
-            yield pd.DataFrame({"piece": range(64), "tokens": seen,
-                                "values": [p.tobytes() for p in pieces]})
+            return pd.DataFrame({"piece": range(64), "shard": at, "tokens": shard.seen,
+                                 "values": [p.tobytes() for p in pieces]})
+
+        for frame in frames:
+            for number, mark, data, ids in zip(frame["shard"], frame["mark"], frame["ids"],
+                                               _ids(frame, end), strict=True):
+                if number != at:
+                    if shard is not None:
+                        yield finished()
+                    at, last, shard = number, None, ShardTraining(model, t, fixed)
+                if (mark, data) != last:          # copies of a document stand side by side
+                    shard.add(ids)
+                last = mark, data
+        if shard is not None:
+            yield finished()
 
     def added(frames):
         at, total, n = None, None, 0
         for frame in frames:
-            for piece, seen, data in frame.itertuples(index=False):
-                values = np.frombuffer(data, dtype=np.float32) * float(seen)
+            for piece, _, seen, data in frame.itertuples(index=False):
+                values = np.frombuffer(data, dtype=np.float32).astype(np.float64) * seen
                 if piece != at:
                     if at is not None:
                         yield pd.DataFrame({"piece": [at], "mean": [(total / n).tobytes()]})
@@ -511,14 +618,18 @@ def averaged(read: DataFrame, model: Model, t: Training) -> Model:
             yield pd.DataFrame({"piece": [at], "mean": [(total / n).tobytes()]})
 
     # as many non-empty partitions as shards at most, however many partitions there are
-    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")
-    trained = (part.select(shard, "small", "ids").repartition(int(shards), "shard")
-               .mapInPandas(local, "piece int, tokens long, values binary"))
-    sums = (trained.repartition("piece").sortWithinPartitions("piece")
+    shard = F.pmod("mark", F.lit(shards)).alias("shard")
+    part = _training(read)
+    if t.share > 1:
+        part = part.filter(F.pmod(F.xxhash64("mark", F.lit(t.seed + 1)), F.lit(t.share)) == 0)
+    trained = (part.select(shard, "mark", "small", "ids")
+               .repartition(int(shards), "shard").sortWithinPartitions("shard", "mark", "ids")
+               .mapInPandas(local, "piece int, shard long, tokens long, values binary"))
+    sums = (trained.repartition("piece").sortWithinPartitions("piece", "shard")
             .mapInPandas(added, "piece int, mean binary"))
     mean = np.concatenate([np.frombuffer(r["mean"]) for r in
                            sorted(sums.collect(), key=lambda r: r["piece"])]).astype(np.float32)
-    params, at = {}, 0
+    params, at = dict(model.params), 0
     for k in names:
         v = model.params[k]
         params[k] = mean[at:at + v.size].reshape(v.shape).copy()

@@ -199,3 +199,96 @@ def test_warm_start_takes_runs_from_anywhere_in_a_text(llm):
 def test_vocabulary_of_the_model_covers_the_tokenizer():
     size = tokens.encoder(tokens.default_path()).tokenizer.get_vocab_size()
     assert size == 50257
+
+
+def corpus(n=200, seed=5):
+    """Texts in which the word before last decides: what a table of previous tokens cannot tell."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        text = ["the", "big"]
+        for _ in range(rng.randint(20, 120)):
+            text.append({"the": "dog", "old": "cat"}.get(text[-2], rng.choice(["the", "old", "a"])))
+        out.append((i, " ".join(text)))
+    return out
+
+
+def test_scores_do_not_depend_on_the_partitioning(llm):
+    docs = corpus() + [(7, corpus()[7][1])] * 30 + [(None, "the big dog")] * 3 + [(900, None)]
+    df = llm.createDataFrame([(i, t, i is not None and i % 5 == 1) for i, t in docs],
+                             "doc_id long, text string, held_out boolean")
+    t = L.Training(warm_steps=30, warm_documents=40, shard_tokens=3000)
+    runs = []
+    for part in (df.coalesce(1), df.repartition(4), df.repartition(7, "text")):
+        rows = L.score(part, t).collect()
+        runs.append(sorted(((r["doc_id"] or -1, r["score"], r["base_score"]) for r in rows)))
+    for other in runs[1:]:
+        assert len(other) == len(docs)
+        for a, b in zip(runs[0], other, strict=True):
+            assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-3 and abs(a[2] - b[2]) < 1e-6
+
+
+def test_each_part_of_the_training_lowers_the_loss_of_held_out_texts(llm, monkeypatch):
+    df = llm.createDataFrame([(str(i), t, i % 5 == 1) for i, t in corpus(600)],
+                             "doc_id string, text string, held_out boolean")
+    read = L._read(df, L.pd.DataFrame({"h": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)}),
+                   1.0, 1, tokens.default_path())
+    size = tokens.encoder(tokens.default_path()).tokenizer.get_vocab_size() + 1
+    held = L._ids(read.filter("held_out").toPandas(), size - 1)
+
+    def loss(model):
+        return -L.log_probs(model, L.Forward(model.params), held).sum() / sum(map(len, held))
+
+    counts = L._token_counts(read, size)
+    monkeypatch.setattr(L, "SHARD_BATCH", 8)
+    t = L.Training(warm_steps=150, warm_documents=100, shard_tokens=20_000)
+    near = L._neighbour_counts(read, counts).toPandas()
+    plain = L._model(counts, L._classes(counts, near["key"].to_numpy(), near["c"].to_numpy(), t.seed),
+                     t.seed)
+    plain.params["out"][:] = 0
+    mass = np.bincount(plain.class_of, counts, L.CLASSES)
+    unigram = L.Model({**plain.params, "direct": np.tile(np.log((mass + 1) / (mass.sum() + L.CLASSES)),
+                                                         (len(plain.params["direct"]), 1))},
+                      plain.row_of, plain.class_of, plain.log_share)
+    table = L.Model({**plain.params, "direct": L._direct(L._direct_counts(read, plain))},
+                    plain.row_of, plain.class_of, plain.log_share)
+    whole = L.fit(read, size, 480, t)
+    assert np.array_equal(whole.params["direct"], table.params["direct"])
+    warm = L.fit(read.filter("held_out or doc_id is null"), size, 0, t)       # learns nothing
+    assert loss(whole) < loss(table) - 0.02 and loss(table) < loss(unigram) - 0.02
+    assert loss(warm) > loss(unigram)
+    monkeypatch.setattr(L, "averaged", lambda read, model, t, fixed: model)   # the warm start alone
+    assert loss(whole) < loss(L.fit(read, size, 480, t))
+
+
+def test_table_of_previous_tokens_counts_every_training_id(llm):
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 300, rng.integers(0, 60)).tolist() for _ in range(50)]
+    read = llm.createDataFrame(id_rows(texts), READ).repartition(3)
+    model, _ = small_model()
+    want = Counter()
+    for t in texts:
+        t = [*t, model.end]
+        for a, b in zip([model.end, *t], t):
+            want[model.row_of[a], model.class_of[b]] += 1
+    got = L._direct_counts(read, model)
+    assert got.sum() == sum(want.values()) and all(got[k] == n for k, n in want.items())
+    p = np.exp(L._direct(got))
+    assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
+
+
+def test_a_shard_has_one_optimiser_and_bounded_groups(llm, monkeypatch):
+    model, sample = small_model()
+    steps = []
+    monkeypatch.setattr(L, "GROUP_IDS", 100)
+    update = L.Adam.update
+    monkeypatch.setattr(L.Adam, "update", lambda self, p, g, rate: (
+        steps.append((id(self), rate)), update(self, p, g, rate)))
+    shard = L.ShardTraining(model, L.Training(shard_tokens=2000), ("direct",))
+    for ids in [*sample, np.concatenate(sample)]:
+        shard.add(ids)
+    shard.flush()
+    rates = [r for _, r in steps]
+    assert len({a for a, _ in steps}) == 1 and rates[0] < min(rates[5:]) and rates[-1] < max(rates)
+    assert shard.seen == 2 * sum(map(len, sample)) and len(steps) > 20
+    assert np.array_equal(shard.model.params["direct"], model.params["direct"])
