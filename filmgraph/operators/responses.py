@@ -20,6 +20,8 @@ from .. import schemas as S
 from ..functions import omdb as J
 from ..sources.dataset import ERROR_COL
 
+# Buckets of an entity sketch: 2^14, a standard error of 0.8%.
+SKETCH_LG_K = 14
 STATUSES = ("ok", "failure", "malformed", "unfetched")
 
 
@@ -120,3 +122,19 @@ def entity_counts(credits: DataFrame, approximate: bool = False) -> DataFrame:
     return (credits.groupBy("kind")
             .agg(F.count_distinct("item").alias("n_raw"),
                  F.count_distinct("name").alias("n_names")))
+
+
+def entity_sketches(credits: DataFrame) -> DataFrame:
+    """A6 in a form that adds up over loads: per credit kind, HyperLogLog sketches of the raw items and
+    the parsed names (a few KB each)."""
+    return credits.groupBy("kind").agg(
+        F.hll_sketch_agg("item", SKETCH_LG_K).alias("raw"),
+        F.hll_sketch_agg("name", SKETCH_LG_K).alias("names"))
+
+
+def entity_estimates(sketches: DataFrame) -> DataFrame:
+    """Per credit kind the estimated distinct items and names over all loads whose sketches are given.
+    A load that is given twice counts once."""
+    return sketches.groupBy("kind").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("raw")).alias("n_raw"),
+        F.hll_sketch_estimate(F.hll_union_agg("names")).alias("n_names"))

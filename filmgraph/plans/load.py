@@ -318,12 +318,30 @@ def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
     # versions: the new MOVIE is written beside the one it is built from
     _write_tables(t, graph_root, mode, report)
     _write_search(spark, graph_root, "MOVIE", report)
+    write_entity_sketches(t.extra["credits"], graph_root)
     for row in responses.entity_counts(t.extra["credits"]).collect():   # five rows
         report.counters[f"distinct_{row['kind']}"] = row["n_raw"]
         report.counters[f"distinct_{row['kind']}_names"] = row["n_names"]
     return _drop_staging(spark, report)
 
 
+def _counters_path(graph_root: str) -> str:
+    return f"{graph_root.rstrip('/')}/counters/entities"
+
+
+def write_entity_sketches(credits: DataFrame, graph_root: str) -> None:
+    """Add the entity sketches of a load to those of the loads before. Sketches of a load that breaks off
+    later, or runs twice, do no harm: the same entities count once."""
+    (responses.entity_sketches(credits).coalesce(1).write.mode("append")
+     .parquet(_counters_path(graph_root)))
+
+
+def entity_estimates(spark: SparkSession, graph_root: str) -> DataFrame:
+    """A6 over all loads of a graph: ``kind, n_raw, n_names`` from the stored sketches, no answer is read
+    again (about 1% error)."""
+    return responses.entity_estimates(spark.read.parquet(_counters_path(graph_root)))
+
+
 def fetch_omdb(spark: SparkSession, dataset_root: str, fetch: Callable[[str], str | None],
                partitions: int = X.FETCH_PARTITIONS, batch_links: int = X.BATCH_LINKS,
                **retry) -> list[str]:

@@ -538,3 +538,7 @@ SQL["movie_search_ranges"] = with_ctes(" UNION ALL ".join(
                  "AND imdbScore < CAST(5 AS FLOAT)) AND imdbVotes >= 0 AND imdbVotes < 30000",
         "one": "imdbVotes > 10000 AND imdbVotes < 20000",
         "null": "metascore IS NULL AND year >= 1980 AND year < 1982"}.items()))
+
+SQL["omdb_entity_estimates"] = with_ctes(
+    "SELECT kind, count(DISTINCT item) AS n_raw, count(DISTINCT name) AS n_names, "
+    "true AS raw_near, true AS names_near FROM fx_credits GROUP BY kind")

@@ -283,6 +283,24 @@ def omdb_entity_counts(spark, sf_dir):
     return responses.entity_counts(E.credit_items(recs))
 
 
+@register
+def omdb_entity_estimates(spark, sf_dir):
+    """A6 over three loads: the sketches' union beside the exact numbers, and whether it is within 3%."""
+    recs = responses.records(classified(spark, sf_dir))
+    credits = E.credit_items(recs)
+    root = session.new_scratch(spark, "sketches")
+    for i in range(3):
+        load.write_entity_sketches(credits.where(F.col("movieId") % 3 == i), root)
+    load.write_entity_sketches(credits.where(F.col("movieId") % 3 == 0), root)      # once more
+    exact = responses.entity_counts(credits)
+    guess = load.entity_estimates(spark, root).select(
+        "kind", F.col("n_raw").alias("e_raw"), F.col("n_names").alias("e_names"))
+    def near(x: str) -> Column:
+        return F.abs(F.col(f"e_{x}") - F.col(f"n_{x}")) <= 0.03 * F.col(f"n_{x}") + 1
+    return exact.join(guess, "kind").select("kind", "n_raw", "n_names", near("raw").alias("raw_near"),
+                                            near("names").alias("names_near"))
+
+
 def _name_vertices(label: str) -> Query:
     def q(spark, sf_dir):
         key = S.VERTICES[label].key

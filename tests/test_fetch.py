@@ -125,3 +125,104 @@ def test_fetch_function_by_name():
 
 def test_constants():
     assert (X.MAX_RETRIES, X.FIRST_DELAY, X.BACKOFF_BASE, X.MAX_WAIT) == (6, 1.0, 2.0, 70.0)
+
+
+# ---------------------------------------------------------------- pace
+
+def test_calls_of_all_tasks_keep_to_the_rate():
+    c = Clock()
+    gate = X.Gate(X.Pace(calls_per_second=4.0), tasks=2, sleep=c.sleep, clock=c.now)
+    at = []
+    for i in range(5):
+        assert X.call_with_backoff(lambda r: at.append(c.t) or "{}", "tt1", sleep=c.sleep,
+                                   clock=c.now, gate=gate) == "{}"
+    assert at == [0.0, 0.5, 1.0, 1.5, 2.0]          # two tasks share four calls a second
+
+
+def test_being_told_to_wait_holds_all_calls_and_is_no_failure():
+    c, calls = Clock(), []
+    gate = X.Gate(X.Pace(trip_after=2), sleep=c.sleep, clock=c.now)
+
+    def api(ref):
+        calls.append((ref, c.t))
+        if len(calls) <= 9:
+            raise X.RetryLater(3.0)
+        return "{}"
+
+    assert X.call_with_backoff(api, "tt1", sleep=c.sleep, clock=c.now, gate=gate) == "{}"
+    assert [t for _, t in calls] == [3.0 * i for i in range(10)] and gate.failures == 0
+    calls.clear()
+    assert X.call_with_backoff(api, "tt2", sleep=c.sleep, clock=c.now, gate=gate,
+                               max_wait=10.0) is None          # the budget ends it all the same
+    assert len(calls) == 4
+
+
+def test_an_api_that_is_down_is_left_alone_for_a_while():
+    c, calls = Clock(), []
+    gate = X.Gate(X.Pace(trip_after=3, cool_down=10.0), sleep=c.sleep, clock=c.now)
+
+    def down(ref):
+        calls.append(c.t)
+        return None
+
+    for ref in ("a", "b", "c", "d"):
+        X.call_with_backoff(down, ref, max_retries=0, sleep=c.sleep, clock=c.now, gate=gate)
+    assert calls == [0.0, 0.0, 0.0, 10.0]
+    X.call_with_backoff(lambda r: "{}", "e", max_retries=0, sleep=c.sleep, clock=c.now, gate=gate)
+    assert c.t == 20.0 and gate.failures == 0
+    X.call_with_backoff(lambda r: "{}", "f", max_retries=0, sleep=c.sleep, clock=c.now, gate=gate)
+    assert c.t == 20.0                              # closed again
+    late = X.Gate(X.Pace(trip_after=1, cool_down=100.0), sleep=c.sleep, clock=c.now)
+    assert X.call_with_backoff(down, "g", delay=0.0, sleep=c.sleep, clock=c.now, gate=late) is None
+    assert c.t == 20.0                              # its turn would come after its budget
+
+
+def test_concurrent_calls_give_the_same_rows_faster_and_resume(spark, tmp_root):
+    import time
+
+    def slow_api(ref):
+        import time
+        time.sleep(0.05)
+        n = int(ref[2:])
+        if n % 7 == 0 and time.monotonic() % 0.2 < 0.05:
+            raise X.RetryLater(0.02)
+        if n % 10 == 0:
+            raise ConnectionError()
+        return '{"imdbID":"%s"}' % ref
+
+    from filmgraph.plans import load
+    from filmgraph.sources import dataset as io
+    links = spark.createDataFrame([(str(i), f"{i:07d}", None) for i in range(1, 81)],
+                                  "movieId string, imdbId string, tmdbId string")
+    io.write_csv(links, io.dataset_path(tmp_root, "links"))
+    pace = X.Pace(concurrent=16)
+    X.fetch_missing(links.limit(1), None, slow_api, partitions=1, pace=pace).collect()   # warm up
+    began = time.monotonic()
+    load.fetch_omdb(spark, tmp_root, slow_api, partitions=1, pace=pace, delay=0.0, max_retries=1)
+    took = time.monotonic() - began
+    landed = {r["movieId"]: r["response"] for r in io.read_omdb_responses(spark, tmp_root).collect()}
+    assert len(landed) == 80 and took < 80 * 0.05
+    for i in range(1, 81):
+        want = None if i % 10 == 0 else '{"imdbID":"tt%07d"}' % i
+        assert landed[str(i)] == want
+    again = load.fetch_omdb(spark, tmp_root, lambda ref: "{}", partitions=2, pace=pace)
+    todo = spark.read.json(again[0]) if again else None
+    assert todo.count() == 8                        # only the links without an answer
+
+
+def test_sketches_of_loads_add_up(spark, tmp_root):
+    from filmgraph.operators import edges as E
+    from filmgraph.plans import load
+    kinds = ("directors", "writers", "actors", "languages", "countries")
+    schema = "movieId long, " + ", ".join(f"{k} array<string>" for k in kinds)
+    root = f"{tmp_root}/graph"
+    for part in range(3):
+        rows = [(part * 1000 + i, [f"D {i % 40}"], [f"W {part}-{i} (story)", f"W {part}-{i}"],
+                 [f"A {j}" for j in range(i, i + 5)], [], None) for i in range(400)]
+        credits = E.credit_items(spark.createDataFrame(rows, schema))
+        load.write_entity_sketches(credits, root)
+        load.write_entity_sketches(credits, root)              # a load that ran twice
+    got = {r["kind"]: (r["n_raw"], r["n_names"]) for r in load.entity_estimates(spark, root).collect()}
+    assert got["directors"] == (40, 40)
+    assert abs(got["writers"][0] - 2400) < 72 and abs(got["writers"][1] - 1200) < 36
+    assert abs(got["actors"][0] - 404) < 13 and "languages" not in got
