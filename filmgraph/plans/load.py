@@ -28,6 +28,7 @@ import importlib
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from contextvars import copy_context
 from dataclasses import dataclass, field
 
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from .. import session
 from ..operators import fetch as X
-from ..operators import integrity, responses
+from ..operators import integrity, responses, sizing
 from ..sources import graphstore as G
 from ..sources import dataset as io
 from . import build
@@ -50,14 +51,28 @@ class LoadReport:
     staged: list[str] = field(default_factory=list)
 
 
-def _job(fn: Callable[..., LoadReport]) -> Callable[..., LoadReport]:
-    """A load job: its tables become current together, or not at all."""
-    @functools.wraps(fn)
-    def run(spark: SparkSession, dataset_root: str, graph_root: str,
-            mode: str = "fail") -> LoadReport:
-        with G.load_job(spark, graph_root):
-            return fn(spark, dataset_root, graph_root, mode)
-    return run
+def _job(locks: str | None = None, after: Callable[[SparkSession, str], None] | None = None):
+    """A load job: its tables become current together, or not at all. It holds the lock of the vertices
+    that streams add as well; ``after`` runs once they are current."""
+    def job(fn: Callable[..., LoadReport]) -> Callable[..., LoadReport]:
+        @functools.wraps(fn)
+        def run(spark: SparkSession, dataset_root: str, graph_root: str,
+                mode: str = "fail") -> LoadReport:
+            held = G.vertex_lock(spark, graph_root, locks) if locks else nullcontext()
+            with held, G.load_job(spark, graph_root):
+                report = fn(spark, dataset_root, graph_root, mode)
+            if after:
+                after(spark, graph_root)
+            return report
+        return run
+    return job
+
+
+def _release_late(spark: SparkSession, graph_root: str) -> None:
+    """Streamed ratings that waited for one of the movies just loaded become edges."""
+    from ..streaming import release_late_ratings
+
+    release_late_ratings(spark, graph_root)
 
 
 def staging_path(graph_root: str, name: str) -> str:
@@ -212,7 +227,7 @@ def _stored(spark: SparkSession, graph_root: str, label: str) -> DataFrame:
     return g.V(label)
 
 
-@_job
+@_job(after=_release_late)
 def load_movies(spark: SparkSession, dataset_root: str, graph_root: str,
                 mode: str = "fail") -> LoadReport:
     """MOVIE, YEAR, GENRE, RELEASED_IN, CATEGORIZED_AS from ``movies.csv``."""
@@ -270,18 +285,26 @@ def _check_stored_edges(spark: SparkSession, graph_root: str, t: build.Tables, m
 MOVIE_OWN = ("movieId", "movieTitle", "movieYear", "movieGenres")
 
 
-@_job
+@_job(locks="USER")
 def load_ratings(spark: SparkSession, dataset_root: str, graph_root: str,
                  mode: str = "fail") -> LoadReport:
     """USER and RATED_AS from ``ratings.csv`` (MOVIE must be loaded)."""
     report = LoadReport()
     ratings = _staged_input(spark, dataset_root, "ratings", graph_root, mode, report)
     movies = _stored(spark, graph_root, "MOVIE")
-    _write_tables(build.rating_tables(ratings, movies, mode), graph_root, mode, report)
+    t = build.rating_tables(ratings, movies, mode)
+    streamed = G.stream_path(graph_root, "vertices", "USER")
+    if session.path_exists(spark, streamed):
+        # users that came with a stream are stored there
+        known = spark.read.schema(S.VERTICES["USER"].schema).option(
+            "recursiveFileLookup", "true").parquet(streamed).distinct()
+        t.vertices["USER"] = t.vertices["USER"].join(
+            sizing.for_join(sizing.materialize(known)), "userId", "left_anti")
+    _write_tables(t, graph_root, mode, report)
     return _drop_staging(spark, report)
 
 
-@_job
+@_job()
 def load_genome(spark: SparkSession, dataset_root: str, graph_root: str,
                 mode: str = "fail") -> LoadReport:
     """TAG and ESTIMATED_AT from the genome files (MOVIE must be loaded)."""
@@ -294,7 +317,7 @@ def load_genome(spark: SparkSession, dataset_root: str, graph_root: str,
     return _drop_staging(spark, report)
 
 
-@_job
+@_job()
 def load_omdb(spark: SparkSession, dataset_root: str, graph_root: str,
               mode: str = "fail") -> LoadReport:
     """Credit labels and edges plus MOVIE enrichment from landed answers (and ``links.csv``)."""

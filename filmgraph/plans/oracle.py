@@ -542,3 +542,4 @@ SQL["movie_search_ranges"] = with_ctes(" UNION ALL ".join(
 SQL["omdb_entity_estimates"] = with_ctes(
     "SELECT kind, count(DISTINCT item) AS n_raw, count(DISTINCT name) AS n_names, "
     "true AS raw_near, true AS names_near FROM fx_credits GROUP BY kind")
+SQL["late_rated_as_edges"] = SQL["rated_as_edges"]

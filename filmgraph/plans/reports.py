@@ -608,6 +608,25 @@ def ratings_stream_then_reload(spark, sf_dir):
     return _rating_rows(G.read_graph(spark, f"{root}/graph", ["RATED_AS"]).E("RATED_AS"))
 
 
+@register
+def late_rated_as_edges(spark, sf_dir):
+    """V2, J3 on a stream: the ratings arrive while half of the movies are missing, wait for them, and are
+    released when they are loaded; edges read back from storage."""
+    from ..streaming import start_ratings_stream
+    ds = dataset(spark, sf_dir)
+    root = session.new_scratch(spark, "late-graph")
+    movies = inputs(spark, sf_dir, "movies")["movies"]
+    io.write_csv(movies.where("movieId % 2 = 0"), io.dataset_path(f"{root}/half", "movies"))
+    load.load_movies(spark, f"{root}/half", f"{root}/graph")
+    query = start_ratings_stream(spark, io.dataset_path(ds, "ratings"), f"{root}/graph",
+                                 checkpoint=f"{root}/checkpoint", late_seconds=1e9)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"ratings stream failed: {query.exception()}")
+    load.load_movies(spark, ds, f"{root}/graph")
+    return _rating_rows(G.read_graph(spark, f"{root}/graph", ["RATED_AS"]).E("RATED_AS"))
+
+
 class FlakyApi:
     """Stand-in for the remote API: fails the first call for ids divisible by 3, always fails
     for ids divisible by 5, otherwise answers with a small JSON object."""

@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings the library relies on. AQE re-plans joins from runtime sizes (broadcast only when the
@@ -160,6 +164,36 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise RuntimeError(f"{path} was written by another job meanwhile")
 
 
+# Seconds after which a lock is taken to be left behind by a job that died.
+STALE_LOCK = 3600.0
+
+
+@contextmanager
+def lock(spark: SparkSession, path: str, wait: float = 1800.0) -> Iterator[None]:
+    """One holder at a time over all jobs: a file that only its creator may have. Needs a file system
+    that creates files exclusively (HDFS, local); elsewhere writers must not overlap by themselves."""
+    fs, hpath = _hadoop(spark, path)
+    give_up = time.monotonic() + wait
+    while True:
+        try:
+            fs.create(hpath, False).close()
+            break
+        except Py4JJavaError:
+            if not fs.exists(hpath):
+                raise
+            age = time.time() - fs.getFileStatus(hpath).getModificationTime() / 1000
+            if age > STALE_LOCK:
+                fs.delete(hpath, False)
+            elif time.monotonic() > give_up:
+                raise TimeoutError(f"{path} is held by another job") from None
+            else:
+                time.sleep(0.2)
+    try:
+        yield
+    finally:
+        fs.delete(hpath, False)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote (a missing one is fine)."""
     fs, hpath = _hadoop(spark, path)

@@ -477,10 +477,15 @@ def _open_search(spark: SparkSession, g: Graph, root: str, label: str, held) ->
         g.curves[label] = spark.read.schema(S.VERTICES[label].schema).parquet(path)
 
 
+def vertex_lock(spark: SparkSession, root: str, label: str):
+    """Held by whoever decides which vertices of a label are new and writes them: a vertex is stored once,
+    in the batch table or in one streamed batch, so readers unite both without looking for doubles."""
+    return session.lock(spark, f"{root.rstrip('/')}/_locks/{label}")
+
+
 def _stored(spark: SparkSession, schema, folder: str, streamed: str,
-            key: str | None = None, held: dict[str, str] | None = None) -> DataFrame | None:
-    """Newest version and streamed batches of a table, None if there is neither. With ``key`` a
-    vertex found in both counts once."""
+            held: dict[str, str] | None = None) -> DataFrame | None:
+    """Current version and streamed batches of a table, None if there is neither."""
     reader = spark.read.schema(schema)
     version = current(spark, folder, held)
     table = reader.parquet(version) if version else None
@@ -489,7 +494,7 @@ def _stored(spark: SparkSession, schema, folder: str, streamed: str,
     batches = reader.option("recursiveFileLookup", "true").parquet(streamed)
     if table is not None:
         batches = table.unionByName(batches)
-    return batches.dropDuplicates([key]) if key else batches
+    return batches
 
 
 def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None) -> Graph:
@@ -503,7 +508,7 @@ def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None)
     for label, spec in S.VERTICES.items():
         if labels is None or label in labels:
             df = _stored(spark, spec.schema, vertex_path(root, label),
-                         stream_path(root, "vertices", label), spec.key, held)
+                         stream_path(root, "vertices", label), held)
             if df is not None:
                 g.vertices[label] = df
             _open_search(spark, g, root, label, held)
@@ -557,8 +562,7 @@ def register_tables(spark: SparkSession, root: str, database: str = "filmgraph")
             spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet",
                                       schema=schema, recursiveFileLookup="true")
         if has_stream:
-            union = " UNION " if table.startswith("v_") else " UNION ALL "
-            spark.sql(f"CREATE VIEW `{database}`.`{table}` AS " + union.join(
+            spark.sql(f"CREATE VIEW `{database}`.`{table}` AS " + " UNION ALL ".join(
                 f"SELECT * FROM `{database}`.`{name}`" for name, _ in parts))
         names.append(f"{database}.{table}")
     return names
