@@ -228,6 +228,44 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
     sha256(t) AS restored_sha256 FROM p
 """
 
+# crc32 byte by byte over a table made from its polynomial; letters have one byte or two
+SPELLING_SQL = """
+WITH RECURSIVE t AS (SELECT [list_reduce(range(0, 8), lambda c, i: CASE WHEN c & 1 = 1
+      THEN xor(3988292384, c >> 1) ELSE c >> 1 END, x) FOR x IN range(0, 256)] AS crc),
+d AS (SELECT row_number() OVER () AS rid, coalesce(doc_id::VARCHAR, '') || ':' AS head,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]{5,}')) AS run FROM documents),
+r AS (SELECT rid, head, run, count(*) AS n FROM d GROUP BY rid, head, run),
+b AS (SELECT run, n, flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+    ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END FOR c IN string_split(head || run, '')]) AS bytes
+    FROM r),
+h AS (SELECT run, n, xor(list_reduce(bytes, lambda c, x: xor(c >> 8,
+    list_extract(crc, (xor(c, x) & 255) + 1)), 4294967295), 4294967295) AS h FROM b, t),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 97 = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+      FROM h) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+p AS (SELECT word, substr(word, 1, i) || '*' || substr(word, i + 2) AS pattern,
+    substr(word, 1, i) || substr(word, i + 2) AS less
+    FROM (SELECT word, unnest(range(0, length(word))) AS i FROM w)),
+near AS MATERIALIZED (SELECT a.word, b.word AS other FROM p a JOIN p b USING (pattern)
+      WHERE a.word <> b.word
+    UNION SELECT p.word, w.word FROM p JOIN w ON w.word = p.less
+    UNION SELECT w.word, p.word FROM p JOIN w ON w.word = p.less),
+best AS (SELECT near.word, count(*) AS n_near, arg_max(other, w.n) AS any_best, max(w.n) AS best_n
+    FROM near JOIN w ON w.word = near.other GROUP BY near.word),
+first AS (SELECT near.word, min(other) AS other FROM near JOIN w ON w.word = near.other
+    JOIN best ON best.word = near.word AND best.best_n = w.n GROUP BY near.word),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN best_n >= 2 * w.n THEN other END AS form,
+    CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+    FROM w LEFT JOIN best USING (word) LEFT JOIN first USING (word)),
+chain AS (SELECT word, word AS place FROM f
+    UNION SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.place
+    WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, chain.place AS root, f.n, f.n_near, f.form_n
+FROM f JOIN chain ON chain.word = f.word JOIN f e ON e.word = chain.place AND e.form IS NULL
+"""
+
 SQL = {
     "op1_line_rules": line_rules_sql(),
     "op2_url_rules": url_rules_sql(),
@@ -236,4 +274,5 @@ SQL = {
     "op8_near_duplicates": NEAR_SQL,
     "op10_metric_join": VECTOR_SQL,
     "op11_fill_in_middle": FIM_SQL,
+    "op12_spelling_variants": SPELLING_SQL,
 }
