@@ -214,10 +214,11 @@ def _write_tables(t: build.Tables, graph_root: str, mode: str, report: LoadRepor
 def _write_search(spark: SparkSession, graph_root: str, label: str, report: LoadReport) -> None:
     """The text index and the curve copy of a label, from its new version."""
     rows = _stored(spark, graph_root, label)
-    for path in G.write_postings(rows, graph_root, label):
-        report.written["/".join(path.rsplit("/", 4)[1:4])] = path
+    jobs = [lambda: G.write_postings(rows, graph_root, label)]
     if label in G.CURVES:
-        report.written[f"curve/{label}"] = G.write_curve(rows, graph_root, label)
+        jobs.append(lambda: [G.write_curve(rows, graph_root, label)])
+    for path in [path for paths in G.at_once(jobs) for path in paths]:
+        report.written[path.removeprefix(f"{graph_root.rstrip('/')}/").rsplit("/", 1)[0]] = path
 
 
 def _stored(spark: SparkSession, graph_root: str, label: str) -> DataFrame:

@@ -28,8 +28,9 @@ from __future__ import annotations
 
 import json
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -301,7 +302,8 @@ COUNTS_SCHEMA = S._struct(("property", S.STRING), ("kind", S.STRING), ("piece",
 def write_postings(df: DataFrame, root: str, label: str) -> list[str]:
     """The text index of a label: a row per vertex, text property and distinct token or run of three
     characters, clustered by them, so a search opens the files that hold its pieces; and the number of
-    vertices of each piece (and of all with the property), by which a search picks the rarest."""
+    vertices of each piece (and of all with the property), by which a search picks the rarest. Both
+    tables are written at once."""
     spec = S.VERTICES[label]
     pieces = []
     for prop in TEXT_INDEXES[label]:
@@ -319,8 +321,16 @@ def write_postings(df: DataFrame, root: str, label: str) -> list[str]:
         .sortWithinPartitions(*order, spec.key)
     counted = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("n")).repartitionByRange(*order) \
         .sortWithinPartitions(*order)
-    return [publish(df.sparkSession, index_path(root, label, name), lambda path, t=t: t.write.parquet(
-        path)) for name, t in ((POSTINGS, listed), (COUNTS, counted))]
+    return at_once([lambda n=name, t=table: publish(
+        df.sparkSession, index_path(root, label, n), lambda path: t.write.parquet(path))
+        for name, table in ((POSTINGS, listed), (COUNTS, counted))])
+
+
+def at_once(jobs: list) -> list:
+    """The results of independent jobs, submitted together so that small ones do not leave the rest of the
+    cluster idle; each runs in a copy of this context, which knows the versions of the load around it."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return [run.result() for run in [pool.submit(copy_context().run, job) for job in jobs]]
 
 
 def _piece(prop: str, kind: str):
