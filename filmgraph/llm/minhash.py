@@ -41,7 +41,11 @@ DROPPED = 1e-9
 # Rows of a file, and of the task that writes it, where a bound on a table's rows is known: pairs
 # joined with their sets, sketches, narrow rows.
 PAIR_ROWS, WIDE_ROWS, NARROW_ROWS = 2_000, 20_000, 250_000
-BLOCK = 1024                      # members of a bucket compared in one task
+BLOCK = 1024                      # members of a bucket held at once
+STRIPE = 4                        # strangers that meet them in one task, in blocks
+BLOCK_SHINGLES = 2_000_000        # shingles of members held at once, about
+# Work of a task: pairs of sketches compared, shingles of members times strangers, rows with sketches or sets.
+TASK_PAIRS, TASK_SHINGLES, TASK_ROWS = 10_000_000, 2_000_000_000, 20_000
 
 # Odd multipliers that tell the places of a shingle apart.
 _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -162,9 +166,11 @@ def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame, docs: Da
               n: int, percent: int) -> DataFrame:
     """Verified links ``(a, b)`` that connect all components with a link between them in a bucket.
 
-    ``members(key, rep)`` are the buckets with two classes or more, ``n`` rows. Two passes over blocks: the
-    first compares sketches and passes on the rows with a likely partner, the second compares the
-    full sets of those. Pairs stay inside the tasks.
+    ``members(key, rep)`` are the buckets with two classes or more, ``n`` rows. Members are dealt into blocks
+    and strangers into stripes, and each block meets each stripe somewhere. Two passes: the first
+    compares sketches and passes on the rows with a likely partner, the second compares the full sets
+    of those, blocks being cut again by the shingles of their members. The number of tasks follows
+    from the comparisons, not from the bytes. Pairs stay inside the tasks.
     """
     labelled = common.written(
         members.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
@@ -173,77 +179,126 @@ def _crossing(members: DataFrame, classes: DataFrame, comps: DataFrame, docs: Da
     by_comp = labelled.groupBy("key", "comp").agg(F.count("*").alias("c"))
     open_keys = common.written(
         by_comp.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"),
-                                   F.sum("c").alias("n"), F.count("*").alias("comps"))
-        .filter("comps > 1").select("key", "main", "n"), "open-buckets", n, NARROW_ROWS)
-    total = open_keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+                                   F.sum("c").alias("n"), F.count("*").alias("comps"),
+                                   (F.sum("c") - F.max("c")).alias("strangers"))
+        .filter("comps > 1").select(
+            "key", "main", "n", "strangers", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+            F.ceil(F.col("strangers") / (STRIPE * BLOCK)).cast("int").alias("stripes")),
+        "open-buckets", n, NARROW_ROWS)
+    total, pairs, sent = (x or 0 for x in open_keys.agg(
+        F.sum("n"), F.sum(F.col("n").cast("double") * F.col("strangers")),
+        F.sum(F.col("n") * F.col("stripes") + F.col("strangers") * F.col("blocks"))).first())
     rows = common.lookup_join(labelled, open_keys, ["key"], "n", total)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
-    copies = F.array(F.struct(own.alias("block"), F.lit(0).alias("role")))
-    strangers = F.transform(every, lambda x: F.struct(x.alias("block"), F.lit(1).alias("role")))
-    copies = F.when(F.col("comp") != F.col("main"), F.concat(copies, strangers)).otherwise(copies)
+    block, stripe = (F.pmod(F.xxhash64("rep", F.lit(i)), F.col(c)).cast("int")
+                     for i, c in enumerate(("blocks", "stripes")))
+    member = F.transform(F.sequence(F.lit(0), F.col("stripes") - 1), lambda s: F.struct(
+        (block * F.col("stripes") + s).alias("block"), F.lit(0).alias("role")))
+    stranger = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(
+        (b * F.col("stripes") + stripe).alias("block"), F.lit(1).alias("role")))
+    copies = F.when(F.col("comp") != F.col("main"), F.concat(member, stranger)).otherwise(member)
     dealt = rows.select("key", "rep", "comp", F.explode(copies).alias("x")).select(
         "key", "rep", "comp", "x.*")
     likely = common.written(
-        _by_block(dealt.join(classes.select("rep", "sketch"), "rep"), "sketch")
+        _by_block(dealt.join(classes.select("rep", "sketch"), "rep"), "sketch",
+                  _tasks((pairs, TASK_PAIRS), (sent, TASK_ROWS)))
         .mapInPandas(partial(_likely, least=min_share(percent)), LIKELY).distinct(), "likely")
-    sets = _sets(likely.select(F.col("rep").alias("doc_id")), docs, likely.count())
-    full = likely.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    return common.written(_by_block(full, "items").mapInPandas(
-        partial(_linked, percent=percent), "a long, b long").distinct(), "crossing")
+    n_likely = likely.count()
+    sets = _sets(likely.select(F.col("rep").alias("doc_id")), docs, n_likely)
+    # blocks again, now by the shingles that a task would hold
+    sized = likely.join(classes.select("rep", "n_shingles"), "rep")
+    held = F.sum(F.when(F.col("role") == 0, F.col("n_shingles")))
+    cuts = common.written(
+        sized.groupBy("key", "block").agg(F.coalesce(held, F.lit(0)).alias("held"),
+                                          F.sum("role").alias("strangers"),
+                                          F.count_if(F.col("role") == 0).alias("members"))
+        # no more cuts than members: a set is never cut itself
+        .withColumn("cuts", F.greatest(F.lit(1), F.least(
+            "members", F.ceil(F.col("held") / BLOCK_SHINGLES))).cast("int")),
+        "block-cuts", n_likely, NARROW_ROWS)
+    work = cuts.agg(F.sum(F.col("held").cast("double") * F.col("strangers"))).first()[0] or 0
+    cut = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("cuts")).cast("int")
+    own = F.when(F.col("role") == 0, F.array(cut)).otherwise(
+        F.sequence(F.lit(0), F.col("cuts") - 1))
+    full = (likely.join(cuts.select("key", "block", "cuts"), ["key", "block"])
+            .select("key", "role", "rep", "comp", "block", F.explode(own).alias("cut"))
+            .join(sets.withColumnRenamed("doc_id", "rep"), "rep"))
+    return common.written(
+        _by_block(full, "items", _tasks((work, TASK_SHINGLES), (n_likely, PAIR_ROWS)), "cut")
+        .mapInPandas(partial(_linked, percent=percent), "a long, b long").distinct(), "crossing")
 
 
 LIKELY = "key long, block int, role int, rep long, comp long"
 
 
-def _by_block(rows: DataFrame, payload: str) -> DataFrame:
-    return (rows.select("key", "block", "role", "rep", "comp", payload)
-            .repartition("key", "block").sortWithinPartitions("key", "block", "role"))
+def _tasks(*loads: tuple[float, int]) -> int:
+    """Partitions so that none has more than about its share of each load."""
+    return max(1, *(-(-int(load) // share) for load, share in loads))
+
+
+def _by_block(rows: DataFrame, payload: str, tasks: int, *more: str) -> DataFrame:
+    at = ["key", "block", *more]
+    return (rows.select(*at, "role", "rep", "comp", payload).repartition(tasks, *at)
+            .sortWithinPartitions(*at, "role"))
 
 
 def _runs(frames):
     """(block, role, rows) for each run of equal bucket, block and role in sorted frames."""
     for frame in frames:
-        keys = list(zip(frame["key"], frame["block"], frame["role"], strict=True))
+        cut = frame["cut"] if "cut" in frame else frame["block"]
+        keys = list(zip(frame["key"], frame["block"], cut, frame["role"], strict=True))
         cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if lo < hi:
-                yield keys[lo][:2], keys[lo][2], frame.iloc[lo:hi]
+                yield keys[lo][:3], keys[lo][3], frame.iloc[lo:hi]
 
 
 def _likely(frames, least: float):
     """Rows sorted by bucket, block and role: the members of a block are held, the strangers behind
     them stream past. Passes on both sides of every pair of components whose sketches agree."""
+    names = [c.split()[0] for c in LIKELY.split(", ")]
     at, parts, held, hit = None, [], None, None
 
-    def flagged():
-        return [held.loc[hit, [c.split()[0] for c in LIKELY.split(", ")]]] if held is not None \
-            and hit.any() else []
+    def flagged() -> list[tuple]:
+        return [(*at, 0, held[0][hit], held[1][hit])] if held is not None and hit.any() else []
 
-    for block, role, rows in _runs(frames):
-        if block != at:
-            yield from flagged()
-            at, parts, held = block, [], None
-        if role == 0:
-            parts.append(rows)
+    def table(found: list[tuple]) -> pd.DataFrame:
+        n = [len(f[3]) for f in found]
+        columns = [np.repeat([f[i] for f in found], n) for i in range(3)]
+        columns += [np.concatenate([f[i] for f in found]) for i in (3, 4)]
+        return pd.DataFrame(dict(zip(names, columns, strict=True)))
+
+    for frame in frames:
+        if not len(frame):
             continue
-        if held is None:
-            if not parts:
+        key, block, role, rep, comp = (frame[c].to_numpy() for c in names)
+        sketches, found = _matrix(frame["sketch"]), []
+        change = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])
+                                | (role[1:] != role[:-1])) + 1
+        for lo, hi in zip([0, *change.tolist()], [*change.tolist(), len(key)], strict=True):
+            if (key[lo], block[lo]) != at:
+                found += flagged()
+                at, parts, held = (key[lo], block[lo]), [], None
+            if role[lo] == 0:
+                parts.append((rep[lo:hi], comp[lo:hi], sketches[lo:hi]))
                 continue
-            held = pd.concat(parts, ignore_index=True)
-            sketches = _matrix(held["sketch"])
-            comp = held["comp"].to_numpy()
-            hit = np.zeros(len(held), dtype=bool)
-        own = _matrix(rows["sketch"])
-        near = np.zeros(len(rows), dtype=bool)
-        for i, c in enumerate(rows["comp"].to_numpy()):
-            close = ((sketches == own[i]).mean(axis=1) >= least) & (comp != c)
-            hit |= close
-            near[i] = close.any()
-        if near.any():
-            yield rows.loc[near, [c.split()[0] for c in LIKELY.split(", ")]]
-    yield from flagged()
+            if held is None:
+                if not parts:
+                    continue
+                held = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                hit = np.zeros(len(held[0]), dtype=bool)
+            near = np.zeros(hi - lo, dtype=bool)
+            for i in range(lo, hi, 8):
+                some = slice(i, min(i + 8, hi))
+                equal = (held[2][None] == sketches[some, None]).sum(axis=2, dtype=np.int16)
+                close = (equal >= least * SIZE) & (held[1][None] != comp[some, None])
+                hit |= close.any(axis=0)
+                near[i - lo:some.stop - lo] = close.any(axis=1)
+            if near.any():
+                found.append((key[lo], block[lo], 1, rep[lo:hi][near], comp[lo:hi][near]))
+        if found:
+            yield table(found)
+    if found := flagged():
+        yield table(found)
 
 
 def _matrix(sketches) -> np.ndarray:
@@ -307,7 +362,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = common.written(
         rows.filter(usable).groupBy("cls")
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"),
-             F.first("sketch").alias("sketch")), "classes", n, WIDE_ROWS)
+             F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
+        "classes", n, WIDE_ROWS)
     buckets = common.written(_buckets(classes), "buckets")
     shared = common.written(buckets.groupBy("key").agg(
         F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1"), "shared",

@@ -163,3 +163,50 @@ def test_pairs_with_an_unlucky_sketch_are_compared():
                             "sketch": [x.tobytes() for x in sketches]})
     out = M.pd.concat(list(M._likely([frame], M.min_share(85))))
     assert sorted(out["rep"]) == [1, 2]
+
+
+def test_blocks_stripes_and_cuts_by_shingles(make_docs, monkeypatch):
+    """A crowd of near copies over many blocks and stripes, with sets cut by their shingles."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(120)]
+    docs = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3])):
+            words[rng.randrange(120)] = f"e{rng.randrange(30)}"
+        docs.append((i, " ".join(words)))
+    want = brute(docs)
+    for block, stripe, held in ((16, 1, 300), (1024, 4, 1500)):
+        monkeypatch.setattr(M, "BLOCK", block)
+        monkeypatch.setattr(M, "STRIPE", stripe)
+        monkeypatch.setattr(M, "BLOCK_SHINGLES", held)
+        assert answers(make_docs(docs)) == want
+
+
+def test_a_task_holds_a_bounded_number_of_shingles(llm, make_docs, monkeypatch):
+    """Long texts in one bucket: no task gets the sets of all of them."""
+    monkeypatch.setattr(M, "BLOCK_SHINGLES", 20_000)
+    seen = llm.sparkContext.accumulator(0)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(4000)]
+    docs = []
+    for i in range(24):                       # similar to their neighbours, less and less to the first
+        base = list(base)
+        for _ in range(14):
+            base[rng.randrange(4000)] = f"x{i}_{rng.randrange(10**6)}"
+        docs.append((i, " ".join(base)))
+    linked = M._linked
+
+    def watched(frames, percent):
+        frames = list(frames)
+        held = {}
+        for f in frames:
+            for *at, role, items in zip(f["key"], f["block"], f["cut"], f["role"], f["items"]):
+                if role == 0:
+                    held[tuple(at)] = held.get(tuple(at), 0) + len(items)
+        seen.add(sum(v > 80_000 for v in held.values()))
+        return linked(iter(frames), percent)
+
+    monkeypatch.setattr(M, "_linked", watched)
+    assert answers(make_docs(docs)) == brute(docs)
+    assert seen.value == 0
