@@ -24,6 +24,7 @@ from filmgraph.functions import search as P  # noqa: E402
 from filmgraph.operators import integrity  # noqa: E402
 from filmgraph import schemas as S  # noqa: E402
 from filmgraph.plans import load, reports  # noqa: E402
+from filmgraph.plans.pattern import Pattern  # noqa: E402
 from filmgraph.plans import search as Q  # noqa: E402
 from filmgraph.plans.traversal import Traversal  # noqa: E402
 from filmgraph.sources import fixtures  # noqa: E402
@@ -63,6 +64,7 @@ def run(spark, dataset: str, timings: dict[str, float]) -> None:
     timed("adjacency_rated_as", lambda: load.build_adjacency(spark, root, "RATED_AS"))
     timed("load_genome", lambda: load.load_genome(spark, dataset, root))
     timed("load_omdb", lambda: load.load_omdb(spark, dataset, root))
+    timed("edge_ids_rated_as", lambda: load.build_edge_ids(spark, root, "RATED_AS"))
     g = G.read_graph(spark, root)
     timed("lookup_keys", lambda: Q.lookup(
         g, "MOVIE", "movieId", list(range(0, 20000, 97))).collect())
@@ -75,6 +77,14 @@ def run(spark, dataset: str, timings: dict[str, float]) -> None:
           .out("RATED_AS").in_("RATED_AS").to_df().collect())
     timed("genre_to_raters", lambda: Traversal.start(g, "GENRE", keys=[reports.START_GENRE])
           .in_("CATEGORIZED_AS").in_("RATED_AS").to_df().collect())
+    timed("text_search", lambda: Q.text_search(
+        g, "MOVIE", "movieTitle", regex="(blue|green) (wid|gi).*").collect())
+    ids = [r["edge_id"] for r in g.edges_with_ids("RATED_AS").where(
+        F.col("src") == reports.START_USER).select("edge_id").collect()]
+    timed("edge_by_id", lambda: Q.edges_by_id(g, "RATED_AS", ids).collect())
+    timed("pattern_co_raters", lambda: Pattern.start(g, "me", "USER", keys=[reports.START_USER])
+          .out("me", "RATED_AS", "movie").in_("movie", "RATED_AS", "other").matches()
+          .select("movie", "other").collect())
     timed("unique_key_report", lambda: G._union([
         integrity.unique_report(g.V(label), label, list(spec.unique))
         for label, spec in S.VERTICES.items()]).collect())

@@ -22,6 +22,7 @@ from filmgraph.operators import edges as E  # noqa: E402
 from filmgraph.operators import integrity, responses  # noqa: E402
 from filmgraph.plans import build, load  # noqa: E402
 from filmgraph.plans import search as Q  # noqa: E402
+from filmgraph.plans.pattern import Pattern  # noqa: E402
 from filmgraph.plans.traversal import Traversal  # noqa: E402
 from filmgraph.sources import dataset, fixtures  # noqa: E402
 from filmgraph.sources import graphstore as G  # noqa: E402
@@ -51,7 +52,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     ds = fixtures.dataset_for(spark, sf_dir)
     root = session.new_scratch(spark, "plans-graph")
-    load.load_all(spark, ds, root, adjacency=("RATED_AS",))
+    load.load_all(spark, ds, root, adjacency=("RATED_AS",), edge_ids=("RATED_AS",))
     g = G.read_graph(spark, root)
     staged = load.stage(dataset.read_ratings(spark, ds), session.new_scratch(spark, "ratings"))
     answers = responses.records(responses.classify(dataset.read_omdb_responses(spark, ds)))
@@ -69,7 +70,15 @@ def main() -> None:
          Traversal.start(g, "USER", keys=[7]).out("RATED_AS").in_("RATED_AS").to_df()),
         ("Range search on RATED_AS: filters and column pruning reach the scan",
          Q.ratings_in_range(g, (3.0, 4.0), (883612800, 915148800)).select("src", "dst")),
-        ("Movie search: conjunctive predicates pushed down",
+        ("Labelled pattern, selected: the reduced edge tables joined, no row a dead end",
+         Pattern.start(g, "me", "USER", keys=[7]).out("me", "RATED_AS", "movie")
+         .in_("movie", "RATED_AS", "other").matches().select("movie", "other")),
+        ("Edges by id: hashes pushed into the id index",
+         Q.edges_by_id(g, "RATED_AS", [r["edge_id"] for r in g.edges_with_ids("RATED_AS")
+                                       .limit(2).collect()])),
+        ("Pattern search on titles: keys of the movies that hold the needed runs, then the check",
+         Q.text_search(g, "MOVIE", "movieTitle", regex="blue (wid|gi).*199.*")),
+        ("Movie search by ranges: predicates pushed into the copy along the curve",
          Q.search_movies(g, P.between("movieYear", 1980, 1990),
                          F.col("movieImdbScore") >= 5.0).select("movieId", "movieTitle")),
         ("Key lookup by a list of ids", Q.lookup(g, "MOVIE", "movieId", [1, 2, 3])),
