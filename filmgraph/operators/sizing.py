@@ -38,9 +38,13 @@ class Sized:
 
 def materialize(df: DataFrame) -> Sized:
     """Checkpoint ``df`` to the shared folder, count its rows and add up their bytes."""
-    saved = checkpoint(df)
-    rows, width = saved.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
-    return Sized(saved, rows, int(width))
+    return measure(checkpoint(df))
+
+
+def measure(df: DataFrame) -> Sized:
+    """Count the rows of a stored table and add up their bytes."""
+    rows, width = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return Sized(df, rows, int(width))
 
 
 def _row_bytes(df: DataFrame):
