@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
+from ..operators import sizing
 
 # Fixed value: a word is a run without space, tab, line feed, vertical tab, form feed or return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -130,9 +131,9 @@ def crc32_u4(ids) -> int:
 
 
 def bounded(df: DataFrame, limit: int = 500_000) -> DataFrame:
-    """A written side with few columns, hinted for broadcast if counted within ``limit`` rows;
-    beyond it the join shuffles."""
-    return F.broadcast(df) if df.count() <= limit else df
+    """A written side, hinted for broadcast if measured within ``limit`` rows and the library's limit
+    of bytes; beyond them the join shuffles."""
+    return sizing.for_join(sizing.measure(df), limit)
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], count: str,

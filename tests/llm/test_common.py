@@ -66,3 +66,17 @@ def test_release_deletes_all_but_the_last_tables(llm):
 def test_free_name(llm):
     df = llm.createDataFrame([(1, 2)], "X long, x_ long")
     assert common.free_name(df, "x") == "x__"
+
+
+def test_broadcast_sides_are_bounded_in_rows_and_bytes(llm, monkeypatch):
+    from filmgraph.operators import sizing
+
+    df = common.written(llm.range(100).selectExpr("id", "repeat('x', 1000) AS s",
+                                                  "array('a', 'b') AS a"), "sides")
+
+    def hinted(side):
+        return "ResolvedHint" in side._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(common.bounded(df)) and not hinted(common.bounded(df, 99))
+    monkeypatch.setattr(sizing, "BROADCAST_BYTE_LIMIT", 50_000)
+    assert not hinted(common.bounded(df)) and hinted(common.bounded(df.select("id")))
