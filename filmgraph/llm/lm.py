@@ -41,7 +41,7 @@ OWN_ROWS, SHARED_ROWS = 8192, 256  # input rows: frequent tokens, and buckets fo
 NEAR = 512                        # neighbour columns a token is grouped by, 256 on either side
 FREQUENT = 200_000
 BATCH = 64                        # windows handled at once
-SHARD_BATCH = 256                 # windows of a step in the shards
+SHARD_BATCH = 128                 # windows of a step in the shards
 SETTLE = 60                       # steps over which a shard's rate rises
 GROUP_IDS = 500_000               # ids of a shard whose windows are shuffled at once
 PRIOR = 20.0                      # weight of the classes' shares in the rows of ``direct``
@@ -178,9 +178,8 @@ def gradient(params: dict[str, np.ndarray], x: np.ndarray, cls: np.ndarray, fixe
     target = cls.ravel()
     real = target >= 0
     n = max(1, int(real.sum()))
-    z -= z.max(axis=1, keepdims=True)
-    p = np.exp(z, out=z)
-    p /= p.sum(axis=1, keepdims=True)
+    p = np.exp(np.minimum(z, 60, out=z), out=z)      # far above any logit, far below an overflow
+    p /= (p @ np.ones(CLASSES, dtype=p.dtype))[:, None]
     at = np.arange(len(p)), np.maximum(target, 0)
     loss = -np.log(np.maximum(p[at], 1e-30))[real].sum() / n
     p[at] -= 1
@@ -229,19 +228,40 @@ def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+TABLES = ("embed", "direct")          # parameters with a row for each input row
+
+
 class Adam:
+    """Steps by running moments of the slopes. Rows of a table that a batch does not hold keep theirs."""
+
     def __init__(self, params: dict[str, np.ndarray]):
         self.step = 0
         self.m = {k: np.zeros_like(v) for k, v in params.items()}
         self.v = {k: np.zeros_like(v) for k, v in params.items()}
 
-    def update(self, params: dict[str, np.ndarray], g: dict[str, np.ndarray], rate: float) -> None:
+    def update(self, params: dict[str, np.ndarray], g: dict[str, np.ndarray], rate: float,
+               rows: np.ndarray) -> None:
         self.step += 1
         for k, slope in g.items():
-            self.m[k] += 0.1 * (slope - self.m[k])
-            self.v[k] += 0.001 * (slope * slope - self.v[k])
-            m = self.m[k] / (1 - 0.9 ** self.step)
-            params[k] -= rate * m / (np.sqrt(self.v[k] / (1 - 0.999 ** self.step)) + 1e-8)
+            at = rows if k in TABLES else slice(None)
+            m, v = self.m[k][at], self.v[k][at]
+            m += 0.1 * (slope - m)
+            v += 0.001 * (slope * slope - v)
+            self.m[k][at], self.v[k][at] = m, v
+            params[k][at] -= rate / (1 - 0.9 ** self.step) * m / (
+                np.sqrt(v / (1 - 0.999 ** self.step)) + 1e-8)
+
+
+def step(model: Model, adam: Adam, x: np.ndarray, cls: np.ndarray, rate: float,
+         fixed: tuple) -> None:
+    """One step over a batch of windows. Only the table rows that it holds are worked on."""
+    held = np.zeros(len(model.params["embed"]), dtype=bool)
+    held[x] = held[-1] = True                 # the padding row stays the last
+    rows = np.flatnonzero(held)
+    place = np.cumsum(held, dtype=np.int32) - 1
+    own = {k: v[rows] if k in TABLES else v for k, v in model.params.items()}
+    _, g = gradient(own, place[x], cls, fixed)
+    adam.update(model.params, g, rate, rows)
 
 
 def train(model: Model, ids: list[np.ndarray], steps: int | None, rate: float, seed: int,
@@ -257,8 +277,7 @@ def train(model: Model, ids: list[np.ndarray], steps: int | None, rate: float, s
     for i in range(n):
         pick = order.take(np.arange(i * size, min((i + 1) * size, len(x)) if steps is None
                                     else (i + 1) * size), mode="wrap")
-        _, g = gradient(model.params, x[pick], cls[pick], fixed)
-        adam.update(model.params, g, rate * (1 - 0.9 * i / n))
+        step(model, adam, x[pick], cls[pick], rate * (1 - 0.9 * i / n), fixed)
 
 
 class ShardTraining:
@@ -287,12 +306,11 @@ class ShardTraining:
         done, order = self.seen, self.rng.permutation(len(x))
         for lo in range(0, len(x), SHARD_BATCH):
             pick = order[lo:lo + SHARD_BATCH]
-            _, g = gradient(self.model.params, x[pick], cls[pick], self.fixed)
             at = (done + self.size * lo / len(x)) / self.t.shard_tokens
             # short steps until the optimiser's moments have settled
             soft = min(1.0, (self.adam.step + 1) / SETTLE)
-            self.adam.update(self.model.params, g,
-                             self.t.shard_rate * soft * (1 - 0.9 * min(at, 1.0)))
+            step(self.model, self.adam, x[pick], cls[pick],
+                 self.t.shard_rate * soft * (1 - 0.9 * min(at, 1.0)), self.fixed)
         self.seen, self.size, self.waiting = done + self.size, 0, []
 
 

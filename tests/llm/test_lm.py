@@ -282,8 +282,8 @@ def test_a_shard_has_one_optimiser_and_bounded_groups(llm, monkeypatch):
     steps = []
     monkeypatch.setattr(L, "GROUP_IDS", 100)
     update = L.Adam.update
-    monkeypatch.setattr(L.Adam, "update", lambda self, p, g, rate: (
-        steps.append((id(self), rate)), update(self, p, g, rate)))
+    monkeypatch.setattr(L.Adam, "update", lambda self, p, g, rate, rows: (
+        steps.append((id(self), rate)), update(self, p, g, rate, rows)))
     shard = L.ShardTraining(model, L.Training(shard_tokens=2000), ("direct",))
     for ids in [*sample, np.concatenate(sample)]:
         shard.add(ids)
