@@ -14,7 +14,8 @@ next run.
 A task may have several calls under way (:class:`Pace`). All calls of a task pass one :class:`Gate`: it
 spaces them so that all tasks together keep to the calls per second of the whole job, holds them back
 for as long as the API asks (``fetch`` raises :class:`RetryLater`), and, when many attempts in a row have
-failed, for a cooling time, so an API that is down is not hammered by every link.
+failed, for a cooling time, so an API that is down is not hammered by every link. A ``sleep`` given
+without a ``clock`` brings its own time (:class:`Timeline`): a wait ends when it returns.
 """
 
 from __future__ import annotations
@@ -61,6 +62,24 @@ class Pace:
     cool_down: float = 10.0
 
 
+class Timeline:
+    """Time that a given ``sleep`` passes: the monotonic clock, put forward by what the sleep did not last.
+    A gate and its calls then see every wait as over when ``sleep`` returns, be it real or not."""
+
+    def __init__(self, sleep: Callable[[float], None]):
+        self.given, self.ahead = sleep, 0.0
+        self.lock = threading.Lock()
+
+    def clock(self) -> float:
+        return time.monotonic() + self.ahead
+
+    def sleep(self, seconds: float) -> None:
+        until = self.clock() + seconds
+        self.given(seconds)
+        with self.lock:
+            self.ahead = max(self.ahead, until - time.monotonic())
+
+
 class Gate:
     """What the calls of one task pass, one after the other. Safe for threads."""
 
@@ -174,13 +193,16 @@ def fetch_missing(links: DataFrame, landed: DataFrame | None,
     concurrent calls ``fetch`` must be safe for threads."""
     todo = missing_links(links, landed).withColumn("_ref", text.imdb_ref("imdbId"))
     pace = pace or Pace()
-    clocks = {k: retry[k] for k in ("sleep", "clock") if k in retry}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gate = Gate(pace, partitions, **clocks)
+        given = dict(retry)
+        if "sleep" in given and "clock" not in given:
+            line = Timeline(given["sleep"])
+            given |= {"sleep": line.sleep, "clock": line.clock}
+        gate = Gate(pace, partitions, **{k: given[k] for k in ("sleep", "clock") if k in given})
 
         def call(ref: str) -> str | None:
-            return call_with_backoff(fetch, ref, gate=gate, **retry)
+            return call_with_backoff(fetch, ref, gate=gate, **given)
 
         with ThreadPoolExecutor(pace.concurrent) as pool:
             for batch in batches:

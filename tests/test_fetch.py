@@ -226,3 +226,34 @@ def test_sketches_of_loads_add_up(spark, tmp_root):
     assert got["directors"] == (40, 40)
     assert abs(got["writers"][0] - 2400) < 72 and abs(got["writers"][1] - 1200) < 36
     assert abs(got["actors"][0] - 404) < 13 and "languages" not in got
+
+
+def test_cooling_times_pass_with_a_sleep_that_does_not_wait(spark):
+    """Without a clock, the gate's waits end when the given sleep returns; they were spun away in real time."""
+    import time
+    links = spark.createDataFrame([(str(i), f"{i:07d}", None) for i in range(1, 13)],
+                                  "movieId string, imdbId string, tmdbId string")
+
+    def api(ref):
+        if int(ref[2:]) % 4:
+            raise ConnectionError("unavailable")
+        return "{}"
+
+    X.fetch_missing(links.limit(1), None, lambda ref: "{}", partitions=1).collect()   # warm up
+    began = time.monotonic()
+    out = X.fetch_missing(links, None, api, partitions=1, delay=0.0, sleep=lambda s: None,
+                          pace=X.Pace(trip_after=2, cool_down=8.0))
+    got = {int(r["movieId"]): r["response"] for r in out.collect()}
+    assert got == {i: None if i % 4 else "{}" for i in range(1, 13)}
+    assert time.monotonic() - began < 30
+
+
+def test_a_sleep_that_waits_does_not_put_the_clock_forward():
+    import time
+    line = X.Timeline(time.sleep)
+    line.sleep(0.02)
+    assert 0.0 <= line.ahead < 0.02
+    line = X.Timeline(lambda s: None)
+    began = line.clock()
+    line.sleep(50.0)
+    assert 50.0 <= line.clock() - began < 60.0
