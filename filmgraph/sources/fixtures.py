@@ -116,12 +116,13 @@ def omdb(spark: SparkSession, sf_dir: str) -> DataFrame:
     # last line item (a part without one takes fixed ones)
     last = (table(spark, sf_dir, "lineitem")
             .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .groupBy("l_partkey").agg(F.max_by(
-                F.struct("l_suppkey", "o_custkey"),
-                F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("x")))
+            .withColumn("place", F.col("l_orderkey") * 16 + F.col("l_linenumber"))
+            # numbers, not a struct: tasks then aggregate by hash and sort no line items
+            .groupBy("l_partkey").agg(F.max_by("l_suppkey", "place").alias("l_suppkey"),
+                                      F.max_by("o_custkey", "place").alias("o_custkey")))
     joined = (part.join(last, k == F.col("l_partkey"), "left")
-              .join(sup, sup.s_suppkey == F.coalesce("x.l_suppkey", k % 10))
-              .join(cust, cust.c_custkey == F.coalesce("x.o_custkey", k % 150))
+              .join(sup, sup.s_suppkey == F.coalesce("l_suppkey", k % 10))
+              .join(cust, cust.c_custkey == F.coalesce("o_custkey", k % 150))
               .join(nat, nat.n_nationkey == k % 25))
     return joined.select(_s(k).alias("movieId"), F.lpad(_s(k), 7, "0").alias("imdbId"),
                          response.alias("response"))
