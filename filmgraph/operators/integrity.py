@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,9 +151,9 @@ def reference_report(edges: DataFrame, label: str, col: str, vertices: DataFrame
                      key: str) -> DataFrame:
     """One row: ``label, endpoint, n_edges, n_dangling_edges, n_dangling_keys``."""
     per_key = edges.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    known = (vertices.select(F.col(key).alias(col)).where(F.col(col).isNotNull()).distinct()
-             .withColumn("_known", F.lit(True)))
-    joined = per_key.join(known, col, "left")
+    known = vertices.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull()).distinct() \
+        .withColumn("_known", F.lit(True))
+    joined = per_key.join(known, F.col(col) == F.col("_key"), "left")
     missing = F.col("_known").isNull()
     return joined.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_edges"),
@@ -167,35 +168,13 @@ def references_report(edges: dict[str, tuple[DataFrame, list[tuple[str, str]]]],
     """:func:`reference_report` for all endpoints of several edge tables at once.
 
     ``edges`` maps an edge label to its table and its ``(endpoint column, vertex label)`` pairs,
-    ``vertices`` a vertex label to its table and key. Both endpoints of an edge are stacked and
-    counted in one pass; the distinct keys then meet all vertex keys in one join.
+    ``vertices`` a vertex label to its table and key. Each endpoint column is read and counted by itself
+    in its own type, so that tasks hold and send a key and a number per distinct key; the vertex keys,
+    which several endpoints share, are shuffled once per label.
     """
-    refs = known = None
-    for label, (df, ends) in edges.items():
-        part = df.select(F.explode(F.array(*[F.struct(
-            F.lit(label).alias("label"), F.lit(c).alias("endpoint"), F.lit(target).alias("target"),
-            F.col(c).cast("string").alias("key")) for c, target in ends])).alias("s")).select("s.*")
-        part = part.groupBy("label", "endpoint", "target", "key").agg(
-            F.count(F.lit(1)).alias("n"))
-        refs = part if refs is None else refs.unionByName(part)
-    for target, (df, key) in vertices.items():
-        part = df.select(F.lit(target).alias("target"), F.col(key).cast("string").alias("key"))
-        known = part if known is None else known.unionByName(part)
-    known = known.where("key IS NOT NULL").distinct().withColumn("_known", F.lit(True))
-    missing = F.col("_known").isNull()
-    found = refs.join(known, ["target", "key"], "left").groupBy("label", "endpoint").agg(
-        F.sum("n").cast("bigint").alias("n_edges"),
-        F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).cast("bigint")
-        .alias("n_dangling_edges"),
-        F.count_if(missing).alias("n_dangling_keys"))
-    # every endpoint gets a row, also when its edge table is empty
-    wanted = known.sparkSession.createDataFrame(
-        [(label, c) for label, (_, ends) in edges.items() for c, _ in ends],
-        "label string, endpoint string")
-    return F.broadcast(wanted).join(found, ["label", "endpoint"], "left").select(
-        "label", "endpoint",
-        *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
-          for c in ("n_edges", "n_dangling_edges", "n_dangling_keys")])
+    rows = [reference_report(df, label, c, vertices[target][0], vertices[target][1])
+            for label, (df, ends) in edges.items() for c, target in ends]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def enforce_references(edges: DataFrame, checks: list[tuple[str, DataFrame, str]],

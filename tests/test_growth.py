@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from filmgraph.operators import integrity
 from filmgraph.sources import fixtures
 
 
@@ -30,3 +31,19 @@ def test_credits_follow_the_last_line_item_without_sorting(spark, tmp_root):
     assert got == {1: ("S5", "C8, Actor 1"), 2: ("S2", "C8, Actor 2"), 3: ("S9", "C7, Actor 3"),
                    4: ("S4", "C4, Actor 4")}
     assert "SortAggregate" not in plan(made)
+
+
+def test_endpoints_are_counted_in_their_own_type(spark):
+    edges = spark.createDataFrame([(1, 10), (1, 10), (2, 11), (None, 12)], "src long, dst long")
+    names = spark.createDataFrame([("x", 10), (None, 99)], "src string, dst long")
+    users = spark.createDataFrame([(1,), (1,), (3,)], "userId long")
+    movies = spark.createDataFrame([(10,), (12,), (None,)], "movieId long")
+    people = spark.createDataFrame([("x",)], "name string")
+    report = integrity.references_report(
+        {"A": (edges, [("src", "U"), ("dst", "M")]), "B": (names, [("src", "P"), ("dst", "M")]),
+         "C": (edges.limit(0), [("src", "U")])},
+        {"U": (users, "userId"), "M": (movies, "movieId"), "P": (people, "name")})
+    assert {tuple(r) for r in report.collect()} == {
+        ("A", "src", 4, 2, 2), ("A", "dst", 4, 1, 1), ("B", "src", 2, 1, 1), ("B", "dst", 2, 1, 1),
+        ("C", "src", 0, 0, 0)}
+    assert "Generate" not in plan(report) and "as string" not in plan(report)
