@@ -36,11 +36,19 @@ def content_hash(label: str) -> Column:
     return F.md5(F.concat(*parts).cast("binary"))
 
 
+def copies(edges: DataFrame, label: str) -> DataFrame:
+    """Distinct edges with their number of copies."""
+    return edges.groupBy(*S.EDGES[label].schema.fieldNames()).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def hashed(counted: DataFrame, label: str) -> DataFrame:
+    """``copies`` with the hash of each edge."""
+    return counted.select(content_hash(label).alias(HASH), COPIES, *S.EDGES[label].schema.fieldNames())
+
+
 def contents(edges: DataFrame, label: str) -> DataFrame:
     """Distinct edges with their hash and number of copies."""
-    columns = S.EDGES[label].schema.fieldNames()
-    return edges.groupBy(*columns).agg(F.count(F.lit(1)).alias(COPIES)).select(
-        content_hash(label).alias(HASH), COPIES, *columns)
+    return hashed(copies(edges, label), label)
 
 
 def contents_schema(label: str) -> T.StructType:

@@ -273,16 +273,23 @@ def write_adjacency(df: DataFrame, root: str, label: str, direction: str,
                    lambda target: rows.write.parquet(target))
 
 
+# Hashes as text hold four bits in a character, which only an entropy coder takes off.
+IDS_WRITE = {"compression": "zstd"}
+
+
 def write_edge_ids(df: DataFrame, root: str, label: str, path: str | None = None) -> str:
     """The index of edge ids: a row per distinct edge with its content hash and number of copies,
     clustered by the hash, so a lookup by id opens the file that holds it. ``path`` overrides the
     target folder, as for adjacency copies."""
-    rows = edge_ids.contents(_conform(df, S.EDGES[label].schema), label)
-    rows = rows.repartitionByRange(edge_ids.HASH).sortWithinPartitions(edge_ids.HASH)
+    rows = edge_ids.copies(_conform(df, S.EDGES[label].schema), label)
+    # the hash is longer than the edge and does not compress: made again rather than sent
+    rows = edge_ids.hashed(rows.repartitionByRange(edge_ids.content_hash(label)), label) \
+        .sortWithinPartitions(edge_ids.HASH)
     if path:
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").options(**IDS_WRITE).parquet(path)
         return path
-    return publish(df.sparkSession, ids_path(root, label), lambda target: rows.write.parquet(target))
+    return publish(df.sparkSession, ids_path(root, label),
+                   lambda target: rows.write.options(**IDS_WRITE).parquet(target))
 
 
 POSTINGS, COUNTS = "postings", "counts"
@@ -384,7 +391,8 @@ class Graph:
 
     ``postings[label]`` and ``counts[label]`` hold text indexes (:func:`write_postings`) - their tokens
     also by ``tokens[(label, property)]`` -, ``curves[label]`` copies for searches by several properties
-    (:func:`write_curve`), ``ids[label]`` indexes of edge ids (:func:`write_edge_ids`) and
+    (:func:`write_curve`), ``ids[label]`` indexes of edge ids (:func:`write_edge_ids`) - those of the
+    labels in ``whole`` are one table, the others lie in several parts that may repeat an edge - and
     ``adjacency[(label, direction)]`` the optional clustered copies of edge tables used by
     traversals from small frontiers (:func:`write_adjacency`).
     """
@@ -394,6 +402,7 @@ class Graph:
     adjacency: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
     tokens: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
     ids: dict[str, DataFrame] = field(default_factory=dict)
+    whole: set[str] = field(default_factory=set)
     postings: dict[str, DataFrame] = field(default_factory=dict)
     counts: dict[str, DataFrame] = field(default_factory=dict)
     curves: dict[str, DataFrame] = field(default_factory=dict)
@@ -418,6 +427,8 @@ class Graph:
     def edges_with_ids(self, label: str) -> DataFrame:
         """Every edge of a label with its ``edge_id``."""
         held = self.contents(label)
+        if label not in self.ids or label in self.whole:
+            return edge_ids.numbered(held, label)       # a row per distinct edge already
         columns = S.EDGES[label].schema.fieldNames()
         whole = held.groupBy(edge_ids.HASH, *columns).agg(
             F.sum(edge_ids.COPIES).alias(edge_ids.COPIES))
@@ -493,13 +504,13 @@ def vertex_lock(spark: SparkSession, root: str, label: str):
     return session.lock(spark, f"{root.rstrip('/')}/_locks/{label}")
 
 
-def _stored(spark: SparkSession, schema, folder: str, streamed: str,
+def _stored(spark: SparkSession, schema, folder: str, streamed: str | None,
             held: dict[str, str] | None = None) -> DataFrame | None:
     """Current version and streamed batches of a table, None if there is neither."""
     reader = spark.read.schema(schema)
     version = current(spark, folder, held)
     table = reader.parquet(version) if version else None
-    if not session.path_exists(spark, streamed):
+    if streamed is None or not session.path_exists(spark, streamed):
         return table
     batches = reader.option("recursiveFileLookup", "true").parquet(streamed)
     if table is not None:
@@ -536,8 +547,12 @@ def read_graph(spark: SparkSession, root: str, labels: list[str] | None = None)
                         spark, spec.schema, folder,
                         stream_path(root, f"adjacency/{direction}", label), held=held)
             if current(spark, ids_path(root, label), held):
+                streamed = stream_path(root, "ids", label)
+                if not session.path_exists(spark, streamed):
+                    g.whole.add(label)
+                    streamed = None
                 g.ids[label] = _stored(spark, edge_ids.contents_schema(label), ids_path(root, label),
-                                       stream_path(root, "ids", label), held=held)
+                                       streamed, held=held)
     return g
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from filmgraph.operators import integrity
 from filmgraph.sources import fixtures
+from filmgraph.sources import graphstore as G
 
 
 def plan(df) -> str:
@@ -47,3 +48,30 @@ def test_endpoints_are_counted_in_their_own_type(spark):
         ("A", "src", 4, 2, 2), ("A", "dst", 4, 1, 1), ("B", "src", 2, 1, 1), ("B", "dst", 2, 1, 1),
         ("C", "src", 0, 0, 0)}
     assert "Generate" not in plan(report) and "as string" not in plan(report)
+
+
+def _ids(spark, root):
+    return G.read_graph(spark, root, ["RELEASED_IN"]).edges_with_ids("RELEASED_IN")
+
+
+def test_ids_of_one_table_are_not_aggregated_again(spark, tmp_root):
+    rows = spark.createDataFrame([(1, 5), (1, 5), (2, 6)], "src long, dst long")
+    G.write_edges(rows, tmp_root, "RELEASED_IN")
+    G.write_edge_ids(rows, tmp_root, "RELEASED_IN")
+    one = _ids(spark, tmp_root)
+    assert "Aggregate" not in plan(one)
+    own = sorted(r["edge_id"] for r in one.collect())
+    assert [x.rsplit(":", 1)[1] for x in own].count("1") == 1 and len(set(own)) == 3
+    # an edge that comes again in a stream adds to the copies of the first
+    more = f"{G.stream_path(tmp_root, 'ids', 'RELEASED_IN')}/s/epoch-0"
+    G.write_edge_ids(rows.where("src = 1"), tmp_root, "RELEASED_IN", path=more)
+    both = [r["edge_id"] for r in _ids(spark, tmp_root).collect()]
+    assert len(set(both)) == len(both) == 5 and set(own) < set(both)
+
+
+def test_edges_without_an_index_are_aggregated_once(spark):
+    rows = spark.createDataFrame([(1, 5), (1, 5), (2, 6)], "src long, dst long")
+    got = G.Graph(edges={"RELEASED_IN": rows}).edges_with_ids("RELEASED_IN")
+    assert len({r["edge_id"] for r in got.collect()}) == 3
+    logical = got._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Aggregate [") == 2          # once in each branch: few and many copies
