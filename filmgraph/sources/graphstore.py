@@ -309,28 +309,30 @@ COUNTS_SCHEMA = S._struct(("property", S.STRING), ("kind", S.STRING), ("piece",
 def write_postings(df: DataFrame, root: str, label: str) -> list[str]:
     """The text index of a label: a row per vertex, text property and distinct token or run of three
     characters, clustered by them, so a search opens the files that hold its pieces; and the number of
-    vertices of each piece (and of all with the property), by which a search picks the rarest. Both
-    tables are written at once."""
+    vertices of each piece (and of all with the property), by which a search picks the rarest. The
+    pieces are counted from the rows written, so values are cut up for the first table only."""
     spec = S.VERTICES[label]
-    pieces = []
+    order = ["property", "kind", "piece"]
+    pieces, held = [], []
     for prop in TEXT_INDEXES[label]:
         values = F.col(prop) if prop_is_set(label, prop) else F.array(F.col(prop))
         values = F.filter(values, lambda v: v.isNotNull())
         for kind, cut in ((TOKEN, P.tokens), (GRAM, grams.grams)):
             found = F.array_distinct(F.flatten(F.transform(values, cut)))
             pieces.append(F.transform(found, _piece(prop, kind)))
-        pieces.append(F.when(F.size(values) > 0, F.array(F.struct(
-            F.lit(prop).alias("property"), F.lit(ALL).alias("kind"), F.lit("").alias("piece")))))
+        held.append(F.when(F.size(values) > 0, F.lit(prop)))
     every = F.flatten(F.filter(F.array(*pieces), lambda x: x.isNotNull()))
-    rows = df.select(F.explode(every).alias("x"), spec.key).select("x.*", spec.key)
-    order = ["property", "kind", "piece"]
-    listed = rows.where(F.col("kind") != ALL).repartitionByRange(*order, spec.key) \
-        .sortWithinPartitions(*order, spec.key)
-    counted = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("n")).repartitionByRange(*order) \
-        .sortWithinPartitions(*order)
-    return at_once([lambda n=name, t=table: publish(
-        df.sparkSession, index_path(root, label, n), lambda path: t.write.parquet(path))
-        for name, table in ((POSTINGS, listed), (COUNTS, counted))])
+    listed = df.select(F.explode(every).alias("x"), spec.key).select("x.*", spec.key) \
+        .repartitionByRange(*order, spec.key).sortWithinPartitions(*order, spec.key)
+    written = publish(df.sparkSession, index_path(root, label, POSTINGS),
+                      lambda path: listed.write.parquet(path))
+    with_value = df.select(F.explode(F.filter(F.array(*held), lambda x: x.isNotNull())).alias(
+        "property")).select("property", F.lit(ALL).alias("kind"), F.lit("").alias("piece"))
+    rows = df.sparkSession.read.schema(postings_schema(label)).parquet(written).select(*order)
+    counted = rows.unionByName(with_value).groupBy(*order).agg(F.count(F.lit(1)).alias("n")) \
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+    return [written, publish(df.sparkSession, index_path(root, label, COUNTS),
+                             lambda path: counted.write.parquet(path))]
 
 
 def at_once(jobs: list) -> list:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from filmgraph.functions import grams
 from filmgraph.operators import integrity
 from filmgraph.sources import fixtures
 from filmgraph.sources import graphstore as G
@@ -75,3 +76,26 @@ def test_edges_without_an_index_are_aggregated_once(spark):
     assert len({r["edge_id"] for r in got.collect()}) == 3
     logical = got._jdf.queryExecution().optimizedPlan().toString()
     assert logical.count("Aggregate [") == 2          # once in each branch: few and many copies
+
+
+def test_a_text_is_folded_once_for_all_its_runs(spark):
+    df = spark.createDataFrame([("Ab",), ("",), (None,), ("aBab",)], "x string")
+    cut = df.select(grams.grams(F.col("x")).alias("g"))
+    assert [r["g"] for r in cut.collect()] == [
+        ["\x02ab", "ab\x03"], [], [], ["\x02ab", "aba", "bab", "ab\x03"]]
+    assert plan(cut).lower().count("translate(") == 1
+
+
+def test_pieces_are_counted_from_the_postings_written(spark, tmp_root, monkeypatch):
+    rows = spark.createDataFrame([(1, "Red ring"), (2, "ring ring"), (3, ""), (4, None)],
+                                 "tagId long, tagName string")
+    cut = []
+    monkeypatch.setattr(G.grams, "grams", lambda v, real=grams.grams: cut.append(1) or real(v))
+    paths = G.write_postings(rows, tmp_root, "TAG")
+    postings, counts = (spark.read.parquet(p) for p in paths)
+    assert "counts/" in paths[1]
+    held = {(r["kind"], r["piece"]): r["n"] for r in counts.collect()}
+    assert held.pop((G.ALL, "")) == 3                  # values, also empty ones
+    assert held == {(r["kind"], r["piece"]): r["count"] for r in
+                    postings.groupBy("kind", "piece").count().collect()}
+    assert held[(G.TOKEN, "ring")] == 2 and held[(G.GRAM, "rin")] == 2
