@@ -23,10 +23,11 @@ from __future__ import annotations
 
 import pickle
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
-from numpy.lib.stride_tricks import sliding_window_view
+from numpy.lib.stride_tricks import as_strided
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ CLASSES, SINGLES = 64, 40         # the most frequent tokens are classes of thei
 OWN_ROWS, SHARED_ROWS = 8192, 256  # input rows: frequent tokens, and buckets for the others
 NEAR = 512                        # neighbour columns a token is grouped by, 256 on either side
 FREQUENT = 200_000
-BATCH = 64                        # windows handled at once
+BATCH = 64                        # half the windows of a step of the warm start
+BLOCK = 32                        # windows worked out at once
 SHARD_BATCH = 128                 # windows of a step in the shards
 SETTLE = 60                       # steps over which a shard's rate rises
 GROUP_IDS = 500_000               # ids of a shard whose windows are shuffled at once
@@ -100,21 +102,76 @@ _CAUSAL = (_LAG >= 0)
 _LAG_AT = np.clip(_LAG, 0, CONTEXT + STEP - 1)
 
 
+def blocks(ids: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, given with their end token, cut into blocks of ``STEP`` tokens: (input rows [n + 1, STEP]
+    behind a block of padding, target tokens [n, STEP] with -1 for none, text of each block)."""
+    size = np.array([len(t) for t in ids])
+    n = -(-size // STEP)
+    start = (np.cumsum(n) - n) * STEP
+    x = np.full((n.sum() + 1, STEP), model.pad_row, dtype=np.int32)
+    y = np.full((n.sum(), STEP), -1, dtype=np.int32)
+    tokens_ = np.concatenate(ids)
+    at = np.arange(len(tokens_)) + np.repeat(start - (np.cumsum(size) - size), size)
+    y.reshape(-1)[at] = tokens_
+    x[1:].reshape(-1)[at[1:]] = model.row_of.take(tokens_[:-1])
+    x[1:].reshape(-1)[start] = model.row_of[model.end]
+    return x, y, np.repeat(np.arange(len(ids)), n)
+
+
 def windows(ids: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(input rows [n, CONTEXT + STEP], target tokens [n, STEP] with -1 for none, document of each
     window) for texts given with their end token."""
-    inputs, targets, owner = [], [], []
-    for d, t in enumerate(ids):
-        n = -(-len(t) // STEP) * STEP
-        x = np.full(CONTEXT + n, model.pad_row, dtype=np.int32)
-        x[CONTEXT] = model.row_of[model.end]
-        x[CONTEXT + 1:CONTEXT + len(t)] = model.row_of[t[:-1]]
-        y = np.full(n, -1, dtype=np.int32)
-        y[:len(t)] = t
-        inputs.append(sliding_window_view(x, CONTEXT + STEP)[::STEP])
-        targets.append(y.reshape(-1, STEP))
-        owner.append(np.full(n // STEP, d))
-    return np.concatenate(inputs), np.concatenate(targets), np.concatenate(owner)
+    x, y, owner = blocks(ids, model)
+    x = np.concatenate([x[:-1], x[1:]], axis=1)
+    x[_opens(owner), :CONTEXT] = model.pad_row
+    return x, y, owner
+
+
+def _opens(owner: np.ndarray) -> np.ndarray:
+    """Whether a block is the first of its text."""
+    return np.diff(owner, prepend=-1) > 0
+
+
+def _classes_of(y: np.ndarray, model: Model) -> np.ndarray:
+    cls = model.class_of.take(y, mode="clip")
+    cls[y < 0] = -1
+    return cls
+
+
+class Room:
+    """Arrays in which a block of windows is worked out. They are small enough for a core's cache and
+    kept from block to block, so that no step asks the system for memory. Products stay one small
+    matrix a window, which the matrix library multiplies faster than long thin ones."""
+
+    def __init__(self, dtype=np.float32):
+        def made(*shape: int) -> np.ndarray:
+            return np.empty((BLOCK, *shape), dtype=dtype)
+
+        keys = CONTEXT + STEP
+        self.own, self.seen = made(STEP, 2 * WIDTH), made(keys, 3 * WIDTH)
+        self.value_t = made(WIDTH + 1, keys)         # values, and a row of ones
+        self.value_t[:, -1] = 1
+        self.s, self.ds, self.weight = made(STEP, keys), made(STEP, keys), made(STEP, 1)
+        self.mixed, self.h, self.dh, self.dq, self.dx = (made(STEP, WIDTH) for _ in range(5))
+        self.dhw = made(STEP, WIDTH + 1)
+        self.z, self.rows, self.sums = made(STEP, CLASSES), made(STEP, CLASSES), made(STEP, 1)
+        self.both, self.k_in = made(keys, 2 * WIDTH), made(keys, WIDTH)
+        self.ones = np.ones((max(keys, CLASSES, BLOCK), 1), dtype=dtype)
+        self.moved, self.sorted = np.empty((2, 0, WIDTH), dtype=dtype)
+        # of blocks that follow each other; the keys of a window are those of two of them
+        self.run = np.empty((BLOCK + 1, STEP, 4 * WIDTH), dtype=dtype)
+        self.run_seen = as_strided(self.run[..., 2 * WIDTH:], (BLOCK, keys, 2 * WIDTH), self.run.strides)
+
+    def sum(self, values: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        """Sums over the last axis, which stays."""
+        size = values.shape[-1]
+        flat = None if out is None else out.reshape(-1, 1)
+        return np.matmul(values.reshape(-1, size), self.ones[:size], out=flat).reshape(
+            *values.shape[:-1], 1)
+
+    def grow(self, positions: int) -> None:
+        if len(self.moved) < positions:
+            self.moved, self.sorted = np.empty((2, positions, WIDTH), dtype=self.s.dtype)
 
 
 class Forward:
@@ -126,105 +183,159 @@ class Forward:
         e = params["embed"].copy()
         e[-1] = 0
         # scores are bounded, so that exp needs no running maximum
-        self.q = np.clip(e @ params["wq"], -2, 2)
-        self.k = np.clip(e @ params["wk"], -2, 2)
-        one = np.ones((len(e), 1), dtype=e.dtype)
-        one[-1] = 0                               # padding adds nothing to sum or weight
-        self.v = np.concatenate([e @ params["wv"], one], axis=1)
+        self.q, self.k = (np.minimum(np.maximum(e @ params[w], -2), 2) for w in ("wq", "wk"))
         # what a query position and a key position need, side by side
         self.own = np.concatenate([self.q, e], axis=1)
-        self.seen = np.concatenate([self.k, self.v], axis=1)
+        self.seen = np.concatenate([self.k, e @ params["wv"], e], axis=1)
         self.e = e
-        near = np.clip(params["near"], -10, 10)[_LAG_AT]
-        self.bias = np.where(_CAUSAL, near, -np.inf).astype(np.float32)
-
-    def logits(self, x: np.ndarray):
-        own = x[:, CONTEXT:]
-        query, key = self.own.take(own, axis=0), self.seen.take(x, axis=0)
-        s = query[..., :WIDTH] @ key[..., :WIDTH].transpose(0, 2, 1)
-        s += self.bias
+        near = np.exp(np.clip(params["near"], -10, 10))[_LAG_AT]
+        self.near = np.where(_CAUSAL, near, 0).astype(e.dtype)
+
+    @cached_property
+    def all(self) -> np.ndarray:
+        return np.concatenate([self.own, self.seen[:, :2 * WIDTH]], axis=1)
+
+    def logits(self, x: np.ndarray, room: Room) -> np.ndarray:
+        """Logits [windows, STEP, CLASSES] of at most ``BLOCK`` windows; they and what led to them stay
+        in ``room``."""
+        n = len(x)
+        own = self.own.take(x[:, CONTEXT:], axis=0, out=room.own[:n], mode="clip")
+        seen = self.seen.take(x, axis=0, out=room.seen[:n], mode="clip")
+        return self._logits(own, seen, x[:, CONTEXT:], x[:, 0] == len(self.e) - 1, room)
+
+    def run_logits(self, x: np.ndarray, opens: np.ndarray, room: Room) -> np.ndarray:
+        """The same for the blocks behind the first of ``x``, each in the context of the one before."""
+        n = len(opens)
+        self.all.take(x, axis=0, out=room.run[:n + 1], mode="clip")
+        return self._logits(room.run[1:n + 1, :, :2 * WIDTH], room.run_seen[:n], x[1:], opens, room)
+
+    def _logits(self, own: np.ndarray, seen: np.ndarray, at: np.ndarray, opens: np.ndarray,
+                room: Room) -> np.ndarray:
+        n = len(own)
+        s = np.matmul(own[..., :WIDTH], seen[..., :WIDTH].transpose(0, 2, 1), out=room.s[:n])
         np.exp(s, out=s)
-        mixed = s @ key[..., WIDTH:]
-        weight = mixed[..., -1:]
-        # a query behind the end of its text may see padding only
-        h = mixed[..., :-1] / np.maximum(weight, 1e-30)
-        h += query[..., WIDTH:]
-        z = np.maximum(h, 0).reshape(-1, WIDTH) @ self.p["out"]
-        z += self.p["direct"].take(own.ravel(), axis=0)
-        return z, (query, key, s, weight, h)
-
-
-def log_probs(model: Model, forward: Forward, ids: list[np.ndarray]) -> np.ndarray:
+        s *= self.near
+        # what stands before a text weighs nothing; padding behind it is seen by no target
+        for i in np.flatnonzero(opens):
+            s[i, :, :CONTEXT] = 0
+        weight = room.sum(s, room.weight[:n])
+        np.maximum(weight, 1e-30, out=weight)
+        mixed = np.matmul(s, seen[..., WIDTH:2 * WIDTH], out=room.mixed[:n])
+        mixed /= weight
+        h = np.add(mixed, own[..., WIDTH:], out=room.h[:n])
+        np.maximum(h, 0, out=h)
+        z = np.matmul(h, self.p["out"], out=room.z[:n])
+        z += self.p["direct"].take(at, axis=0, out=room.rows[:n], mode="clip")
+        return z
+
+
+def log_probs(model: Model, forward: Forward, ids: list[np.ndarray],
+              room: Room | None = None) -> np.ndarray:
     """log10 probability of each text (ids with the end token), every token scored once."""
-    total, ones = np.zeros(len(ids)), np.ones(CLASSES, dtype=np.float32)
-    x, y, owner = windows(ids, model)
-    for lo in range(0, len(x), BATCH):
-        z, _ = forward.logits(x[lo:lo + BATCH])
-        target = y[lo:lo + BATCH].ravel()
-        picked = z[np.arange(len(z)), model.class_of[target]]
+    room = room or Room(forward.e.dtype)
+    x, y, owner = blocks(ids, model)
+    opens, cls = _opens(owner), model.class_of.take(y, mode="clip")
+    picked, sums = np.empty((2, *y.shape), dtype=room.z.dtype)
+    place = np.arange(BLOCK * STEP).reshape(BLOCK, STEP) * CLASSES
+    for lo in range(0, len(y), BLOCK):
+        hi = min(lo + BLOCK, len(y))
+        z = forward.run_logits(x[lo:hi + 1], opens[lo:hi], room)
+        z.take(place[:hi - lo] + cls[lo:hi], out=picked[lo:hi], mode="clip")
         np.exp(z, out=z)
-        value = (picked - np.log(z @ ones)).astype(np.float64) / np.log(10)
-        value += model.log_share[target]
-        value[target < 0] = 0
-        total += np.bincount(owner[lo:lo + BATCH], value.reshape(-1, STEP).sum(axis=1), len(ids))
-    return total
+        room.sum(z, sums[lo:hi])
+    picked -= np.log(sums, out=sums)
+    value = picked.astype(np.float64) / np.log(10)
+    value += model.log_share.take(y, mode="clip")
+    value[y < 0] = 0
+    return np.bincount(owner, value.sum(axis=1), len(ids))
 
 
-def gradient(params: dict[str, np.ndarray], x: np.ndarray, cls: np.ndarray, fixed: tuple = ()):
+def gradient(params: dict[str, np.ndarray], x: np.ndarray, cls: np.ndarray, fixed: tuple = (),
+             room: Room | None = None):
     """Mean loss and its slopes over a batch, but for the parameters in ``fixed``; ``cls`` holds target
-    classes, -1 for none."""
+    classes, -1 for none. The batch is worked out block by block."""
     f = Forward(params)
-    z, (query, key, s, weight, h) = f.logits(x)
-    target = cls.ravel()
-    real = target >= 0
-    n = max(1, int(real.sum()))
-    p = np.exp(np.minimum(z, 60, out=z), out=z)      # far above any logit, far below an overflow
-    p /= (p @ np.ones(CLASSES, dtype=p.dtype))[:, None]
-    at = np.arange(len(p)), np.maximum(target, 0)
-    loss = -np.log(np.maximum(p[at], 1e-30))[real].sum() / n
-    p[at] -= 1
-    p[~real] = 0
-    p *= p.dtype.type(1 / n)
-    g = {}
-    if "direct" not in fixed:
-        g["direct"] = _scatter(x[:, CONTEXT:].ravel(), p, len(params["direct"]))
-    flat = np.maximum(h, 0).reshape(-1, WIDTH)
-    g["out"] = flat.T @ p
-    dh = ((p @ params["out"].T) * (flat > 0)).reshape(h.shape)
-    q, e_own = query[..., :WIDTH], query[..., WIDTH:]
-    k, v = key[..., :WIDTH], key[..., WIDTH:-1]
-    a = np.divide(s, np.maximum(weight, 1e-30), out=s)
-    dv = a.transpose(0, 2, 1) @ dh
-    # the mean of a row's slopes is that of its output
-    ds = dh @ v.transpose(0, 2, 1)
-    ds -= (dh * (h - e_own)).sum(-1, keepdims=True)
-    ds *= a
-    padded = np.flatnonzero(x[:, 0] == len(f.e) - 1)       # padding stands in front, if anywhere
-    ds[padded] *= key[padded][..., -1][:, None, :]
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    dq *= np.abs(q) < 2
-    dk *= np.abs(k) < 2
-    g["near"] = np.bincount(_LAG_AT[_CAUSAL], ds.sum(0)[_CAUSAL], CONTEXT + STEP).astype(s.dtype)
-    dq, both = dq.reshape(-1, WIDTH), np.concatenate([dk, dv], axis=2).reshape(-1, 2 * WIDTH)
-    g["wq"] = e_own.reshape(-1, WIDTH).T @ dq
-    seen = f.e.take(x.ravel(), axis=0).T @ both
-    g["wk"], g["wv"] = seen[:, :WIDTH], seen[:, WIDTH:]
-    moved = (both @ np.concatenate([params["wk"], params["wv"]], axis=1).T).reshape(*x.shape, WIDTH)
-    moved[:, CONTEXT:] += (dq @ params["wq"].T).reshape(dh.shape) + dh
-    g["embed"] = _scatter(x.ravel(), moved.reshape(-1, WIDTH), len(params["embed"]))
+    dtype = f.e.dtype
+    room = room or Room(dtype)
+    n = max(1, int((cls >= 0).sum()))
+    room.grow(x.size)
+    moved = room.moved[:x.size].reshape(*x.shape, WIDTH)
+    out_t, wq_t, wkv_t = (np.concatenate([params[k].T for k in names]) for names in (
+        ("out",), ("wq",), ("wk", "wv")))
+    q_in, k_in = ((np.abs(table) < 2).astype(dtype) for table in (f.q, f.k))
+    g = {k: np.zeros_like(params[k]) for k in ("wq", "out")}
+    seen_g = np.zeros((WIDTH, 2 * WIDTH), dtype=dtype)
+    near = np.zeros((STEP, CONTEXT + STEP), dtype=dtype)
+    slopes = [] if "direct" not in fixed else None
+    missed = np.empty(cls.shape, dtype=dtype)
+    scale = np.where(cls >= 0, dtype.type(1 / n), dtype.type(0))
+    place = np.arange(BLOCK * STEP).reshape(BLOCK, STEP) * CLASSES
+    for lo in range(0, len(x), BLOCK):
+        xs = x[lo:lo + BLOCK]
+        m = len(xs)
+        p = f.logits(xs, room)
+        np.minimum(p, 60, out=p)                # far above any logit, far below an overflow
+        np.exp(p, out=p)
+        sums = room.sum(p, room.sums[:m])
+        at = place[:m] + np.maximum(cls[lo:lo + m], 0)
+        picked = p.take(at)
+        np.divide(picked, sums[..., 0], out=missed[lo:lo + m])
+        p.reshape(-1)[at] = picked - sums[..., 0]
+        p *= np.divide(scale[lo:lo + m, :, None], sums, out=sums)
+        if slopes is not None:
+            slopes.append(p.reshape(-1, CLASSES).copy())
+        h, dh, dhw = room.h[:m], room.dh[:m], room.dhw[:m]
+        own, seen, s = room.own[:m], room.seen[:m], room.s[:m]
+        q, e_own = own[..., :WIDTH], own[..., WIDTH:]
+        k, v, e = (seen[..., i * WIDTH:(i + 1) * WIDTH] for i in range(3))
+        g["out"] += np.matmul(h.transpose(0, 2, 1), p).sum(axis=0)
+        np.matmul(p, out_t, out=dh)
+        dh *= h > 0
+        np.divide(dh, room.weight[:m], out=dhw[..., :WIDTH])
+        both = room.both[:m]
+        np.matmul(s.transpose(0, 2, 1), dhw[..., :WIDTH], out=both[..., WIDTH:])
+        # the mean of a row's slopes is that of its output
+        mixed = room.mixed[:m]
+        mixed *= dhw[..., :WIDTH]
+        np.negative(room.sum(mixed), out=dhw[..., WIDTH:])
+        value_t = room.value_t[:m]
+        value_t[:, :-1] = v.transpose(0, 2, 1)
+        ds = np.matmul(dhw, value_t, out=room.ds[:m])
+        ds *= s
+        dq = np.matmul(ds, k, out=room.dq[:m])
+        np.matmul(ds.transpose(0, 2, 1), q, out=both[..., :WIDTH])
+        # scores at their bounds have no slope
+        dq *= q_in.take(xs[:, CONTEXT:], axis=0, out=room.dx[:m], mode="clip")
+        both[..., :WIDTH] *= k_in.take(xs, axis=0, out=room.k_in[:m], mode="clip")
+        near += ds.sum(axis=0)
+        g["wq"] += np.matmul(e_own.transpose(0, 2, 1), dq).sum(axis=0)
+        seen_g += np.matmul(e.transpose(0, 2, 1), both).sum(axis=0)
+        np.matmul(both, wkv_t, out=moved[lo:lo + m])
+        dh += np.matmul(dq, wq_t, out=room.dx[:m])
+        moved[lo:lo + m, CONTEXT:] += dh
+    loss = -np.log(np.maximum(missed[cls >= 0], 1e-30)).sum(dtype=np.float64) / n
+    g["wk"], g["wv"] = seen_g[:, :WIDTH], seen_g[:, WIDTH:]
+    g["near"] = np.bincount(_LAG_AT[_CAUSAL], near[_CAUSAL], CONTEXT + STEP).astype(dtype)
+    g["embed"] = _scatter(x.ravel(), room.moved[:x.size], len(params["embed"]), room.sorted)
     g["embed"][-1] = 0
+    if slopes is not None:
+        g["direct"] = _scatter(x[:, CONTEXT:].ravel(), np.concatenate(slopes), len(params["direct"]))
     return loss, g
 
 
-def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sum of ``values`` by row."""
+def _scatter(rows: np.ndarray, values: np.ndarray, size: int,
+             room: np.ndarray | None = None) -> np.ndarray:
+    """Sum of ``values`` by row; ``room`` may hold them sorted."""
     if size <= 1 << 16:
         rows = rows.astype(np.uint16)         # sorted digit by digit
     order = np.argsort(rows, kind="stable")
-    at = rows[order]
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    out = np.zeros((size, values.shape[1]), dtype=np.float32)
-    out[at[first]] = np.add.reduceat(values[order], first, axis=0)
+    at = rows.take(order)
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    values = values.take(order, axis=0, mode="clip", out=None if room is None else room[:len(rows)])
+    # two columns are added at once as the parts of a complex number
+    pairs = values.view(np.result_type(values.dtype, np.complex64))
+    out = np.zeros((size, values.shape[1]), dtype=values.dtype)
+    out[at.take(first)] = np.add.reduceat(pairs, first, axis=0).view(values.dtype)
     return out
 
 
@@ -242,25 +353,33 @@ class Adam:
     def update(self, params: dict[str, np.ndarray], g: dict[str, np.ndarray], rate: float,
                rows: np.ndarray) -> None:
         self.step += 1
+        first, second = rate / (1 - 0.9 ** self.step), (1 - 0.999 ** self.step) ** -0.5
         for k, slope in g.items():
             at = rows if k in TABLES else slice(None)
             m, v = self.m[k][at], self.v[k][at]
             m += 0.1 * (slope - m)
-            v += 0.001 * (slope * slope - v)
+            slope = slope * slope
+            slope -= v
+            slope *= 0.001
+            v += slope
             self.m[k][at], self.v[k][at] = m, v
-            params[k][at] -= rate / (1 - 0.9 ** self.step) * m / (
-                np.sqrt(v / (1 - 0.999 ** self.step)) + 1e-8)
+            np.sqrt(v, out=slope)
+            slope *= second
+            slope += 1e-8
+            np.divide(m, slope, out=slope)
+            slope *= first
+            params[k][at] -= slope
 
 
-def step(model: Model, adam: Adam, x: np.ndarray, cls: np.ndarray, rate: float,
-         fixed: tuple) -> None:
+def step(model: Model, adam: Adam, x: np.ndarray, cls: np.ndarray, rate: float, fixed: tuple,
+         room: Room | None = None) -> None:
     """One step over a batch of windows. Only the table rows that it holds are worked on."""
     held = np.zeros(len(model.params["embed"]), dtype=bool)
     held[x] = held[-1] = True                 # the padding row stays the last
     rows = np.flatnonzero(held)
-    place = np.cumsum(held, dtype=np.int32) - 1
-    own = {k: v[rows] if k in TABLES else v for k, v in model.params.items()}
-    _, g = gradient(own, place[x], cls, fixed)
+    place = np.cumsum(held) - 1
+    own = {k: v.take(rows, axis=0) if k in TABLES else v for k, v in model.params.items()}
+    _, g = gradient(own, place.take(x), cls, fixed, room)
     adam.update(model.params, g, rate, rows)
 
 
@@ -269,15 +388,15 @@ def train(model: Model, ids: list[np.ndarray], steps: int | None, rate: float, s
     """Adam over shuffled windows: ``steps`` batches, or one pass over all (None). Parameters in ``fixed``
     stay as they are."""
     x, y, _ = windows(ids, model)
-    cls = np.where(y >= 0, model.class_of[np.maximum(y, 0)], -1)
+    cls = _classes_of(y, model)
     rng = np.random.default_rng(seed)
     adam = Adam({k: v for k, v in model.params.items() if k not in fixed})
-    order = rng.permutation(len(x))
+    room, order = Room(), rng.permutation(len(x))
     n = -(-len(x) // size) if steps is None else steps
     for i in range(n):
         pick = order.take(np.arange(i * size, min((i + 1) * size, len(x)) if steps is None
                                     else (i + 1) * size), mode="wrap")
-        step(model, adam, x[pick], cls[pick], rate * (1 - 0.9 * i / n), fixed)
+        step(model, adam, x[pick], cls[pick], rate * (1 - 0.9 * i / n), fixed, room)
 
 
 class ShardTraining:
@@ -289,7 +408,7 @@ class ShardTraining:
                            model.class_of, model.log_share)
         self.t, self.seen, self.size, self.waiting = t, 0, 0, []
         self.adam = Adam({k: v for k, v in model.params.items() if k not in fixed})
-        self.rng = np.random.default_rng(t.seed)
+        self.rng, self.room = np.random.default_rng(t.seed), Room()
 
     def add(self, ids: np.ndarray) -> None:
         for lo in range(0, len(ids), GROUP_IDS):
@@ -302,7 +421,7 @@ class ShardTraining:
         if not self.waiting:
             return
         x, y, _ = windows(self.waiting, self.model)
-        cls = np.where(y >= 0, self.model.class_of[np.maximum(y, 0)], -1)
+        cls = _classes_of(y, self.model)
         done, order = self.seen, self.rng.permutation(len(x))
         for lo in range(0, len(x), SHARD_BATCH):
             pick = order[lo:lo + SHARD_BATCH]
@@ -310,7 +429,7 @@ class ShardTraining:
             # short steps until the optimiser's moments have settled
             soft = min(1.0, (self.adam.step + 1) / SETTLE)
             step(self.model, self.adam, x[pick], cls[pick],
-                 self.t.shard_rate * soft * (1 - 0.9 * min(at, 1.0)), self.fixed)
+                 self.t.shard_rate * soft * (1 - 0.9 * min(at, 1.0)), self.fixed, self.room)
         self.seen, self.size, self.waiting = done + self.size, 0, []
 
 
@@ -389,8 +508,8 @@ def _token_counts(read: DataFrame, size: int) -> np.ndarray:
     def run(frames):
         total = np.zeros(size, dtype=np.int64)
         for frame in frames:
-            for ids in _ids(frame, size - 1):
-                total += np.bincount(ids, minlength=size)
+            if len(frame):
+                total += np.bincount(np.concatenate(_ids(frame, size - 1)), minlength=size)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"id": at, "c": total[at]})
 
@@ -416,9 +535,14 @@ def _frames(counts: np.ndarray) -> np.ndarray:
 
 def _neighbours(ids: list[np.ndarray], frame: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(token * NEAR + column, count) of all neighbours before and behind the tokens of ``ids``."""
-    keys = [k for t in ids for k in (t[1:] * np.int64(NEAR) + frame[t[:-1]],
-                                     t[:-1] * np.int64(NEAR) + frame[t[1:]] + 256)]
-    return np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *keys]), return_counts=True)
+    if not ids:
+        return np.zeros((2, 0), dtype=np.int64)
+    t, end = np.concatenate(ids).astype(np.int32), len(frame) - 1
+    frame = frame.astype(np.int32)
+    inside = t[:-1] != end                  # the next token is one of the same text
+    a, b = t[:-1][inside], t[1:][inside]
+    keys = np.concatenate([b * np.int32(NEAR) + frame[a], a * np.int32(NEAR) + (frame[b] + 256)])
+    return np.unique(keys, return_counts=True)
 
 
 def _neighbour_counts(read: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -504,10 +628,10 @@ def _direct_counts(read: DataFrame, model: Model) -> np.ndarray:
     def run(frames):
         total = np.zeros(rows * CLASSES, dtype=np.int64)
         for frame in frames:
-            keys = [row_of[np.concatenate([[end], ids[:-1]])] * CLASSES + class_of[ids]
-                    for ids in _ids(frame, end)]
-            total += np.bincount(np.concatenate([np.zeros(0, np.int64), *keys]),
-                                 minlength=len(total))
+            if len(frame):
+                ids = np.concatenate([[end], *_ids(frame, end)])     # an end stands before each text
+                total += np.bincount(row_of[ids[:-1]] * CLASSES + class_of[ids[1:]],
+                                     minlength=len(total))
         at = np.flatnonzero(total)
         yield pd.DataFrame({"key": at, "c": total[at]})
 

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -64,6 +65,58 @@ def test_gradient_matches_finite_differences():
         assert abs((losses[0] - losses[1]) / 2e-4 - g[k][at]) < 1e-4 * max(1, abs(g[k][at]) * 100)
 
 
+def many_windows(model, sample):
+    x, y, _ = L.windows([*sample, sample[0][:1], np.concatenate(sample)], model)
+    return x, np.where(y >= 0, model.class_of[np.maximum(y, 0)], -1)
+
+
+def test_windows_of_several_texts_match_a_plain_loop():
+    model, sample = small_model()
+    texts = [sample[0], sample[1][-1:], sample[2][:32], sample[3][:33]]
+    x, y, owner = L.windows(texts, model)
+    at = 0
+    for d, t in enumerate(texts):
+        rows = [model.pad_row] * L.CONTEXT + [model.row_of[model.end], *model.row_of[t[:-1]]]
+        for lo in range(0, len(t), L.STEP):
+            want = rows[lo:lo + L.CONTEXT + L.STEP]
+            want += [model.pad_row] * (L.CONTEXT + L.STEP - len(want))
+            assert x[at].tolist() == want and owner[at] == d
+            assert y[at].tolist() == [*t[lo:lo + L.STEP], *[-1] * (lo + L.STEP - len(t))]
+            at += 1
+    assert at == len(x)
+
+
+def test_slopes_of_a_batch_are_the_mean_of_its_windows():
+    model, sample = small_model()
+    x, cls = many_windows(model, sample)
+    params = {k: v.astype(np.float64) * (3 if k in ("wq", "wk") else 1) for k, v in model.params.items()}
+    loss, g = L.gradient(params, x, cls)                 # several blocks, some scores at their bounds
+    assert len(x) > 2 * L.BLOCK and (np.abs(L.Forward(params).q) == 2).any()
+    each = [((c >= 0).sum(), *L.gradient(params, w[None], c[None])) for w, c in zip(x, cls, strict=True)]
+    n = sum(own for own, _, _ in each)
+    assert abs(sum(own * one for own, one, _ in each) / n - loss) < 1e-9
+    for k, v in g.items():
+        assert np.allclose(sum(own * slopes[k] for own, _, slopes in each) / n, v, atol=1e-7)
+
+
+def test_steps_and_scores_work_in_arrays_that_are_kept():
+    model, sample = small_model()
+    x, cls = many_windows(model, sample * 2)
+    room, adam = L.Room(), L.Adam({k: v for k, v in model.params.items() if k != "direct"})
+    texts, forward = sample * 4, L.Forward(model.params)
+    peaks = []
+    for work in (lambda: L.step(model, adam, x, cls, 0.01, ("direct",), room),
+                 lambda: L.log_probs(model, forward, texts, room)):
+        work()
+        tracemalloc.start()
+        work()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    # a batch's scores alone (windows x STEP x keys) are larger
+    scores = len(x) * L.STEP * (L.CONTEXT + L.STEP) * 4
+    assert max(peaks) < scores
+
+
 def naive_log_prob(model, ids):
     """Token by token, with an explicit loop over the keys of its window."""
     p, total = model.params, 0.0
